@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import models, quality
+from ..sources.tables import load
 from . import inputs
 from . import oracle_sql as O
 
@@ -43,3 +44,104 @@ def branch_facts_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("branch_coverage", O.branch_coverage)
 def branch_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.branch_coverage(models.parse_branch_json(inputs.raw_branches(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ crawl (W1) ----
+def _crawl_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from ..operators import crawl
+    log = inputs.crawl_log(spark, sf_dir)
+    log = log.withColumn("empty", crawl.page_is_empty(F.col("status"), F.lit(False), F.lit(True),
+                                                      F.col("cards")))
+    return crawl.crawl_cutoff(log, "run", ["ts", "event_id"], "empty", max_empty=2)
+
+
+@register("crawl_cutoff", O.crawl_cutoff)
+def crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from ..operators import crawl
+    kept = crawl.kept_cards(_crawl_annotated(spark, sf_dir))
+    return kept.select("run", "event_id", F.col("page_num").cast("bigint").alias("page_num"),
+                       F.col("cards").cast("bigint").alias("cards"))
+
+
+@register("crawl_summary", O.crawl_summary)
+def crawl_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import crawl
+    return crawl.crawl_summary(_crawl_annotated(spark, sf_dir), "run")
+
+
+# ------------------------------------------------------- status (A4 A5 J5) ----
+def _status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from ..operators import status
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate",
+                                                  "o_orderpriority")
+    expected = orders.selectExpr("o_orderkey", f"{inputs.RUN_DATE_SQL} AS ds", "o_orderpriority")
+    observed = orders.selectExpr("o_orderkey", f"{inputs.ORDER_STATE_SQL} AS state").where(
+        F.col("state").isNotNull())
+    return status.expected_vs_observed(expected, observed, ["o_orderkey"])
+
+
+@register("status_summary", O.status_summary)
+def status_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import status
+    return status.run_status_summary(_status_rows(spark, sf_dir), "ds")
+
+
+@register("status_detail", O.status_detail)
+def status_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import status
+    rows = _status_rows(spark, sf_dir)
+    names = status.names_table(spark, inputs.PRIORITY_LABELS, "o_orderpriority", "priority_label")
+    return status.with_display_name(rows, names, "o_orderpriority", "priority_label").select(
+        "o_orderkey", "ds", "status", "priority_label")
+
+
+# ---------------------------------------------------------------- prices ----
+@register("price_change_pct", O.price_change_pct)
+def price_change_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from ..operators import prices
+    li = load(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice", "l_quantity")
+    obs = li.groupBy("l_partkey", "l_shipdate").agg(
+        F.min(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).alias("price"))
+    prev = prices.with_previous_price(obs, ["l_partkey"], "l_shipdate")
+    return prev.select("l_partkey", F.to_date("l_shipdate").alias("ship_date"), "price", "prev_price",
+                       prices.price_change_pct(F.col("price"), F.col("prev_price")).alias("price_change_pct"))
+
+
+@register("clean_product_name", O.clean_product_name)
+def clean_product_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from ..functions.text import clean_product_name as clean
+    srcs = [("part", "p_partkey", "p_name"), ("customer", "c_custkey", "c_name"),
+            ("documents", "doc_id", "text")]
+    frames = [load(spark, sf_dir, t).select(F.lit(t).alias("source"), F.col(k).cast("bigint").alias("key"),
+                                            clean(F.col(c)).alias("clean_name")) for t, k, c in srcs]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+@register("union_prices", O.union_prices)
+def union_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from ..operators import prices
+    part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_type")
+    slices = [part.where(F.expr(cond)).selectExpr(*[f"{v} AS {k}" for k, v in inputs.part_slice_exprs(s).items()])
+              for s, cond in inputs.PART_SLICES]
+    return prices.union_price_feeds([prices.sample_prices(spark), *slices])
+
+
+@register("raw_price_rows", O.raw_price_rows)
+def raw_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    items = conv.selectExpr(*[f"{v} AS {k}" for k, v in inputs.conversation_price_exprs("spark").items()])
+    rows = models.raw_price_rows(items, F.col("store_name"), "dulce_de_leche", F.col("scraped_at"))
+    return rows.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))

@@ -147,3 +147,58 @@ def raw_doc_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_doc_branches_sql() -> str:
     cols = ", ".join(f"{v} AS {k}" for k, v in doc_branch_exprs("duckdb").items())
     return f"SELECT {cols} FROM documents"
+
+
+# ------------------------------------------------------------- crawl log ----
+def crawl_log_exprs() -> dict[str, str]:
+    """events as a crawl log: run = user, page order = (ts, event_id); an
+    error event is an HTTP 500 page, a low-value signup a page with no card."""
+    return {
+        "run": "user_id",
+        "ts": "ts",
+        "event_id": "event_id",
+        "status": "CASE WHEN event_type = 'error' THEN 500 ELSE 200 END",
+        "cards": "CASE WHEN event_type = 'signup' AND value < 5 THEN 0 ELSE 1 END",
+    }
+
+
+def crawl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    return ev.selectExpr(*[f"{v} AS {k}" for k, v in crawl_log_exprs().items()])
+
+
+def crawl_log_sql() -> str:
+    cols = ", ".join(f"{v} AS {k}" for k, v in crawl_log_exprs().items())
+    return f"SELECT {cols} FROM events"
+
+
+# ------------------------------------------------------------ run status ----
+ORDER_STATE_SQL = ("CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'P' THEN 'failed' "
+                   "ELSE CASE o_orderkey % 4 WHEN 0 THEN 'up_for_retry' WHEN 1 THEN 'running' "
+                   "WHEN 2 THEN 'queued' ELSE NULL END END")
+RUN_DATE_SQL = "CAST(date_trunc('month', o_orderdate) AS DATE)"
+PRIORITY_LABELS = {"1-URGENT": "URGENTE", "2-HIGH": "ALTA"}
+
+
+# ---------------------------------------------------------- price sources ----
+def conversation_price_exprs(engine: str) -> dict[str, str]:
+    return {
+        "item": "text",
+        "store_name": "CASE conv_id % 3 WHEN 0 THEN 'CARREFOUR' WHEN 1 THEN 'JUMBO' ELSE 'VEA' END",
+        "scraped_at": ts_expr(engine, "conv_id * 3600000000 + turn * 1000001"),
+    }
+
+
+def part_slice_exprs(store: str) -> dict[str, str]:
+    return {
+        "product_name": "p_name",
+        "price": "p_retailprice",
+        "currency": "'ARS'",
+        "store_name": f"'{store}'",
+        "category": "p_type",
+        "url": "'https://example.com/p/' || CAST(p_partkey AS STRING)",
+    }
+
+
+PART_SLICES = [("CARREFOUR", "p_partkey % 3 = 0"), ("JUMBO", "p_partkey % 3 = 1"),
+               ("VEA", "p_partkey % 3 = 2")]

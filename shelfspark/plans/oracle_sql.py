@@ -119,3 +119,115 @@ SELECT provincia,
        CAST(sum(tiene_horarios) AS BIGINT) AS con_horarios,
        CAST(sum(tiene_telefono) AS BIGINT) AS con_telefono
 FROM m GROUP BY ROLLUP (provincia)"""
+
+
+# ------------------------------------------------------------------ crawl ----
+def _crawl_annotated(max_empty: int = 2) -> str:
+    m = max(max_empty, 1)
+    return f"""
+log AS ({inputs.crawl_log_sql()}),
+e AS (SELECT *, (status IS NOT NULL AND status <> 200) OR cards = 0 AS empty FROM log),
+n AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY ts, event_id) AS page_num FROM e),
+s AS (SELECT *, CASE WHEN empty THEN page_num - coalesce(max(CASE WHEN NOT empty THEN page_num END)
+         OVER (PARTITION BY run ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)
+         ELSE 0 END AS streak FROM n),
+t AS (SELECT *, min(CASE WHEN empty AND streak >= {m} THEN page_num END) OVER (PARTITION BY run) AS stop_page
+      FROM s),
+a AS (SELECT *, NOT empty AND (stop_page IS NULL OR page_num < stop_page) AS kept FROM t)"""
+
+
+def crawl_cutoff() -> str:
+    return f"""WITH {_crawl_annotated()}
+SELECT run, event_id, CAST(page_num AS BIGINT) AS page_num, CAST(cards AS BIGINT) AS cards
+FROM a WHERE kept"""
+
+
+def crawl_summary() -> str:
+    return f"""WITH {_crawl_annotated()}
+SELECT run,
+       CAST(sum(CASE WHEN kept THEN cards ELSE 0 END) AS BIGINT) AS total_items,
+       CAST(min(stop_page) - 1 AS BIGINT) AS pages_processed,
+       CAST(max(page_num) AS BIGINT) AS last_page,
+       CAST(count_if(kept) AS BIGINT) AS pages_with_cards
+FROM a GROUP BY run"""
+
+
+# ----------------------------------------------------------------- status ----
+def _status_rows() -> str:
+    cases = " ".join(f"WHEN {_q(raw)} THEN {_q(cls)}" for raw, cls in P.STATE_CLASSES)
+    return f"""
+exp AS (SELECT o_orderkey, {inputs.RUN_DATE_SQL} AS ds, o_orderpriority FROM orders),
+obs AS (SELECT o_orderkey, {inputs.ORDER_STATE_SQL} AS state FROM orders
+        WHERE {inputs.ORDER_STATE_SQL} IS NOT NULL),
+j AS (SELECT exp.*, obs.state, CASE obs.state {cases} ELSE 'UNKNOWN' END AS status
+      FROM exp LEFT JOIN obs USING (o_orderkey))"""
+
+
+def status_summary() -> str:
+    return f"""WITH {_status_rows()},
+g AS (SELECT ds, CAST(count(*) AS BIGINT) AS total,
+             CAST(count_if(status = 'COMPLETED') AS BIGINT) AS completed,
+             CAST(count_if(status = 'FAILED') AS BIGINT) AS failed,
+             CAST(count_if(status = 'RETRYING') AS BIGINT) AS retrying,
+             CAST(count_if(status = 'RUNNING') AS BIGINT) AS running,
+             CAST(count_if(status = 'UNKNOWN') AS BIGINT) AS unknown
+      FROM j GROUP BY ds)
+SELECT *, total - completed - failed AS other,
+       CASE WHEN total > 0 THEN completed / total * 100 ELSE 0.0 END AS success_rate,
+       CASE WHEN completed = total THEN 'ALL' WHEN completed > 0 THEN 'PARTIAL' ELSE 'NONE' END AS verdict
+FROM g"""
+
+
+def status_detail() -> str:
+    vals = ", ".join(f"({_q(k)}, {_q(v)})" for k, v in sorted(inputs.PRIORITY_LABELS.items()))
+    return f"""WITH {_status_rows()},
+names(o_orderpriority, priority_label) AS (VALUES {vals})
+SELECT o_orderkey, ds, status, coalesce(names.priority_label, j.o_orderpriority) AS priority_label
+FROM j LEFT JOIN names USING (o_orderpriority)"""
+
+
+# ----------------------------------------------------------------- prices ----
+def price_change_pct() -> str:
+    return """
+WITH obs AS (SELECT l_partkey, l_shipdate, min(l_extendedprice / l_quantity) AS price
+             FROM lineitem GROUP BY l_partkey, l_shipdate),
+p AS (SELECT *, lag(price) OVER (PARTITION BY l_partkey ORDER BY l_shipdate) AS prev_price FROM obs)
+SELECT l_partkey, CAST(l_shipdate AS DATE) AS ship_date, price, prev_price,
+       CASE WHEN prev_price IS NOT NULL AND prev_price > 0
+            THEN CAST(round(CAST((price - prev_price) / prev_price * 100 AS DECIMAL(24,6)), 2) AS DOUBLE)
+       END AS price_change_pct
+FROM p"""
+
+
+def clean_name(x: str) -> str:
+    return trim_(f"upper(regexp_replace({x}, {_q(P.NON_WORD_RE)}, '', 'g'))")
+
+
+def clean_product_name() -> str:
+    return f"""
+SELECT 'part' AS source, CAST(p_partkey AS BIGINT) AS key, {clean_name('p_name')} AS clean_name FROM part
+UNION ALL
+SELECT 'customer', CAST(c_custkey AS BIGINT), {clean_name('c_name')} FROM customer
+UNION ALL
+SELECT 'documents', CAST(doc_id AS BIGINT), {clean_name('text')} FROM documents"""
+
+
+def union_prices() -> str:
+    lit = " UNION ALL ".join(
+        f"SELECT {_q(n)} AS product_name, CAST({p} AS DOUBLE) AS price, {_q(c)} AS currency, "
+        f"{_q(s)} AS store_name, {_q(cat)} AS category, {_q(u)} AS url"
+        for n, p, c, s, cat, u in P.SAMPLE_PRICES)
+    slices = " UNION ALL ".join(
+        "SELECT " + ", ".join(f"{v} AS {k}" for k, v in inputs.part_slice_exprs(s).items())
+        + f" FROM part WHERE {cond}" for s, cond in inputs.PART_SLICES)
+    return f"{lit} UNION ALL {slices}"
+
+
+def raw_price_rows() -> str:
+    e = inputs.conversation_price_exprs("duckdb")
+    return f"""
+WITH items AS (SELECT {e['item']} AS item, {e['store_name']} AS store_name, {e['scraped_at']} AS scraped_at
+               FROM conversations)
+SELECT CAST(to_json(item) AS VARCHAR) AS raw_data, CAST(scraped_at AS DATE) AS scraped_date,
+       scraped_at AS scraped_datetime, store_name, 'dulce_de_leche' AS category
+FROM items"""
