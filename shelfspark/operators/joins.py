@@ -35,3 +35,18 @@ def skew_safe_left_join(left: DataFrame, right: DataFrame, left_key: str, right_
     unmatched = left.join(keys, left[left_key] == keys["__k"], "left_anti")
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
     return matched.unionByName(unmatched.select("*", *nulls))
+
+
+def province_spine(provinces: DataFrame, branches: DataFrame, prov_key: str, branch_prov_key: str) -> DataFrame:
+    """Province -> its branches.  A province without branches yields no
+    rows downstream (the reference explodes, not explode_outer), so this is
+    an inner join; the province side is a small dimension the planner
+    broadcasts by size."""
+    return provinces.join(branches, provinces[prov_key] == branches[branch_prov_key], "inner")
+
+
+def branch_spine(branches: DataFrame, facts: DataFrame, branch_key: str, fact_key: str) -> DataFrame:
+    """Every listed branch keeps at least one row; a branch without
+    detail facts gets NULL fact columns (its raw data is then ``[]``).
+    Skew-safe: a branch with a third of all facts does not land in one task."""
+    return skew_safe_left_join(branches, facts, branch_key, fact_key)

@@ -145,3 +145,95 @@ def raw_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = conv.selectExpr(*[f"{v} AS {k}" for k, v in inputs.conversation_price_exprs("spark").items()])
     rows = models.raw_price_rows(items, F.col("store_name"), "dulce_de_leche", F.col("scraped_at"))
     return rows.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
+
+
+# ----------------------------------------------------- flatten / numbering ----
+@register("flatten_branches", O.flatten_branches)
+def flatten_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    nested = inputs.nested_branches(spark, sf_dir)
+    flat = models.flatten_branches(nested, "branches_by_province", F.col("fecha"))
+    return flat.withColumn("fecha_extraccion", F.col("fecha_extraccion").cast("timestamp_ntz"))
+
+
+@register("numbered_locations", O.numbered_locations)
+def numbered_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    docs = load(spark, sf_dir, "documents").select("doc_id", F.split(F.col("text"), "\n", -1).alias("lines"))
+    return models.number_locations(docs, "lines", ["doc_id"], F.lit(None).cast("timestamp")).drop(
+        "fecha_extraccion")
+
+
+# ------------------------------------------------------------------ pages ----
+@register("card_filter", O.card_filter)
+def card_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from ..operators import pages
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = docs.select("doc_id", F.posexplode(F.split(F.col("text"), "\n", -1)).alias("pos", "card"))
+    return lines.where(pages.valid_card(F.col("card"))).select(
+        "doc_id", F.col("pos").cast("bigint").alias("pos"), "card")
+
+
+@register("page_frontier", O.page_frontier)
+def page_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import pages
+    return pages.page_frontier(load(spark, sf_dir, "pages").select("page_id", "url"), "url", 3, ["page_id"])
+
+
+@register("article_cards", O.article_cards)
+def article_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from ..operators import pages
+    el = pages.extract_tag_native(load(spark, sf_dir, "pages").select("page_id", "html"), "article")
+    return el.select("page_id", "pos", "text", pages.valid_card(F.col("text")).alias("is_card"))
+
+
+@register("list_items", O.list_items)
+def list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import pages
+    el = pages.extract_tag_native(load(spark, sf_dir, "pages").select("page_id", "html"), "li")
+    return el.select("page_id", "pos", "text")
+
+
+# ---------------------------------------------------------------- options ----
+@register("option_group", O.option_group)
+def option_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import options
+    return options.clean_options(options.pick_option_group(inputs.option_rows(spark, sf_dir)))
+
+
+@register("option_second_group", O.option_second_group)
+def option_second_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import options
+    return options.clean_options(options.nth_option_group(inputs.option_rows(spark, sf_dir), 1),
+                                 placeholder="provincia", case_insensitive=True)
+
+
+# ------------------------------------------------------------------ spine ----
+def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from ..operators import joins
+    nat = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    ords = load(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderkey",
+        F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("raw_item"))
+    branches = joins.province_spine(nat, cust, "n_nationkey", "c_nationkey")
+    spine = joins.branch_spine(branches, ords, "c_custkey", "o_custkey")
+    return spine.select(F.col("n_name").alias("provincia"), F.col("c_custkey").cast("string").alias("sucursal_id"),
+                        F.col("c_name").alias("nombre"), "o_orderkey", "raw_item")
+
+
+@register("branch_spine", O.branch_spine)
+def branch_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spine(spark, sf_dir)
+
+
+@register("not_null_audit", O.not_null_audit)
+def not_null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.not_null_audit(_spine(spark, sf_dir),
+                                  ["provincia", "sucursal_id", "nombre", "o_orderkey", "raw_item"])

@@ -202,3 +202,62 @@ def part_slice_exprs(store: str) -> dict[str, str]:
 
 PART_SLICES = [("CARREFOUR", "p_partkey % 3 = 0"), ("JUMBO", "p_partkey % 3 = 1"),
                ("VEA", "p_partkey % 3 = 2")]
+
+
+# ------------------------------------------------------------ nested doc ----
+def nested_branch_exprs(engine: str) -> dict[str, str]:
+    """Per branch ``i`` of customer ``c_custkey`` (1 to 3 branches each)."""
+    i, k = "i", "c_custkey"
+    raw = [f"'Calle ' || {_s(i)}", f"'Tel ' || {_s(k)}", "'Ñandú \"x\"'"]
+    return {
+        "id": f"CASE WHEN {k} % 11 = 0 AND {i} = 0 THEN NULL ELSE {_s(k)} || '-' || {_s(i)} END",
+        "nombre": f"CASE WHEN ({k} + {i}) % 13 = 0 THEN NULL ELSE c_name || ' #' || {_s(i)} END",
+        "provincia": "n_name",
+        "raw_data_cond": f"({k} + {i}) % 4 = 0",
+        "raw_items": ", ".join(raw),
+        "fecha": ts_expr(engine, f"{k} * 1000001"),
+    }
+
+
+def nested_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer -> one nested document per customer: ``map(province ->
+    array<branch struct>)`` with 1-3 branches and some missing keys."""
+    e = nested_branch_exprs("spark")
+    cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nat = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = cust.join(nat, cust.c_nationkey == nat.n_nationkey, "inner")
+    branch = (f"named_struct('id', {e['id']}, 'nombre', {e['nombre']}, 'provincia', {e['provincia']}, "
+              f"'raw_data', CASE WHEN {e['raw_data_cond']} THEN NULL ELSE array({e['raw_items']}) END)")
+    return j.selectExpr("c_custkey", f"{e['fecha']} AS fecha",
+                        f"map(n_name, transform(sequence(CAST(0 AS BIGINT), c_custkey % 3), i -> {branch})) "
+                        f"AS branches_by_province")
+
+
+# --------------------------------------------------------------- options ----
+OPTION_SEGMENT = "AUTOMOBILE"
+
+
+def options_sql() -> str:
+    return f"""
+SELECT n_regionkey AS page_id, n_nationkey AS select_idx, c_custkey AS pos,
+       CAST(c_custkey AS STRING) AS codigo, c_name AS nombre
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment = '{OPTION_SEGMENT}'
+UNION ALL SELECT n_regionkey, n_nationkey, CAST(-1 AS BIGINT), 'Provincia', 'Provincia' FROM nation
+UNION ALL SELECT n_regionkey, n_nationkey, CAST(-2 AS BIGINT), 'provincia', ' provincia ' FROM nation
+          WHERE n_nationkey % 2 = 0"""
+
+
+def option_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    nat = load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    opts = cust.where(F.col("c_mktsegment") == OPTION_SEGMENT).join(
+        nat, cust.c_nationkey == nat.n_nationkey).selectExpr(
+        "n_regionkey AS page_id", "n_nationkey AS select_idx", "c_custkey AS pos",
+        "CAST(c_custkey AS STRING) AS codigo", "c_name AS nombre")
+    ph = nat.selectExpr("n_regionkey AS page_id", "n_nationkey AS select_idx", "CAST(-1 AS BIGINT) AS pos",
+                        "'Provincia' AS codigo", "'Provincia' AS nombre")
+    ph2 = nat.where(F.col("n_nationkey") % 2 == 0).selectExpr(
+        "n_regionkey AS page_id", "n_nationkey AS select_idx", "CAST(-2 AS BIGINT) AS pos",
+        "'provincia' AS codigo", "' provincia ' AS nombre")
+    return opts.unionByName(ph).unionByName(ph2)

@@ -231,3 +231,116 @@ WITH items AS (SELECT {e['item']} AS item, {e['store_name']} AS store_name, {e['
 SELECT CAST(to_json(item) AS VARCHAR) AS raw_data, CAST(scraped_at AS DATE) AS scraped_date,
        scraped_at AS scraped_datetime, store_name, 'dulce_de_leche' AS category
 FROM items"""
+
+
+# ---------------------------------------------------- flatten / numbering ----
+def flatten_branches() -> str:
+    e = inputs.nested_branch_exprs("duckdb")
+    items = f"[{e['raw_items']}]"
+    return f"""
+WITH b AS (SELECT c_custkey, c_name, n_name, unnest(range(0, c_custkey % 3 + 1)) AS i
+           FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT coalesce({e['id']}, '') AS sucursal_id,
+       coalesce({e['nombre']}, '') AS nombre,
+       n_name AS provincia,
+       CASE WHEN {e['raw_data_cond']} THEN '[]'
+            ELSE '[' || array_to_string(list_transform({items}, lambda x: CAST(to_json(x) AS VARCHAR)), ', ') || ']'
+       END AS raw_data,
+       {e['fecha']} AS fecha_extraccion,
+       '{P.SOURCE_BRANCHES}' AS fuente
+FROM b"""
+
+
+def _doc_lines() -> str:
+    return ("SELECT doc_id, CAST(generate_subscripts(arr, 1) - 1 AS BIGINT) AS pos, unnest(arr) AS line "
+            "FROM (SELECT doc_id, string_split(text, chr(10)) AS arr FROM documents)")
+
+
+def numbered_locations() -> str:
+    return f"""SELECT doc_id, pos + 1 AS id, line AS ubicacion_texto, '{P.SOURCE_STORE_TEXT}' AS fuente
+FROM ({_doc_lines()})"""
+
+
+# ------------------------------------------------------------------ pages ----
+def card_filter() -> str:
+    return f"""SELECT doc_id, pos, line AS card FROM ({_doc_lines()})
+WHERE contains(line, '$') AND length({trim_('line')}) > {P.CARD_MIN_LEN}"""
+
+
+def page_frontier() -> str:
+    return """
+WITH f AS (SELECT page_id, url AS base_url, unnest(range(1, 4)) AS page FROM pages)
+SELECT page_id, base_url, CAST(page AS BIGINT) AS page,
+       CASE WHEN contains(base_url, '?') THEN base_url || '&page=' || CAST(page AS STRING)
+            ELSE base_url || '?page=' || CAST(page AS STRING) END AS page_url
+FROM f"""
+
+
+def flat_text(x: str) -> str:
+    x = f"regexp_replace({x}, '(?is)<script\\b.*?</script\\s*>', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?is)<style\\b.*?</style\\s*>', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
+    x = f"regexp_replace({x}, '<[^>]*>', ' ', 'g')"
+    for ent, ch in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+                    ("&amp;", "&")]:
+        x = f"replace({x}, {_q(ent)}, {_q(ch)})"
+    x = f"regexp_replace({x}, '\\s+', ' ', 'g')"
+    return f"regexp_replace({x}, '^ | $', '', 'g')"
+
+
+def _tag_elements(tag: str) -> str:
+    pat = f"(?is)<{tag}\\b[^>]*>(.*?)</{tag}\\s*>"
+    return (f"SELECT page_id, CAST(generate_subscripts(arr, 1) - 1 AS BIGINT) AS pos, unnest(arr) AS inner_html "
+            f"FROM (SELECT page_id, regexp_extract_all(html, {_q(pat)}, 1) AS arr FROM pages)")
+
+
+def article_cards() -> str:
+    return f"""WITH el AS (SELECT page_id, pos, {flat_text('inner_html')} AS text FROM ({_tag_elements('article')}))
+SELECT page_id, pos, text, contains(text, '$') AND length({trim_('text')}) > {P.CARD_MIN_LEN} AS is_card FROM el"""
+
+
+def list_items() -> str:
+    return f"SELECT page_id, pos, {flat_text('inner_html')} AS text FROM ({_tag_elements('li')})"
+
+
+# ---------------------------------------------------------------- options ----
+def option_group() -> str:
+    return f"""
+WITH opts AS ({inputs.options_sql()}),
+cnt AS (SELECT page_id, select_idx, count(*) AS n FROM opts GROUP BY page_id, select_idx),
+chosen AS (SELECT page_id, min(select_idx) AS select_idx FROM cnt WHERE n > {P.OPTION_GROUP_MIN} GROUP BY page_id)
+SELECT o.page_id, o.select_idx, o.pos, {trim_('o.codigo')} AS codigo, {trim_('o.nombre')} AS nombre
+FROM opts o
+WHERE EXISTS (SELECT 1 FROM chosen c WHERE c.page_id = o.page_id AND c.select_idx = o.select_idx)
+  AND o.codigo IS NOT NULL AND o.codigo <> '' AND o.nombre IS NOT NULL AND o.nombre <> ''
+  AND o.codigo <> 'Provincia'"""
+
+
+def option_second_group() -> str:
+    return f"""
+WITH opts AS ({inputs.options_sql()}),
+g AS (SELECT DISTINCT page_id, select_idx FROM opts),
+r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY select_idx) - 1 AS rk FROM g)
+SELECT o.page_id, o.select_idx, o.pos, {trim_('o.codigo')} AS codigo, {trim_('o.nombre')} AS nombre
+FROM opts o
+WHERE EXISTS (SELECT 1 FROM r WHERE r.rk = 1 AND r.page_id = o.page_id AND r.select_idx = o.select_idx)
+  AND o.codigo IS NOT NULL AND o.codigo <> '' AND o.nombre IS NOT NULL AND o.nombre <> ''
+  AND lower(o.codigo) <> 'provincia'"""
+
+
+# ------------------------------------------------------------------ spine ----
+def _spine() -> str:
+    return """SELECT n_name AS provincia, CAST(c_custkey AS STRING) AS sucursal_id, c_name AS nombre,
+       o_orderkey, concat_ws(' ', o_orderstatus, o_orderpriority) AS raw_item
+FROM nation JOIN customer ON n_nationkey = c_nationkey LEFT JOIN orders ON c_custkey = o_custkey"""
+
+
+def branch_spine() -> str:
+    return _spine()
+
+
+def not_null_audit() -> str:
+    cols = ["provincia", "sucursal_id", "nombre", "o_orderkey", "raw_item"]
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_rows FROM s" for c in cols)
+    return f"WITH s AS ({_spine()}) {parts}"
