@@ -98,3 +98,135 @@ def extract_tag_native(pages: DataFrame, tag: str, selector_idx: int = 0) -> Dat
     return pages.select("page_id", F.posexplode(frag).alias("pos", "_inner")).select(
         "page_id", F.lit(selector_idx).alias("selector_idx"), F.col("pos").cast("bigint").alias("pos"),
         flat_text(F.col("_inner")).alias("text"))
+
+
+# --------------------------------------------------------- general path ----
+# The HTML helper is pickled by value so executors need no installed copy.
+def _html_module():
+    from pyspark import cloudpickle
+
+    from ..sources import html as H
+    try:
+        cloudpickle.register_pickle_by_value(H)
+    except Exception:  # noqa: BLE001 - already registered
+        pass
+    return H
+
+
+ELEMENT_SCHEMA = "page_id bigint, selector_idx int, pos int, text string"
+
+
+def extract_elements(pages: DataFrame, selectors: list[str], text_mode: str = "inner") -> DataFrame:
+    """H1: elements per selector in document order, ``(page_id,
+    selector_idx, pos, text)``.  Narrow: each page is parsed once in the task
+    that holds it (Arrow batches in and out)."""
+    H = _html_module()
+    sels = list(selectors)
+    fn_text = text_mode
+
+    def run(batches):
+        import pandas as pd
+        compiled = [H.compile_selector(s) for s in sels]
+        to_text = H.TEXT_MODES[fn_text]
+        for pdf in batches:
+            out = {"page_id": [], "selector_idx": [], "pos": [], "text": []}
+            for pid, html in zip(pdf["page_id"], pdf["html"]):
+                order = H.parse(html)
+                for si, match in enumerate(compiled):
+                    for pos, node in enumerate(match(order)):
+                        out["page_id"].append(int(pid))
+                        out["selector_idx"].append(si)
+                        out["pos"].append(pos)
+                        out["text"].append(to_text(node))
+            yield pd.DataFrame(out).astype({"page_id": "int64", "selector_idx": "int32", "pos": "int32"})
+
+    return pages.select("page_id", "html").mapInPandas(run, ELEMENT_SCHEMA)
+
+
+def extract_primary(pages: DataFrame, selectors: list[str]) -> DataFrame:
+    """H2: cards come from the first selector only."""
+    return extract_elements(pages, selectors[:1]).where(F.col("selector_idx") == 0)
+
+
+def extract_store_list(pages: DataFrame, list_classes: str = P.STORE_LIST_CLASSES,
+                       item_class: str = P.STORE_ITEM_CLASS) -> DataFrame:
+    """H3: if the container class string occurs in the page, the stripped
+    texts of ``ul.<classes> li.<item>`` in order; else nothing."""
+    guarded = pages.where(F.col("html").contains(list_classes))
+    sel = "ul." + ".".join(list_classes.split()) + " li." + item_class
+    return extract_elements(guarded, [sel]).select("page_id", "pos", ustrip(F.col("text")).alias("text"))
+
+
+def card_rows(pages: DataFrame, selectors: list[str]) -> DataFrame:
+    """H2 + P1: valid cards of the primary selector, in page order."""
+    return extract_primary(pages, selectors).where(valid_card(F.col("text")))
+
+
+def extract_options(pages: DataFrame) -> DataFrame:
+    """H4: every ``<option>`` of every ``<select>``: value attribute and raw
+    text, ``(page_id, select_idx, pos, codigo, nombre)``."""
+    H = _html_module()
+
+    def run(batches):
+        import pandas as pd
+        for pdf in batches:
+            out = {"page_id": [], "select_idx": [], "pos": [], "codigo": [], "nombre": []}
+            for pid, html in zip(pdf["page_id"], pdf["html"]):
+                order = H.parse(html)
+                selects = [n for n in order if n.tag == "select"]
+                for si, sel in enumerate(selects):
+                    opts = [n for n in H.parse_subtree(sel) if n.tag == "option"]
+                    for pos, o in enumerate(opts):
+                        out["page_id"].append(int(pid))
+                        out["select_idx"].append(si)
+                        out["pos"].append(pos)
+                        out["codigo"].append(o.attrs.get("value"))
+                        out["nombre"].append(H.text_content(o))
+            yield pd.DataFrame(out).astype({"page_id": "int64", "select_idx": "int32", "pos": "int32"})
+
+    return pages.select("page_id", "html").mapInPandas(
+        run, "page_id bigint, select_idx int, pos int, codigo string, nombre string")
+
+
+def extract_branch_facts(pages: DataFrame) -> DataFrame:
+    """H5: ``raw_data`` per page: stripped non-blank texts of ``ul li p``,
+    then ``EXTRA: `` + texts of the extra-info blocks, order kept.  Built per
+    page inside the task: no shuffle, no collect."""
+    H = _html_module()
+    fact_sel, extra_sel, prefix = P.BRANCH_FACT_SELECTOR, P.BRANCH_EXTRA_SELECTOR, P.EXTRA_PREFIX
+
+    def run(batches):
+        import pandas as pd
+        facts_m, extra_m = H.compile_selector(fact_sel), H.compile_selector(extra_sel)
+        for pdf in batches:
+            ids, arrays = [], []
+            for pid, html in zip(pdf["page_id"], pdf["html"]):
+                order = H.parse(html)
+                items = [t.strip() for t in (H.text_content(n) for n in facts_m(order)) if t and t.strip()]
+                items += [prefix + t.strip() for t in (H.text_content(n) for n in extra_m(order))
+                          if t and t.strip()]
+                ids.append(int(pid))
+                arrays.append(items)
+            yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"), "raw_data": arrays})
+
+    return pages.select("page_id", "html").mapInPandas(run, "page_id bigint, raw_data array<string>")
+
+
+def no_results_marker(pages: DataFrame, selectors: list[str]) -> DataFrame:
+    """H6 (diagnostic only): first no-results selector present on the page."""
+    H = _html_module()
+    sels = list(selectors)
+
+    def run(batches):
+        import pandas as pd
+        compiled = [H.compile_selector(s) for s in sels]
+        for pdf in batches:
+            ids, marks = [], []
+            for pid, html in zip(pdf["page_id"], pdf["html"]):
+                order = H.parse(html)
+                hit = next((s for s, m in zip(sels, compiled) if m(order)), None)
+                ids.append(int(pid))
+                marks.append(hit)
+            yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"), "marker": marks})
+
+    return pages.select("page_id", "html").mapInPandas(run, "page_id bigint, marker string")

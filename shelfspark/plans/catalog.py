@@ -237,3 +237,51 @@ def branch_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def not_null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.not_null_audit(_spine(spark, sf_dir),
                                   ["provincia", "sucursal_id", "nombre", "o_orderkey", "raw_item"])
+
+
+@register("page_verdict", O.page_verdict)
+def page_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import pages
+    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    el = pages.extract_tag_native(pg, "article", 0).unionByName(pages.extract_tag_native(pg, "p", 1))
+    return pages.page_verdict(pg, pages.page_evidence(el))
+
+
+CSS_SELECTORS = ["article", "ul li a", "div.ad", 'a[href*="the"]', "article p, h1", "footer"]
+
+
+@register("css_elements", None)
+def css_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import pages
+    return pages.extract_elements(load(spark, sf_dir, "pages"), CSS_SELECTORS)
+
+
+@register("page_verdict_css", None)
+def page_verdict_css(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carrefour's product selectors over the stored pages (general path),
+    the verdict, and the no-results marker as a diagnostic column."""
+    from ..functions.patterns import CHAIN_CONFIGS
+    from ..operators import pages
+    product_sels, no_results, *_ = CHAIN_CONFIGS["CARREFOUR"]
+    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    verdict = pages.page_verdict(pg, pages.page_evidence(pages.extract_elements(pg, product_sels)))
+    return verdict.join(pages.no_results_marker(pg, no_results), "page_id", "left")
+
+
+@register("branch_facts_pages", None)
+def branch_facts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H5 -> raw branches -> M2: branch detail pages straight to the model."""
+    from pyspark.sql import functions as F
+
+    from ..functions.text import json_array_text
+    from ..operators import pages
+    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    facts = pages.extract_branch_facts(pg)
+    raw = pg.select("page_id", "url").join(facts, "page_id").select(
+        F.col("page_id").cast("string").alias("sucursal_id"),
+        F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("nombre"),
+        F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1).alias("provincia"),
+        json_array_text(F.col("raw_data")).alias("raw_data"),
+        F.timestamp_micros(F.lit(inputs.BASE_MICROS) + F.col("page_id") * 1000).alias("fecha_extraccion"),
+        F.lit("pages").alias("fuente"))
+    return models.parse_branch_json(raw)

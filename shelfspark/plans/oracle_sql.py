@@ -344,3 +344,22 @@ def not_null_audit() -> str:
     parts = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_rows FROM s" for c in cols)
     return f"WITH s AS ({_spine()}) {parts}"
+
+
+def _url_invalid(x: str) -> str:
+    return "(" + " OR ".join(f"contains(lower({x}), {_q(m)})" for m in P.INVALID_URL_MARKERS) + ")"
+
+
+def page_verdict() -> str:
+    return f"""
+WITH el AS (
+  SELECT page_id, pos, {flat_text('inner_html')} AS text FROM ({_tag_elements('article')})
+  UNION ALL
+  SELECT page_id, pos, {flat_text('inner_html')} AS text FROM ({_tag_elements('p')})),
+ev AS (SELECT page_id,
+              CAST(count_if(contains(text, '$') AND length({trim_('text')}) > {P.EVIDENCE_MIN_LEN}) AS BIGINT) AS evidence
+       FROM el WHERE pos < {P.EVIDENCE_FIRST_N} GROUP BY page_id)
+SELECT p.page_id, p.url, CAST(coalesce(ev.evidence, 0) AS BIGINT) AS evidence,
+       {_url_invalid('p.url')} AS url_invalid,
+       coalesce(ev.evidence, 0) > 0 AND NOT {_url_invalid('p.url')} AS has_products
+FROM pages p LEFT JOIN ev USING (page_id)"""

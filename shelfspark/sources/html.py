@@ -1,0 +1,234 @@
+"""Per-page HTML helper for the extraction jobs (H1-H6).
+
+The reference runs CSS selectors in a live browser.  Here the stored HTML is
+parsed inside Spark tasks (``mapInPandas``, Arrow batches, one page at a time)
+with the standard-library ``html.parser``.  Only what the reference's
+selectors need is supported:
+
+* compound selectors ``tag``, ``.class``, ``tag.class.other``, ``[attr]``,
+  ``[attr="v"]``, ``[attr*="v"]``; descendant combinator (space); comma lists;
+* text selectors ``text="..."`` (element whose own text is exactly that).
+
+Two text conventions are offered, as in the reference: ``inner`` mimics
+rendered text (line breaks at blocks, script/style dropped, spaces collapsed)
+and ``content`` is the raw concatenated text of all descendants.
+"""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
+        "track", "wbr"}
+BLOCK = {"address", "article", "aside", "blockquote", "dd", "div", "dl", "dt", "fieldset", "figcaption",
+         "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main",
+         "nav", "ol", "p", "pre", "section", "table", "tr", "ul", "select", "option", "body", "html"}
+CLOSES_P = BLOCK - {"li", "option", "body", "html", "select", "tr"}
+HIDDEN = {"script", "style", "head", "title", "template", "noscript"}
+
+
+class Node:
+    __slots__ = ("tag", "attrs", "parent", "children")
+
+    def __init__(self, tag, attrs, parent):
+        self.tag = tag
+        self.attrs = attrs
+        self.parent = parent
+        self.children = []  # Node or str, in document order
+
+    @property
+    def classes(self):
+        return (self.attrs.get("class") or "").split()
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = Node("#root", {}, None)
+        self.stack = [self.root]
+        self.order = []  # elements in document (pre-)order
+
+    def _open(self, tag, attrs):
+        parent = self.stack[-1]
+        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, parent)
+        parent.children.append(node)
+        self.order.append(node)
+        return node
+
+    def _close_to(self, tag):
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag == tag:
+                del self.stack[i:]
+                return
+
+    def handle_starttag(self, tag, attrs):
+        top = self.stack[-1].tag
+        if tag in CLOSES_P and any(n.tag == "p" for n in self.stack[1:]):
+            self._close_to("p")
+        elif tag == "li" and top == "li" or tag == "option" and top == "option":
+            self.stack.pop()
+        node = self._open(tag, attrs)
+        if tag not in VOID:
+            self.stack.append(node)
+
+    def handle_startendtag(self, tag, attrs):
+        self._open(tag, attrs)
+
+    def handle_endtag(self, tag):
+        if tag == "p" and not any(n.tag == "p" for n in self.stack[1:]):
+            self._open("p", [])  # a stray </p> creates an empty paragraph
+            return
+        self._close_to(tag)
+
+    def handle_data(self, data):
+        self.stack[-1].children.append(data)
+
+
+def parse(html: str) -> list[Node]:
+    b = _Builder()
+    try:
+        b.feed(html or "")
+        b.close()
+    except Exception:  # noqa: BLE001 - malformed markup: keep what was parsed
+        pass
+    return b.order
+
+
+# ------------------------------------------------------------- selectors ----
+_ATTR = re.compile(r'\[\s*([\w-]+)\s*(?:([*^$]?=)\s*"([^"]*)")?\s*\]')
+_TEXT = re.compile(r'^text\s*=\s*"(.*)"$')
+
+
+def _split_top(s: str, sep: str) -> list[str]:
+    out, depth, quote, cur = [], 0, None, []
+    for ch in s:
+        if quote:
+            quote = None if ch == quote else quote
+        elif ch in "\"'":
+            quote = ch
+        elif ch == "[":
+            depth += 1
+        elif ch == "]":
+            depth -= 1
+        elif depth == 0 and (ch == sep or (sep == " " and ch.isspace())):
+            out.append("".join(cur))
+            cur = []
+            continue
+        cur.append(ch)
+    out.append("".join(cur))
+    return [x.strip() for x in out if x.strip()]
+
+
+def _compile_compound(part: str):
+    attrs = [(m.group(1), m.group(2), m.group(3)) for m in _ATTR.finditer(part)]
+    rest = _ATTR.sub("", part)
+    m = re.match(r"^([a-zA-Z][\w-]*|\*)?((?:\.[\w-]+)*)$", rest)
+    if not m:
+        raise ValueError(f"unsupported selector part: {part!r}")
+    tag = (m.group(1) or "").lower()
+    classes = [c for c in m.group(2).split(".") if c]
+
+    def ok(n: Node) -> bool:
+        if tag and tag != "*" and n.tag != tag:
+            return False
+        if classes:
+            have = n.classes
+            if any(c not in have for c in classes):
+                return False
+        for name, op, val in attrs:
+            if name not in n.attrs:
+                return False
+            v = n.attrs[name]
+            if (op == "=" and v != val) or (op == "*=" and val not in v) or \
+               (op == "^=" and not v.startswith(val)) or (op == "$=" and not v.endswith(val)):
+                return False
+        return True
+    return ok
+
+
+def compile_selector(selector: str):
+    """Return ``match(order) -> list[Node]`` in document order."""
+    alts = []
+    for group in _split_top(selector, ","):
+        t = _TEXT.match(group)
+        if t:
+            alts.append(("text", t.group(1)))
+        else:
+            alts.append(("css", [_compile_compound(p) for p in _split_top(group, " ")]))
+
+    def matches(n: Node) -> bool:
+        for kind, spec in alts:
+            if kind == "text":
+                if own_text(n).strip() == spec:
+                    return True
+                continue
+            if not spec[-1](n):
+                continue
+            i, anc = len(spec) - 2, n.parent
+            while i >= 0 and anc is not None:
+                if anc.tag != "#root" and spec[i](anc):
+                    i -= 1
+                anc = anc.parent
+            if i < 0:
+                return True
+        return False
+
+    return lambda order: [n for n in order if matches(n)]
+
+
+# ------------------------------------------------------------------ text ----
+def own_text(n: Node) -> str:
+    return "".join(c for c in n.children if isinstance(c, str))
+
+
+def text_content(n: Node) -> str:
+    out = []
+    stack = [n]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            out.append(x)
+        else:
+            stack.extend(reversed(x.children))
+    return "".join(out)
+
+
+_SPACES = re.compile(r"[ \t\n\r\f]+")
+
+
+def inner_text(n: Node) -> str:
+    parts: list[str] = []
+    stack: list = list(reversed(n.children))  # iterative: no recursion limit
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            parts.append(_SPACES.sub(" ", x))
+            continue
+        if x.tag in HIDDEN:
+            continue
+        if x.tag == "br":
+            parts.append("\n")
+            continue
+        brk = "\n\n" if x.tag == "p" else ("\n" if x.tag in BLOCK else "")
+        if brk:
+            parts.append(brk)
+            stack.append(brk)  # closing break, emitted after the children
+        stack.extend(reversed(x.children))
+    text = "".join(parts)
+    text = re.sub(r" *\n *", "\n", text)
+    text = re.sub(r"\n{3,}", "\n\n", text)
+    return text.strip("\n ")
+
+
+TEXT_MODES = {"inner": inner_text, "content": text_content}
+
+
+def parse_subtree(n: Node) -> list[Node]:
+    """Descendants of ``n`` in document order."""
+    out, stack = [], list(reversed([c for c in n.children if isinstance(c, Node)]))
+    while stack:
+        x = stack.pop()
+        out.append(x)
+        stack.extend(reversed([c for c in x.children if isinstance(c, Node)]))
+    return out
