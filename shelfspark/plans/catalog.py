@@ -285,3 +285,100 @@ def branch_facts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_micros(F.lit(inputs.BASE_MICROS) + F.col("page_id") * 1000).alias("fecha_extraccion"),
         F.lit("pages").alias("fuente"))
     return models.parse_branch_json(raw)
+
+
+# ------------------------------------------------------------------ sinks ----
+RAW_PRICE_SCHEMA = ("raw_data string, scraped_date date, scraped_datetime timestamp, store_name string, "
+                    "category string")
+
+
+def _raw_price_rows_ltz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    items = conv.selectExpr(*[f"{v} AS {k}" for k, v in inputs.conversation_price_exprs("spark").items()])
+    return models.raw_price_rows(items, F.col("store_name"), "dulce_de_leche", F.col("scraped_at"))
+
+
+@register("price_append", O.price_append)
+def price_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: the same run appended twice doubles the rows (no dedup)."""
+    from pyspark.sql import functions as F
+
+    from ..session import shared_dir
+    from ..sinks import writers
+    path = shared_dir(spark, "tables", "raw_prices")
+    rows = _raw_price_rows_ltz(spark, sf_dir)
+    writers.append_prices(rows, path)
+    writers.append_prices(rows, path)
+    back = spark.read.schema(RAW_PRICE_SCHEMA).parquet(path)
+    return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
+
+
+@register("snapshot_replace", O.snapshot_replace)
+def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: replaced twice, then an empty refresh that the guard ignores."""
+    from pyspark.sql import functions as F
+
+    from ..session import shared_dir
+    from ..sinks import writers
+    path = shared_dir(spark, "tables", "raw_store_text")
+    snap = inputs.raw_store_text(spark, sf_dir)
+    writers.replace_snapshot(snap, path)
+    writers.replace_snapshot(snap, path)
+    writers.replace_snapshot(snap.where(F.lit(False)), path)
+    back = spark.read.parquet(path)
+    return back.withColumn("fecha_extraccion", F.col("fecha_extraccion").cast("timestamp_ntz"))
+
+
+@register("surrogate_ids", O.surrogate_ids)
+def surrogate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: a seed batch (parts) appended twice gets ids 1..n, n+1..2n."""
+    from pyspark.sql import functions as F
+
+    from ..session import shared_dir
+    from ..sinks import writers
+    path = shared_dir(spark, "tables", "seed_rows")
+    batch = load(spark, sf_dir, "part").select(
+        "p_partkey", F.col("p_name").alias("nombre"),
+        F.concat(F.lit("Descripción de "), F.col("p_name")).alias("descripcion"))
+    ts = F.timestamp_micros(F.lit(inputs.BASE_MICROS))
+    writers.append_with_surrogate_id(batch, path, ["p_partkey"], load_ts=ts)
+    writers.append_with_surrogate_id(batch, path, ["p_partkey"], load_ts=ts)
+    return spark.read.parquet(path).select("id", "p_partkey", "nombre", "descripcion")
+
+
+@register("json_archive", O.json_archive)
+def json_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 + S3: page records archived as JSON under ``<ts>_<name>`` keys,
+    read back with the key taken from the object path."""
+    from pyspark.sql import functions as F
+
+    from ..session import shared_dir
+    from ..sinks import writers
+    root = shared_dir(spark, "archive", "json_data")
+    pg = load(spark, sf_dir, "pages").select("page_id", "url")
+    load_ts = F.timestamp_micros(F.lit(inputs.BASE_MICROS) + F.col("page_id") * 7000000)
+    writers.archive_timestamped(pg.withColumn("object_key", writers.archive_key(load_ts, F.col("url"))), root)
+    # partition discovery decodes the escaped key (``?`` -> ``%3F`` on disk)
+    return spark.read.schema("page_id bigint, url string, object_key string").json(root)
+
+
+@register("stream_ingest", O.stream_ingest)
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes land in two waves; three ``availableNow`` runs; every
+    item is ingested exactly once."""
+    from pyspark.sql import functions as F
+
+    from ..session import shared_dir
+    from ..streaming import ingest
+    base = shared_dir(spark, "stream")
+    landing, table, ckpt = f"{base}/landing", f"{base}/raw_prices", f"{base}/_checkpoint"
+    env = inputs.conversation_envelopes(spark, sf_dir)
+    store = F.regexp_extract(F.col("source_file"), r"store=([^/]+)", 1)
+    env.where(F.col("wave") == 0).drop("wave").write.partitionBy("store").json(f"{landing}")
+    ingest.ingest_new_envelopes(spark, landing, table, ckpt, store)
+    env.where(F.col("wave") == 1).drop("wave").write.mode("append").partitionBy("store").json(f"{landing}")
+    ingest.ingest_new_envelopes(spark, landing, table, ckpt, store)
+    ingest.ingest_new_envelopes(spark, landing, table, ckpt, store)  # nothing new
+    back = spark.read.schema(RAW_PRICE_SCHEMA).parquet(table)
+    return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))

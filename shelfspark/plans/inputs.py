@@ -261,3 +261,30 @@ def option_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_regionkey AS page_id", "n_nationkey AS select_idx", "CAST(-2 AS BIGINT) AS pos",
         "'provincia' AS codigo", "' provincia ' AS nombre")
     return opts.unionByName(ph).unionByName(ph2)
+
+
+# ------------------------------------------------------------- envelopes ----
+ENVELOPE_CHUNK = 8  # items per envelope: a bounded group, never a whole conversation
+
+
+def envelope_ts_sql(engine: str) -> str:
+    return ts_expr(engine, f"conv_id * 3600000000 + CAST(floor(turn / {ENVELOPE_CHUNK}) AS BIGINT) * 1000001")
+
+
+def conversation_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conversations -> scrape envelopes of up to 8 consecutive turns, in
+    two arrival waves; ``store`` is the landing partition."""
+    from pyspark.sql import functions as F
+    conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    chunked = conv.selectExpr("conv_id", "turn", "text", f"CAST(floor(turn / {ENVELOPE_CHUNK}) AS BIGINT) AS chunk",
+                              f"{envelope_ts_sql('spark')} AS ts")
+    env = chunked.groupBy("conv_id", "chunk").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("_s"), F.first("ts").alias("ts"))
+    items = F.transform(F.col("_s"), lambda x: x["text"])
+    return env.select(
+        items.alias("items"),
+        F.size("_s").cast("int").alias("pages_processed"),
+        F.size("_s").cast("int").alias("total_items"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.expr("CASE conv_id % 3 WHEN 0 THEN 'CARREFOUR' WHEN 1 THEN 'JUMBO' ELSE 'VEA' END").alias("store"),
+        (F.col("conv_id") % 2).alias("wave"))

@@ -363,3 +363,39 @@ SELECT p.page_id, p.url, CAST(coalesce(ev.evidence, 0) AS BIGINT) AS evidence,
        {_url_invalid('p.url')} AS url_invalid,
        coalesce(ev.evidence, 0) > 0 AND NOT {_url_invalid('p.url')} AS has_products
 FROM pages p LEFT JOIN ev USING (page_id)"""
+
+
+# ------------------------------------------------------------------ sinks ----
+def price_append() -> str:
+    return f"SELECT * FROM ({raw_price_rows()}) UNION ALL SELECT * FROM ({raw_price_rows()})"
+
+
+def snapshot_replace() -> str:
+    return inputs.raw_store_text_sql()
+
+
+def surrogate_ids() -> str:
+    return """
+WITH b AS (SELECT p_partkey, p_name AS nombre, 'Descripción de ' || p_name AS descripcion,
+                  row_number() OVER (ORDER BY p_partkey) AS rn, count(*) OVER () AS n FROM part)
+SELECT CAST(rn AS BIGINT) AS id, p_partkey, nombre, descripcion FROM b
+UNION ALL
+SELECT CAST(rn + n AS BIGINT), p_partkey, nombre, descripcion FROM b"""
+
+
+def json_archive() -> str:
+    ts = inputs.ts_expr("duckdb", "page_id * 7000000")
+    return f"""SELECT page_id, url, strftime({ts}, '%Y%m%d_%H%M%S') || '_' || string_split(url, '/')[-1] AS object_key
+FROM pages"""
+
+
+def stream_ingest() -> str:
+    return f"""
+WITH items AS (
+  SELECT text AS item,
+         CASE conv_id % 3 WHEN 0 THEN 'CARREFOUR' WHEN 1 THEN 'JUMBO' ELSE 'VEA' END AS store_name,
+         {inputs.envelope_ts_sql('duckdb')} AS scraped_at
+  FROM conversations)
+SELECT CAST(to_json(item) AS VARCHAR) AS raw_data, CAST(scraped_at AS DATE) AS scraped_date,
+       scraped_at AS scraped_datetime, store_name, 'dulce_de_leche' AS category
+FROM items"""
