@@ -53,7 +53,9 @@ def regexp_extract_or_null(c: ColumnOrName, pattern: str, group: int = 1) -> Col
 def json_quote(c: ColumnOrName) -> Column:
     """JSON-encode a string as a JSON string literal (``to_json`` rejects
     bare strings, so encode a one-element array and drop the brackets)."""
-    return F.regexp_replace(F.to_json(F.array(_c(c))), r"^\[|\]$", "")
+    # the inner literal starts with '"' or 'n' and ends with '"' or 'l', so
+    # stripping bracket characters removes exactly the array brackets
+    return F.btrim(F.to_json(F.array(_c(c))), F.lit("[]"))
 
 
 def json_array_text(c: ColumnOrName, sep: str = ", ") -> Column:

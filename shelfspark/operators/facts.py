@@ -24,6 +24,27 @@ def encoded_items(arr: Column) -> Column:
                        lambda x: F.struct(x.alias("v"), json_quote(x).alias("j")))
 
 
+FLAGS = {  # item flag -> (pattern, case-insensitive)
+    "a": (P.ADDRESS_RE, True),      # P8
+    "s": (P.SCHEDULE_RE, True),     # P9
+    "p": (P.PHONE_RE, True),        # P10
+    "t": (P.TIME_RE, False),        # P11
+    "r": (P.TIME_RANGE_RE, False),  # P11
+}
+
+
+def tagged_items(items: Column) -> Column:
+    """Evaluate every classification regex once per item: ``struct(v, a, s,
+    p, t, r)`` with one boolean per predicate (on the JSON text ``j``)."""
+    return F.transform(items, lambda e: F.struct(
+        e["v"].alias("v"),
+        *[e["j"].rlike(java_flags(rx, ci)).alias(k) for k, (rx, ci) in FLAGS.items()]))
+
+
+def flagged(tagged: Column, flag: str) -> Column:
+    return F.filter(tagged, lambda e: e[flag])
+
+
 def matching(items: Column, pattern: str, ignore_case: bool = False) -> Column:
     rx = java_flags(pattern, ignore_case)
     return F.filter(items, lambda e: e["j"].rlike(rx))

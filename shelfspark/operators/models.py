@@ -68,16 +68,17 @@ def parse_branch_json(raw: DataFrame) -> DataFrame:
         F.col("fecha_extraccion"),
         F.col("fuente"),
     )
-    parsed = parsed.select("*", facts.encoded_items(F.col("_arr")).alias("_items"))
-    items = F.col("_items")
+    parsed = parsed.select("*", facts.tagged_items(facts.encoded_items(F.col("_arr"))).alias("_tagged"))
+    t = F.col("_tagged")
+    addr = facts.flagged(t, "a")
     extracted = parsed.select(
         "sucursal_id", "nombre_sucursal", "provincia",
-        facts.joined_matches(facts.is_address(items)).alias("direcciones_encontradas"),
-        facts.joined_matches(facts.is_schedule(items)).alias("horarios_encontrados"),
-        facts.joined_matches(facts.is_phone(items)).alias("telefonos_encontrados"),
-        facts.first_match(facts.is_address(items)).alias("direccion_principal"),
-        facts.opening_hour(items).alias("hora_apertura"),
-        facts.closing_hour(items).alias("hora_cierre"),
+        facts.joined_matches(addr).alias("direcciones_encontradas"),
+        facts.joined_matches(facts.flagged(t, "s")).alias("horarios_encontrados"),
+        facts.joined_matches(facts.flagged(t, "p")).alias("telefonos_encontrados"),
+        facts.first_match(addr).alias("direccion_principal"),
+        regexp_extract_or_null(facts.first_match(facts.flagged(t, "t")), P.OPEN_EXTRACT_RE).alias("hora_apertura"),
+        regexp_extract_or_null(facts.first_match(facts.flagged(t, "r")), P.CLOSE_EXTRACT_RE).alias("hora_cierre"),
         facts.item_count(F.col("_arr")).alias("cantidad_datos_crudos"),
         "fecha_extraccion", "fuente",
     )

@@ -357,10 +357,11 @@ def json_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sinks import writers
     root = shared_dir(spark, "archive", "json_data")
     pg = load(spark, sf_dir, "pages").select("page_id", "url")
-    load_ts = F.timestamp_micros(F.lit(inputs.BASE_MICROS) + F.col("page_id") * 7000000)
-    writers.archive_timestamped(pg.withColumn("object_key", writers.archive_key(load_ts, F.col("url"))), root)
-    # partition discovery decodes the escaped key (``?`` -> ``%3F`` on disk)
-    return spark.read.schema("page_id bigint, url string, object_key string").json(root)
+    # hourly load runs of 100 pages each
+    load_ts = F.timestamp_micros(F.lit(inputs.BASE_MICROS) + F.floor(F.col("page_id") / 100) * 3600000000)
+    writers.archive_timestamped(pg, root, load_ts, F.col("url"))
+    return writers.archived_objects(spark, root, "page_id bigint, url string").select(
+        "page_id", "url", "object_key")
 
 
 @register("stream_ingest", O.stream_ingest)

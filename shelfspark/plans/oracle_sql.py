@@ -384,7 +384,7 @@ SELECT CAST(rn + n AS BIGINT), p_partkey, nombre, descripcion FROM b"""
 
 
 def json_archive() -> str:
-    ts = inputs.ts_expr("duckdb", "page_id * 7000000")
+    ts = inputs.ts_expr("duckdb", "CAST(floor(page_id / 100) AS BIGINT) * 3600000000")
     return f"""SELECT page_id, url, strftime({ts}, '%Y%m%d_%H%M%S') || '_' || string_split(url, '/')[-1] AS object_key
 FROM pages"""
 

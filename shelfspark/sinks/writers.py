@@ -58,10 +58,21 @@ def archive_key(load_ts: Column, source_url: Column) -> Column:
     return F.concat(key_timestamp(load_ts), F.lit("_"), last_path_segment(source_url))
 
 
-def archive_timestamped(df: DataFrame, root: str, key_col: str = "object_key") -> None:
-    """K5: JSON objects under ``root/object_key=<ts>_<name>``; append only,
-    never overwritten."""
-    df.write.mode("append").partitionBy(key_col).json(root)
+def archive_timestamped(df: DataFrame, root: str, load_ts: Column, source_url: Column) -> None:
+    """K5: JSON records under ``root/load_key=<yyyymmdd_hhmmss>/``, append
+    only, never overwritten.  One directory per load run (not per object:
+    a directory per record would put millions of tiny files on the store);
+    each record keeps ``source_name`` (last URL segment), so the object key
+    ``<load_key>_<source_name>`` is recovered on read (``archived_objects``)."""
+    (df.withColumn("load_key", key_timestamp(load_ts))
+       .withColumn("source_name", last_path_segment(source_url))
+       .write.mode("append").partitionBy("load_key").json(root))
+
+
+def archived_objects(spark, root: str, schema: str) -> DataFrame:
+    """Read an archive back; ``object_key`` = ``<load_key>_<source_name>``."""
+    back = spark.read.schema(f"{schema}, source_name string, load_key string").json(root)
+    return back.withColumn("object_key", F.concat(F.col("load_key"), F.lit("_"), F.col("source_name")))
 
 
 def create_or_replace(df: DataFrame, table: str) -> None:
