@@ -25,7 +25,7 @@ def read_envelopes(spark: SparkSession, path: str, multiline: bool = True) -> Da
 def read_json_docs(spark: SparkSession, path: str, label_from: str = "file") -> DataFrame:
     """S3: arbitrary JSON documents, one per file, as VARIANT plus a source
     label (the file name without extension)."""
-    raw = spark.read.option("wholetext", True).text(path).select(
+    raw = spark.read.text(path, wholetext=True).select(
         F.col("value"), F.col("_metadata.file_path").alias("source_file"))
     name = F.regexp_extract(F.col("source_file"), r"([^/]+?)(\.json)?$", 1)
     return raw.select(F.parse_json(F.col("value")).alias("doc"), name.alias("source"), "source_file")
