@@ -66,3 +66,115 @@ def crawl_summary(annotated: DataFrame, run: str, cards: str = "cards") -> DataF
         F.max("page_num").cast("bigint").alias("last_page"),
         F.count_if(F.col("kept")).cast("bigint").alias("pages_with_cards"),
     )
+
+
+# ------------------------------------------------- hot-run-safe variant ----
+def _segments(runs):
+    """(start, end) of consecutive equal values."""
+    import numpy as np
+    n = len(runs)
+    if n == 0:
+        return []
+    cut = np.flatnonzero(runs[1:] != runs[:-1]) + 1
+    starts = np.concatenate(([0], cut))
+    ends = np.concatenate((cut, [n]))
+    return list(zip(starts.tolist(), ends.tolist()))
+
+
+def _walk(empty, carry_streak, m):
+    """Vectorised walk of one run segment given the streak carried in."""
+    import numpy as np
+    n = len(empty)
+    idx = np.arange(n)
+    last_ne = np.maximum.accumulate(np.where(~empty, idx, -1))
+    streak = np.where(empty, np.where(last_ne >= 0, idx - last_ne, carry_streak + idx + 1), 0)
+    hits = np.flatnonzero(empty & (streak >= m))
+    stop = int(hits[0]) if len(hits) else None
+    out_streak = int(streak[-1]) if n else carry_streak
+    return streak, stop, out_streak
+
+
+def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str, max_empty: int,
+                        num_partitions: int | None = None) -> DataFrame:
+    """W1 for logs where one run may hold a large share of all pages.
+
+    The window version sends a whole run to one task.  Here the log is
+    range-partitioned on ``(run, order)`` so a hot run is split over many
+    tasks, then: (1) each partition summarises only its first and last run
+    segment (at most two rows per partition); (2) those summaries are scanned
+    in partition order on the driver -- their size is bounded by the
+    partition count, not by the data -- giving each boundary segment its
+    carried-in streak, page offset and "already stopped" flag; (3) each
+    partition walks its rows with numpy and emits ``page_num`` and ``kept``.
+    The ranged log is checkpointed once (shared checkpoint folder) so both
+    passes see identical partitions and lineage is cut.  Output: the input
+    columns plus ``page_num`` and ``kept``; identical to ``crawl_cutoff``."""
+    import numpy as np
+    import pandas as pd
+    from pyspark import TaskContext
+    from pyspark.sql import types as T
+
+    m = max(int(max_empty), 1)
+    spark = log.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = log.repartitionByRange(n, run, *order).sortWithinPartitions(run, *order).checkpoint(eager=True)
+
+    def summarize(batches):
+        pdf = pd.concat(list(batches), ignore_index=True)
+        pid = TaskContext.get().partitionId()
+        rows = []
+        if len(pdf):
+            runs = pdf[run].to_numpy()
+            emp = pdf[empty].to_numpy(dtype=bool)
+            segs = _segments(runs)
+            for which, (s, e) in {0: segs[0], 1: segs[-1]}.items():
+                seg = emp[s:e]
+                ne = np.flatnonzero(~seg)
+                has_ne = len(ne) > 0
+                lead = int(ne[0]) if has_ne else int(e - s)
+                trail = int((e - s) - 1 - ne[-1]) if has_ne else int(e - s)
+                _, local_stop, _ = _walk(seg[lead:], 0, m) if has_ne else (None, None, None)
+                rows.append((pid, str(runs[s]), which, int(e - s), has_ne, lead, trail, local_stop is not None))
+        yield pd.DataFrame(rows, columns=["pid", "run", "which", "n", "has_ne", "lead", "trail", "local_stop"])
+
+    schema = ("pid int, run string, which int, n bigint, has_ne boolean, lead bigint, trail bigint, "
+              "local_stop boolean")
+    summary = ranged.mapInPandas(summarize, schema).collect()  # <= 2 rows per partition
+    carries: dict[tuple[int, str], tuple[int, int, bool]] = {}
+    state: dict[str, tuple[int, int, bool]] = {}
+    seen = set()
+    for r in sorted(summary, key=lambda r: (r.pid, r.which)):
+        if (r.pid, r.run) in seen:   # first and last segment are the same run
+            continue
+        seen.add((r.pid, r.run))
+        c, off, stopped = state.get(r.run, (0, 0, False))
+        carries[(r.pid, r.run)] = (c, off, stopped)
+        if not stopped:
+            k = max(m - c, 1)
+            stopped = (k <= r.lead) or bool(r.local_stop)
+        c = int(r.trail) if r.has_ne else c + int(r.n)
+        state[r.run] = (c, off + int(r.n), stopped)
+    carry_b = spark.sparkContext.broadcast(carries)
+
+    def finish(batches):
+        pid = TaskContext.get().partitionId()
+        pdf = pd.concat(list(batches), ignore_index=True)
+        if not len(pdf):
+            yield pdf.assign(page_num=pd.Series(dtype="int64"), kept=pd.Series(dtype=bool))
+            return
+        runs = pdf[run].to_numpy()
+        emp = pdf[empty].to_numpy(dtype=bool)
+        page_num = np.zeros(len(pdf), dtype="int64")
+        kept = np.zeros(len(pdf), dtype=bool)
+        for s, e in _segments(runs):
+            c, off, stopped = carry_b.value.get((pid, str(runs[s])), (0, 0, False))
+            seg = emp[s:e]
+            _, stop, _ = _walk(seg, c, m)
+            idx = np.arange(e - s)
+            page_num[s:e] = off + idx + 1
+            kept[s:e] = (~seg) & (not stopped) & ((idx < stop) if stop is not None else True)
+        yield pdf.assign(page_num=page_num, kept=kept)
+
+    out_schema = T.StructType([*ranged.schema.fields, T.StructField("page_num", T.LongType()),
+                               T.StructField("kept", T.BooleanType())])
+    return ranged.mapInPandas(finish, out_schema)

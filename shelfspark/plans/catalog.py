@@ -383,3 +383,17 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest.ingest_new_envelopes(spark, landing, table, ckpt, store)  # nothing new
     back = spark.read.schema(RAW_PRICE_SCHEMA).parquet(table)
     return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
+
+
+@register("crawl_cutoff_ranged", O.crawl_cutoff)
+def crawl_cutoff_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same result as ``crawl_cutoff``, computed with the hot-run-safe
+    range-split scan."""
+    from pyspark.sql import functions as F
+
+    from ..operators import crawl
+    log = inputs.crawl_log(spark, sf_dir)
+    log = log.withColumn("empty", crawl.page_is_empty(F.col("status"), F.lit(False), F.lit(True), F.col("cards")))
+    ann = crawl.crawl_cutoff_ranged(log.select("run", "ts", "event_id", "cards", "empty"),
+                                    "run", ["ts", "event_id"], "empty", 2)
+    return ann.where("kept").select("run", "event_id", "page_num", F.col("cards").cast("bigint").alias("cards"))

@@ -58,3 +58,21 @@ def test_page_is_empty(spark):
     out = [r.e for r in df.select(crawl.page_is_empty(F.col("s"), F.col("le"), F.col("hp"),
                                                       F.col("c")).alias("e")).collect()]
     assert out == [False, False, True, True, True, True]
+
+
+def test_ranged_cutoff_splits_hot_run(spark):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for run, n in (("hot", 400), ("a", 5), ("b", 30)):
+        for p in range(n):
+            rows.append((run, p, rnd.random() < 0.35))
+    log = spark.createDataFrame(rows, "run string, page int, empty boolean")
+    for m in (1, 2, 3):
+        got = {(r.run, r.page) for r in
+               crawl.crawl_cutoff_ranged(log, "run", ["page"], "empty", m, num_partitions=9).where("kept").collect()}
+        want = set()
+        for run in ("hot", "a", "b"):
+            pages = sorted((p, e) for r_, p, e in rows if r_ == run)
+            want |= {(run, p) for p in loop_reference(pages, m)}
+        assert got == want, m
