@@ -9,9 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from ..operators import models, quality
+from pyspark.sql import functions as F
+
+from ..functions.patterns import CHAIN_CONFIGS
+from ..functions.text import clean_product_name as clean
+from ..functions.text import json_array_text
+from ..operators import crawl, joins, models, options, pages, prices, quality, status
+from ..session import shared_dir
+from ..sinks import writers
 from ..sources.tables import load
+from ..streaming import ingest
 from . import inputs
 from . import oracle_sql as O
 
@@ -48,9 +55,6 @@ def branch_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ crawl (W1) ----
 def _crawl_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from ..operators import crawl
     log = inputs.crawl_log(spark, sf_dir)
     log = log.withColumn("empty", crawl.page_is_empty(F.col("status"), F.lit(False), F.lit(True),
                                                       F.col("cards")))
@@ -59,9 +63,6 @@ def _crawl_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("crawl_cutoff", O.crawl_cutoff)
 def crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from ..operators import crawl
     kept = crawl.kept_cards(_crawl_annotated(spark, sf_dir))
     return kept.select("run", "event_id", F.col("page_num").cast("bigint").alias("page_num"),
                        F.col("cards").cast("bigint").alias("cards"))
@@ -69,15 +70,11 @@ def crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("crawl_summary", O.crawl_summary)
 def crawl_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import crawl
     return crawl.crawl_summary(_crawl_annotated(spark, sf_dir), "run")
 
 
 # ------------------------------------------------------- status (A4 A5 J5) ----
 def _status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from ..operators import status
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate",
                                                   "o_orderpriority")
     expected = orders.selectExpr("o_orderkey", f"{inputs.RUN_DATE_SQL} AS ds", "o_orderpriority")
@@ -88,13 +85,11 @@ def _status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("status_summary", O.status_summary)
 def status_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import status
     return status.run_status_summary(_status_rows(spark, sf_dir), "ds")
 
 
 @register("status_detail", O.status_detail)
 def status_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import status
     rows = _status_rows(spark, sf_dir)
     names = status.names_table(spark, inputs.PRIORITY_LABELS, "o_orderpriority", "priority_label")
     return status.with_display_name(rows, names, "o_orderpriority", "priority_label").select(
@@ -104,9 +99,6 @@ def status_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- prices ----
 @register("price_change_pct", O.price_change_pct)
 def price_change_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from ..operators import prices
     li = load(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice", "l_quantity")
     obs = li.groupBy("l_partkey", "l_shipdate").agg(
         F.min(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).alias("price"))
@@ -117,9 +109,6 @@ def price_change_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("clean_product_name", O.clean_product_name)
 def clean_product_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from ..functions.text import clean_product_name as clean
     srcs = [("part", "p_partkey", "p_name"), ("customer", "c_custkey", "c_name"),
             ("documents", "doc_id", "text")]
     frames = [load(spark, sf_dir, t).select(F.lit(t).alias("source"), F.col(k).cast("bigint").alias("key"),
@@ -129,9 +118,6 @@ def clean_product_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("union_prices", O.union_prices)
 def union_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from ..operators import prices
     part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_type")
     slices = [part.where(F.expr(cond)).selectExpr(*[f"{v} AS {k}" for k, v in inputs.part_slice_exprs(s).items()])
               for s, cond in inputs.PART_SLICES]
@@ -140,7 +126,6 @@ def union_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("raw_price_rows", O.raw_price_rows)
 def raw_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     items = conv.selectExpr(*[f"{v} AS {k}" for k, v in inputs.conversation_price_exprs("spark").items()])
     rows = models.raw_price_rows(items, F.col("store_name"), "dulce_de_leche", F.col("scraped_at"))
@@ -150,7 +135,6 @@ def raw_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------- flatten / numbering ----
 @register("flatten_branches", O.flatten_branches)
 def flatten_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     nested = inputs.nested_branches(spark, sf_dir)
     flat = models.flatten_branches(nested, "branches_by_province", F.col("fecha"))
     return flat.withColumn("fecha_extraccion", F.col("fecha_extraccion").cast("timestamp_ntz"))
@@ -158,7 +142,6 @@ def flatten_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("numbered_locations", O.numbered_locations)
 def numbered_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     docs = load(spark, sf_dir, "documents").select("doc_id", F.split(F.col("text"), "\n", -1).alias("lines"))
     return models.number_locations(docs, "lines", ["doc_id"], F.lit(None).cast("timestamp")).drop(
         "fecha_extraccion")
@@ -167,9 +150,6 @@ def numbered_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ pages ----
 @register("card_filter", O.card_filter)
 def card_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from ..operators import pages
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     lines = docs.select("doc_id", F.posexplode(F.split(F.col("text"), "\n", -1)).alias("pos", "card"))
     return lines.where(pages.valid_card(F.col("card"))).select(
@@ -178,22 +158,17 @@ def card_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("page_frontier", O.page_frontier)
 def page_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import pages
     return pages.page_frontier(load(spark, sf_dir, "pages").select("page_id", "url"), "url", 3, ["page_id"])
 
 
 @register("article_cards", O.article_cards)
 def article_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from ..operators import pages
     el = pages.extract_tag_native(load(spark, sf_dir, "pages").select("page_id", "html"), "article")
     return el.select("page_id", "pos", "text", pages.valid_card(F.col("text")).alias("is_card"))
 
 
 @register("list_items", O.list_items)
 def list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import pages
     el = pages.extract_tag_native(load(spark, sf_dir, "pages").select("page_id", "html"), "li")
     return el.select("page_id", "pos", "text")
 
@@ -201,22 +176,17 @@ def list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- options ----
 @register("option_group", O.option_group)
 def option_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import options
     return options.clean_options(options.pick_option_group(inputs.option_rows(spark, sf_dir)))
 
 
 @register("option_second_group", O.option_second_group)
 def option_second_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import options
     return options.clean_options(options.nth_option_group(inputs.option_rows(spark, sf_dir), 1),
                                  placeholder="provincia", case_insensitive=True)
 
 
 # ------------------------------------------------------------------ spine ----
 def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from ..operators import joins
     nat = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     ords = load(spark, sf_dir, "orders").select(
@@ -241,7 +211,6 @@ def not_null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("page_verdict", O.page_verdict)
 def page_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import pages
     pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
     el = pages.extract_tag_native(pg, "article", 0).unionByName(pages.extract_tag_native(pg, "p", 1))
     return pages.page_verdict(pg, pages.page_evidence(el))
@@ -252,7 +221,6 @@ CSS_SELECTORS = ["article", "ul li a", "div.ad", 'a[href*="the"]', "article p, h
 
 @register("css_elements", None)
 def css_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import pages
     return pages.extract_elements(load(spark, sf_dir, "pages"), CSS_SELECTORS)
 
 
@@ -260,8 +228,6 @@ def css_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_verdict_css(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Carrefour's product selectors over the stored pages (general path),
     the verdict, and the no-results marker as a diagnostic column."""
-    from ..functions.patterns import CHAIN_CONFIGS
-    from ..operators import pages
     product_sels, no_results, *_ = CHAIN_CONFIGS["CARREFOUR"]
     pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
     verdict = pages.page_verdict(pg, pages.page_evidence(pages.extract_elements(pg, product_sels)))
@@ -271,10 +237,6 @@ def page_verdict_css(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("branch_facts_pages", None)
 def branch_facts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H5 -> raw branches -> M2: branch detail pages straight to the model."""
-    from pyspark.sql import functions as F
-
-    from ..functions.text import json_array_text
-    from ..operators import pages
     pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
     facts = pages.extract_branch_facts(pg)
     raw = pg.select("page_id", "url").join(facts, "page_id").select(
@@ -293,7 +255,6 @@ RAW_PRICE_SCHEMA = ("raw_data string, scraped_date date, scraped_datetime timest
 
 
 def _raw_price_rows_ltz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     items = conv.selectExpr(*[f"{v} AS {k}" for k, v in inputs.conversation_price_exprs("spark").items()])
     return models.raw_price_rows(items, F.col("store_name"), "dulce_de_leche", F.col("scraped_at"))
@@ -302,10 +263,6 @@ def _raw_price_rows_ltz(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("price_append", O.price_append)
 def price_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: the same run appended twice doubles the rows (no dedup)."""
-    from pyspark.sql import functions as F
-
-    from ..session import shared_dir
-    from ..sinks import writers
     path = shared_dir(spark, "tables", "raw_prices")
     rows = _raw_price_rows_ltz(spark, sf_dir)
     writers.append_prices(rows, path)
@@ -317,10 +274,6 @@ def price_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("snapshot_replace", O.snapshot_replace)
 def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: replaced twice, then an empty refresh that the guard ignores."""
-    from pyspark.sql import functions as F
-
-    from ..session import shared_dir
-    from ..sinks import writers
     path = shared_dir(spark, "tables", "raw_store_text")
     snap = inputs.raw_store_text(spark, sf_dir)
     writers.replace_snapshot(snap, path)
@@ -333,10 +286,6 @@ def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("surrogate_ids", O.surrogate_ids)
 def surrogate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7: a seed batch (parts) appended twice gets ids 1..n, n+1..2n."""
-    from pyspark.sql import functions as F
-
-    from ..session import shared_dir
-    from ..sinks import writers
     path = shared_dir(spark, "tables", "seed_rows")
     batch = load(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_name").alias("nombre"),
@@ -351,10 +300,6 @@ def surrogate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 + S3: page records archived as JSON under ``<ts>_<name>`` keys,
     read back with the key taken from the object path."""
-    from pyspark.sql import functions as F
-
-    from ..session import shared_dir
-    from ..sinks import writers
     root = shared_dir(spark, "archive", "json_data")
     pg = load(spark, sf_dir, "pages").select("page_id", "url")
     # hourly load runs of 100 pages each
@@ -368,10 +313,6 @@ def json_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes land in two waves; three ``availableNow`` runs; every
     item is ingested exactly once."""
-    from pyspark.sql import functions as F
-
-    from ..session import shared_dir
-    from ..streaming import ingest
     base = shared_dir(spark, "stream")
     landing, table, ckpt = f"{base}/landing", f"{base}/raw_prices", f"{base}/_checkpoint"
     env = inputs.conversation_envelopes(spark, sf_dir)
@@ -389,9 +330,6 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crawl_cutoff_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same result as ``crawl_cutoff``, computed with the hot-run-safe
     range-split scan."""
-    from pyspark.sql import functions as F
-
-    from ..operators import crawl
     log = inputs.crawl_log(spark, sf_dir)
     log = log.withColumn("empty", crawl.page_is_empty(F.col("status"), F.lit(False), F.lit(True), F.col("cards")))
     ann = crawl.crawl_cutoff_ranged(log.select("run", "ts", "event_id", "cards", "empty"),
