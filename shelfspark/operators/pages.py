@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import ustrip
+from ..sources.tables import spread_for_cpu
 
 
 def page_frontier(bases: DataFrame, url_col: str, n_pages: int, keep: list[str] | None = None) -> DataFrame:
@@ -140,7 +141,7 @@ def extract_elements(pages: DataFrame, selectors: list[str], text_mode: str = "i
                         out["text"].append(to_text(node))
             yield pd.DataFrame(out).astype({"page_id": "int64", "selector_idx": "int32", "pos": "int32"})
 
-    return pages.select("page_id", "html").mapInPandas(run, ELEMENT_SCHEMA)
+    return spread_for_cpu(pages.select("page_id", "html")).mapInPandas(run, ELEMENT_SCHEMA)
 
 
 def extract_primary(pages: DataFrame, selectors: list[str]) -> DataFrame:
@@ -184,7 +185,7 @@ def extract_options(pages: DataFrame) -> DataFrame:
                         out["nombre"].append(H.text_content(o))
             yield pd.DataFrame(out).astype({"page_id": "int64", "select_idx": "int32", "pos": "int32"})
 
-    return pages.select("page_id", "html").mapInPandas(
+    return spread_for_cpu(pages.select("page_id", "html")).mapInPandas(
         run, "page_id bigint, select_idx int, pos int, codigo string, nombre string")
 
 
@@ -209,7 +210,7 @@ def extract_branch_facts(pages: DataFrame) -> DataFrame:
                 arrays.append(items)
             yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"), "raw_data": arrays})
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id bigint, raw_data array<string>")
+    return spread_for_cpu(pages.select("page_id", "html")).mapInPandas(run, "page_id bigint, raw_data array<string>")
 
 
 def no_results_marker(pages: DataFrame, selectors: list[str]) -> DataFrame:
@@ -229,4 +230,4 @@ def no_results_marker(pages: DataFrame, selectors: list[str]) -> DataFrame:
                 marks.append(hit)
             yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"), "marker": marks})
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id bigint, marker string")
+    return spread_for_cpu(pages.select("page_id", "html")).mapInPandas(run, "page_id bigint, marker string")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import load
+from ..sources.tables import load, spread_for_cpu
 
 # microseconds since epoch of 2025-06-16 06:00:00 UTC (a Monday 06:00 run)
 BASE_MICROS = 1750053600000000
@@ -140,7 +140,7 @@ def doc_branch_exprs(engine: str) -> dict[str, str]:
 
 
 def raw_doc_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = spread_for_cpu(load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     return docs.selectExpr(*[f"{v} AS {k}" for k, v in doc_branch_exprs("spark").items()])
 
 

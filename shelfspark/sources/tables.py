@@ -24,3 +24,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table or view by name (the warehouse's ``SELECT *``)."""
     return spark.table(name)
+
+
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work (HTML parsing, long-text regexes) at least
+    one partition per core.  Only fires when the scan yields fewer splits
+    than the default parallelism (small inputs: one parquet row group); on a
+    large table the scan already has thousands of splits and nothing is
+    shuffled."""
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
