@@ -108,7 +108,9 @@ def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str,
     partition walks its rows with numpy and emits ``page_num`` and ``kept``.
     The ranged log is checkpointed once (shared checkpoint folder) so both
     passes see identical partitions and lineage is cut.  Output: the input
-    columns plus ``page_num`` and ``kept``; identical to ``crawl_cutoff``."""
+    columns plus ``page_num``, ``kept`` and ``stop_page`` (set on the
+    stopping page only, so ``crawl_summary``'s ``min`` gives the run's stop);
+    the kept rows equal ``crawl_cutoff``'s."""
     import numpy as np
     import pandas as pd
     from pyspark import TaskContext
@@ -166,6 +168,7 @@ def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str,
         emp = pdf[empty].to_numpy(dtype=bool)
         page_num = np.zeros(len(pdf), dtype="int64")
         kept = np.zeros(len(pdf), dtype=bool)
+        stop_page = np.full(len(pdf), np.nan)
         for s, e in _segments(runs):
             c, off, stopped = carry_b.value.get((pid, str(runs[s])), (0, 0, False))
             seg = emp[s:e]
@@ -173,8 +176,12 @@ def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str,
             idx = np.arange(e - s)
             page_num[s:e] = off + idx + 1
             kept[s:e] = (~seg) & (not stopped) & ((idx < stop) if stop is not None else True)
-        yield pdf.assign(page_num=page_num, kept=kept)
+            if stop is not None and not stopped:
+                stop_page[s + stop] = off + stop + 1   # only on the stopping page
+        yield pdf.assign(page_num=page_num, kept=kept,
+                         stop_page=pd.array(np.where(np.isnan(stop_page), None, stop_page), dtype="Int64"))
 
     out_schema = T.StructType([*ranged.schema.fields, T.StructField("page_num", T.LongType()),
-                               T.StructField("kept", T.BooleanType())])
+                               T.StructField("kept", T.BooleanType()),
+                               T.StructField("stop_page", T.LongType())])
     return ranged.mapInPandas(finish, out_schema)

@@ -335,3 +335,40 @@ def crawl_cutoff_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
     ann = crawl.crawl_cutoff_ranged(log.select("run", "ts", "event_id", "cards", "empty"),
                                     "run", ["ts", "event_id"], "empty", 2)
     return ann.where("kept").select("run", "event_id", "page_num", F.col("cards").cast("bigint").alias("cards"))
+
+
+@register("crawl_summary_ranged", O.crawl_summary)
+def crawl_summary_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = inputs.crawl_log(spark, sf_dir)
+    log = log.withColumn("empty", crawl.page_is_empty(F.col("status"), F.lit(False), F.lit(True), F.col("cards")))
+    ann = crawl.crawl_cutoff_ranged(log.select("run", "ts", "event_id", "cards", "empty"),
+                                    "run", ["ts", "event_id"], "empty", 2)
+    return crawl.crawl_summary(ann, "run")
+
+
+@register("daily_archive", O.daily_archive)
+def daily_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: raw price rows archived by chain/category/day; a second same-day
+    run for one chain replaces only that chain's partitions."""
+    root = shared_dir(spark, "archive", "daily")
+    rows = _raw_price_rows_ltz(spark, sf_dir).select(
+        "raw_data", "scraped_datetime", F.col("store_name").alias("chain"), "category",
+        F.date_format("scraped_date", "yyyy-MM-dd").alias("dt"))
+    writers.archive_json(rows, root)
+    writers.archive_json(rows.where(F.col("chain") == "JUMBO"), root)   # same-day re-run of one chain
+    back = writers.read_archive(spark, root, "raw_data string, scraped_datetime timestamp, chain string, "
+                                             "category string, dt string")
+    return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
+
+
+@register("daily_last_value", O.daily_last_value)
+def daily_last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 + W4 + W3: last observation per key and day (``max_by`` on a unique
+    time), previous day's value and % change.  Aggregating to one row per
+    key and day before the window bounds every window partition by the
+    number of days."""
+    ev = load(spark, sf_dir, "events").select("user_id", "ts", "value")
+    daily = prices.daily_price(ev.withColumnRenamed("value", "price"), ["user_id"], F.to_date("ts"), "ts")
+    prev = prices.with_previous_price(daily, ["user_id"], "day")
+    return prev.select("user_id", "day", "price", "prev_price",
+                       prices.price_change_pct(F.col("price"), F.col("prev_price")).alias("price_change_pct"))

@@ -399,3 +399,19 @@ WITH items AS (
 SELECT CAST(to_json(item) AS VARCHAR) AS raw_data, CAST(scraped_at AS DATE) AS scraped_date,
        scraped_at AS scraped_datetime, store_name, 'dulce_de_leche' AS category
 FROM items"""
+
+
+def daily_archive() -> str:
+    return f"""SELECT raw_data, scraped_datetime, store_name AS chain, category,
+       strftime(scraped_date, '%Y-%m-%d') AS dt FROM ({raw_price_rows()})"""
+
+
+def daily_last_value() -> str:
+    return """
+WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, arg_max(value, ts) AS price FROM events GROUP BY ALL),
+p AS (SELECT *, lag(price) OVER (PARTITION BY user_id ORDER BY day) AS prev_price FROM d)
+SELECT user_id, day, price, prev_price,
+       CASE WHEN prev_price IS NOT NULL AND prev_price > 0
+            THEN CAST(round(CAST((price - prev_price) / prev_price * 100 AS DECIMAL(24,6)), 2) AS DOUBLE)
+       END AS price_change_pct
+FROM p"""

@@ -46,11 +46,18 @@ def replace_snapshot(df: DataFrame, path: str) -> bool:
     return True
 
 
+JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # keep microseconds in JSON text
+
+
 def archive_json(df: DataFrame, root: str, partition_cols: tuple[str, ...] = ("chain", "category", "dt")) -> None:
     """K4: daily JSON archive ``chain/category/dt``; a same-day run replaces
     that day's partition only (dynamic partition overwrite)."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).json(root))
+     .option("timestampFormat", JSON_TS_FORMAT).partitionBy(*partition_cols).json(root))
+
+
+def read_archive(spark, root: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("timestampFormat", JSON_TS_FORMAT).json(root)
 
 
 def archive_key(load_ts: Column, source_url: Column) -> Column:
