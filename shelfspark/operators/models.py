@@ -17,23 +17,27 @@ from . import facts
 
 
 # ---------------------------------------------------------------- M1 ------
-def parse_store_text(raw: DataFrame, strict: bool = False) -> DataFrame:
+def parse_store_text(raw: DataFrame, strict: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Store text (``type⏎address, locality, province⏎hours``) -> typed columns.
 
     ``strict=True`` keeps the warehouse's ``[OFFSET(i)]``: a text with fewer
     than three lines fails the query (ANSI index error).  The default is the
     lenient ``SAFE_OFFSET`` reading (NULLs), audited with ``not_null_audit``.
+    ``keep`` columns (e.g. keys) are passed through in front.
     """
+    keep = list(keep or [])
     lines = F.split(F.col("ubicacion_texto"), P.STORE_LINE_SEP, -1)
     pick = (lambda arr, i: arr[i]) if strict else (lambda arr, i: F.get(arr, i))
     # split once per row; CollapseProject keeps non-cheap shared expressions
     step = raw.select(
+        *keep,
         pick(lines, 0).alias("_l0"), pick(lines, 1).alias("_l1"), pick(lines, 2).alias("_l2"),
         F.col("fecha_extraccion"))
     step = step.select("*", F.split(F.col("_l1"), P.STORE_PART_SEP, -1).alias("_parts"))
     direccion = ustrip(F.get(F.col("_parts"), 0))
     provincia = ustrip(F.get(F.col("_parts"), 2))
     return step.select(
+        *keep,
         title_case(F.col("_l0")).alias("tipo"),
         direccion.alias("direccion"),
         ustrip(F.get(F.col("_parts"), 1)).alias("localidad"),

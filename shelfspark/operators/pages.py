@@ -152,9 +152,11 @@ def extract_primary(pages: DataFrame, selectors: list[str]) -> DataFrame:
 def extract_store_list(pages: DataFrame, list_classes: str = P.STORE_LIST_CLASSES,
                        item_class: str = P.STORE_ITEM_CLASS) -> DataFrame:
     """H3: if the container class string occurs in the page, the stripped
-    texts of ``ul.<classes> li.<item>`` in order; else nothing."""
-    guarded = pages.where(F.col("html").contains(list_classes))
-    sel = "ul." + ".".join(list_classes.split()) + " li." + item_class
+    texts of ``ul.<classes> li.<item>`` in order; else nothing.  Empty class
+    arguments drop the guard / the class constraint (``ul li``)."""
+    guarded = pages.where(F.col("html").contains(list_classes)) if list_classes else pages
+    sel = ("ul." + ".".join(list_classes.split()) if list_classes else "ul") + \
+        (" li." + item_class if item_class else " li")
     return extract_elements(guarded, [sel]).select("page_id", "pos", ustrip(F.col("text")).alias("text"))
 
 

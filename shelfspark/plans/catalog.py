@@ -372,3 +372,16 @@ def daily_last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     prev = prices.with_previous_price(daily, ["user_id"], "day")
     return prev.select("user_id", "day", "price", "prev_price",
                        prices.price_change_pct(F.col("price"), F.col("prev_price")).alias("price_change_pct"))
+
+
+@register("store_list_pages", None)
+def store_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3 -> M5 -> M1 over stored pages: list items of every page, numbered
+    within their page, parsed as store texts (general extraction path)."""
+    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    items = pages.extract_store_list(pg, list_classes="", item_class="")
+    raw = items.select("page_id", (F.col("pos") + 1).cast("bigint").alias("id"),
+                       F.col("text").alias("ubicacion_texto"),
+                       F.timestamp_micros(F.lit(inputs.BASE_MICROS) + F.col("page_id")).alias("fecha_extraccion"),
+                       F.lit("pages").alias("fuente"))
+    return models.parse_store_text(raw, keep=["page_id", "id"])
