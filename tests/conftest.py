@@ -14,7 +14,8 @@ def spark():
     from shelfspark.session import apply_defaults
     s = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+         .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="shelfspark-wh-")).getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     apply_defaults(s)
     yield s

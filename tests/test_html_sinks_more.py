@@ -1,0 +1,60 @@
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from shelfspark.sinks import writers
+from shelfspark.sources import html as H
+
+
+def test_parser_edge_cases():
+    doc = ('<div><p>uno<p>dos</div></p><script>var t="</p>";</script>'
+           '<ul><li>a<li>b</ul><select><option value=x>X<option value="">vacío</select><br/>')
+    order = H.parse(doc)
+    ps = [H.inner_text(n) for n in order if n.tag == "p"]
+    assert ps[:2] == ["uno", "dos"] and ps[2] == ""          # stray </p> -> empty paragraph
+    assert [H.text_content(n) for n in order if n.tag == "li"] == ["a", "b"]
+    assert [(n.attrs.get("value"), H.text_content(n)) for n in order if n.tag == "option"] == \
+        [("x", "X"), ("", "vacío")]
+    script = [n for n in order if n.tag == "script"][0]
+    assert H.text_content(script) == 'var t="</p>";'          # script text is raw
+
+
+def test_selector_grammar():
+    doc = ('<section aria-label="Producto 1"><article class="vtex-product-summary-2-x-element k">A $ 10</article>'
+           '</section><div class="x-galleryItem-y">B</div><div class="galleryItem">C</div>')
+    order = H.parse(doc)
+    sel = lambda s: [H.text_content(n) for n in H.compile_selector(s)(order)]
+    assert sel('section[aria-label*="Producto"]') == ["A $ 10"]
+    assert sel("article.vtex-product-summary-2-x-element") == ["A $ 10"]
+    assert sel('div[class*="galleryItem"]') == ["B", "C"]
+    assert sel(".galleryItem") == ["C"]
+    assert sel("section article, .galleryItem") == ["A $ 10", "C"]   # document order, no duplicates
+    assert sel('text="B"') == ["B"]
+
+
+def test_inner_text_blocks_and_hidden():
+    order = H.parse("<div>Hola<br>mundo<style>p{}</style><p>  dos   espacios </p></div>")
+    assert H.inner_text(order[0]) == "Hola\nmundo\n\ndos espacios"
+
+
+def test_daily_archive_same_day_overwrite(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "arch")
+    ts = dt.datetime(2025, 6, 16, 6, 0, 0, 123456)
+    df = spark.createDataFrame([("a", ts, "VEA", "dl", "2025-06-16"), ("b", ts, "JUMBO", "dl", "2025-06-16")],
+                               "raw_data string, at timestamp, chain string, category string, dt string")
+    writers.archive_json(df, root)
+    writers.archive_json(df.where("chain = 'JUMBO'").withColumn("raw_data", F.lit("b2")), root)
+    back = writers.read_archive(spark, root, "raw_data string, at timestamp, chain string, category string, "
+                                             "dt string")
+    assert sorted((r.chain, r.raw_data, r.at) for r in back.collect()) == [("JUMBO", "b2", ts), ("VEA", "a", ts)]
+
+
+def test_create_or_replace_and_views(spark):
+    name = "shelfspark_test_tbl"
+    writers.create_or_replace(spark.range(3), name)
+    writers.create_or_replace(spark.range(5), name)
+    assert spark.table(name).count() == 5
+    writers.publish_view(spark.range(2), "shelfspark_test_view")
+    assert spark.table("shelfspark_test_view").count() == 2
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
