@@ -102,15 +102,8 @@ def extract_tag_native(pages: DataFrame, tag: str, selector_idx: int = 0) -> Dat
 
 
 # --------------------------------------------------------- general path ----
-# The HTML helper is pickled by value so executors need no installed copy.
 def _html_module():
-    from pyspark import cloudpickle
-
-    from ..sources import html as H
-    try:
-        cloudpickle.register_pickle_by_value(H)
-    except Exception:  # noqa: BLE001 - already registered
-        pass
+    from ..sources import html as H  # pickled by value with the package
     return H
 
 
