@@ -91,3 +91,8 @@ def opening_hour(items: Column) -> Column:
 
 def closing_hour(items: Column) -> Column:
     return regexp_extract_or_null(first_match(has_time_range(items)), P.CLOSE_EXTRACT_RE)
+
+
+def non_blank(arr: Column) -> Column:
+    """Drop NULL and blank texts; strip the rest (order kept)."""
+    return F.transform(F.filter(arr, lambda x: x.isNotNull() & (ustrip(x) != "")), lambda x: ustrip(x))

@@ -134,6 +134,19 @@ def order_branches(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("provincia").asc_nulls_first(), F.col("nombre_sucursal").asc_nulls_first())
 
 
+# ---------------------------------------------------------------- P16 -----
+def label_rows(df: DataFrame, labels: dict[str, str], load_ts: Column,
+               date_col: str | None = None, ts_col: str | None = None) -> DataFrame:
+    """Constant label columns plus the load date/time of the run (one
+    value per run, a job parameter)."""
+    out = df.withColumns({k: F.lit(v) for k, v in labels.items()})
+    if date_col:
+        out = out.withColumn(date_col, F.to_date(load_ts))
+    if ts_col:
+        out = out.withColumn(ts_col, load_ts)
+    return out
+
+
 # ---------------------------------------------------------------- M3 ------
 def raw_price_rows(items: DataFrame, store_name: str | Column, category: str | Column,
                    scraped_at: Column, item_col: str = "item") -> DataFrame:

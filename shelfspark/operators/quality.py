@@ -48,3 +48,9 @@ def enforce_required(df: DataFrame, columns: list[str]) -> DataFrame:
         detail = ", ".join(f"{r['column_name']}={r['null_rows']}" for r in bad)
         raise RequiredColumnViolation(f"NULL in required columns: {detail}")
     return df
+
+
+def counts_per(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
+    """Rows per key (cards per page, stores per province, ...); a partial
+    aggregation, so a hot key costs no more than any other."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias(name))

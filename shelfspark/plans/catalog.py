@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import CHAIN_CONFIGS
 from ..functions.text import clean_product_name as clean
 from ..functions.text import json_array_text
-from ..operators import crawl, joins, models, options, pages, prices, quality, status
+from ..operators import crawl, facts, joins, models, options, pages, prices, quality, status
 from ..session import shared_dir
 from ..sinks import writers
 from ..sources.tables import load
@@ -385,3 +385,12 @@ def store_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.timestamp_micros(F.lit(inputs.BASE_MICROS) + F.col("page_id")).alias("fecha_extraccion"),
                        F.lit("pages").alias("fuente"))
     return models.parse_store_text(raw, keep=["page_id", "id"])
+
+
+@register("stores_per_province", O.stores_per_province)
+def stores_per_province(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Branches and raw items per province of the raw branch table."""
+    raw = inputs.raw_branches(spark, sf_dir)
+    items = raw.select("provincia", facts.item_count(F.from_json("raw_data", "array<string>")).alias("k"))
+    return items.groupBy("provincia").agg(F.count(F.lit(1)).cast("bigint").alias("sucursales"),
+                                          F.sum("k").cast("bigint").alias("datos_crudos"))

@@ -415,3 +415,9 @@ SELECT user_id, day, price, prev_price,
             THEN CAST(round(CAST((price - prev_price) / prev_price * 100 AS DECIMAL(24,6)), 2) AS DOUBLE)
        END AS price_change_pct
 FROM p"""
+
+
+def stores_per_province() -> str:
+    return f"""SELECT provincia, CAST(count(*) AS BIGINT) AS sucursales,
+       CAST(sum(CASE WHEN json_valid(raw_data) THEN len(from_json(raw_data, '["VARCHAR"]')) END) AS BIGINT) AS datos_crudos
+FROM ({inputs.raw_branches_sql()}) GROUP BY provincia"""
