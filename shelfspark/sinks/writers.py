@@ -13,6 +13,15 @@ from pyspark.sql import functions as F
 from ..functions.text import key_timestamp, last_path_segment
 
 
+def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Cluster rows by the output partition columns before a partitioned
+    write (``REBALANCE`` hint): without it every task writes a file into
+    every partition value it holds (tasks x values small files).  AQE splits
+    a skewed value (one store-day with a third of the rows) over several
+    tasks and coalesces small ones, so files stay near the advisory size."""
+    return df.hint("rebalance", *cols)
+
+
 def is_empty(df: DataFrame) -> bool:
     """One-row probe (``limit 1``), not a count."""
     return df.isEmpty()
@@ -30,10 +39,10 @@ def append_prices(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ("
     if run_id is not None:
         writer = df.withColumn("run_id", F.lit(run_id))
         cols = [*cols, "run_id"]
-        (writer.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (clustered(writer, cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*cols).parquet(path))
         return True
-    writer.write.mode("append").partitionBy(*cols).parquet(path)
+    clustered(writer, cols).write.mode("append").partitionBy(*cols).parquet(path)
     return True
 
 
@@ -52,7 +61,7 @@ JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # keep microseconds in JSON
 def archive_json(df: DataFrame, root: str, partition_cols: tuple[str, ...] = ("chain", "category", "dt")) -> None:
     """K4: daily JSON archive ``chain/category/dt``; a same-day run replaces
     that day's partition only (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (clustered(df, list(partition_cols)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("timestampFormat", JSON_TS_FORMAT).partitionBy(*partition_cols).json(root))
 
 
@@ -71,9 +80,9 @@ def archive_timestamped(df: DataFrame, root: str, load_ts: Column, source_url: C
     a directory per record would put millions of tiny files on the store);
     each record keeps ``source_name`` (last URL segment), so the object key
     ``<load_key>_<source_name>`` is recovered on read (``archived_objects``)."""
-    (df.withColumn("load_key", key_timestamp(load_ts))
-       .withColumn("source_name", last_path_segment(source_url))
-       .write.mode("append").partitionBy("load_key").json(root))
+    keyed = (df.withColumn("load_key", key_timestamp(load_ts))
+             .withColumn("source_name", last_path_segment(source_url)))
+    clustered(keyed, ["load_key"]).write.mode("append").partitionBy("load_key").json(root)
 
 
 def archived_objects(spark, root: str, schema: str) -> DataFrame:
