@@ -126,9 +126,7 @@ def union_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("raw_price_rows", O.raw_price_rows)
 def raw_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    items = conv.selectExpr(*[f"{v} AS {k}" for k, v in inputs.conversation_price_exprs("spark").items()])
-    rows = models.raw_price_rows(items, F.col("store_name"), "dulce_de_leche", F.col("scraped_at"))
+    rows = _raw_price_rows_ltz(spark, sf_dir)
     return rows.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
 
 
@@ -298,8 +296,8 @@ def surrogate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("json_archive", O.json_archive)
 def json_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5 + S3: page records archived as JSON under ``<ts>_<name>`` keys,
-    read back with the key taken from the object path."""
+    """K5: page records archived as JSON by load run; on read the object key
+    ``<yyyymmdd_hhmmss>_<last url segment>`` is rebuilt per record."""
     root = shared_dir(spark, "archive", "json_data")
     pg = load(spark, sf_dir, "pages").select("page_id", "url")
     # hourly load runs of 100 pages each
