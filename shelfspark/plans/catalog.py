@@ -118,7 +118,7 @@ def clean_product_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("union_prices", O.union_prices)
 def union_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_type")
+    part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_type", "p_size")
     slices = [part.where(F.expr(cond)).selectExpr(*[f"{v} AS {k}" for k, v in inputs.part_slice_exprs(s).items()])
               for s, cond in inputs.PART_SLICES]
     return prices.union_price_feeds([prices.sample_prices(spark), *slices])
@@ -263,8 +263,9 @@ def price_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: the same run appended twice doubles the rows (no dedup)."""
     path = shared_dir(spark, "tables", "raw_prices")
     rows = _raw_price_rows_ltz(spark, sf_dir)
-    writers.append_prices(rows, path)
-    writers.append_prices(rows, path)
+    required = ["raw_data", "scraped_date", "scraped_datetime", "store_name", "category"]
+    writers.append_prices(rows, path, required=required)
+    writers.append_prices(rows, path, required=required)
     back = spark.read.schema(RAW_PRICE_SCHEMA).parquet(path)
     return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
 
@@ -274,8 +275,9 @@ def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: replaced twice, then an empty refresh that the guard ignores."""
     path = shared_dir(spark, "tables", "raw_store_text")
     snap = inputs.raw_store_text(spark, sf_dir)
-    writers.replace_snapshot(snap, path)
-    writers.replace_snapshot(snap, path)
+    required = ["id", "ubicacion_texto", "fecha_extraccion", "fuente"]
+    writers.replace_snapshot(snap, path, required=required)
+    writers.replace_snapshot(snap, path, required=required)
     writers.replace_snapshot(snap.where(F.lit(False)), path)
     back = spark.read.parquet(path)
     return back.withColumn("fecha_extraccion", F.col("fecha_extraccion").cast("timestamp_ntz"))
@@ -309,15 +311,16 @@ def json_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_ingest", O.stream_ingest)
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelopes land in two waves; three ``availableNow`` runs; every
-    item is ingested exactly once."""
+    """Envelopes land in two waves (two chains, then the third); three
+    ``availableNow`` runs; every item is ingested exactly once."""
     base = shared_dir(spark, "stream")
     landing, table, ckpt = f"{base}/landing", f"{base}/raw_prices", f"{base}/_checkpoint"
     env = inputs.conversation_envelopes(spark, sf_dir)
     store = F.regexp_extract(F.col("source_file"), r"store=([^/]+)", 1)
-    env.where(F.col("wave") == 0).drop("wave").write.partitionBy("store").json(f"{landing}")
+    wave = inputs.envelope_wave(F.col("store"))
+    env.where(wave == 0).write.partitionBy("store").json(landing)
     ingest.ingest_new_envelopes(spark, landing, table, ckpt, store)
-    env.where(F.col("wave") == 1).drop("wave").write.mode("append").partitionBy("store").json(f"{landing}")
+    env.where(wave == 1).write.mode("append").partitionBy("store").json(landing)
     ingest.ingest_new_envelopes(spark, landing, table, ckpt, store)
     ingest.ingest_new_envelopes(spark, landing, table, ckpt, store)  # nothing new
     back = spark.read.schema(RAW_PRICE_SCHEMA).parquet(table)

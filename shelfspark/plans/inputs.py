@@ -200,8 +200,9 @@ def part_slice_exprs(store: str) -> dict[str, str]:
     }
 
 
-PART_SLICES = [("CARREFOUR", "p_partkey % 3 = 0"), ("JUMBO", "p_partkey % 3 = 1"),
-               ("VEA", "p_partkey % 3 = 2")]
+# three chains' feeds = three package-size ranges of the part table (together: every part)
+PART_SLICES = [("CARREFOUR", "p_size <= 17"), ("JUMBO", "p_size BETWEEN 18 AND 34"),
+               ("VEA", "p_size >= 35 OR p_size IS NULL")]
 
 
 # ------------------------------------------------------------ nested doc ----
@@ -272,8 +273,8 @@ def envelope_ts_sql(engine: str) -> str:
 
 
 def conversation_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conversations -> scrape envelopes of up to 8 consecutive turns, in
-    two arrival waves; ``store`` is the landing partition."""
+    """conversations -> scrape envelopes of up to 8 consecutive turns;
+    ``store`` is the landing partition."""
     from pyspark.sql import functions as F
     conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     chunked = conv.selectExpr("conv_id", "turn", "text", f"CAST(floor(turn / {ENVELOPE_CHUNK}) AS BIGINT) AS chunk",
@@ -286,5 +287,10 @@ def conversation_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("_s").cast("int").alias("pages_processed"),
         F.size("_s").cast("int").alias("total_items"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        F.expr("CASE conv_id % 3 WHEN 0 THEN 'CARREFOUR' WHEN 1 THEN 'JUMBO' ELSE 'VEA' END").alias("store"),
-        (F.col("conv_id") % 2).alias("wave"))
+        F.expr("CASE conv_id % 3 WHEN 0 THEN 'CARREFOUR' WHEN 1 THEN 'JUMBO' ELSE 'VEA' END").alias("store"))
+
+
+def envelope_wave(store: "Column"):
+    """Arrival wave of an envelope: two chains' runs land first, the third later."""
+    from pyspark.sql import functions as F
+    return F.when(store == "VEA", F.lit(1)).otherwise(F.lit(0))

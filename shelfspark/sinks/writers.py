@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import key_timestamp, last_path_segment
+from ..operators.quality import enforce_required
 
 
 def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -28,12 +29,15 @@ def is_empty(df: DataFrame) -> bool:
 
 
 def append_prices(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ("scraped_date", "store_name"),
-                  run_id: str | None = None) -> bool:
+                  run_id: str | None = None, required: list[str] | None = None) -> bool:
     """K1: append only; empty input -> no write, returns False.  A second run
     on one day doubles the rows, as in the reference; pass ``run_id`` to make
-    a re-run of the same run replace its own partition instead."""
+    a re-run of the same run replace its own partition instead.  ``required``
+    columns are audited first (K3): a NULL fails the load before writing."""
     if is_empty(df):
         return False
+    if required:
+        enforce_required(df, required)
     cols = list(partition_cols)
     writer = df
     if run_id is not None:
@@ -46,11 +50,14 @@ def append_prices(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ("
     return True
 
 
-def replace_snapshot(df: DataFrame, path: str) -> bool:
+def replace_snapshot(df: DataFrame, path: str, required: list[str] | None = None) -> bool:
     """K2: full refresh guarded by *rows*: no input rows -> the previous
-    snapshot is kept (returns False).  One overwrite, no delete-then-insert."""
+    snapshot is kept (returns False).  One overwrite, no delete-then-insert.
+    ``required`` columns are audited first (K3)."""
     if is_empty(df):
         return False
+    if required:
+        enforce_required(df, required)
     df.write.mode("overwrite").parquet(path)
     return True
 
