@@ -82,3 +82,15 @@ def test_options_and_groups(spark):
 def test_native_tag_path(spark):
     r = pages.extract_tag_native(pages_df(spark), "article").first()
     assert r.text == "short $1"
+
+
+def test_general_path_agrees_with_native_path_on_real_pages(spark):
+    import re
+
+    from .conftest import SF
+    pg = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+    norm = lambda t: re.sub(r"\s+", " ", t or "").strip()
+    for tag in ("li", "article"):
+        a = {(r.page_id, r.pos): norm(r.text) for r in pages.extract_elements(pg, [tag]).collect()}
+        b = {(r.page_id, r.pos): norm(r.text) for r in pages.extract_tag_native(pg, tag).collect()}
+        assert a == b and len(a) > 0, tag
