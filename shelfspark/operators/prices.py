@@ -63,3 +63,28 @@ def sample_prices(spark: SparkSession) -> DataFrame:
 def union_price_feeds(feeds: list[DataFrame]) -> DataFrame:
     """One price feed from same-schema per-chain tables."""
     return reduce(lambda a, b: a.unionByName(b), feeds)
+
+
+def with_previous_price_bucketed(prices: DataFrame, keys: list[str], order: str, bucket: Column,
+                                 price: str = "price") -> DataFrame:
+    """W4 for keys that may hold a large share of all rows.
+
+    A plain ``lag`` window sends every row of a key to one task.  Here rows
+    are windowed per ``(key, bucket)`` (``bucket`` = e.g. the month of the
+    observation time), so a hot key is spread over its time buckets.  The
+    first row of each bucket takes the last price of the key's previous
+    non-empty bucket from a summary with one row per (key, bucket).  The
+    summary is partially aggregated before its shuffle (one row per key and
+    bucket leaves each map task) and windowed per key, bounded by the number
+    of buckets; it costs a second, light pass over the input.  ``order`` must
+    be unique within a key.  Same result as ``with_previous_price``."""
+    w_in = Window.partitionBy(*keys, "_bucket").orderBy(order)
+    inner = (prices.withColumn("_bucket", bucket)
+             .withColumn("prev_price", F.lag(price).over(w_in))
+             .withColumn("_first", F.row_number().over(w_in) == 1))
+    last = inner.groupBy(*keys, "_bucket").agg(F.max_by(price, order).alias("_last"))
+    carry = last.select(*keys, "_bucket",
+                        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carry"))
+    return (inner.join(carry, [*keys, "_bucket"], "left")
+            .withColumn("prev_price", F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("prev_price")))
+            .drop("_bucket", "_first", "_carry"))

@@ -395,3 +395,16 @@ def stores_per_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = raw.select("provincia", facts.item_count(F.from_json("raw_data", "array<string>")).alias("k"))
     return items.groupBy("provincia").agg(F.count(F.lit(1)).cast("bigint").alias("sucursales"),
                                           F.sum("k").cast("bigint").alias("datos_crudos"))
+
+
+@register("price_change_pct_bucketed", O.price_change_pct)
+def price_change_pct_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same result as ``price_change_pct`` with the hot-key-safe W4
+    (monthly buckets of the ship date)."""
+    li = load(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice", "l_quantity")
+    obs = li.groupBy("l_partkey", "l_shipdate").agg(
+        F.min(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).alias("price"))
+    prev = prices.with_previous_price_bucketed(obs, ["l_partkey"], "l_shipdate",
+                                               F.date_trunc("month", F.col("l_shipdate")))
+    return prev.select("l_partkey", F.to_date("l_shipdate").alias("ship_date"), "price", "prev_price",
+                       prices.price_change_pct(F.col("price"), F.col("prev_price")).alias("price_change_pct"))

@@ -62,3 +62,17 @@ def test_parse_card(spark):
 
 def test_sample_prices(spark):
     assert prices.sample_prices(spark).count() == 4
+
+
+def test_bucketed_previous_price_equals_plain_lag(spark):
+    import random
+    rnd = random.Random(3)
+    base = dt.datetime(2025, 1, 1)
+    rows = [("hot", base + dt.timedelta(hours=7 * i), float(rnd.randint(1, 99))) for i in range(600)]
+    rows += [("cold", base + dt.timedelta(days=40 * i), float(i + 1)) for i in range(5)]
+    df = spark.createDataFrame(rows, "product string, at timestamp, price double")
+    plain = {(r.product, r.at): r.prev_price
+             for r in prices.with_previous_price(df, ["product"], "at").collect()}
+    buck = {(r.product, r.at): r.prev_price for r in prices.with_previous_price_bucketed(
+        df, ["product"], "at", F.date_trunc("week", F.col("at"))).collect()}
+    assert plain == buck and len(buck) == 605
