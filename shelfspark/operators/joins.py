@@ -22,8 +22,12 @@ def row_count_at_most(df: DataFrame, bound: int) -> bool:
     return df.limit(bound + 1).count() <= bound
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.  A caller
+    that built ``df`` from a driver-side literal passes ``known_rows`` (the
+    bound is then proven without running a job)."""
+    small = known_rows <= max_rows if known_rows is not None else row_count_at_most(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def skew_safe_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

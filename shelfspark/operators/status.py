@@ -31,10 +31,12 @@ def names_table(spark: SparkSession, names: dict[str, str], key: str, label: str
     return spark.createDataFrame(sorted(names.items()), f"{key} string, {label} string")
 
 
-def with_display_name(df: DataFrame, names: DataFrame, key: str, label: str) -> DataFrame:
+def with_display_name(df: DataFrame, names: DataFrame, key: str, label: str,
+                      known_rows: int | None = None) -> DataFrame:
     """Key -> label, the key itself when missing.  ``names`` is a lookup
-    table of bounded size; it is broadcast only after that bound is checked."""
-    joined = df.join(bounded_broadcast(names, max_rows=100_000), key, "left")
+    table of bounded size; it is broadcast only after that bound is proven
+    (``known_rows`` for a table built from a driver-side dict)."""
+    joined = df.join(bounded_broadcast(names, max_rows=100_000, known_rows=known_rows), key, "left")
     return joined.withColumn(label, F.coalesce(F.col(label), F.col(key).cast("string")))
 
 

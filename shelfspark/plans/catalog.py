@@ -92,7 +92,8 @@ def status_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def status_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _status_rows(spark, sf_dir)
     names = status.names_table(spark, inputs.PRIORITY_LABELS, "o_orderpriority", "priority_label")
-    return status.with_display_name(rows, names, "o_orderpriority", "priority_label").select(
+    return status.with_display_name(rows, names, "o_orderpriority", "priority_label",
+                                    known_rows=len(inputs.PRIORITY_LABELS)).select(
         "o_orderkey", "ds", "status", "priority_label")
 
 
