@@ -132,7 +132,8 @@ def extract_elements(pages: DataFrame, selectors: list[str], text_mode: str = "i
                         out["selector_idx"].append(si)
                         out["pos"].append(pos)
                         out["text"].append(to_text(node))
-            yield pd.DataFrame(out).astype({"page_id": "int64", "selector_idx": "int32", "pos": "int32"})
+            if out["page_id"]:  # an empty frame would carry untyped columns
+                yield pd.DataFrame(out).astype({"page_id": "int64", "selector_idx": "int32", "pos": "int32"})
 
     return spread_for_cpu(pages.select("page_id", "html")).mapInPandas(run, ELEMENT_SCHEMA)
 
@@ -178,7 +179,8 @@ def extract_options(pages: DataFrame) -> DataFrame:
                         out["pos"].append(pos)
                         out["codigo"].append(o.attrs.get("value"))
                         out["nombre"].append(H.text_content(o))
-            yield pd.DataFrame(out).astype({"page_id": "int64", "select_idx": "int32", "pos": "int32"})
+            if out["page_id"]:
+                yield pd.DataFrame(out).astype({"page_id": "int64", "select_idx": "int32", "pos": "int32"})
 
     return spread_for_cpu(pages.select("page_id", "html")).mapInPandas(
         run, "page_id bigint, select_idx int, pos int, codigo string, nombre string")

@@ -409,3 +409,29 @@ def price_change_pct_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                F.date_trunc("month", F.col("l_shipdate")))
     return prev.select("l_partkey", F.to_date("l_shipdate").alias("ship_date"), "price", "prev_price",
                        prices.price_change_pct(F.col("price"), F.col("prev_price")).alias("price_change_pct"))
+
+
+# ------------------------------------------------------------------ flows ----
+@register("product_flow_pages", None)
+def product_flow_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§3.1 over stored pages (one crawl run per site, pages in id order):
+    cards -> verdict -> cut-off -> raw rows -> required check -> append;
+    returns the per-run crawl summary."""
+    from . import flows
+    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    site = F.regexp_extract(F.col("url"), r"^https?://([^/?#]+)", 1)
+    _, summary = flows.product_price_flow(pg, "CARREFOUR", site, F.col("page_id"),
+                                          shared_dir(spark, "tables", "flow_prices"),
+                                          F.timestamp_micros(F.lit(inputs.BASE_MICROS)))
+    return summary
+
+
+@register("branch_flow", O.branch_flow)
+def branch_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§3.2 JSON variant: nested document -> flatten -> guarded replace ->
+    branch model."""
+    from . import flows
+    nested = inputs.nested_branches(spark, sf_dir)
+    model, _audit = flows.branch_flow(nested, "branches_by_province", shared_dir(spark, "tables", "flow_branches"),
+                                      F.col("fecha"))
+    return model

@@ -421,3 +421,7 @@ def stores_per_province() -> str:
     return f"""SELECT provincia, CAST(count(*) AS BIGINT) AS sucursales,
        CAST(sum(CASE WHEN json_valid(raw_data) THEN len(from_json(raw_data, '["VARCHAR"]')) END) AS BIGINT) AS datos_crudos
 FROM ({inputs.raw_branches_sql()}) GROUP BY provincia"""
+
+
+def branch_flow() -> str:
+    return branch_model(flatten_branches(), order=False)
