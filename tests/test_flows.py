@@ -42,3 +42,19 @@ def test_branch_flow_audit(spark, tmp_dir):
     assert (r.direccion_principal, r.hora_apertura, r.hora_cierre) == ("Calle 1", "9:00", "18:00")
     assert {a.column_name: a.null_rows for a in audit.collect()} == \
         {"sucursal_id": 0, "nombre_sucursal": 0, "provincia": 0}
+
+
+def test_store_text_flow(spark, tmp_dir):
+    from shelfspark.functions import patterns as P
+    li = f'<li class="{P.STORE_ITEM_CLASS}">'
+    html = (f'<ul class="{P.STORE_LIST_CLASSES}">'
+            f'{li}HIPERMERCADO<br>Av. Mitre 100, Avellaneda, Buenos Aires<br>Abierto 08:00 a 21:30</li>'
+            f'{li}EXPRESS<br>Calle 1, La Plata<br>Cerrado</li></ul>')
+    pg = spark.createDataFrame([(1, "https://x/sucursales", html)], "page_id bigint, url string, html string")
+    path = os.path.join(tmp_dir, "stores")
+    out = flows.store_text_flow(pg, path, F.lit(dt.datetime(2025, 6, 16, 6, 0)))
+    got = sorted((r.tipo, r.provincia, r.hora_apertura, r.hora_cierre) for r in out.collect())
+    assert got == [("Express", None, None, None), ("Hipermercado", "Buenos Aires", "08:00", "21:30")]
+    empty = spark.createDataFrame([(2, "u", "<ul></ul>")], "page_id bigint, url string, html string")
+    flows.store_text_flow(empty, path, F.lit(dt.datetime(2025, 6, 17, 6, 0)))   # guard keeps snapshot
+    assert spark.read.parquet(path).count() == 2
