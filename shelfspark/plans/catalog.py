@@ -40,7 +40,7 @@ def store_text_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("branch_facts", O.branch_facts)
 def branch_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.order_branches(models.parse_branch_json(inputs.raw_branches(spark, sf_dir)))
+    return models.parse_branch_json_ordered(inputs.raw_branches(spark, sf_dir))
 
 
 @register("branch_facts_documents", O.branch_facts_documents)
