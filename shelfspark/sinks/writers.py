@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import key_timestamp, last_path_segment
-from ..operators.quality import enforce_required
+from ..operators.quality import enforce_required, required_inline
 
 
 def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -33,11 +33,12 @@ def append_prices(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ("
     """K1: append only; empty input -> no write, returns False.  A second run
     on one day doubles the rows, as in the reference; pass ``run_id`` to make
     a re-run of the same run replace its own partition instead.  ``required``
-    columns are audited first (K3): a NULL fails the load before writing."""
+    columns are checked while writing (K3): a NULL fails the job, and a
+    failed append commits no file."""
     if is_empty(df):
         return False
     if required:
-        enforce_required(df, required)
+        df = required_inline(df, required)
     cols = list(partition_cols)
     writer = df
     if run_id is not None:

@@ -94,3 +94,14 @@ def test_stream_ingest_exactly_once(spark, tmp_dir):
     ingest.ingest_new_envelopes(spark, landing, table, ckpt, "VEA")
     got = sorted(r.raw_data for r in spark.read.parquet(table).collect())
     assert got == ['"x $ 1"', '"y $ 2"', '"z $ 3"']
+
+
+def test_append_with_null_in_required_column_writes_nothing(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "prices_req")
+    good = raw_rows(spark, 2)
+    writers.append_prices(good, p, required=["raw_data", "store_name"])
+    bad = good.withColumn("store_name", F.when(F.col("raw_data") == '"item 1"', F.lit(None))
+                          .otherwise(F.col("store_name")))
+    with pytest.raises(Exception):
+        writers.append_prices(bad, p, required=["raw_data", "store_name"])
+    assert spark.read.parquet(p).count() == 2
