@@ -53,8 +53,12 @@ def append_prices(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ("
 
 def replace_snapshot(df: DataFrame, path: str, required: list[str] | None = None) -> bool:
     """K2: full refresh guarded by *rows*: no input rows -> the previous
-    snapshot is kept (returns False).  One overwrite, no delete-then-insert.
-    ``required`` columns are audited first (K3)."""
+    snapshot is kept (returns False).  One overwrite instead of the
+    reference's delete-then-insert with a swallowed delete error.
+    ``required`` columns are audited before writing (K3), because a failed
+    overwrite job has already cleared the folder.  Like any plain-file
+    overwrite it is not atomic: if the job dies mid-write, rerun it (the
+    input is unchanged) or use a transactional table format."""
     if is_empty(df):
         return False
     if required:
