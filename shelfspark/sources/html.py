@@ -7,7 +7,8 @@ selectors need is supported:
 
 * compound selectors ``tag``, ``.class``, ``tag.class.other``, ``[attr]``,
   ``[attr="v"]``, ``[attr*="v"]``; descendant combinator (space); comma lists;
-* text selectors ``text="..."`` (element whose own text is exactly that).
+* text selectors ``text="..."`` (smallest element whose whitespace-normalised
+  text is exactly that).
 
 Two text conventions are offered, as in the reference: ``inner`` mimics
 rendered text (line breaks at blocks, script/style dropped, spaces collapsed)
@@ -160,7 +161,9 @@ def compile_selector(selector: str):
     def matches(n: Node) -> bool:
         for kind, spec in alts:
             if kind == "text":
-                if own_text(n).strip() == spec:
+                # smallest element whose whitespace-normalised text is exactly spec
+                if n.tag not in HIDDEN and _norm(text_content(n)) == spec and not any(
+                        isinstance(c, Node) and _norm(text_content(c)) == spec for c in n.children):
                     return True
                 continue
             if not spec[-1](n):
@@ -178,6 +181,10 @@ def compile_selector(selector: str):
 
 
 # ------------------------------------------------------------------ text ----
+def _norm(t: str) -> str:
+    return " ".join(t.split())
+
+
 def own_text(n: Node) -> str:
     return "".join(c for c in n.children if isinstance(c, str))
 

@@ -58,3 +58,10 @@ def test_create_or_replace_and_views(spark):
     writers.publish_view(spark.range(2), "shelfspark_test_view")
     assert spark.table("shelfspark_test_view").count() == 2
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_text_selector_smallest_element():
+    order = H.parse("<main><div>Sin <b>resultados</b></div><p><span> No hay  productos </span></p></main>")
+    sel = lambda s: [n.tag for n in H.compile_selector(s)(order)]
+    assert sel('text="Sin resultados"') == ["div"]
+    assert sel('text="No hay productos"') == ["span"]
