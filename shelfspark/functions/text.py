@@ -58,11 +58,21 @@ def json_quote(c: ColumnOrName) -> Column:
     return F.btrim(F.to_json(F.array(_c(c))), F.lit("[]"))
 
 
+def python_json_quote(c: ColumnOrName) -> Column:
+    """``json.dumps(s, ensure_ascii=False)``: as ``json_quote`` but U+2028 and
+    U+2029 stay literal (Jackson escapes them, Python does not).  Only an
+    escape preceded by an even run of backslashes is a real escape."""
+    x = json_quote(c)
+    for cp in ("2028", "2029"):
+        x = F.regexp_replace(x, r"(?<!\\)((?:\\\\)*)\\u" + cp, "$1" + chr(int(cp, 16)))
+    return x
+
+
 def json_array_text(c: ColumnOrName, sep: str = ", ") -> Column:
     """JSON text of an array of strings with Python's default item separator
     (``json.dumps(list, ensure_ascii=False)`` writes ``["a", "b"]``)."""
     arr = _c(c)
-    return F.concat(F.lit("["), F.array_join(F.transform(arr, lambda x: json_quote(x)), sep, "null"),
+    return F.concat(F.lit("["), F.array_join(F.transform(arr, lambda x: python_json_quote(x)), sep, "null"),
                     F.lit("]"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import (json_array_text, json_quote, regexp_extract_or_null, time_of_day,
+from ..functions.text import (json_array_text, python_json_quote, regexp_extract_or_null, time_of_day,
                               title_case, ustrip)
 from . import facts
 
@@ -166,7 +166,7 @@ def raw_price_rows(items: DataFrame, store_name: str | Column, category: str | C
     one value per run, or the envelope's own timestamp)."""
     lab = lambda v: v if isinstance(v, Column) else F.lit(v)
     return items.select(
-        json_quote(F.col(item_col)).alias("raw_data"),
+        python_json_quote(F.col(item_col)).alias("raw_data"),
         F.to_date(scraped_at).alias("scraped_date"),
         scraped_at.cast("timestamp").alias("scraped_datetime"),
         lab(store_name).alias("store_name"),

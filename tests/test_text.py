@@ -46,3 +46,11 @@ def test_non_blank_and_label_rows(spark):
                             date_col="scraped_date", ts_col="scraped_datetime").first()
     assert out.store_name == "VEA" and str(out.scraped_date) == "2025-06-16"
     assert out.scraped_datetime.microsecond == 123456
+
+
+def test_python_json_quote_keeps_line_separators(spark):
+    import json
+    cases = ["a\u2028b\u2029c", "lit \\u2028 kept", "both \\\u2028", 'q"\\ ', "\\"]
+    assert "\u2028" in cases[0] and len(cases[1]) == len("lit ") + 6 + len(" kept")
+    for s in cases:
+        assert one(spark, T.python_json_quote, s) == json.dumps(s, ensure_ascii=False), repr(s)
