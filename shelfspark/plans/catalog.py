@@ -17,7 +17,7 @@ from ..functions.text import json_array_text
 from ..operators import crawl, facts, joins, models, options, pages, prices, quality, status
 from ..session import shared_dir
 from ..sinks import writers
-from ..sources.tables import load
+from ..sources.tables import load, spread_for_cpu
 from ..streaming import ingest
 from . import inputs
 from . import oracle_sql as O
@@ -112,8 +112,9 @@ def price_change_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_product_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     srcs = [("part", "p_partkey", "p_name"), ("customer", "c_custkey", "c_name"),
             ("documents", "doc_id", "text")]
-    frames = [load(spark, sf_dir, t).select(F.lit(t).alias("source"), F.col(k).cast("bigint").alias("key"),
-                                            clean(F.col(c)).alias("clean_name")) for t, k, c in srcs]
+    frames = [spread_for_cpu(load(spark, sf_dir, t).select(k, c)).select(
+        F.lit(t).alias("source"), F.col(k).cast("bigint").alias("key"), clean(F.col(c)).alias("clean_name"))
+        for t, k, c in srcs]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
