@@ -49,7 +49,7 @@ def parse_card(raw_text: Column) -> list[Column]:
     number = F.regexp_replace(F.regexp_replace(amount, r"\.", ""), ",", ".")
     return [
         F.regexp_extract(raw_text, r"^\s*([^\n]*\S)", 1).alias("product_name"),
-        F.try_to_number(number, F.lit("9999999999.99")).cast("decimal(12,2)").alias("price"),
+        number.try_cast("decimal(12,2)").alias("price"),
     ]
 
 

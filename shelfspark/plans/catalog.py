@@ -436,3 +436,12 @@ def branch_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _audit = flows.branch_flow(nested, "branches_by_province", shared_dir(spark, "tables", "flow_branches"),
                                       F.col("fecha"))
     return model
+
+
+@register("card_prices", O.card_prices)
+def card_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: product cards (built from ``part``) parsed back into product name
+    and price."""
+    cards = load(spark, sf_dir, "part").selectExpr("p_partkey", f"{inputs.card_text_sql('spark')} AS card")
+    name, price = prices.parse_card(F.col("card"))
+    return cards.select("p_partkey", name, price.cast("double").alias("price"))

@@ -294,3 +294,12 @@ def envelope_wave(store: "Column"):
     """Arrival wave of an envelope: two chains' runs land first, the third later."""
     from pyspark.sql import functions as F
     return F.when(store == "VEA", F.lit(1)).otherwise(F.lit(0))
+
+
+# ------------------------------------------------------------ card texts ----
+def card_text_sql(engine: str) -> str:
+    """A product card as collected: name, then the price in Argentine
+    format (``.`` thousands, ``,`` decimals), e.g. ``$ 1.234,50``."""
+    us = "format_number(p_retailprice, 2)" if engine == "spark" else "format('{:,.2f}', p_retailprice)"
+    ar = f"replace(replace(replace({us}, ',', '#'), '.', ','), '#', '.')"
+    return f"p_name || chr(10) || 'Precio final' || chr(10) || '$ ' || {ar}"

@@ -425,3 +425,13 @@ FROM ({inputs.raw_branches_sql()}) GROUP BY provincia"""
 
 def branch_flow() -> str:
     return branch_model(flatten_branches(), order=False)
+
+
+def card_prices() -> str:
+    amount = r"\$\s*([0-9]{1,3}(?:\.[0-9]{3})*(?:,[0-9]+)?|[0-9]+(?:,[0-9]+)?)"
+    return f"""
+WITH c AS (SELECT p_partkey, {inputs.card_text_sql('duckdb')} AS card FROM part),
+n AS (SELECT p_partkey, card, replace(replace(regexp_extract(card, {_q(amount)}, 1), '.', ''), ',', '.') AS num FROM c)
+SELECT p_partkey, regexp_extract(card, '^\\s*([^\\n]*\\S)', 1) AS product_name,
+       CAST(TRY_CAST(num AS DECIMAL(12,2)) AS DOUBLE) AS price
+FROM n"""

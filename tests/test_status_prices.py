@@ -76,3 +76,13 @@ def test_bucketed_previous_price_equals_plain_lag(spark):
     buck = {(r.product, r.at): r.prev_price for r in prices.with_previous_price_bucketed(
         df, ["product"], "at", F.date_trunc("week", F.col("at"))).collect()}
     assert plain == buck and len(buck) == 605
+
+
+def test_card_prices_round_trip(spark):
+    import __spark_entry__ as E
+    from .conftest import SF
+    got = E.queries()["card_prices"](spark, SF)
+    part = spark.read.parquet(f"{SF}/part.parquet").select("p_partkey", "p_name", "p_retailprice")
+    bad = got.join(part, "p_partkey").where((F.col("price") != F.round("p_retailprice", 2))
+                                            | (F.col("product_name") != F.col("p_name")))
+    assert got.count() == part.count() and bad.count() == 0
