@@ -19,15 +19,17 @@ RAW_BRANCH_REQUIRED = ["sucursal_id", "nombre", "provincia", "raw_data", "fecha_
 MODEL_NOT_NULL = ["sucursal_id", "nombre_sucursal", "provincia"]
 
 
-def crawl_pages(result_pages: DataFrame, chain: str, run: Column,
-                page_order: Column) -> tuple[DataFrame, DataFrame]:
+def crawl_pages(result_pages: DataFrame, chain: str, run: Column, page_order: Column,
+                hot_runs: bool = False) -> tuple[DataFrame, DataFrame]:
     """§3.1 stages 5-8 over stored result pages: primary-selector cards
     (H2 + P1), page evidence over all selectors (P2), verdict (P3, P4),
     empty-page rule (P5) and the chain's cut-off (W1).
 
     Returns ``(walked, cards)``: one row per page with the walk columns, and
     the valid cards in long form ``(page_id, pos, item)`` -- no per-page
-    arrays are collected; cards only meet the walk through a join."""
+    arrays are collected; cards only meet the walk through a join.
+    ``hot_runs=True`` uses the range-split cut-off for logs where one run
+    (site) holds a large share of all pages."""
     product_sels, _no_results, max_empty, *_ = P.CHAIN_CONFIGS[chain]
     pg = result_pages.select("page_id", "url", "html", run.alias("run"), page_order.alias("page_order"))
     # parse every page once: the elements feed both the page verdict and the
@@ -45,16 +47,21 @@ def crawl_pages(result_pages: DataFrame, chain: str, run: Column,
            .withColumn("n_cards", F.coalesce(F.col("n_cards"), F.lit(0))))
     log = log.withColumn("empty", crawl.page_is_empty(F.lit(200), F.lit(False), F.col("has_products"),
                                                       F.col("n_cards")))
-    return crawl.crawl_cutoff(log, "run", ["page_order", "page_id"], "empty", max_empty), cards
+    if hot_runs:
+        walked = crawl.crawl_cutoff_ranged(log.select("page_id", "run", "page_order", "n_cards", "empty"),
+                                           "run", ["page_order", "page_id"], "empty", max_empty)
+    else:
+        walked = crawl.crawl_cutoff(log, "run", ["page_order", "page_id"], "empty", max_empty)
+    return walked, cards
 
 
 def product_price_flow(result_pages: DataFrame, chain: str, run: Column, page_order: Column,
-                       table_path: str, load_ts: Column,
-                       category: str = P.PRICE_CATEGORY) -> tuple[bool, DataFrame]:
+                       table_path: str, load_ts: Column, category: str = P.PRICE_CATEGORY,
+                       hot_runs: bool = False) -> tuple[bool, DataFrame]:
     """§3.1: stored result pages -> kept cards -> raw price rows
     -> REQUIRED check (K3) -> append (K1).  Returns (written?, per-run
     summary A3)."""
-    walked, cards = crawl_pages(result_pages, chain, run, page_order)
+    walked, cards = crawl_pages(result_pages, chain, run, page_order, hot_runs)
     kept_pages = walked.where("kept").select("page_id", "run", "page_num")
     items = cards.join(kept_pages, "page_id", "inner")
     rows = models.raw_price_rows(items, chain, category, load_ts)

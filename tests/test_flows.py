@@ -24,12 +24,14 @@ def test_product_price_flow_end_to_end(spark, tmp_dir):
     site = F.regexp_extract(F.col("url"), r"^https?://([^/]+)", 1)
     path = os.path.join(tmp_dir, "prices")
     ts = F.lit(dt.datetime(2025, 6, 16, 8, 0))
-    written, summary = flows.product_price_flow(pg, "JUMBO", site, F.col("page_id"), path, ts)
-    assert written
-    got = {r.run: (r.total_items, r.pages_processed, r.pages_with_cards) for r in summary.collect()}
-    assert got == {"a": (5, None, 2), "b": (0, 1, 0)}
-    back = spark.read.parquet(path)
-    assert back.count() == 5 and {r.store_name for r in back.collect()} == {"JUMBO"}
+    for hot in (False, True):
+        p = f"{path}-{hot}"
+        written, summary = flows.product_price_flow(pg, "JUMBO", site, F.col("page_id"), p, ts, hot_runs=hot)
+        assert written
+        got = {r.run: (r.total_items, r.pages_processed, r.pages_with_cards) for r in summary.collect()}
+        assert got == {"a": (5, None, 2), "b": (0, 1, 0)}, hot
+        back = spark.read.parquet(p)
+        assert back.count() == 5 and {r.store_name for r in back.collect()} == {"JUMBO"}
 
 
 def test_branch_flow_audit(spark, tmp_dir):
