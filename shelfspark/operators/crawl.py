@@ -100,69 +100,80 @@ def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str,
 
     The window version sends a whole run to one task.  Here the log is
     range-partitioned on ``(run, order)`` so a hot run is split over many
-    tasks, then: (1) each partition summarises only its first and last run
-    segment (at most two rows per partition); (2) those summaries are scanned
-    in partition order on the driver -- their size is bounded by the
-    partition count, not by the data -- giving each boundary segment its
-    carried-in streak, page offset and "already stopped" flag; (3) each
-    partition walks its rows with numpy and emits ``page_num`` and ``kept``.
-    The ranged log is checkpointed once (shared checkpoint folder) so both
-    passes see identical partitions and lineage is cut.  Output: the input
-    columns plus ``page_num``, ``kept`` and ``stop_page`` (set on the
-    stopping page only, so ``crawl_summary``'s ``min`` gives the run's stop);
-    the kept rows equal ``crawl_cutoff``'s."""
+    tasks (a parallel prefix scan):
+
+    1. each partition summarises only its first and last run segment
+       (at most two rows per partition: length, leading/trailing empty
+       pages, whether a stop happens after its first non-empty page);
+    2. window functions over that summary (per run, in partition order)
+       give every boundary segment its carried-in streak, page offset and
+       "already stopped" flag -- a table bounded by twice the partition count;
+    3. the carries are broadcast-joined back (proven size bound, and the
+       streamed side keeps its partitioning and order) and each partition
+       walks its rows with numpy, emitting ``page_num``, ``kept`` and
+       ``stop_page`` (set on the stopping page only, so ``crawl_summary``'s
+       ``min`` gives the run's stop).
+
+    The ranged log is checkpointed once (shared checkpoint folder) so every
+    pass sees identical partitions and lineage is cut.  Kept rows equal
+    ``crawl_cutoff``'s."""
     import numpy as np
     import pandas as pd
-    from pyspark import TaskContext
     from pyspark.sql import types as T
 
+    from .joins import bounded_broadcast
+
     m = max(int(max_empty), 1)
     spark = log.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = log.repartitionByRange(n, run, *order).sortWithinPartitions(run, *order).checkpoint(eager=True)
+    ranged = (log.repartitionByRange(n, run, *order).sortWithinPartitions(run, *order)
+              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    run_type = ranged.schema[run].dataType.simpleString()
 
     def summarize(batches):
         pdf = pd.concat(list(batches), ignore_index=True)
-        pid = TaskContext.get().partitionId()
         rows = []
         if len(pdf):
             runs = pdf[run].to_numpy()
             emp = pdf[empty].to_numpy(dtype=bool)
+            pid = int(pdf["_pid"].iloc[0])
             segs = _segments(runs)
-            for which, (s, e) in {0: segs[0], 1: segs[-1]}.items():
+            for s, e in ([segs[0]] if len(segs) == 1 else [segs[0], segs[-1]]):
                 seg = emp[s:e]
                 ne = np.flatnonzero(~seg)
                 has_ne = len(ne) > 0
                 lead = int(ne[0]) if has_ne else int(e - s)
                 trail = int((e - s) - 1 - ne[-1]) if has_ne else int(e - s)
-                _, local_stop, _ = _walk(seg[lead:], 0, m) if has_ne else (None, None, None)
-                rows.append((pid, str(runs[s]), which, int(e - s), has_ne, lead, trail, local_stop is not None))
-        yield pd.DataFrame(rows, columns=["pid", "run", "which", "n", "has_ne", "lead", "trail", "local_stop"])
-
-    schema = ("pid int, run string, which int, n bigint, has_ne boolean, lead bigint, trail bigint, "
-              "local_stop boolean")
-    summary = ranged.mapInPandas(summarize, schema).collect()  # <= 2 rows per partition
-    carries: dict[tuple[int, str], tuple[int, int, bool]] = {}
-    state: dict[str, tuple[int, int, bool]] = {}
-    seen = set()
-    for r in sorted(summary, key=lambda r: (r.pid, r.which)):
-        if (r.pid, r.run) in seen:   # first and last segment are the same run
-            continue
-        seen.add((r.pid, r.run))
-        c, off, stopped = state.get(r.run, (0, 0, False))
-        carries[(r.pid, r.run)] = (c, off, stopped)
-        if not stopped:
-            k = max(m - c, 1)
-            stopped = (k <= r.lead) or bool(r.local_stop)
-        c = int(r.trail) if r.has_ne else c + int(r.n)
-        state[r.run] = (c, off + int(r.n), stopped)
-    carry_b = spark.sparkContext.broadcast(carries)
+                local_stop = has_ne and _walk(seg[lead:], 0, m)[1] is not None
+                rows.append((pid, runs[s], int(e - s), has_ne, lead, trail, local_stop))
+        yield pd.DataFrame(rows, columns=["_pid", run, "n", "has_ne", "lead", "trail", "local_stop"])
+
+    summary = ranged.mapInPandas(summarize, f"_pid int, {run} {run_type}, n bigint, has_ne boolean, "
+                                            "lead bigint, trail bigint, local_stop boolean")
+    w = Window.partitionBy(run).orderBy("_pid")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    s1 = summary.withColumn("_cum", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    s2 = s1.select(
+        "*",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_off"),
+        F.last(F.when(F.col("has_ne"), F.col("trail")), ignorenulls=True).over(before).alias("_lt"),
+        F.last(F.when(F.col("has_ne"), F.col("_cum")), ignorenulls=True).over(before).alias("_lc"))
+    # streak carried in = trailing empties of the last segment with a card
+    # page + every page of the all-empty segments after it
+    s3 = s2.withColumn("_c", F.coalesce(F.col("_lt"), F.lit(0)) + F.col("_off") - F.coalesce(F.col("_lc"), F.lit(0)))
+    s4 = s3.withColumn("_stop_here", (F.greatest(F.lit(m) - F.col("_c"), F.lit(1)) <= F.col("lead"))
+                       | F.col("local_stop"))
+    carries = s4.select("_pid", run, "_c", "_off", F.coalesce(
+        F.max(F.col("_stop_here").cast("int")).over(before), F.lit(0)).cast("boolean").alias("_stopped"))
+    # ``carries`` has at most two rows per partition (by construction of
+    # ``summarize``): a proven bound, so it is broadcast and the ranged rows
+    # keep their partitions and order through the join
+    with_carry = ranged.join(bounded_broadcast(carries, max_rows=2 * n, known_rows=2 * n),
+                             ["_pid", run], "left")
 
     def finish(batches):
-        pid = TaskContext.get().partitionId()
         pdf = pd.concat(list(batches), ignore_index=True)
         if not len(pdf):
-            yield pdf.assign(page_num=pd.Series(dtype="int64"), kept=pd.Series(dtype=bool))
             return
         runs = pdf[run].to_numpy()
         emp = pdf[empty].to_numpy(dtype=bool)
@@ -170,7 +181,10 @@ def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str,
         kept = np.zeros(len(pdf), dtype=bool)
         stop_page = np.full(len(pdf), np.nan)
         for s, e in _segments(runs):
-            c, off, stopped = carry_b.value.get((pid, str(runs[s])), (0, 0, False))
+            first = pdf.iloc[s]
+            c = 0 if pd.isna(first["_c"]) else int(first["_c"])
+            off = 0 if pd.isna(first["_off"]) else int(first["_off"])
+            stopped = False if pd.isna(first["_stopped"]) else bool(first["_stopped"])
             seg = emp[s:e]
             _, stop, _ = _walk(seg, c, m)
             idx = np.arange(e - s)
@@ -178,10 +192,12 @@ def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str,
             kept[s:e] = (~seg) & (not stopped) & ((idx < stop) if stop is not None else True)
             if stop is not None and not stopped:
                 stop_page[s + stop] = off + stop + 1   # only on the stopping page
-        yield pdf.assign(page_num=page_num, kept=kept,
+        out = pdf.drop(columns=["_pid", "_c", "_off", "_stopped"])
+        yield out.assign(page_num=page_num, kept=kept,
                          stop_page=pd.array(np.where(np.isnan(stop_page), None, stop_page), dtype="Int64"))
 
-    out_schema = T.StructType([*ranged.schema.fields, T.StructField("page_num", T.LongType()),
-                               T.StructField("kept", T.BooleanType()),
-                               T.StructField("stop_page", T.LongType())])
-    return ranged.mapInPandas(finish, out_schema)
+    out_schema = T.StructType([f for f in ranged.schema.fields if f.name != "_pid"]
+                              + [T.StructField("page_num", T.LongType()),
+                                 T.StructField("kept", T.BooleanType()),
+                                 T.StructField("stop_page", T.LongType())])
+    return with_carry.mapInPandas(finish, out_schema)

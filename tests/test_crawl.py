@@ -76,3 +76,25 @@ def test_ranged_cutoff_splits_hot_run(spark):
             pages = sorted((p, e) for r_, p, e in rows if r_ == run)
             want |= {(run, p) for p in loop_reference(pages, m)}
         assert got == want, m
+
+
+def test_ranged_cutoff_long_walks_across_partitions(spark):
+    import random
+    rnd = random.Random(11)
+    rows = []
+    for run, n, p in (("hot", 900, 0.25), ("x", 40, 0.5), ("y", 300, 0.1)):
+        rows += [(run, i, rnd.random() < p) for i in range(n)]
+    log = spark.createDataFrame(rows, "run string, page int, empty boolean").withColumn(
+        "cards", (~F.col("empty")).cast("int"))
+    for m in (3, 4, 6):
+        ann = crawl.crawl_cutoff_ranged(log, "run", ["page"], "empty", m, num_partitions=13)
+        got = {(r.run, r.page) for r in ann.where("kept").collect()}
+        want = set()
+        for run in ("hot", "x", "y"):
+            pages = sorted((pg, e) for r_, pg, e in rows if r_ == run)
+            want |= {(run, pg) for pg in loop_reference(pages, m)}
+        assert got == want, m
+        summ = {r.run: r.pages_processed for r in crawl.crawl_summary(ann, "run").collect()}
+        win = {r.run: r.pages_processed for r in crawl.crawl_summary(
+            crawl.crawl_cutoff(log, "run", ["page"], "empty", m), "run").collect()}
+        assert summ == win, m
