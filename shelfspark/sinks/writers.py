@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import key_timestamp, last_path_segment
+from ..operators.joins import bounded_broadcast
 from ..operators.quality import enforce_required, required_inline
 
 
@@ -134,7 +135,9 @@ def dense_index(df: DataFrame, order_cols: list[str], start: int | Column = 1, i
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     first = start if isinstance(start, Column) else F.lit(start)
-    return (marked.join(F.broadcast(offsets), "_pid")
+    # one row per partition of the checkpointed data: a proven bound
+    n_parts = marked.rdd.getNumPartitions()
+    return (marked.join(bounded_broadcast(offsets, max_rows=max(n_parts, 1), known_rows=n_parts), "_pid")
             .withColumn(id_col, (first + F.col("_off") + F.col("_local")).cast("bigint"))
             .drop("_mono", "_pid", "_local", "_off"))
 
