@@ -114,9 +114,11 @@ def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str,
        ``stop_page`` (set on the stopping page only, so ``crawl_summary``'s
        ``min`` gives the run's stop).
 
-    The ranged log is checkpointed once (shared checkpoint folder) so every
-    pass sees identical partitions and lineage is cut.  Kept rows equal
-    ``crawl_cutoff``'s."""
+    Both Python passes stream the partition's Arrow batches with a small
+    carried state, so memory is bounded by the batch size, not by the
+    partition or the run.  The ranged log is checkpointed once (shared
+    checkpoint folder) so every pass sees identical partitions and lineage
+    is cut.  Kept rows equal ``crawl_cutoff``'s."""
     import numpy as np
     import pandas as pd
     from pyspark.sql import types as T
@@ -131,21 +133,46 @@ def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str,
     run_type = ranged.schema[run].dataType.simpleString()
 
     def summarize(batches):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        rows = []
-        if len(pdf):
+        # streaming fold over the partition's Arrow batches (rows arrive in
+        # (run, order) order): keep the first segment's summary once it
+        # closes and the currently open one; middle segments need no carry
+        def update(cur, seg):
+            ne = np.flatnonzero(~seg)
+            if not cur["has_ne"]:
+                if not len(ne):
+                    cur["lead"] += len(seg)
+                    cur["trail"] += len(seg)
+                    cur["n"] += len(seg)
+                    return
+                cur["lead"] += int(ne[0])
+                cur["has_ne"] = True
+                rest, carry = seg[int(ne[0]):], 0
+            else:
+                rest, carry = seg, cur["trail"]
+            _, stop, out = _walk(rest, carry, m)
+            cur["local_stop"] = cur["local_stop"] or stop is not None
+            cur["trail"] = out
+            cur["n"] += len(seg)
+
+        def close(cur):
+            return (cur["pid"], cur["run"], cur["n"], cur["has_ne"], cur["lead"], cur["trail"], cur["local_stop"])
+
+        first, cur = None, None
+        for pdf in batches:
+            if not len(pdf):
+                continue
             runs = pdf[run].to_numpy()
             emp = pdf[empty].to_numpy(dtype=bool)
             pid = int(pdf["_pid"].iloc[0])
-            segs = _segments(runs)
-            for s, e in ([segs[0]] if len(segs) == 1 else [segs[0], segs[-1]]):
-                seg = emp[s:e]
-                ne = np.flatnonzero(~seg)
-                has_ne = len(ne) > 0
-                lead = int(ne[0]) if has_ne else int(e - s)
-                trail = int((e - s) - 1 - ne[-1]) if has_ne else int(e - s)
-                local_stop = has_ne and _walk(seg[lead:], 0, m)[1] is not None
-                rows.append((pid, runs[s], int(e - s), has_ne, lead, trail, local_stop))
+            for s, e in _segments(runs):
+                if cur is not None and cur["run"] != runs[s]:
+                    first = close(cur) if first is None else first
+                    cur = None
+                if cur is None:
+                    cur = {"pid": pid, "run": runs[s], "n": 0, "has_ne": False, "lead": 0, "trail": 0,
+                           "local_stop": False}
+                update(cur, emp[s:e])
+        rows = [] if cur is None else ([close(cur)] if first is None else [first, close(cur)])
         yield pd.DataFrame(rows, columns=["_pid", run, "n", "has_ne", "lead", "trail", "local_stop"])
 
     summary = ranged.mapInPandas(summarize, f"_pid int, {run} {run_type}, n bigint, has_ne boolean, "
@@ -172,29 +199,37 @@ def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str,
                              ["_pid", run], "left")
 
     def finish(batches):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if not len(pdf):
-            return
-        runs = pdf[run].to_numpy()
-        emp = pdf[empty].to_numpy(dtype=bool)
-        page_num = np.zeros(len(pdf), dtype="int64")
-        kept = np.zeros(len(pdf), dtype=bool)
-        stop_page = np.full(len(pdf), np.nan)
-        for s, e in _segments(runs):
-            first = pdf.iloc[s]
-            c = 0 if pd.isna(first["_c"]) else int(first["_c"])
-            off = 0 if pd.isna(first["_off"]) else int(first["_off"])
-            stopped = False if pd.isna(first["_stopped"]) else bool(first["_stopped"])
-            seg = emp[s:e]
-            _, stop, _ = _walk(seg, c, m)
-            idx = np.arange(e - s)
-            page_num[s:e] = off + idx + 1
-            kept[s:e] = (~seg) & (not stopped) & ((idx < stop) if stop is not None else True)
-            if stop is not None and not stopped:
-                stop_page[s + stop] = off + stop + 1   # only on the stopping page
-        out = pdf.drop(columns=["_pid", "_c", "_off", "_stopped"])
-        yield out.assign(page_num=page_num, kept=kept,
-                         stop_page=pd.array(np.where(np.isnan(stop_page), None, stop_page), dtype="Int64"))
+        # streaming fold: the carry columns seed the partition's first run;
+        # a run continuing into the next batch carries (streak, offset,
+        # stopped) in ``state``
+        state = None
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            runs = pdf[run].to_numpy()
+            emp = pdf[empty].to_numpy(dtype=bool)
+            page_num = np.zeros(len(pdf), dtype="int64")
+            kept = np.zeros(len(pdf), dtype=bool)
+            stop_page = np.full(len(pdf), np.nan)
+            for s, e in _segments(runs):
+                if state is not None and state[0] == runs[s]:
+                    _, c, off, stopped = state
+                else:
+                    first = pdf.iloc[s]
+                    c = 0 if pd.isna(first["_c"]) else int(first["_c"])
+                    off = 0 if pd.isna(first["_off"]) else int(first["_off"])
+                    stopped = False if pd.isna(first["_stopped"]) else bool(first["_stopped"])
+                seg = emp[s:e]
+                _, stop, out_streak = _walk(seg, c, m)
+                idx = np.arange(e - s)
+                page_num[s:e] = off + idx + 1
+                kept[s:e] = (~seg) & (not stopped) & ((idx < stop) if stop is not None else True)
+                if stop is not None and not stopped:
+                    stop_page[s + stop] = off + stop + 1   # only on the stopping page
+                state = (runs[s], out_streak, off + (e - s), stopped or stop is not None)
+            out = pdf.drop(columns=["_pid", "_c", "_off", "_stopped"])
+            yield out.assign(page_num=page_num, kept=kept,
+                             stop_page=pd.array(np.where(np.isnan(stop_page), None, stop_page), dtype="Int64"))
 
     out_schema = T.StructType([f for f in ranged.schema.fields if f.name != "_pid"]
                               + [T.StructField("page_num", T.LongType()),

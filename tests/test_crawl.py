@@ -98,3 +98,32 @@ def test_ranged_cutoff_long_walks_across_partitions(spark):
         win = {r.run: r.pages_processed for r in crawl.crawl_summary(
             crawl.crawl_cutoff(log, "run", ["page"], "empty", m), "run").collect()}
         assert summ == win, m
+
+
+def test_ranged_cutoff_state_across_arrow_batches(spark):
+    """Tiny Arrow batches: runs and streaks continue across batch boundaries
+    inside a partition (the streaming folds must carry their state)."""
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for run, n, p in (("hot", 500, 0.3), ("q", 60, 0.6), ("r", 200, 0.15)):
+        rows += [(run, i, rnd.random() < p) for i in range(n)]
+    log = spark.createDataFrame(rows, "run string, page int, empty boolean").withColumn(
+        "cards", (~F.col("empty")).cast("int"))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for m in (2, 4, 5):
+            ann = crawl.crawl_cutoff_ranged(log, "run", ["page"], "empty", m, num_partitions=5)
+            got = {(r.run, r.page, r.page_num) for r in ann.where("kept").collect()}
+            want = set()
+            for run in ("hot", "q", "r"):
+                pages = sorted((pg, e) for r_, pg, e in rows if r_ == run)
+                want |= {(run, pg, pg + 1) for pg in loop_reference(pages, m)}
+            assert got == want, m
+            summ = {r.run: r.pages_processed for r in crawl.crawl_summary(ann, "run").collect()}
+            win = {r.run: r.pages_processed for r in crawl.crawl_summary(
+                crawl.crawl_cutoff(log, "run", ["page"], "empty", m), "run").collect()}
+            assert summ == win, m
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
