@@ -30,15 +30,17 @@ def java_flags(pattern: str, ignore_case: bool = False) -> str:
     return ("(?iud)" if ignore_case else "(?d)") + pattern
 
 
-# Python's str.strip() whitespace == Unicode White_Space plus \x1c-\x1f.
-_WS = r"[\s\x1c-\x1f]"
+# The characters str.strip() removes: by rule, every code point whose
+# str.isspace() is true (none lies above U+3000).
+STRIP_CHARS = "".join(chr(cp) for cp in range(0x3001) if chr(cp).isspace())
 
 
 def ustrip(c: ColumnOrName) -> Column:
     """TRIM()/str.strip(): remove leading/trailing Unicode whitespace.
 
-    Spark's ``trim`` removes only ASCII spaces (trap #1)."""
-    return F.regexp_replace(_c(c), rf"(?U)^{_WS}+|{_WS}+$", "")
+    Spark's ``trim`` removes only ASCII spaces (trap #1); ``btrim`` with the
+    explicit whitespace set is a plain character scan, no regex."""
+    return F.btrim(_c(c), F.lit(STRIP_CHARS))
 
 
 def nullif_empty(c: ColumnOrName) -> Column:
