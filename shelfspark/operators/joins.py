@@ -1,8 +1,9 @@
 """Join helpers with explicit size and skew handling.
 
 * ``bounded_broadcast`` broadcasts a side only after proving its row count is
-  under a bound (a ``limit(bound+1).count()`` that stops early); otherwise the
-  side is returned as is and the planner/AQE choose the strategy.
+  under a bound -- by a ``limit(bound+1).count()`` that stops early, or by a
+  count known by construction; otherwise the side is returned as is and the
+  planner/AQE choose the strategy.
 * ``skew_safe_left_join`` computes ``left LEFT JOIN right`` as
   ``(left INNER JOIN right) UNION ALL (left ANTI JOIN distinct(right.keys))``.
   AQE can split a skewed partition on either side of an inner join, but on a

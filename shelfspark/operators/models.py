@@ -2,7 +2,8 @@
 
 Every function here is narrow (a projection per row), so they pipeline into
 the scan's whole-stage-codegen stage; the only exchange is the optional
-presentation sort of ``order_branches`` (O1).
+presentation sort (O1: ``order_branches`` on a model, or
+``parse_branch_json_ordered``, which sorts the raw rows before the model).
 """
 
 from __future__ import annotations

@@ -1,9 +1,11 @@
 """Price feed operators (W3, W4, F21, U1, U3, S4; B1, B2 bridges).
 
-``with_previous_price`` is the one shuffle here: a window partitioned by
-(store, product).  Callers aggregate to one observation per key and time
-first (``daily_price``), which shrinks the data before the exchange and makes
-the window order unique.
+The shuffles here are the per-key windows of W4 and the B2 aggregation.
+``with_previous_price`` windows per (store, product): callers aggregate to one
+observation per key and time first (``daily_price``), which shrinks the data
+before the exchange and makes the window order unique.
+``with_previous_price_bucketed`` windows per (key, time bucket) for keys
+that may hold a large share of all rows.
 """
 
 from __future__ import annotations

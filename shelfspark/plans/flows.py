@@ -1,7 +1,8 @@
 """End-to-end flows of the reference, composed from the operators.
 
 Each flow is what the reference's scheduled job does, as one Spark job graph
-over tables: no browser, no XCom hops, no driver-side row lists.
+over tables: no browser, no hand-offs of row lists between task processes,
+nothing gathered on the driver.
 """
 
 from __future__ import annotations
