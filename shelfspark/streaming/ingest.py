@@ -34,10 +34,13 @@ def envelope_rows(envelopes: DataFrame, store_name: str | Column, category: str
 
 
 def ingest_new_envelopes(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-                         store_name: str | Column, multiline: bool = False) -> None:
+                         store_name: str | Column, multiline: bool = False,
+                         max_files_per_trigger: int | None = None) -> None:
     """Run one ``availableNow`` pass: every file not yet seen by this
-    checkpoint is appended to ``table_path``; blocks until done."""
-    rows = envelope_rows(envelope_stream(spark, landing, multiline), store_name)
+    checkpoint is appended to ``table_path``; blocks until done.  With
+    ``max_files_per_trigger`` the backlog is drained in several bounded
+    micro-batches (each committed on its own), not one large one."""
+    rows = envelope_rows(envelope_stream(spark, landing, multiline, max_files_per_trigger), store_name)
     q = (rows.writeStream.format("parquet").outputMode("append")
          .option("path", table_path).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
