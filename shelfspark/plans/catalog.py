@@ -421,9 +421,10 @@ def product_flow_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import flows
     pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
     site = F.regexp_extract(F.col("url"), r"^https?://([^/?#]+)", 1)
+    # one site may hold a large share of all pages: range-split cut-off
     _, summary = flows.product_price_flow(pg, "CARREFOUR", site, F.col("page_id"),
                                           shared_dir(spark, "tables", "flow_prices"),
-                                          F.timestamp_micros(F.lit(inputs.BASE_MICROS)))
+                                          F.timestamp_micros(F.lit(inputs.BASE_MICROS)), hot_runs=True)
     return summary
 
 
