@@ -321,9 +321,9 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = F.regexp_extract(F.col("source_file"), r"store=([^/]+)", 1)
     wave = inputs.envelope_wave(F.col("store"))
     env.where(wave == 0).write.partitionBy("store").json(landing)
-    ingest.ingest_new_envelopes(spark, landing, table, ckpt, store, max_files_per_trigger=2)
+    ingest.ingest_new_envelopes(spark, landing, table, ckpt, store, max_files_per_trigger=1000)
     env.where(wave == 1).write.mode("append").partitionBy("store").json(landing)
-    ingest.ingest_new_envelopes(spark, landing, table, ckpt, store, max_files_per_trigger=2)
+    ingest.ingest_new_envelopes(spark, landing, table, ckpt, store, max_files_per_trigger=1000)
     ingest.ingest_new_envelopes(spark, landing, table, ckpt, store)  # nothing new
     back = spark.read.schema(RAW_PRICE_SCHEMA).parquet(table)
     return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))

@@ -20,7 +20,10 @@ def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
     write (``REBALANCE`` hint): without it every task writes a file into
     every partition value it holds (tasks x values small files).  AQE splits
     a skewed value (one store-day with a third of the rows) over several
-    tasks and coalesces small ones, so files stay near the advisory size."""
+    tasks and coalesces small ones, so files stay near the advisory size.
+    A single-partition input already writes each value once: no shuffle."""
+    if df.rdd.getNumPartitions() <= 1:
+        return df
     return df.hint("rebalance", *cols)
 
 
