@@ -60,3 +60,13 @@ def test_store_text_flow(spark, tmp_dir):
     empty = spark.createDataFrame([(2, "u", "<ul></ul>")], "page_id bigint, url string, html string")
     flows.store_text_flow(empty, path, F.lit(dt.datetime(2025, 6, 17, 6, 0)))   # guard keeps snapshot
     assert spark.read.parquet(path).count() == 2
+
+
+def test_flows_accept_current_datetime(spark, tmp_dir):
+    from shelfspark.functions.text import current_datetime
+    nested = spark.createDataFrame(
+        [({"BA": [{"id": "1", "nombre": "A", "provincia": "BA", "raw_data": ["Ruta 3 km 5"]}]},)],
+        "m map<string, array<struct<id string, nombre string, provincia string, raw_data array<string>>>>")
+    model, _ = flows.branch_flow(nested, "m", os.path.join(tmp_dir, "b"), current_datetime())
+    r = model.first()
+    assert r.direccion_principal == "Ruta 3 km 5" and r.fecha_extraccion_date is not None
