@@ -446,3 +446,15 @@ def card_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards = load(spark, sf_dir, "part").selectExpr("p_partkey", f"{inputs.card_text_sql('spark')} AS card")
     name, price = prices.parse_card(F.col("card"))
     return cards.select("p_partkey", name, price.cast("double").alias("price"))
+
+
+@register("sample_prices_table", O.union_prices)
+def sample_prices_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 + K8: the price feed published as a catalog table with CREATE OR
+    REPLACE semantics (first the literal sample rows, then the full feed),
+    read back through the catalog."""
+    name = "scraped_prices_" + shared_dir(spark, "x").rsplit("-", 1)[-1]
+    path = shared_dir(spark, "tables", name)
+    writers.create_or_replace(prices.sample_prices(spark), name, path)
+    writers.create_or_replace(union_prices(spark, sf_dir), name, path)
+    return spark.table(name)

@@ -107,9 +107,13 @@ def archived_objects(spark, root: str, schema: str) -> DataFrame:
     return back.withColumn("object_key", F.concat(F.col("load_key"), F.lit("_"), F.col("source_name")))
 
 
-def create_or_replace(df: DataFrame, table: str) -> None:
-    """K6: CTAS replace of a catalog table."""
-    df.write.mode("overwrite").saveAsTable(table)
+def create_or_replace(df: DataFrame, table: str, path: str | None = None) -> None:
+    """K6: CTAS replace of a catalog table (external at ``path`` when given,
+    e.g. under the shared folder; else in the session's warehouse)."""
+    writer = df.write.mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
