@@ -458,3 +458,21 @@ def sample_prices_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.create_or_replace(prices.sample_prices(spark), name, path)
     writers.create_or_replace(union_prices(spark, sf_dir), name, path)
     return spark.table(name)
+
+
+@register("json_docs_roundtrip", O.json_docs_roundtrip)
+def json_docs_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: arbitrary JSON documents (one per file, like one API response per
+    run) read back as VARIANT and unpacked.  Documents group 50 page records
+    each (a bounded group), written one document per file."""
+    from ..sources.envelopes import read_json_docs
+    root = shared_dir(spark, "archive", "docs")
+    pg = load(spark, sf_dir, "pages").select("page_id", "url")
+    docs = pg.groupBy(F.floor(F.col("page_id") / inputs.DOC_CHUNK).alias("chunk")).agg(
+        F.sort_array(F.collect_list(F.struct("page_id", "url"))).alias("pages"))
+    docs.write.option("maxRecordsPerFile", 1).json(root)
+    back = read_json_docs(spark, root)
+    typed = back.select(
+        F.expr("variant_get(doc, '$.chunk', 'bigint')").alias("chunk"),
+        F.explode(F.expr("variant_get(doc, '$.pages', 'array<struct<page_id bigint, url string>>')")).alias("p"))
+    return typed.select("chunk", "p.page_id", "p.url")

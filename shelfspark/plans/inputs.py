@@ -303,3 +303,6 @@ def card_text_sql(engine: str) -> str:
     us = "format_number(p_retailprice, 2)" if engine == "spark" else "format('{:,.2f}', p_retailprice)"
     ar = f"replace(replace(replace({us}, ',', '#'), '.', ','), '#', '.')"
     return f"p_name || chr(10) || 'Precio final' || chr(10) || '$ ' || {ar}"
+
+
+DOC_CHUNK = 50  # page records per JSON document (bounded group)

@@ -435,3 +435,7 @@ n AS (SELECT p_partkey, card, replace(replace(regexp_extract(card, {_q(amount)},
 SELECT p_partkey, regexp_extract(card, '^\\s*([^\\n]*\\S)', 1) AS product_name,
        CAST(TRY_CAST(num AS DECIMAL(12,2)) AS DOUBLE) AS price
 FROM n"""
+
+
+def json_docs_roundtrip() -> str:
+    return f"SELECT CAST(floor(page_id / {inputs.DOC_CHUNK}) AS BIGINT) AS chunk, page_id, url FROM pages"
