@@ -64,16 +64,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  Only when it is unset (tests, local runs) do we create one.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session): conf only
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="shelfspark-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", current)
         except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
             pass
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import key_timestamp, last_path_segment
 from ..operators.joins import bounded_broadcast
 from ..operators.quality import enforce_required, required_inline
+from ..sources.tables import num_partitions
 
 
 def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -22,7 +23,8 @@ def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
     a skewed value (one store-day with a third of the rows) over several
     tasks and coalesces small ones, so files stay near the advisory size.
     A single-partition input already writes each value once: no shuffle."""
-    if df.rdd.getNumPartitions() <= 1:
+    n = num_partitions(df)
+    if n is not None and n <= 1:
         return df
     return df.hint("rebalance", *cols)
 
@@ -143,7 +145,7 @@ def dense_index(df: DataFrame, order_cols: list[str], start: int | Column = 1, i
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     first = start if isinstance(start, Column) else F.lit(start)
     # one row per partition of the checkpointed data: a proven bound
-    n_parts = marked.rdd.getNumPartitions()
+    n_parts = num_partitions(marked) or int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (marked.join(bounded_broadcast(offsets, max_rows=max(n_parts, 1), known_rows=n_parts), "_pid")
             .withColumn(id_col, (first + F.col("_off") + F.col("_local")).cast("bigint"))
             .drop("_mono", "_pid", "_local", "_off"))

@@ -32,8 +32,20 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     than the default parallelism (small inputs: one parquet row group); on a
     large table the scan already has thousands of splits and nothing is
     shuffled."""
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    n = num_partitions(df)
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session)
+        return df
+    if n is not None and n < target:
         return df.repartition(target)
     return df
+
+
+def num_partitions(df: DataFrame) -> int | None:
+    """Partition count of ``df``'s plan, or None where the RDD view is not
+    available (e.g. a Connect session)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return None
