@@ -1,6 +1,6 @@
 """The two warehouse models and the raw-row builders.
 
-Every function here is narrow (a projection per row), so they pipeline into
+Every function here is narrow (a projection per row), so they fuse into
 the scan's whole-stage-codegen stage; the only exchange is the optional
 presentation sort (O1: ``order_branches`` on a model, or
 ``parse_branch_json_ordered``, which sorts the raw rows before the model).
