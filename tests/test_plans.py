@@ -53,3 +53,36 @@ def test_skew_safe_left_join_has_no_outer_join(spark):
 def test_aggregations_are_partial(spark):
     txt = physical(E.queries()["status_summary"](spark, SF))
     assert txt.count("HashAggregate") >= 2   # partial (map side) + final
+
+
+def test_skew_safe_left_join_lets_aqe_split_a_hot_key(spark):
+    """A key holding a third of the right side: AQE cannot split it in a
+    plain LEFT OUTER join, but does split it in the skew-safe form's inner
+    join (final adaptive plan shows ``SortMergeJoin(skew=true)``)."""
+    from pyspark.sql import functions as F
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        left = spark.range(0, 200).select(F.col("id").alias("k"))
+        right = spark.range(0, 60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 200).alias("rk"), F.col("id").alias("v"))
+        plain = left.join(right, left.k == right.rk, "left")
+        safe = joins.skew_safe_left_join(left, right, "k", "rk")
+        assert plain.count() == safe.count()
+        plain.collect()
+        safe.collect()
+        assert "skew=true" not in plan(plain)
+        assert "SortMergeJoin(skew=true)" in plan(safe)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
