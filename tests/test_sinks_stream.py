@@ -105,3 +105,35 @@ def test_append_with_null_in_required_column_writes_nothing(spark, tmp_dir):
     with pytest.raises(Exception):
         writers.append_prices(bad, p, required=["raw_data", "store_name"])
     assert spark.read.parquet(p).count() == 2
+
+
+def test_partitioned_append_clusters_small_values_and_splits_a_hot_one(spark, tmp_dir):
+    import glob
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
+    try:
+        df = (spark.range(0, 30000, numPartitions=8).select(
+            F.concat(F.lit('"item '), F.col("id").cast("string"), F.lit('"')).alias("raw_data"),
+            F.when(F.col("id") % 3 == 0, F.lit("2025-06-16"))
+             .otherwise(F.concat(F.lit("2025-07-"), F.lpad((F.col("id") % 20 + 1).cast("string"), 2, "0")))
+             .cast("date").alias("scraped_date"),
+            F.lit(TS).alias("scraped_datetime"),
+            F.when(F.col("id") % 3 == 0, F.lit("VEA")).otherwise(F.lit("JUMBO")).alias("store_name"),
+            F.lit("dl").alias("category")))
+        writers.append_prices(df, os.path.join(tmp_dir, "with"))
+        df.write.partitionBy("scraped_date", "store_name").parquet(os.path.join(tmp_dir, "without"))
+
+        def files(label):
+            out = {}
+            for d in glob.glob(os.path.join(tmp_dir, label, "scraped_date=*", "store_name=*")):
+                out[d.split(label + os.sep, 1)[1]] = len(glob.glob(os.path.join(d, "*.parquet")))
+            return out
+        w, wo = files("with"), files("without")
+        hot = os.path.join("scraped_date=2025-06-16", "store_name=VEA")
+        assert w[hot] > 1                                    # the hot value is split over tasks
+        small_w = sum(v for k, v in w.items() if k != hot)
+        small_wo = sum(v for k, v in wo.items() if k != hot)
+        assert small_w < small_wo                            # fewer small files
+        assert spark.read.parquet(os.path.join(tmp_dir, "with")).count() == 30000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
