@@ -127,3 +127,20 @@ def test_ranged_cutoff_state_across_arrow_batches(spark):
             assert summ == win, m
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_hot_run_is_spread_over_tasks_only_by_the_ranged_form(spark):
+    rows = [("hot", i, i % 7 == 3) for i in range(3000)] + [(f"r{j}", i, False) for j in range(20) for i in range(10)]
+    log = spark.createDataFrame(rows, "run string, page int, empty boolean")
+    ranged = crawl.crawl_cutoff_ranged(log, "run", ["page"], "empty", 2, num_partitions=8)
+    window = crawl.crawl_cutoff(log, "run", ["page"], "empty", 2)
+
+    def tasks_for_hot(df):
+        # collect the walk column per task (<= #partitions rows) so the
+        # optimiser cannot prune the walk out of the plan
+        ids = df.where("run = 'hot'").select(F.spark_partition_id().alias("p"), "page_num")
+        return len(ids.groupBy("p").agg(F.max("page_num")).collect())
+    assert tasks_for_hot(ranged) > 4
+    assert tasks_for_hot(window) == 1
+    assert {r.page for r in ranged.where("run = 'hot' AND kept").collect()} == \
+        {r.page for r in window.where("run = 'hot' AND kept").collect()}
