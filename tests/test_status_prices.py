@@ -86,3 +86,26 @@ def test_card_prices_round_trip(spark):
     bad = got.join(part, "p_partkey").where((F.col("price") != F.round("p_retailprice", 2))
                                             | (F.col("product_name") != F.col("p_name")))
     assert got.count() == part.count() and bad.count() == 0
+
+
+def test_bucketed_lag_spreads_a_hot_key_over_tasks(spark):
+    base = dt.datetime(2025, 1, 1)
+    rows = [("hot", base + dt.timedelta(hours=5 * i), float(i % 50 + 1)) for i in range(4000)]
+    rows += [(f"p{j}", base + dt.timedelta(days=i), 1.0 + i) for j in range(30) for i in range(5)]
+    df = spark.createDataFrame(rows, "product string, at timestamp, price double")
+
+    def tasks_for_hot(out):
+        ids = out.where("product = 'hot'").select(F.spark_partition_id().alias("p"), "prev_price")
+        return len(ids.groupBy("p").agg(F.max("prev_price")).collect())
+    plain = prices.with_previous_price(df, ["product"], "at")
+    buck = prices.with_previous_price_bucketed(df, ["product"], "at", F.date_trunc("month", F.col("at")))
+    # at test size AQE would merge the small post-shuffle partitions back into
+    # one task; at scale they are large and are not merged
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        assert tasks_for_hot(plain) == 1
+        assert tasks_for_hot(buck) > 2
+    finally:
+        spark.conf.set(key, old)
