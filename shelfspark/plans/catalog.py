@@ -6,6 +6,7 @@ sampling) and returns a lazy DataFrame; column names equal the oracle's.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -453,7 +454,7 @@ def sample_prices_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6 + K8: the price feed published as a catalog table with CREATE OR
     REPLACE semantics (first the literal sample rows, then the full feed),
     read back through the catalog."""
-    name = "scraped_prices_" + shared_dir(spark, "x").rsplit("-", 1)[-1]
+    name = f"scraped_prices_{uuid.uuid4().hex[:12]}"
     path = shared_dir(spark, "tables", name)
     writers.create_or_replace(prices.sample_prices(spark), name, path)
     writers.create_or_replace(union_prices(spark, sf_dir), name, path)
