@@ -204,11 +204,23 @@ def text_content(n: Node) -> str:
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
+_BR1, _BR2 = "\x01", "\x02"          # required line breaks: one (blocks) / two (paragraphs)
+_BREAK_RUN = re.compile(r"[ \x01\x02]*[\x01\x02][ \x01\x02]*")
+
+
+def _resolve_breaks(m: re.Match) -> str:
+    # adjacent required breaks collapse to the largest one, as rendering does
+    return "\n\n" if _BR2 in m.group(0) else "\n"
+
+
 def inner_text(n: Node) -> str:
     parts: list[str] = []
     stack: list = list(reversed(n.children))  # iterative: no recursion limit
     while stack:
         x = stack.pop()
+        if isinstance(x, tuple):      # a layout marker pushed below, emitted verbatim
+            parts.append(x[0])
+            continue
         if isinstance(x, str):
             parts.append(_SPACES.sub(" ", x))
             continue
@@ -217,14 +229,15 @@ def inner_text(n: Node) -> str:
         if x.tag == "br":
             parts.append("\n")
             continue
-        brk = "\n\n" if x.tag == "p" else ("\n" if x.tag in BLOCK else "")
+        brk = _BR2 if x.tag == "p" else (_BR1 if x.tag in BLOCK else "")
         if brk:
             parts.append(brk)
-            stack.append(brk)  # closing break, emitted after the children
+            stack.append((brk,))  # closing break, emitted after the children
+        elif x.tag in ("td", "th"):
+            stack.append(("\t",))  # cells are tab-separated within their row
         stack.extend(reversed(x.children))
-    text = "".join(parts)
-    text = re.sub(r" *\n *", "\n", text)
-    text = re.sub(r"\n{3,}", "\n\n", text)
+    text = _BREAK_RUN.sub(_resolve_breaks, "".join(parts))
+    text = re.sub(r"[ \t]*\n *", "\n", text)   # no spaces or trailing cell tabs at line ends
     return text.strip("\n ")
 
 

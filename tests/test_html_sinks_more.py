@@ -65,3 +65,13 @@ def test_text_selector_smallest_element():
     sel = lambda s: [n.tag for n in H.compile_selector(s)(order)]
     assert sel('text="Sin resultados"') == ["div"]
     assert sel('text="No hay productos"') == ["span"]
+
+
+def test_inner_text_table_cells():
+    order = H.parse("<table><tr><td>Lunes</td><td>9:00</td></tr><tr><th>Martes</th><td>10:00</td></tr></table>")
+    assert H.inner_text(order[0]) == "Lunes\t9:00\nMartes\t10:00"
+
+
+def test_inner_text_text_after_a_closed_block():
+    order = H.parse("<div><p>uno</p>dos<div>tres</div>cuatro</div>")
+    assert H.inner_text(order[0]) == "uno\n\ndos\ntres\ncuatro"
