@@ -94,3 +94,19 @@ def test_general_path_agrees_with_native_path_on_real_pages(spark):
         a = {(r.page_id, r.pos): norm(r.text) for r in pages.extract_elements(pg, [tag]).collect()}
         b = {(r.page_id, r.pos): norm(r.text) for r in pages.extract_tag_native(pg, tag).collect()}
         assert a == b and len(a) > 0, tag
+
+
+def test_province_and_store_selects_from_a_page(spark):
+    provs = ["Buenos Aires", "Córdoba", "Santa Fe", "Mendoza", "Tucumán", "Salta", "Chaco", "Neuquén",
+             "Misiones", "San Juan", "Jujuy", "Río Negro"]
+    html = ('<select id="p"><option value="Provincia">Provincia</option>'
+            + "".join(f'<option value=" {p} ">{p}</option>' for p in provs)
+            + '<option value="">vacía</option></select>'
+            + '<select id="t"><option value="TIENDA">Tienda</option><option value="101"> Vea Centro </option>'
+            + '<option value="102">Vea Norte</option><option>sin valor</option></select>')
+    pg = spark.createDataFrame([(9, "https://x/sucursales", html)], "page_id bigint, url string, html string")
+    opts = pages.extract_options(pg)
+    prov = options.clean_options(options.pick_option_group(opts)).orderBy("pos").collect()
+    assert [(r.codigo, r.nombre) for r in prov] == [(p, p) for p in provs]      # stripped, placeholder out
+    stores = options.clean_options(options.nth_option_group(opts, 1), P.STORE_PLACEHOLDER, True)
+    assert sorted((r.codigo, r.nombre) for r in stores.collect()) == [("101", "Vea Centro"), ("102", "Vea Norte")]
