@@ -34,7 +34,9 @@ def crawl_cutoff(log: DataFrame, run: str, order: list[str], empty: str,
                  max_empty: int | Column = P.DEFAULT_MAX_EMPTY_PAGES) -> DataFrame:
     """Annotate every page with ``page_num``, ``streak``, ``stop_page``
     and ``kept`` (non-empty page before the stop).  ``max_empty`` may be a
-    column (per-chain settings joined in) or a constant; 0 behaves as 1."""
+    column (per-chain settings joined in) or a constant; 0 behaves as 1.
+    ``order`` must be unique within a run (add a tie-breaker such as an
+    event id), or the walk order of tied pages is arbitrary."""
     m = F.greatest(max_empty if isinstance(max_empty, Column) else F.lit(max_empty), F.lit(1))
     w = Window.partitionBy(run).orderBy(*order)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -118,7 +120,8 @@ def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str,
     carried state, so memory is bounded by the batch size, not by the
     partition or the run.  The ranged log is checkpointed once (shared
     checkpoint folder) so every pass sees identical partitions and lineage
-    is cut.  Kept rows equal ``crawl_cutoff``'s."""
+    is cut.  Kept rows equal ``crawl_cutoff``'s; ``order`` must likewise be
+    unique within a run."""
     import numpy as np
     import pandas as pd
     from pyspark.sql import types as T
