@@ -14,3 +14,12 @@ def test_every_oracle_has_a_query():
 def test_queries_run_on_smoke_data(spark):
     for name, fn in E.queries().items():
         fn(spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
+
+
+def test_schemas_are_stable_across_calls(spark):
+    pure = ["store_text_parse", "branch_facts", "branch_facts_documents", "crawl_cutoff", "status_summary",
+            "price_change_pct", "page_verdict", "option_group", "branch_spine", "card_prices"]
+    for name in pure:
+        fn = E.queries()[name]
+        assert fn(spark, "/root/testdata/sf0.001").schema == fn(spark, "/root/testdata/sf0.001").schema, name
+    assert E.entry(spark).schema == E.entry(spark).schema
