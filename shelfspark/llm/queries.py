@@ -3,17 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from shelfspark.session import shared_dir
 from shelfspark.sources.tables import load
 
-from . import packing
+from . import packing, simhash_dedup, token_store
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(load(spark, sf_dir, "documents"), shingle=3, max_distance=3)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
 
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "llm", "token-store")
+    token_store.write(load(spark, sf_dir, "documents"), path, end_id=2)
+    return token_store.read(spark, path)
+
+
 REGISTRY = {
+    "op2_simhash": (op2_simhash, None),
     "op9_packing": (op9_packing, None),
+    "op10_token_store": (op10_token_store, None),
 }
