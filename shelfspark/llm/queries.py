@@ -7,13 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfspark.session import shared_dir
 from shelfspark.sources.tables import load
 
-from . import packing, simhash_dedup, token_store
+from . import packing, pii, simhash_dedup, token_store, toxicity
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(load(spark, sf_dir, "documents"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(load(spark, sf_dir, "documents"), shingle=3, max_distance=3)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
@@ -25,7 +33,9 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_pii": (op1_pii, None),
     "op2_simhash": (op2_simhash, None),
+    "op8_toxicity": (op8_toxicity, None),
     "op9_packing": (op9_packing, None),
     "op10_token_store": (op10_token_store, None),
 }
