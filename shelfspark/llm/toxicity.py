@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ._common import text_chunks
 
 BITS = 20
-MAX_ROWS = 12_000
+MAX_ROWS = 10_000
 MAX_BYTES = 48 << 20
 CACHE_WORDS = 400_000
 _EDGE = b".,;:!?\"'()[]{}<>|*#%&$-_"
@@ -69,7 +69,7 @@ def _features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 class Ftrl:
     """FTRL-proximal on binary features; coordinate 2**BITS is the bias (no L1)."""
 
-    def __init__(self, alpha: float = 0.1, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0):
+    def __init__(self, alpha: float = 2.0, beta: float = 1.0, l1: float = 8.0, l2: float = 0.05):
         self.alpha, self.beta, self.l2 = alpha, beta, l2
         size = (1 << BITS) + 1
         self.z, self.n = np.zeros(size), np.zeros(size)
@@ -81,9 +81,9 @@ class Ftrl:
         w = -(z - np.sign(z) * l1) / ((self.beta + np.sqrt(self.n[at])) / self.alpha + self.l2)
         return np.where(np.abs(z) <= l1, 0.0, w)
 
-    def learn(self, at: np.ndarray, label: int) -> None:
+    def learn(self, at: np.ndarray, label: int, weight: float = 1.0) -> None:
         w = self.weights(at)
-        g = _sigmoid(float(w.sum())) - label
+        g = weight * (_sigmoid(float(w.sum())) - label)
         sigma = (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / self.alpha
         self.z[at] += g - sigma * w
         self.n[at] += g * g
@@ -93,7 +93,8 @@ def _sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-x)) if x >= 0 else math.exp(x) / (1 + math.exp(x))
 
 
-def fit(rows: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, epochs: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def fit(rows: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, epochs: int = 8,
+        positive_weight: float = 3.0) -> tuple[np.ndarray, np.ndarray]:
     """Learn from ``rows`` (doc_id, text, label 0/1): (indices, weights) that are not zero."""
     rows = rows.where("label in (0, 1)")
     size = rows.agg(F.count("*").alias("n"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes")).first()
@@ -115,7 +116,7 @@ def fit(rows: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, e
         model = Ftrl()
         for _ in range(epochs if labels else 0):
             for own, label in zip(seen, labels):
-                model.learn(own, label)
+                model.learn(own, label, positive_weight if label else 1.0)
         w = model.weights(np.arange((1 << BITS) + 1))
         kept = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(w[kept])], names=["at", "weight"])
