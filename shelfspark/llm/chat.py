@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 START, END = "<|im_start|>", "<|im_end|>\n"
-NODE = ("conv_id", "node_id")
 
 
 def escape(text: Column) -> Column:
@@ -50,34 +49,31 @@ def chain(messages: DataFrame) -> DataFrame:
     """The tree of plain conversations: each row answers the one before it by turn."""
     order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
     rows = messages.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    seq = F.row_number().over(order).cast("long")
-    return rows.withColumn("node_id", seq).select(
-        "conv_id", "node_id", F.when(F.col("node_id") > 1, F.col("node_id") - 1).alias("parent_id"),
-        "role", "text", F.lit(0.0).alias("score"))
+    rows = rows.withColumn("node_id", F.row_number().over(order).cast("long"))
+    return rows.select("conv_id", "node_id", F.when(F.col("node_id") > 1, F.col("node_id") - 1).alias("parent_id"),
+                       "role", "text", F.lit(0.0).alias("score"))
 
 
-def _on(left: DataFrame, right: DataFrame, mine: str, theirs: str):
-    return left["conv_id"].eqNullSafe(right["conv_id"]) & (left[mine] == right[theirs])
+def _keyed(tree: DataFrame) -> DataFrame:
+    """``tree`` with its conversation as a key that is never null."""
+    return tree.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")))
 
 
 def paths(tree: DataFrame, max_rounds: int = 40) -> DataFrame:
-    """(conv_id, leaf, node_id, up): every leaf with the messages of its path,
-    ``up`` steps above it.  ``tree`` has conv_id, node_id, parent_id."""
-    tree = tree.select("conv_id", "node_id", "parent_id")
-    known = tree.select(F.col("conv_id").alias("conv_id"), F.col("node_id").alias("parent_id"))
-    links = tree.where("parent_id is not null")
-    jump = links.join(known.alias("k"), links["conv_id"].eqNullSafe(known["conv_id"]) & (links["parent_id"] == known["parent_id"]), "left_semi")
-    jump = jump.select("conv_id", "node_id", F.col("parent_id").alias("to")).checkpoint()
-    parents = jump.select(F.col("conv_id"), F.col("to").alias("node_id")).distinct()
-    leaves = tree.join(parents, _on(tree, parents, "node_id", "node_id"), "left_anti")
-    found = leaves.select("conv_id", F.col("node_id").alias("leaf"), "node_id", F.lit(0).cast("long").alias("up"))
+    """(key, leaf, node_id, up): every leaf with the messages of its path, ``up``
+    steps above it.  ``tree`` has key, node_id, parent_id."""
+    nodes = tree.select("key", "node_id")
+    jump = (tree.where("parent_id is not null").select("key", "node_id", F.col("parent_id").alias("to"))
+            .join(nodes.select("key", F.col("node_id").alias("to")).distinct(), ["key", "to"], "left_semi").checkpoint())
+    parents = jump.select("key", F.col("to").alias("node_id")).distinct()
+    found = nodes.join(parents, ["key", "node_id"], "left_anti").select(
+        "key", F.col("node_id").alias("leaf"), "node_id", F.lit(0).cast("long").alias("up"))
     step = 1
     for _ in range(max_rounds):
-        further = found.join(jump, _on(found, jump, "node_id", "node_id")).select(
-            found["conv_id"], "leaf", F.col("to").alias("node_id"), (F.col("up") + step).alias("up"))
+        further = found.join(jump, ["key", "node_id"]).select("key", "leaf", F.col("to").alias("node_id"), (F.col("up") + step).alias("up"))
         found = found.union(further).checkpoint()
-        again = jump.select(F.col("conv_id"), F.col("node_id").alias("via"), F.col("to").alias("end"))
-        jump = jump.join(again, _on(jump, again, "to", "via")).select(jump["conv_id"], "node_id", F.col("end").alias("to")).checkpoint()
+        again = jump.select("key", F.col("node_id").alias("to"), F.col("to").alias("end"))
+        jump = jump.join(again, ["key", "to"]).select("key", "node_id", F.col("end").alias("to")).checkpoint()
         step *= 2
         if jump.isEmpty():
             return found
@@ -87,17 +83,15 @@ def paths(tree: DataFrame, max_rounds: int = 40) -> DataFrame:
 def best_paths(tree: DataFrame, per_conversation: int = 1) -> DataFrame:
     """Messages of the ``per_conversation`` best root-to-leaf paths: conv_id, leaf,
     rank, depth, role, text.  Ties go to the smaller leaf."""
+    tree = _keyed(tree)
     steps = paths(tree)
-    scores = tree.select("conv_id", "node_id", "score")
-    branch = (steps.join(scores, _on(steps, scores, "node_id", "node_id")).select(steps["conv_id"], "leaf", "score", "up")
-              .groupBy("conv_id", "leaf").agg(F.sum("score").alias("total"), F.max("up").alias("depth")))
-    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc_nulls_last("total"), "leaf"))
+    branch = (steps.join(tree.select("key", "node_id", "score"), ["key", "node_id"])
+              .groupBy("key", "leaf").agg(F.sum("score").alias("total"), F.max("up").alias("depth")))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc_nulls_last("total"), "leaf"))
     chosen = branch.withColumn("rank", rank).where(F.col("rank") <= per_conversation)
-    kept = steps.join(chosen, _on(steps, chosen, "leaf", "leaf")).select(
-        steps["conv_id"], steps["leaf"], "rank", "node_id", (F.col("depth") - F.col("up")).alias("depth"))
-    texts = tree.select("conv_id", "node_id", "role", "text")
-    return kept.join(texts, _on(kept, texts, "node_id", "node_id")).select(
-        kept["conv_id"], "leaf", "rank", "depth", "role", "text")
+    kept = steps.join(chosen, ["key", "leaf"]).select("key", "leaf", "rank", "node_id", (F.col("depth") - F.col("up")).alias("depth"))
+    texts = tree.select("key", "conv_id", "node_id", "role", "text")
+    return kept.join(texts, ["key", "node_id"]).select("conv_id", "leaf", "rank", "depth", "role", "text")
 
 
 def formatted(messages: DataFrame) -> DataFrame:

@@ -51,15 +51,19 @@ def text_key() -> list[Column]:
     return [F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(7), F.col("text")).alias("k2")]
 
 
-def fingerprint(hashes: Column) -> Column:
-    """SimHash of grouped hashes (one row each occurrence): bits set in over half."""
-    total = F.count("*")
-    bits = [F.when(2 * F.sum(F.shiftrightunsigned(hashes, b).bitwiseAND(F.lit(1))) > total, F.lit(1 << b if b < 63 else -(1 << 63))).otherwise(F.lit(0))
-            for b in range(64)]
-    out = bits[0]
-    for b in bits[1:]:
-        out = out.bitwiseOR(b)
-    return out
+def fingerprints(each: DataFrame, by: list[str], name: str) -> DataFrame:
+    """SimHash of the hashes ``h`` of each group (a row for each occurrence): the
+    bits set in over half.  Each sum counts two bits, one in each half of a long."""
+    two = F.lit((1 << 32) + 1)
+    sums = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(two)).alias(f"s{b}") for b in range(32)]
+    counted = each.groupBy(*by).agg(F.count("*").alias("n"), *sums)
+
+    def bit(b: int) -> Column:
+        ones = F.col(f"s{b % 32}").bitwiseAND(F.lit((1 << 32) - 1)) if b < 32 else F.shiftrightunsigned(f"s{b % 32}", 32)
+        return F.when(2 * ones > F.col("n"), F.lit(1 << b if b < 63 else -(1 << 63))).otherwise(F.lit(0).cast("long"))
+
+    bits = F.array(*[bit(b) for b in range(64)])
+    return counted.select(*by, F.aggregate(bits, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x)).alias(name))
 
 
 def blocks(fp: str, radius: int) -> Column:
@@ -105,8 +109,8 @@ def matches(docs: DataFrame, items: DataFrame, width: int = SHINGLE, similarity:
 
     # multi-index: one equal block at least, then the distance
     each = windows.select(*window, F.explode("s").alias("h"))
-    prints = each.groupBy(*window).agg(fingerprint(F.col("h")).alias("fp"))
-    item_prints = bench.groupBy("item_id").agg(fingerprint(F.col("h")).alias("item_fp"))
+    prints = fingerprints(each, window, "fp")
+    item_prints = fingerprints(bench, ["item_id"], "item_fp")
     left = prints.select(*window, "fp", F.explode(blocks("fp", radius)).alias("b")).select(*window, "fp", "b.*")
     right = item_prints.select("item_id", "item_fp", F.explode(blocks("item_fp", radius)).alias("b")).select("item_id", "item_fp", "b.*")
     near = (left.join(right, ["item_id", "block", "bits"])
