@@ -93,14 +93,18 @@ def _sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-x)) if x >= 0 else math.exp(x) / (1 + math.exp(x))
 
 
-def fit(rows: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, epochs: int = 8,
+def fit(docs: DataFrame, known: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, epochs: int = 8,
         positive_weight: float = 3.0) -> tuple[np.ndarray, np.ndarray]:
-    """Learn from ``rows`` (doc_id, text, label 0/1): (indices, weights) that are not zero."""
-    rows = rows.where("label in (0, 1)")
-    size = rows.agg(F.count("*").alias("n"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes")).first()
+    """Learn from ``docs`` (doc_id, text) whose label is in ``known`` (doc_id,
+    label 0/1, distinct doc_ids): (indices, weights) that are not zero."""
+    known = known.where("label in (0, 1)")
+    sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("b"))
+    size = sizes.join(known, "doc_id").agg(F.count("*").alias("n"), F.sum("b").alias("bytes")).first()
     share = min(1.0, max_rows / max(1, size["n"]), max_bytes / max(1, size["bytes"] or 1))
     order = F.xxhash64(F.lit("toxicity"), "doc_id")
-    some = rows.where(order < F.lit(int((2 * share - 1) * (1 << 63)) if share < 1 else (1 << 63) - 1))
+    # the sample is taken before the join, so that only its texts are shuffled
+    limit = int((2 * share - 1) * (1 << 63)) if share < 1 else (1 << 63) - 1
+    some = docs.where(order <= F.lit(limit)).join(known, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[np.ndarray] = []
@@ -158,6 +162,6 @@ def classify(docs: DataFrame, labels: DataFrame, held_out_rest: int = 1, thresho
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label")).where("label is not null")
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    model = fit(rows.where(~held).join(known, "doc_id"), **bounds)
+    model = fit(rows.where(~held), known, **bounds)
     scored = score(rows, model)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
