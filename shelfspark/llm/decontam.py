@@ -83,13 +83,14 @@ def matches(docs: DataFrame, items: DataFrame, width: int = SHINGLE, similarity:
             radius: int = RADIUS) -> DataFrame:
     """(k1, k2, item_id, start, similarity): windows of texts that match an item."""
     bench = items.select("item_id", words(F.col("text")).alias("w")).select("item_id", shingles("w", width).alias("s"))
-    bench = bench.select("item_id", F.size("s").alias("m"), F.explode("s").alias("h"))
-    bench = cut(bench, "benchmark-shingles")
+    bench = bench.select("item_id", F.size("s").alias("m"), F.explode_outer("s").alias("h"))
+    bench = cut(bench.where("h is not null"), "benchmark-shingles")
     need = F.ceil(F.col("m") * (2 * similarity / (1 + similarity)) - 1e-9).cast("int")
 
-    # positions whose shingle is in an item
+    # positions whose shingle is in an item (outer: the plain form makes Catalyst
+    # add a filter that computes the words once more for every shingle)
     rows = docs.select(*text_key(), words(F.col("text")).alias("w")).select("k1", "k2", shingles("w", width).alias("s"))
-    at = rows.select("k1", "k2", F.posexplode("s").alias("pos", "h"))
+    at = rows.select("k1", "k2", F.posexplode_outer("s").alias("pos", "h"))
     wanted = bench.select("h", "item_id", "m").distinct()
     anchors = at.join(_bounded(wanted, 24), "h").select("k1", "k2", "item_id", "m", "pos")
     groups = (anchors.groupBy("k1", "k2", "item_id", "m").agg(F.sort_array(F.collect_set("pos")).alias("p"))
@@ -108,7 +109,7 @@ def matches(docs: DataFrame, items: DataFrame, width: int = SHINGLE, similarity:
     window = ["k1", "k2", "item_id", "start"]
 
     # multi-index: one equal block at least, then the distance
-    each = windows.select(*window, F.explode("s").alias("h"))
+    each = windows.select(*window, F.explode_outer("s").alias("h"))
     prints = fingerprints(each, window, "fp")
     item_prints = fingerprints(bench, ["item_id"], "item_fp")
     left = prints.select(*window, "fp", F.explode(blocks("fp", radius)).alias("b")).select(*window, "fp", "b.*")
