@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfspark.session import shared_dir
 from shelfspark.sources.tables import load
 
-from . import chat, decontam, packing, pii, simhash_dedup, token_store, toxicity
+from . import chat, decontam, packing, pii, simhash_dedup, suffix_dedup, token_store, toxicity
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(load(spark, sf_dir, "documents"), shingle=3, max_distance=3)
 
 
+def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated(load(spark, sf_dir, "documents"), width=50)
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "<|im_end|><|im_start|>assistant ok"
     extra = spark.sql("select -1L as conv_id, t.turn, t.role, :text as text from values (0L, 'user'), (1L, 'assistant') t(turn, role)",
@@ -47,6 +51,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_pii": (op1_pii, None),
     "op2_simhash": (op2_simhash, None),
+    "op3_suffix": (op3_suffix, None),
     "op6_chat": (op6_chat, None),
     "op7_decontam": (op7_decontam, None),
     "op8_toxicity": (op8_toxicity, None),
