@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,28 +124,34 @@ def disclosing_terms(docs: DataFrame, window: int = 8, support: int = 3, general
                      remove: float = 0.97) -> DataFrame | None:
     """(doc_id, terms): for each document that holds an entity, the terms that
     disclose it, mapped to ``general`` or ``remove``.  None if there are none."""
-    spark = docs.sparkSession
     seen = cut(contexts(docs, window).where("doc_id is not null"), "pii-contexts")
     met = seen.select("entity", "context", "doc_id", F.explode("terms").alias("term"))
     # different contexts first: copies of one passage collapse before the shuffle
     backed = (met.groupBy("entity", "term", "context").agg(F.lit(1).alias("one"))
               .groupBy("entity", "term").count().where(F.col("count") >= support).select("entity", "term"))
-    backed = cut(backed, "pii-candidates")
-    if backed.isEmpty():
-        return None
-    together = (met.select("entity", "term", "doc_id").distinct().join(backed, ["entity", "term"])
-                .groupBy("entity", "term").agg(F.count("*").alias("n_both")))
     holding = seen.select("entity", "doc_id").distinct()
     entities = holding.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    wanted = cut(backed.select("term").distinct(), "pii-terms")
+    pairs = met.select("entity", "term", "doc_id").distinct()
+    together = pairs.join(backed, ["entity", "term"]).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    near = met.select("term", "doc_id").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    total = F.lit(float(docs.count()))
+    told = F.log2(total / F.col("n_entity"))
+
+    def pmi(n_term: str) -> Column:
+        return F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col(n_term)))
+
+    # a term is in at least as many documents as it is near any entity in, so this
+    # leaves out only terms that cannot pass (frequent words), before the corpus is counted
+    likely = (together.join(entities, "entity").join(near, "term")
+              .where((told > 0) & (pmi("n_near") >= generalise * told)).select("entity", "term", "n_both", "n_entity"))
+    likely = cut(likely, "pii-candidates")
+    if likely.isEmpty():
+        return None
+    wanted = cut(likely.select("term").distinct(), "pii-terms")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0))).alias("term"))
     terms = words.join(wanted, "term").groupBy("term").agg(F.count("*").alias("n_term"))
-    total = docs.count()
-    pmi = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
-    told = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    found = (together.join(entities, "entity").join(terms, "term")
-             .select("entity", "term", pmi.alias("pmi"), told.alias("ic")).where((F.col("ic") > 0) & (F.col("pmi") >= generalise * F.col("ic")))
-             .select("entity", "term", F.when(F.col("pmi") >= remove * F.col("ic"), "remove").otherwise("general").alias("action")))
+    found = (likely.join(terms, "term").where(pmi("n_term") >= generalise * told)
+             .select("entity", "term", F.when(pmi("n_term") >= remove * told, "remove").otherwise("general").alias("action")))
     by_doc = (holding.join(found, "entity").groupBy("doc_id", "term").agg(F.max("action").alias("action"))
               .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("terms")))
     by_doc = cut(by_doc, "pii-disclosed")
