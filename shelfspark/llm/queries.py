@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfspark.session import shared_dir
 from shelfspark.sources.tables import load
 
-from . import chat, decontam, lm_pst, packing, pii, simhash_dedup, suffix_dedup, token_store, toxicity
+from . import ann, chat, decontam, lm_pst, packing, pii, simhash_dedup, suffix_dedup, token_store, toxicity
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated(load(spark, sf_dir, "documents"), width=50)
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
 def op5_pst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_pst.score(load(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ REGISTRY = {
     "op1_pii": (op1_pii, None),
     "op2_simhash": (op2_simhash, None),
     "op3_suffix": (op3_suffix, None),
+    "op4_ann": (op4_ann, None),
     "op5_pst": (op5_pst, None),
     "op6_chat": (op6_chat, None),
     "op7_decontam": (op7_decontam, None),
