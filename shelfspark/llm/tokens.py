@@ -11,6 +11,10 @@ normaliser in front; every other word takes the library's whole way."""
 
 from __future__ import annotations
 
+import gc
+import sys
+from array import array
+
 import numpy as np
 
 CACHE_WORDS = 800_000
@@ -52,12 +56,15 @@ class WordEncoder(dict):
         word = word.lower()
         if not word.isascii():
             word = "".join([self.letters[b] for b in word.encode()])
-        return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
+        ids = array("I", [t.id for t in self.model.tokenize(word)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def _ids(self, raw: bytes) -> bytes:
         word = raw.decode()
         stem = word.rstrip(MARKS)
-        if stem.isalpha() and max(stem) < "ɐ" and "İ" not in stem:
+        if stem.isalpha() and (stem.isascii() or max(stem) < "ɐ" and "İ" not in stem):
             marks = word[len(stem):]
             return self._letters(stem) + (self[marks.encode()] if marks else b"")
         return self.whole(word)
@@ -88,4 +95,5 @@ def encoder(path: str) -> WordEncoder:
     """One encoder per Python worker and tokeniser file."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+        gc.freeze()  # the collector need not walk the cache each time
     return _ENCODERS[path]
