@@ -33,9 +33,12 @@ def drop(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small_parts(spark: SparkSession, n: int) -> int:
-    """Number of hash buckets for ``n`` bytes of work: one per 32 MB, at least 8."""
-    return max(8, -(-n // (32 << 20)))
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -61,14 +64,3 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             to = max(at + 1, int(np.searchsorted(size, base + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
-
-
-def ints(column: pa.Array) -> list:
-    return column.to_pylist()
-
-
-def runs(keys: np.ndarray) -> np.ndarray:
-    """Start of each run of equal values in a sorted array, and its end."""
-    if not len(keys):
-        return np.zeros(1, np.int64)
-    return np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))

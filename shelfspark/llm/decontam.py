@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut
+from ._common import cut, fresh
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -140,6 +140,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
 def keep_clean(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """The documents in which no item was found, all columns kept."""
     found = cut(matches(docs, items, **how).select("k1", "k2").distinct(), "contaminated")
-    keyed = docs.select("*", *[c.alias(f"__{n}") for c, n in zip(text_key(), ("k1", "k2"))])
-    gone = _bounded(found.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")), 16)
-    return keyed.join(gone, ["__k1", "__k2"], "left_anti").select(*docs.columns)
+    one, two = fresh(docs, "k1"), fresh(docs, "k2")
+    keyed = docs.select("*", *[c.alias(n) for c, n in zip(text_key(), (one, two))])
+    gone = _bounded(found.select(F.col("k1").alias(one), F.col("k2").alias(two)), 16)
+    return keyed.join(gone, [one, two], "left_anti").select(*docs.columns)

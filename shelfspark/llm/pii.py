@@ -27,9 +27,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ._common import cut, text_chunks
+from ._common import cut, fresh, text_chunks
 
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
@@ -158,10 +157,11 @@ def disclosing_terms(docs: DataFrame, window: int = 8, support: int = 3, general
     return None if by_doc.isEmpty() else by_doc
 
 
-def _with_terms(docs: DataFrame, found: DataFrame | None) -> DataFrame:
+def _with_terms(docs: DataFrame, found: DataFrame | None, name: str) -> DataFrame:
     if found is None:
-        return docs.withColumn("terms", F.lit(None).cast("map<string,string>"))
-    return docs.join(found, "doc_id", "left")  # a file of known size: broadcast only if small
+        return docs.withColumn(name, F.lit(None).cast("map<string,string>"))
+    # a file of known size: broadcast only if small
+    return docs.join(found.withColumnRenamed("terms", name), "doc_id", "left")
 
 
 def _written(spans: list[Span]) -> str:
@@ -189,7 +189,7 @@ def find(docs: DataFrame, **thresholds) -> DataFrame:
                                              names=["doc_id", *names])
 
     schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_term long"
-    return _with_terms(rows, disclosing_terms(rows, **thresholds)).mapInArrow(run, schema)
+    return _with_terms(rows, disclosing_terms(rows, **thresholds), "terms").mapInArrow(run, schema)
 
 
 def sanitised(text: str, terms: dict[str, str]) -> str:
@@ -210,14 +210,14 @@ def sanitised(text: str, terms: dict[str, str]) -> str:
 def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
     """``docs`` with every text sanitised; a null text stays null, all columns stay."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    both = _with_terms(docs, disclosing_terms(rows, **thresholds))
-    names = docs.columns
+    names, terms = docs.columns, fresh(docs, "terms")
+    both = _with_terms(docs, disclosing_terms(rows, **thresholds), terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
             texts = [None if t is None else sanitised(t, dict(m or {}))
-                     for t, m in zip(batch.column("text").to_pylist(), batch.column("terms").to_pylist())]
+                     for t, m in zip(batch.column("text").to_pylist(), batch.column(terms).to_pylist())]
             cols = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return both.select(*names, "terms").mapInArrow(run, T.StructType([f for f in docs.schema.fields]))
+    return both.select(*names, terms).mapInArrow(run, docs.schema)

@@ -22,15 +22,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ._common import text_chunks
+from ._common import fresh, text_chunks
 
 BITS = 20
 MAX_ROWS = 10_000
 MAX_BYTES = 48 << 20
 CACHE_WORDS = 400_000
+THRESHOLD = 0.7
 _EDGE = b".,;:!?\"'()[]{}<>|*#%&$-_"
 # odd 64-bit multipliers, one for each kind of pair: next word, one between, two between
 _PAIR = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
@@ -132,8 +134,8 @@ def fit(docs: DataFrame, known: DataFrame, max_rows: int = MAX_ROWS, max_bytes:
     return np.array([r["at"] for r in told], np.int64), np.array([r["weight"] for r in told])
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
-    """``docs`` (doc_id and others) with ``score`` instead of the text."""
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text", name: str = "score") -> DataFrame:
+    """``docs`` with the score ``name`` instead of column ``text``."""
     at, weight = model
     keep = [c for c in docs.columns if c != text]
 
@@ -148,20 +150,33 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "te
                 pair = pair[np.append(True, pair[1:] != pair[:-1])]
             total = np.bincount(pair >> (BITS + 1), table[pair & ((1 << (BITS + 1)) - 1)], batch.num_rows) + table[-1]
             value = np.array([_sigmoid(x) for x in total.tolist()], float)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(value)], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(value)], names=[*keep, name])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
-    return docs.mapInArrow(run, f"{fields}, score double")
+    schema = T.StructType([f for f in docs.schema.fields if f.name != text]).add(name, T.DoubleType())
+    return docs.mapInArrow(run, schema)
 
 
-def classify(docs: DataFrame, labels: DataFrame, held_out_rest: int = 1, threshold: float = 0.7, **bounds) -> DataFrame:
-    """Score all documents, learning from the labels of those whose crc32(doc_id)
-    mod 3 is not ``held_out_rest``: doc_id, held_out, score, predicted."""
+def _learn(docs: DataFrame, labels: DataFrame, held_out_rest: int, **bounds) -> tuple[Column, tuple[np.ndarray, np.ndarray]]:
+    """The held-out condition, and the model of the labelled rows outside it."""
     rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == held_out_rest
     held = F.coalesce(rest, F.lit(True))  # a null doc_id has no label
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label")).where("label is not null")
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    model = fit(rows.where(~held), known, **bounds)
-    scored = score(rows, model)
+    return held, fit(rows.where(~held), known, **bounds)
+
+
+def classify(docs: DataFrame, labels: DataFrame, held_out_rest: int = 1, threshold: float = THRESHOLD, **bounds) -> DataFrame:
+    """Score all documents, learning from the labels of those whose crc32(doc_id)
+    mod 3 is not ``held_out_rest``: doc_id, held_out, score, predicted."""
+    held, model = _learn(docs, labels, held_out_rest, **bounds)
+    scored = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, held_out_rest: int = 1, threshold: float = THRESHOLD, **bounds) -> DataFrame:
+    """The documents whose score is below the threshold, all columns kept."""
+    _, model = _learn(docs, labels, held_out_rest, **bounds)
+    copy, value = fresh(docs, "scored_text"), fresh(docs, "toxicity")
+    scored = score(docs.withColumn(copy, F.col("text")), model, copy, value)
+    return scored.where(F.col(value) < threshold).select(*docs.columns)
