@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfspark.session import shared_dir
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

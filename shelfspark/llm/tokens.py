@@ -17,7 +17,7 @@ from array import array
 
 import numpy as np
 
-CACHE_WORDS = 800_000
+CACHE_WORDS = 500_000
 LONG_WORD = 40
 MARKS = ".,!?;:%$#&*|"
 

@@ -31,7 +31,7 @@ from ._common import fresh, text_chunks
 BITS = 20
 MAX_ROWS = 10_000
 MAX_BYTES = 48 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 THRESHOLD = 0.7
 _EDGE = b".,;:!?\"'()[]{}<>|*#%&$-_"
 # odd 64-bit multipliers, one for each kind of pair: next word, one between, two between
@@ -50,14 +50,11 @@ class _Words(dict):
         return value
 
 
-_WORDS = _Words()
-
-
-def _features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def _features(texts: list[str | None], hash_of: _Words) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) of every occurrence in the texts, not yet distinct."""
     words = [(t or "").encode().split() for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
-    hashes = np.fromiter((_WORDS[w] for ws in words for w in ws), np.uint64, int(sizes.sum()))
+    hashes = np.fromiter((hash_of[w] for ws in words for w in ws), np.uint64, int(sizes.sum()))
     rows = np.repeat(np.arange(len(texts)), sizes)
     every, of = [hashes * np.uint64(0xD6E8FEB86659FD93)], [rows]
     for gap, mult in enumerate(_PAIR, 1):
@@ -109,10 +106,11 @@ def fit(docs: DataFrame, known: DataFrame, max_rows: int = MAX_ROWS, max_bytes:
     some = docs.where(order <= F.lit(limit)).join(known, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hash_of = _Words()  # ends with the task
         seen: list[np.ndarray] = []
         labels: list[int] = []
         for batch in text_chunks(batches):
-            of, at = _features(batch.column("text").to_pylist())
+            of, at = _features(batch.column("text").to_pylist(), hash_of)
             order = np.argsort(of, kind="stable")
             ends = np.searchsorted(of[order], np.arange(batch.num_rows + 1))
             for a, b, label in zip(ends, ends[1:], batch.column("label").to_pylist()):
@@ -140,10 +138,10 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "te
     keep = [c for c in docs.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((1 << BITS) + 1)
+        hash_of, table = _Words(), np.zeros((1 << BITS) + 1)
         table[at] = weight
         for batch in text_chunks(batches, text):
-            of, idx = _features(batch.column(text).to_pylist())
+            of, idx = _features(batch.column(text).to_pylist(), hash_of)
             hit = np.flatnonzero(table[idx])
             pair = np.sort(of[hit] << (BITS + 1) | idx[hit])
             if len(pair):
