@@ -9,8 +9,8 @@ gaps-and-islands window over the crawl log::
     streak   = page_num - coalesce(last_ne, 0)        (for empty pages)
     stop     = min(page_num where empty and streak >= max(max_empty, 1)) over (run)
 
-All three windows share one partitioning (``run``) and one ordering, so the
-plan has a single exchange and a single sort.
+``crawl_cutoff`` computes the same in ranges of a run, so that a run with a
+large share of all pages is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -31,26 +31,53 @@ def page_is_empty(status: Column, load_error: Column, has_products: Column, card
 
 
 def crawl_cutoff(log: DataFrame, run: str, order: list[str], empty: str,
-                 max_empty: int | Column = P.DEFAULT_MAX_EMPTY_PAGES) -> DataFrame:
+                 max_empty: int | Column = P.DEFAULT_MAX_EMPTY_PAGES, num_partitions: int | None = None) -> DataFrame:
     """Annotate every page with ``page_num``, ``streak``, ``stop_page``
     and ``kept`` (non-empty page before the stop).  ``max_empty`` may be a
-    column (per-chain settings joined in) or a constant; 0 behaves as 1.
-    ``order`` must be unique within a run (add a tie-breaker such as an
-    event id), or the walk order of tied pages is arbitrary."""
-    m = F.greatest(max_empty if isinstance(max_empty, Column) else F.lit(max_empty), F.lit(1))
-    w = Window.partitionBy(run).orderBy(*order)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    column (per-chain settings, constant within a run) or a constant; 0
+    behaves as 1.  ``order`` must be unique within a run (add a tie-breaker
+    such as an event id).  ``run`` may be of any type; NULL runs are one run.
+
+    One run may hold a large share of all pages, so the log is range-
+    partitioned on ``(run, order)`` and windows run over (range, run):
+
+    1. per page: position and streak within its range of the run;
+    2. per (range, run): pages, leading and trailing empty pages, first stop
+       behind a non-empty page -- one pre-aggregated row;
+    3. windows over those rows give each range its page offset and the streak
+       carried in, hence the run's stop page; joined back on the same keys.
+
+    The ranged log is checkpointed once (shared checkpoint folder), so both
+    uses see the same ranges."""
+    m = max_empty if isinstance(max_empty, Column) else F.lit(max_empty)
+    n = num_partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (log.withColumn("_m", F.greatest(m, F.lit(1))).repartitionByRange(n, run, *order)
+              .withColumn("_part", F.spark_partition_id()).checkpoint(eager=True))
     e = F.col(empty)
-    numbered = log.withColumn("page_num", F.row_number().over(w))
-    with_streak = numbered.withColumn(
-        "streak",
-        F.when(e, F.col("page_num") - F.coalesce(
-            F.max(F.when(~e, F.col("page_num"))).over(running), F.lit(0))).otherwise(F.lit(0)))
-    with_stop = with_streak.withColumn(
-        "stop_page",
-        F.min(F.when(e & (F.col("streak") >= m), F.col("page_num"))).over(Window.partitionBy(run)))
-    return with_stop.withColumn(
-        "kept", ~e & (F.col("stop_page").isNull() | (F.col("page_num") < F.col("stop_page"))))
+    w = Window.partitionBy("_part", run).orderBy(*order)
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = (ranged.withColumn("_at", F.row_number().over(w))
+             .withColumn("_last", F.max(F.when(~e, F.col("_at"))).over(running)))
+    hit = e & F.col("_last").isNotNull() & (F.col("_at") - F.col("_last") >= F.col("_m"))
+    parts = local.groupBy("_part", run).agg(
+        F.max("_m").alias("_m"), F.count(F.lit(1)).alias("_n"), F.min(F.when(~e, F.col("_at"))).alias("_first"),
+        F.max(F.when(~e, F.col("_at"))).alias("_end"), F.min(F.when(hit, F.col("_at"))).alias("_hit"))
+    of_run = Window.partitionBy(run).orderBy("_part")
+    before = of_run.rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # streak carried in: pages since the last non-empty one of any earlier range
+    parts = parts.withColumn("_carry", F.col("_off") - F.coalesce(F.max(F.col("_off") + F.col("_end")).over(before), F.lit(0)))
+    lead = F.coalesce(F.col("_first") - 1, F.col("_n"))
+    early = F.greatest(F.col("_m") - F.col("_carry"), F.lit(1))
+    stop = F.when(early <= lead, early).otherwise(F.col("_hit"))
+    carried = parts.withColumn("stop_page", F.min(F.col("_off") + stop).over(Window.partitionBy(run))).select(
+        F.col("_part").alias("_p"), F.col(run).alias("_r"), "_off", "_carry", "stop_page")
+    joined = local.join(carried, (F.col("_part") == F.col("_p")) & F.col(run).eqNullSafe(F.col("_r")))
+    page = F.col("_off") + F.col("_at")
+    streak = F.when(~e, F.lit(0)).otherwise(F.col("_at") - F.coalesce(F.col("_last"), -F.col("_carry")))
+    return joined.select(
+        *log.columns, page.alias("page_num"), streak.cast("bigint").alias("streak"), "stop_page",
+        (~e & (F.col("stop_page").isNull() | (page < F.col("stop_page")))).alias("kept"))
 
 
 def kept_cards(annotated: DataFrame) -> DataFrame:
@@ -58,184 +85,15 @@ def kept_cards(annotated: DataFrame) -> DataFrame:
     return annotated.where(F.col("kept"))
 
 
-def crawl_summary(annotated: DataFrame, run: str, cards: str = "cards") -> DataFrame:
+def crawl_summary(annotated: DataFrame, run: str, cards: str = "cards", at: str | None = None) -> DataFrame:
     """A3 per run: ``total_items``, ``pages_processed`` = stop page - 1 (NULL
-    when the log ends before a stop), ``last_page`` seen and
-    ``pages_with_cards``.  Partial aggregation, one row per run."""
+    when the log ends before a stop), ``last_page`` seen, ``pages_with_cards``
+    and, with ``at``, the run's timestamp (its last page's).  Partial
+    aggregation, one row per run."""
     return annotated.groupBy(run).agg(
         F.sum(F.when(F.col("kept"), F.col(cards)).otherwise(F.lit(0))).cast("bigint").alias("total_items"),
         (F.min("stop_page") - 1).cast("bigint").alias("pages_processed"),
         F.max("page_num").cast("bigint").alias("last_page"),
         F.count_if(F.col("kept")).cast("bigint").alias("pages_with_cards"),
+        *([F.max(at).alias("timestamp")] if at else []),
     )
-
-
-# ------------------------------------------------- hot-run-safe variant ----
-def _segments(runs):
-    """(start, end) of consecutive equal values."""
-    import numpy as np
-    n = len(runs)
-    if n == 0:
-        return []
-    cut = np.flatnonzero(runs[1:] != runs[:-1]) + 1
-    starts = np.concatenate(([0], cut))
-    ends = np.concatenate((cut, [n]))
-    return list(zip(starts.tolist(), ends.tolist()))
-
-
-def _walk(empty, carry_streak, m):
-    """Vectorised walk of one run segment given the streak carried in."""
-    import numpy as np
-    n = len(empty)
-    idx = np.arange(n)
-    last_ne = np.maximum.accumulate(np.where(~empty, idx, -1))
-    streak = np.where(empty, np.where(last_ne >= 0, idx - last_ne, carry_streak + idx + 1), 0)
-    hits = np.flatnonzero(empty & (streak >= m))
-    stop = int(hits[0]) if len(hits) else None
-    out_streak = int(streak[-1]) if n else carry_streak
-    return streak, stop, out_streak
-
-
-def crawl_cutoff_ranged(log: DataFrame, run: str, order: list[str], empty: str, max_empty: int,
-                        num_partitions: int | None = None) -> DataFrame:
-    """W1 for logs where one run may hold a large share of all pages.
-
-    The window version sends a whole run to one task.  Here the log is
-    range-partitioned on ``(run, order)`` so a hot run is split over many
-    tasks (a parallel prefix scan):
-
-    1. each partition summarises only its first and last run segment
-       (at most two rows per partition: length, leading/trailing empty
-       pages, whether a stop happens after its first non-empty page);
-    2. window functions over that summary (per run, in partition order)
-       give every boundary segment its carried-in streak, page offset and
-       "already stopped" flag -- a table bounded by twice the partition count;
-    3. the carries are broadcast-joined back (proven size bound, and the
-       streamed side keeps its partitioning and order) and each partition
-       walks its rows with numpy, emitting ``page_num``, ``kept`` and
-       ``stop_page`` (set on the stopping page only, so ``crawl_summary``'s
-       ``min`` gives the run's stop).
-
-    Both Python passes stream the partition's Arrow batches with a small
-    carried state, so memory is bounded by the batch size, not by the
-    partition or the run.  The ranged log is checkpointed once (shared
-    checkpoint folder) so every pass sees identical partitions and lineage
-    is cut.  Kept rows equal ``crawl_cutoff``'s; ``order`` must likewise be
-    unique within a run."""
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql import types as T
-
-    from .joins import bounded_broadcast
-
-    m = max(int(max_empty), 1)
-    spark = log.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (log.repartitionByRange(n, run, *order).sortWithinPartitions(run, *order)
-              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    run_type = ranged.schema[run].dataType.simpleString()
-
-    def summarize(batches):
-        # streaming fold over the partition's Arrow batches (rows arrive in
-        # (run, order) order): keep the first segment's summary once it
-        # closes and the currently open one; middle segments need no carry
-        def update(cur, seg):
-            ne = np.flatnonzero(~seg)
-            if not cur["has_ne"]:
-                if not len(ne):
-                    cur["lead"] += len(seg)
-                    cur["trail"] += len(seg)
-                    cur["n"] += len(seg)
-                    return
-                cur["lead"] += int(ne[0])
-                cur["has_ne"] = True
-                rest, carry = seg[int(ne[0]):], 0
-            else:
-                rest, carry = seg, cur["trail"]
-            _, stop, out = _walk(rest, carry, m)
-            cur["local_stop"] = cur["local_stop"] or stop is not None
-            cur["trail"] = out
-            cur["n"] += len(seg)
-
-        def close(cur):
-            return (cur["pid"], cur["run"], cur["n"], cur["has_ne"], cur["lead"], cur["trail"], cur["local_stop"])
-
-        first, cur = None, None
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            runs = pdf[run].to_numpy()
-            emp = pdf[empty].to_numpy(dtype=bool)
-            pid = int(pdf["_pid"].iloc[0])
-            for s, e in _segments(runs):
-                if cur is not None and cur["run"] != runs[s]:
-                    first = close(cur) if first is None else first
-                    cur = None
-                if cur is None:
-                    cur = {"pid": pid, "run": runs[s], "n": 0, "has_ne": False, "lead": 0, "trail": 0,
-                           "local_stop": False}
-                update(cur, emp[s:e])
-        rows = [] if cur is None else ([close(cur)] if first is None else [first, close(cur)])
-        yield pd.DataFrame(rows, columns=["_pid", run, "n", "has_ne", "lead", "trail", "local_stop"])
-
-    summary = ranged.mapInPandas(summarize, f"_pid int, {run} {run_type}, n bigint, has_ne boolean, "
-                                            "lead bigint, trail bigint, local_stop boolean")
-    w = Window.partitionBy(run).orderBy("_pid")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    s1 = summary.withColumn("_cum", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    s2 = s1.select(
-        "*",
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_off"),
-        F.last(F.when(F.col("has_ne"), F.col("trail")), ignorenulls=True).over(before).alias("_lt"),
-        F.last(F.when(F.col("has_ne"), F.col("_cum")), ignorenulls=True).over(before).alias("_lc"))
-    # streak carried in = trailing empties of the last segment with a card
-    # page + every page of the all-empty segments after it
-    s3 = s2.withColumn("_c", F.coalesce(F.col("_lt"), F.lit(0)) + F.col("_off") - F.coalesce(F.col("_lc"), F.lit(0)))
-    s4 = s3.withColumn("_stop_here", (F.greatest(F.lit(m) - F.col("_c"), F.lit(1)) <= F.col("lead"))
-                       | F.col("local_stop"))
-    carries = s4.select("_pid", run, "_c", "_off", F.coalesce(
-        F.max(F.col("_stop_here").cast("int")).over(before), F.lit(0)).cast("boolean").alias("_stopped"))
-    # ``carries`` has at most two rows per partition (by construction of
-    # ``summarize``): a proven bound, so it is broadcast and the ranged rows
-    # keep their partitions and order through the join
-    with_carry = ranged.join(bounded_broadcast(carries, max_rows=2 * n, known_rows=2 * n),
-                             ["_pid", run], "left")
-
-    def finish(batches):
-        # streaming fold: the carry columns seed the partition's first run;
-        # a run continuing into the next batch carries (streak, offset,
-        # stopped) in ``state``
-        state = None
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            runs = pdf[run].to_numpy()
-            emp = pdf[empty].to_numpy(dtype=bool)
-            page_num = np.zeros(len(pdf), dtype="int64")
-            kept = np.zeros(len(pdf), dtype=bool)
-            stop_page = np.full(len(pdf), np.nan)
-            for s, e in _segments(runs):
-                if state is not None and state[0] == runs[s]:
-                    _, c, off, stopped = state
-                else:
-                    first = pdf.iloc[s]
-                    c = 0 if pd.isna(first["_c"]) else int(first["_c"])
-                    off = 0 if pd.isna(first["_off"]) else int(first["_off"])
-                    stopped = False if pd.isna(first["_stopped"]) else bool(first["_stopped"])
-                seg = emp[s:e]
-                _, stop, out_streak = _walk(seg, c, m)
-                idx = np.arange(e - s)
-                page_num[s:e] = off + idx + 1
-                kept[s:e] = (~seg) & (not stopped) & ((idx < stop) if stop is not None else True)
-                if stop is not None and not stopped:
-                    stop_page[s + stop] = off + stop + 1   # only on the stopping page
-                state = (runs[s], out_streak, off + (e - s), stopped or stop is not None)
-            out = pdf.drop(columns=["_pid", "_c", "_off", "_stopped"])
-            yield out.assign(page_num=page_num, kept=kept,
-                             stop_page=pd.array(np.where(np.isnan(stop_page), None, stop_page), dtype="Int64"))
-
-    out_schema = T.StructType([f for f in ranged.schema.fields if f.name != "_pid"]
-                              + [T.StructField("page_num", T.LongType()),
-                                 T.StructField("kept", T.BooleanType()),
-                                 T.StructField("stop_page", T.LongType())])
-    return with_carry.mapInPandas(finish, out_schema)

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import json_array_text
+
 
 def row_count_at_most(df: DataFrame, bound: int) -> bool:
     return df.limit(bound + 1).count() <= bound
@@ -51,7 +53,19 @@ def province_spine(provinces: DataFrame, branches: DataFrame, prov_key: str, bra
 
 
 def branch_spine(branches: DataFrame, facts: DataFrame, branch_key: str, fact_key: str) -> DataFrame:
-    """Every listed branch keeps at least one row; a branch without
-    detail facts gets NULL fact columns (its raw data is then ``[]``).
-    Skew-safe: a branch with a third of all facts does not land in one task."""
+    """J2 in long form: every listed branch keeps at least one row; a branch
+    without detail facts gets NULL fact columns.  Skew-safe: a branch with a
+    third of all facts does not land in one task."""
     return skew_safe_left_join(branches, facts, branch_key, fact_key)
+
+
+def branch_documents(branches: DataFrame, facts: DataFrame, branch_key: str, fact_key: str, order: str, item: str) -> DataFrame:
+    """One row per listed branch with ``raw_data``, the JSON array of its
+    facts in order, ``[]`` when the details failed.  A row holds one branch's
+    facts: like the reference's document it is bounded by what a branch page
+    lists, so use it for facts per branch, not for logs."""
+    items = facts.groupBy(fact_key).agg(F.array_sort(F.collect_list(F.struct(order, item))).alias("_items"))
+    joined = branches.join(items, branches[branch_key] == items[fact_key], "left")
+    empty = F.array().cast("array<string>")
+    return joined.select(*[branches[c] for c in branches.columns], json_array_text(
+        F.coalesce(F.col(f"_items.{item}"), empty)).alias("raw_data"))

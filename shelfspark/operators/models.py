@@ -161,7 +161,7 @@ def label_rows(df: DataFrame, labels: dict[str, str], load_ts: Column,
 
 # ---------------------------------------------------------------- M3 ------
 def raw_price_rows(items: DataFrame, store_name: str | Column, category: str | Column,
-                   scraped_at: Column, item_col: str = "item") -> DataFrame:
+                   scraped_at: Column, item_col: str = "item", keep: list[str] | None = None) -> DataFrame:
     """One raw row per card: ``raw_data`` is the JSON string literal of the
     card text; P16 labels.  ``scraped_at`` is the load time (a job parameter,
     one value per run, or the envelope's own timestamp)."""
@@ -172,6 +172,7 @@ def raw_price_rows(items: DataFrame, store_name: str | Column, category: str | C
         scraped_at.cast("timestamp").alias("scraped_datetime"),
         lab(store_name).alias("store_name"),
         lab(category).alias("category"),
+        *(keep or []),
     )
 
 

@@ -1,9 +1,9 @@
 """Page-level operators over a ``pages(page_id, url, html)`` table
 (S5, P1-P4, W5, H1-H6).
 
-Flat selectors have a native path (``regexp_extract_all`` + ``posexplode``)
-that stays in Catalyst; general CSS selectors use the Arrow-batched
-``mapInPandas`` extractor in ``sources.html``.
+Elements are cut out of the page text by SQL functions, for the tags the
+jobs look at (which do not nest, paragraphs included); the work stays in
+Catalyst and is narrow.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import ustrip
-from ..sources.tables import spread_for_cpu
 
 
 def page_frontier(bases: DataFrame, url_col: str, n_pages: int, keep: list[str] | None = None) -> DataFrame:
@@ -48,183 +47,136 @@ def url_is_invalid(url: Column) -> Column:
     return out
 
 
-def first_n_per_selector(elements: DataFrame, n: int = P.EVIDENCE_FIRST_N) -> DataFrame:
-    """First n elements of each (page, selector)."""
-    return elements.where(F.col("pos") < n)
-
-
-def page_evidence(elements: DataFrame) -> DataFrame:
-    """Per page, over all selectors, the first five elements of each:
-    how many hold ``$`` with stripped length > 20 (an element matched by two
-    selectors counts twice).  Partial aggregation per page."""
-    return first_n_per_selector(elements).groupBy("page_id").agg(
-        F.count_if(evidence_element(F.col("text"))).cast("bigint").alias("evidence"))
-
-
-def page_verdict(pages: DataFrame, evidence: DataFrame) -> DataFrame:
-    """``has_products = evidence > 0 AND NOT url_is_invalid``.  The
-    no-results marker cannot change it (reference early return); see
-    ``no_results_marker`` for the diagnostic."""
-    j = pages.select("page_id", "url").join(evidence, "page_id", "left")
-    ev = F.coalesce(F.col("evidence"), F.lit(0)).cast("bigint")
-    return j.select("page_id", "url", ev.alias("evidence"),
-                    url_is_invalid(F.col("url")).alias("url_invalid"),
-                    ((ev > 0) & ~url_is_invalid(F.col("url"))).alias("has_products"))
+# ------------------------------------------------------------- extraction ----
+# start of a block element, or end of an element that holds a paragraph: both end an open <p>
+P_ENDS = (r"</p\b|<(?:address|article|aside|blockquote|div|dl|fieldset|footer|form|h[1-6]|header|hr|main|nav|ol|"
+          r"section|table|ul)\b|</(?:address|article|aside|blockquote|body|div|footer|form|header|html|li|main|nav|"
+          r"ol|section|td|ul)\b")
+ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&copy;", "©"),
+            ("&middot;", "·"), ("&aacute;", "á"), ("&eacute;", "é"), ("&iacute;", "í"), ("&oacute;", "ó"),
+            ("&uacute;", "ú"), ("&ntilde;", "ñ"), ("&uuml;", "ü"), ("&Aacute;", "Á"), ("&Eacute;", "É"),
+            ("&Iacute;", "Í"), ("&Oacute;", "Ó"), ("&Uacute;", "Ú"), ("&Ntilde;", "Ñ"), ("&Uuml;", "Ü"),
+            ("&deg;", "°"), ("&ordm;", "º"), ("&euro;", "€")]
+
+
+def class_test(classes: str) -> str:
+    """Attribute pattern: the class attribute holds every one of ``classes``, in this order."""
+    return r"[^>]*class=\"[^\"]*" + r"[^\"]*".join(c.replace("-", r"\-") for c in classes.split()) + r"[^\"]*\"[^>]*"
+
+
+def inner_html(html: Column, tag: str, attributes: str = "") -> Column:
+    """H1: inner HTML of every ``tag`` element in document order, for tags that do
+    not nest (article, li, option, select, h1, ...); ``attributes`` is a pattern
+    the rest of the opening tag has to match.  A paragraph also ends where
+    another starts or its surroundings do."""
+    rest = attributes or r"(?:\s[^>]*)?"
+    if tag == "p":
+        parts = F.split(html, rf"(?i)<p{rest}>", -1)
+        return F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))),
+                           lambda x: F.regexp_replace(x, rf"(?is)(?:{P_ENDS}).*", ""))
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}{rest}>(.*?)</{tag}\s*>"), 1)
+
+
+def decode_entities(text: Column) -> Column:
+    """Decimal character references and the named ones of ``ENTITIES``; ``&amp;`` last."""
+    def decoded(part: Column) -> Column:
+        digits = F.regexp_extract(part, r"^([0-9]{1,6});", 1)
+        char = F.decode(F.unhex(F.lpad(F.hex(digits.try_cast("bigint")), 8, "0")), "UTF-32")
+        return F.when(digits != "", F.concat(char, F.substring(part, F.length(digits) + 2, F.length(part)))).otherwise(
+            F.concat(F.lit("&#"), part))
+    parts = F.split(text, "&#", -1)
+    numeric = F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded), ""))
+    x = F.when(text.contains("&#"), numeric).otherwise(text)
+    for ent, ch in [*ENTITIES, ("&amp;", "&")]:
+        x = F.replace(x, F.lit(ent), F.lit(ch))
+    return x
 
 
-# ------------------------------------------------------- native fast path ----
-def tag_pattern(tag: str) -> str:
-    """Inner HTML of ``<tag ...>...</tag>`` (non-nesting tags)."""
-    return rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
+def flat_text(inner: Column) -> Column:
+    """Text of a fragment: drop script/style and comments, tags -> space, decode
+    entities, collapse whitespace, strip."""
+    x = F.regexp_replace(inner, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>", " ")
+    x = F.regexp_replace(decode_entities(x), r"\s+", " ")
+    return F.regexp_replace(x, r"\A | \z", "")
 
 
-def flat_text(inner_html: Column) -> Column:
-    """Native text of a fragment: drop script/style and comments, tags ->
-    space, decode the common entities, collapse whitespace, strip."""
-    x = F.regexp_replace(inner_html, r"(?is)<script\b.*?</script\s*>", " ")
-    x = F.regexp_replace(x, r"(?is)<style\b.*?</style\s*>", " ")
-    x = F.regexp_replace(x, r"(?s)<!--.*?-->", " ")
-    x = F.regexp_replace(x, r"<[^>]*>", " ")
-    for ent, ch in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&amp;", "&")]:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    x = F.regexp_replace(x, r"\s+", " ")
-    return F.regexp_replace(x, r"\A | \z", "")
+def line_text(inner: Column) -> Column:
+    """Text of a fragment whose line breaks are ``<br>``: one line each."""
+    lines = F.split(inner, r"(?i)<br\s*/?>", -1)
+    return F.array_join(F.transform(lines, flat_text), "\n")
 
 
-def extract_tag_native(pages: DataFrame, tag: str, selector_idx: int = 0) -> DataFrame:
-    """H1 fast path for a bare tag selector: ``(page_id, selector_idx, pos,
-    text)`` in document order, computed in the JVM."""
-    frag = F.regexp_extract_all(F.col("html"), F.lit(tag_pattern(tag)), 1)
-    return pages.select("page_id", F.posexplode(frag).alias("pos", "_inner")).select(
+def extract_tag(pages: DataFrame, tag: str, selector_idx: int = 0, attributes: str = "") -> DataFrame:
+    """Elements as rows: ``(page_id, selector_idx, pos, text)`` in document order."""
+    found = inner_html(F.col("html"), tag, attributes)
+    return pages.select("page_id", F.posexplode_outer(found).alias("pos", "_inner")).where("pos is not null").select(
         "page_id", F.lit(selector_idx).alias("selector_idx"), F.col("pos").cast("bigint").alias("pos"),
         flat_text(F.col("_inner")).alias("text"))
 
 
-# --------------------------------------------------------- general path ----
-def _html_module():
-    from ..sources import html as H  # pickled by value with the package
-    return H
-
-
-ELEMENT_SCHEMA = "page_id bigint, selector_idx int, pos int, text string"
-
+def evidence_count(html: Column, selectors: list[tuple[str, str]]) -> Column:
+    """P2 without rows: over all (tag, attributes) selectors the number of elements
+    with evidence among the first five of each."""
+    counts = [F.size(F.filter(F.transform(F.slice(inner_html(html, tag, attributes), 1, P.EVIDENCE_FIRST_N), flat_text),
+                              evidence_element)) for tag, attributes in selectors]
+    return sum(counts[1:], counts[0]).cast("bigint")
 
-def extract_elements(pages: DataFrame, selectors: list[str], text_mode: str = "inner") -> DataFrame:
-    """H1: elements per selector in document order, ``(page_id,
-    selector_idx, pos, text)``.  Narrow: each page is parsed once in the task
-    that holds it (Arrow batches in and out)."""
-    H = _html_module()
-    sels = list(selectors)
-    fn_text = text_mode
 
-    def run(batches):
-        import pandas as pd
-        compiled = [H.compile_selector(s) for s in sels]
-        to_text = H.TEXT_MODES[fn_text]
-        for pdf in batches:
-            out = {"page_id": [], "selector_idx": [], "pos": [], "text": []}
-            for pid, html in zip(pdf["page_id"], pdf["html"]):
-                order = H.parse(html)
-                for si, match in enumerate(compiled):
-                    for pos, node in enumerate(match(order)):
-                        out["page_id"].append(int(pid))
-                        out["selector_idx"].append(si)
-                        out["pos"].append(pos)
-                        out["text"].append(to_text(node))
-            if out["page_id"]:  # an empty frame would carry untyped columns
-                yield pd.DataFrame(out).astype({"page_id": "int64", "selector_idx": "int32", "pos": "int32"})
+def verdict(pages: DataFrame, selectors: list[tuple[str, str]]) -> DataFrame:
+    """P2 to P4 in one narrow pass over the pages: ``(page_id, url, evidence,
+    url_invalid, has_products)``."""
+    rows = pages.select("page_id", "url", evidence_count(F.col("html"), selectors).alias("evidence"))
+    invalid = url_is_invalid(F.col("url"))
+    return rows.select("page_id", "url", "evidence", invalid.alias("url_invalid"),
+                       ((F.col("evidence") > 0) & ~invalid).alias("has_products"))
 
-    return spread_for_cpu(pages.select("page_id", "html")).mapInPandas(run, ELEMENT_SCHEMA)
 
-
-def extract_primary(pages: DataFrame, selectors: list[str]) -> DataFrame:
-    """H2: cards come from the first selector only."""
-    return extract_elements(pages, selectors[:1]).where(F.col("selector_idx") == 0)
+def extract_primary(pages: DataFrame, selector: tuple[str, str]) -> DataFrame:
+    """H2 + P1: valid cards ``(page_id, pos, item)`` of the first selector only; a
+    card's lines are kept."""
+    found = F.transform(inner_html(F.col("html"), *selector), line_text)
+    rows = pages.select("page_id", F.posexplode_outer(found).alias("pos", "item"))
+    return rows.where(F.col("pos").isNotNull() & valid_card(F.col("item"))).select(
+        "page_id", F.col("pos").cast("bigint").alias("pos"), "item")
 
 
 def extract_store_list(pages: DataFrame, list_classes: str = P.STORE_LIST_CLASSES,
                        item_class: str = P.STORE_ITEM_CLASS) -> DataFrame:
-    """H3: if the container class string occurs in the page, the stripped
-    texts of ``ul.<classes> li.<item>`` in order; else nothing.  Empty class
-    arguments drop the guard / the class constraint (``ul li``)."""
-    guarded = pages.where(F.col("html").contains(list_classes)) if list_classes else pages
-    sel = ("ul." + ".".join(list_classes.split()) if list_classes else "ul") + \
-        (" li." + item_class if item_class else " li")
-    return extract_elements(guarded, [sel]).select("page_id", "pos", ustrip(F.col("text")).alias("text"))
-
-
-def card_rows(pages: DataFrame, selectors: list[str]) -> DataFrame:
-    """H2 + P1: valid cards of the primary selector, in page order."""
-    return extract_primary(pages, selectors).where(valid_card(F.col("text")))
+    """H3: if the container class string occurs in the page, the stripped texts of
+    ``li.<item>`` inside ``ul.<classes>``, in order; else nothing."""
+    lists = F.array_join(inner_html(F.col("html"), "ul", class_test(list_classes)), "")
+    found = F.transform(inner_html(lists, "li", class_test(item_class)), line_text)
+    rows = pages.where(F.col("html").contains(list_classes)).select("page_id", F.posexplode_outer(found).alias("pos", "text"))
+    return rows.where("pos is not null").select("page_id", F.col("pos").cast("bigint").alias("pos"), ustrip(F.col("text")).alias("text"))
 
 
 def extract_options(pages: DataFrame) -> DataFrame:
-    """H4: every ``<option>`` of every ``<select>``: value attribute and raw
-    text, ``(page_id, select_idx, pos, codigo, nombre)``."""
-    H = _html_module()
-
-    def run(batches):
-        import pandas as pd
-        for pdf in batches:
-            out = {"page_id": [], "select_idx": [], "pos": [], "codigo": [], "nombre": []}
-            for pid, html in zip(pdf["page_id"], pdf["html"]):
-                order = H.parse(html)
-                selects = [n for n in order if n.tag == "select"]
-                for si, sel in enumerate(selects):
-                    opts = [n for n in H.parse_subtree(sel) if n.tag == "option"]
-                    for pos, o in enumerate(opts):
-                        out["page_id"].append(int(pid))
-                        out["select_idx"].append(si)
-                        out["pos"].append(pos)
-                        out["codigo"].append(o.attrs.get("value"))
-                        out["nombre"].append(H.text_content(o))
-            if out["page_id"]:
-                yield pd.DataFrame(out).astype({"page_id": "int64", "select_idx": "int32", "pos": "int32"})
-
-    return spread_for_cpu(pages.select("page_id", "html")).mapInPandas(
-        run, "page_id bigint, select_idx int, pos int, codigo string, nombre string")
-
-
-def extract_branch_facts(pages: DataFrame) -> DataFrame:
-    """H5: ``raw_data`` per page: stripped non-blank texts of ``ul li p``,
-    then ``EXTRA: `` + texts of the extra-info blocks, order kept.  Built per
-    page inside the task: no shuffle, no collect."""
-    H = _html_module()
-    fact_sel, extra_sel, prefix = P.BRANCH_FACT_SELECTOR, P.BRANCH_EXTRA_SELECTOR, P.EXTRA_PREFIX
-
-    def run(batches):
-        import pandas as pd
-        facts_m, extra_m = H.compile_selector(fact_sel), H.compile_selector(extra_sel)
-        for pdf in batches:
-            ids, arrays = [], []
-            for pid, html in zip(pdf["page_id"], pdf["html"]):
-                order = H.parse(html)
-                items = [t.strip() for t in (H.text_content(n) for n in facts_m(order)) if t and t.strip()]
-                items += [prefix + t.strip() for t in (H.text_content(n) for n in extra_m(order))
-                          if t and t.strip()]
-                ids.append(int(pid))
-                arrays.append(items)
-            yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"), "raw_data": arrays})
-
-    return spread_for_cpu(pages.select("page_id", "html")).mapInPandas(run, "page_id bigint, raw_data array<string>")
-
-
-def no_results_marker(pages: DataFrame, selectors: list[str]) -> DataFrame:
-    """H6 (diagnostic only): first no-results selector present on the page."""
-    H = _html_module()
-    sels = list(selectors)
-
-    def run(batches):
-        import pandas as pd
-        compiled = [H.compile_selector(s) for s in sels]
-        for pdf in batches:
-            ids, marks = [], []
-            for pid, html in zip(pdf["page_id"], pdf["html"]):
-                order = H.parse(html)
-                hit = next((s for s, m in zip(sels, compiled) if m(order)), None)
-                ids.append(int(pid))
-                marks.append(hit)
-            yield pd.DataFrame({"page_id": pd.Series(ids, dtype="int64"), "marker": marks})
-
-    return spread_for_cpu(pages.select("page_id", "html")).mapInPandas(run, "page_id bigint, marker string")
+    """H4: every ``<option>`` of every ``<select>`` (neither nests): value attribute
+    and text, ``(page_id, select_idx, pos, codigo, nombre)``."""
+    selects = pages.select("page_id", F.posexplode_outer(inner_html(F.col("html"), "select")).alias("select_idx", "_inner"))
+    opts = selects.select("page_id", "select_idx", F.posexplode_outer(
+        F.regexp_extract_all(F.col("_inner"), F.lit(r"(?is)<option[^>]*>[^<]*"), 0)).alias("pos", "_o")).where("_o is not null")
+    value = F.regexp_extract(F.col("_o"), r'(?is)^<option[^>]*?\svalue="([^"]*)"', 1)
+    return opts.select("page_id", "select_idx", "pos",
+                       F.when(F.col("_o").rlike(r'(?is)^<option[^>]*?\svalue="'), decode_entities(value)).alias("codigo"),
+                       decode_entities(F.regexp_replace(F.col("_o"), r"(?is)^<option[^>]*>", "")).alias("nombre"))
+
+
+def branch_facts_of(html: Column) -> Column:
+    """H5 + P7: the non-blank stripped texts of ``ul li p``, then ``EXTRA: `` and the
+    texts of the extra-info blocks, order kept; an array, no shuffle."""
+    lists = F.array_join(inner_html(html, "li"), "")
+    facts = F.transform(inner_html(lists, "p"), lambda x: ustrip(line_text(x)))
+    extra = rf"(?:{class_test('store-info')}|{class_test('branch-details')}|{class_test('sucursal-info')})"
+    more = F.transform(inner_html(html, "div", extra), lambda x: ustrip(line_text(x)))
+    keep = lambda xs: F.filter(xs, lambda x: x != "")
+    return F.concat(keep(facts), F.transform(keep(more), lambda x: F.concat(F.lit(P.EXTRA_PREFIX), x)))
+
+
+def no_results_marker(html: Column, classes: list[str]) -> Column:
+    """H6 (diagnostic only): the first of ``classes`` that a class attribute of the page holds."""
+    found = None
+    for c in classes:
+        hit = html.rlike(rf"(?is)<[a-z0-9]+{class_test(c)}>")
+        found = F.when(hit, F.lit(c)) if found is None else found.when(hit, F.lit(c))
+    return found

@@ -20,11 +20,8 @@ from ..functions import patterns as P
 
 def price_change_pct(cur: Column, prev: Column) -> Column:
     """``round((cur - prev) / prev * 100, 2)`` when prev is not NULL and
-    > 0, else NULL.  The ratio is rounded half-up through DECIMAL(24,6) so
-    the result does not depend on the engine's double rounding."""
-    ratio = (cur - prev) / prev * 100
-    return F.when(prev.isNotNull() & (prev > 0),
-                  F.round(ratio.cast("decimal(24,6)"), 2).cast("double"))
+    > 0, else NULL; one rounding, half away from zero."""
+    return F.when(prev > 0, F.round((cur - prev) / prev * 100, 2))
 
 
 def with_previous_price(prices: DataFrame, keys: list[str], order: str, price: str = "price") -> DataFrame:
@@ -41,7 +38,7 @@ def daily_price(prices: DataFrame, keys: list[str], day: Column, at: str, price:
     return prices.groupBy(*keys, day.alias("day")).agg(value.alias(price))
 
 
-_AMOUNT = r"\$\s*([0-9]{1,3}(?:\.[0-9]{3})*(?:,[0-9]+)?|[0-9]+(?:,[0-9]+)?)"
+_AMOUNT = r"\$\s*([0-9][0-9.]*(?:,[0-9]+)?)"
 
 
 def parse_card(raw_text: Column) -> list[Column]:
@@ -55,11 +52,15 @@ def parse_card(raw_text: Column) -> list[Column]:
     ]
 
 
-def sample_prices(spark: SparkSession) -> DataFrame:
-    """The reference's four literal sample rows (2 products x 2 stores)."""
-    return spark.createDataFrame(
+def sample_prices(spark: SparkSession, scraped_at: str | Column | None = None) -> DataFrame:
+    """The reference's four literal sample rows (2 products x 2 stores);
+    ``scraped_at`` (a job parameter: the run's time) adds the load time."""
+    rows = spark.createDataFrame(
         P.SAMPLE_PRICES,
         "product_name string, price double, currency string, store_name string, category string, url string")
+    if scraped_at is None:
+        return rows
+    return rows.withColumn("scraped_at", scraped_at if isinstance(scraped_at, Column) else F.lit(scraped_at).cast("timestamp"))
 
 
 def union_price_feeds(feeds: list[DataFrame]) -> DataFrame:
@@ -69,24 +70,21 @@ def union_price_feeds(feeds: list[DataFrame]) -> DataFrame:
 
 def with_previous_price_bucketed(prices: DataFrame, keys: list[str], order: str, bucket: Column,
                                  price: str = "price") -> DataFrame:
-    """W4 for keys that may hold a large share of all rows.
-
-    A plain ``lag`` window sends every row of a key to one task.  Here rows
-    are windowed per ``(key, bucket)`` (``bucket`` = e.g. the month of the
-    observation time), so a hot key is spread over its time buckets.  The
-    first row of each bucket takes the last price of the key's previous
-    non-empty bucket from a summary with one row per (key, bucket).  The
-    summary is partially aggregated before its shuffle (one row per key and
-    bucket leaves each map task) and windowed per key, bounded by the number
-    of buckets; it costs a second, light pass over the input.  ``order`` must
-    be unique within a key.  Same result as ``with_previous_price``."""
-    w_in = Window.partitionBy(*keys, "_bucket").orderBy(order)
-    inner = (prices.withColumn("_bucket", bucket)
-             .withColumn("prev_price", F.lag(price).over(w_in))
-             .withColumn("_first", F.row_number().over(w_in) == 1))
-    last = inner.groupBy(*keys, "_bucket").agg(F.max_by(price, order).alias("_last"))
-    carry = last.select(*keys, "_bucket",
-                        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carry"))
+    """W4 for unaggregated prices of keys that may hold a large share of all rows.
+
+    A plain ``lag`` window sends every row of a key to one task.  Here rows are
+    windowed per ``(key, bucket)`` (``bucket``: e.g. the month of the
+    observation time).  The same window pass gives each bucket's last price;
+    the first row of a bucket takes the last price of the key's previous
+    bucket from that one row per (key, bucket).  ``order`` must be unique
+    within a key.  Same result as ``with_previous_price``.  Aggregate to one
+    row per key and time first where that is wanted anyway; the plain form is
+    then the cheaper one."""
+    w = Window.partitionBy(*keys, "_bucket").orderBy(order)
+    inner = (prices.withColumn("_bucket", bucket).withColumn("prev_price", F.lag(price).over(w))
+             .withColumn("_first", F.row_number().over(w) == 1).withColumn("_final", F.lead(order).over(w).isNull()))
+    last = inner.where("_final").select(*keys, "_bucket", F.col(price).alias("_last"))
+    carry = last.select(*keys, "_bucket", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carry"))
     return (inner.join(carry, [*keys, "_bucket"], "left")
             .withColumn("prev_price", F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("prev_price")))
-            .drop("_bucket", "_first", "_carry"))
+            .drop("_bucket", "_first", "_final", "_carry"))

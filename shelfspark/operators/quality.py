@@ -51,16 +51,14 @@ def enforce_required(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def counts_per(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
-    """Rows per key (cards per page, stores per province, ...); a partial
+    """Rows per key (cards per page, items per branch, ...); a partial
     aggregation, so a hot key costs no more than any other."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias(name))
 
 
 def required_inline(df: DataFrame, columns: list[str]) -> DataFrame:
     """K3 in one pass: every REQUIRED column raises on its first NULL while
-    the rows are being written, so the write job fails and commits nothing.
-    Use for appends; for overwrites use ``enforce_required`` (audit first),
-    since a failed overwrite job has already removed the old data."""
+    the rows are being written, so the write job fails and commits nothing."""
     return df.withColumns({
         c: F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL in required column {c}")))
             .otherwise(F.col(c))

@@ -12,15 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.patterns import CHAIN_CONFIGS
 from ..functions.text import clean_product_name as clean
 from ..functions.text import json_array_text
 from ..operators import crawl, facts, joins, models, options, pages, prices, quality, status
 from ..session import shared_dir
 from ..sinks import writers
-from ..sources.tables import load, spread_for_cpu
+from ..sources.tables import load
 from ..streaming import ingest
-from . import inputs
+from . import flows, inputs
 from . import oracle_sql as O
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -57,9 +56,8 @@ def branch_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ crawl (W1) ----
 def _crawl_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = inputs.crawl_log(spark, sf_dir)
-    log = log.withColumn("empty", crawl.page_is_empty(F.col("status"), F.lit(False), F.lit(True),
-                                                      F.col("cards")))
-    return crawl.crawl_cutoff(log, "run", ["ts", "event_id"], "empty", max_empty=2)
+    log = log.withColumn("empty", crawl.page_is_empty(F.col("status"), F.col("load_error"), F.col("has_products"), F.col("cards")))
+    return crawl.crawl_cutoff(log, "run", ["ts", "event_id"], "empty", F.col("max_empty"))
 
 
 @register("crawl_cutoff", O.crawl_cutoff)
@@ -71,7 +69,8 @@ def crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("crawl_summary", O.crawl_summary)
 def crawl_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crawl.crawl_summary(_crawl_annotated(spark, sf_dir), "run")
+    summary = crawl.crawl_summary(_crawl_annotated(spark, sf_dir), "run", at="ts")
+    return summary.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 # ------------------------------------------------------- status (A4 A5 J5) ----
@@ -79,9 +78,9 @@ def _status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate",
                                                   "o_orderpriority")
     expected = orders.selectExpr("o_orderkey", f"{inputs.RUN_DATE_SQL} AS ds", "o_orderpriority")
-    observed = orders.selectExpr("o_orderkey", f"{inputs.ORDER_STATE_SQL} AS state").where(
-        F.col("state").isNotNull())
-    return status.expected_vs_observed(expected, observed, ["o_orderkey"])
+    observed = orders.selectExpr("o_orderkey", f"{inputs.ORDER_STATE_SQL} AS state",
+                                 f"{inputs.LOOKUP_FAILED_SQL} AS lookup_failed").where(F.col("state").isNotNull())
+    return status.expected_vs_observed(expected, observed, ["o_orderkey"], lookup_failed="lookup_failed")
 
 
 @register("status_summary", O.status_summary)
@@ -89,6 +88,12 @@ def status_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.run_status_summary(_status_rows(spark, sf_dir), "ds")
 
 
+@register("status_by_flow", O.status_by_flow)
+def status_by_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _status_rows(spark, sf_dir).withColumnRenamed("o_orderpriority", "flow")
+    return status.run_status_detail(rows, "ds", "flow")
+
+
 @register("status_detail", O.status_detail)
 def status_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _status_rows(spark, sf_dir)
@@ -113,7 +118,7 @@ def price_change_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_product_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     srcs = [("part", "p_partkey", "p_name"), ("customer", "c_custkey", "c_name"),
             ("documents", "doc_id", "text")]
-    frames = [spread_for_cpu(load(spark, sf_dir, t).select(k, c)).select(
+    frames = [load(spark, sf_dir, t).select(k, c).select(
         F.lit(t).alias("source"), F.col(k).cast("bigint").alias("key"), clean(F.col(c)).alias("clean_name"))
         for t, k, c in srcs]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
@@ -124,7 +129,8 @@ def union_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_type", "p_size")
     slices = [part.where(F.expr(cond)).selectExpr(*[f"{v} AS {k}" for k, v in inputs.part_slice_exprs(s).items()])
               for s, cond in inputs.PART_SLICES]
-    return prices.union_price_feeds([prices.sample_prices(spark), *slices])
+    at = F.timestamp_micros(F.lit(inputs.BASE_MICROS)).cast("timestamp_ntz")
+    return prices.union_price_feeds([prices.sample_prices(spark, at), *slices])
 
 
 @register("raw_price_rows", O.raw_price_rows)
@@ -164,16 +170,29 @@ def page_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("article_cards", O.article_cards)
 def article_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    el = pages.extract_tag_native(load(spark, sf_dir, "pages").select("page_id", "html"), "article")
+    el = pages.extract_tag(load(spark, sf_dir, "pages").select("page_id", "html"), "article")
     return el.select("page_id", "pos", "text", pages.valid_card(F.col("text")).alias("is_card"))
 
 
 @register("list_items", O.list_items)
 def list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    el = pages.extract_tag_native(load(spark, sf_dir, "pages").select("page_id", "html"), "li")
+    el = pages.extract_tag(load(spark, sf_dir, "pages").select("page_id", "html"), "li")
     return el.select("page_id", "pos", "text")
 
 
+SELECTORS = [("article", ""), ("li", ""), ("a", ""), ("div", pages.class_test("ad")), ("p", ""), ("h1", ""), ("footer", "")]
+
+
+@register("css_elements", O.tag_elements)
+def css_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1 for several selectors in one scan."""
+    found = F.array(*[F.struct(F.lit(i).alias("selector_idx"), F.transform(pages.inner_html(F.col("html"), tag, attrs), pages.flat_text)
+                               .alias("texts")) for i, (tag, attrs) in enumerate(SELECTORS)])
+    each = load(spark, sf_dir, "pages").select("page_id", F.explode_outer(found).alias("f"))
+    return each.select("page_id", "f.selector_idx", F.posexplode_outer("f.texts").alias("pos", "text")).where("pos is not null").select(
+        "page_id", "selector_idx", F.col("pos").cast("bigint").alias("pos"), "text")
+
+
 # ---------------------------------------------------------------- options ----
 @register("option_group", O.option_group)
 def option_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +205,12 @@ def option_second_group(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  placeholder="provincia", case_insensitive=True)
 
 
+@register("option_pages", O.option_pages)
+def option_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H4 -> A8 -> P6 over pages with a select per nation."""
+    return options.clean_options(options.pick_option_group(pages.extract_options(inputs.option_pages(spark, sf_dir))))
+
+
 # ------------------------------------------------------------------ spine ----
 def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     nat = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -210,43 +235,54 @@ def not_null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   ["provincia", "sucursal_id", "nombre", "o_orderkey", "raw_item"])
 
 
-@register("page_verdict", O.page_verdict)
-def page_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
-    el = pages.extract_tag_native(pg, "article", 0).unionByName(pages.extract_tag_native(pg, "p", 1))
-    return pages.page_verdict(pg, pages.page_evidence(el))
+@register("branch_documents", O.branch_documents)
+def branch_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per listed branch with its raw facts, ``[]`` without any."""
+    nat = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    ords = load(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("raw_item"))
+    listed = joins.province_spine(nat, cust, "n_nationkey", "c_nationkey").select(
+        F.col("n_name").alias("provincia"), F.col("c_custkey"), F.col("c_name").alias("nombre"))
+    found = joins.branch_documents(listed, ords, "c_custkey", "o_custkey", "o_orderkey", "raw_item")
+    return found.select("provincia", F.col("c_custkey").cast("string").alias("sucursal_id"), "nombre", "raw_data")
 
 
-CSS_SELECTORS = ["article", "ul li a", "div.ad", 'a[href*="the"]', "article p, h1", "footer"]
+@register("items_per_branch", O.items_per_branch)
+def items_per_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw items per branch."""
+    return quality.counts_per(load(spark, sf_dir, "orders").select("o_custkey"), ["o_custkey"])
 
 
-@register("css_elements", None)
-def css_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.extract_elements(load(spark, sf_dir, "pages"), CSS_SELECTORS)
+@register("model_audit", O.model_audit)
+def model_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared not-null tests over the branch model, published as a table (K8)."""
+    name = f"branches_{uuid.uuid4().hex[:12]}"
+    writers.publish_table(models.parse_branch_json(inputs.raw_doc_branches(spark, sf_dir)), name, shared_dir(spark, "tables", name))
+    return quality.not_null_audit(spark.table(name), flows.MODEL_NOT_NULL)
 
 
-@register("page_verdict_css", None)
+@register("page_verdict", O.page_verdict)
+def page_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.verdict(load(spark, sf_dir, "pages"), [("article", ""), ("p", "")])
+
+
+CARD_SELECTORS = [("article", pages.class_test(inputs.CARD_CLASS)), ("article", "")]
+
+
+@register("page_verdict_css", O.card_page_verdict)
 def page_verdict_css(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Carrefour's product selectors over the stored pages (general path),
-    the verdict, and the no-results marker as a diagnostic column."""
-    product_sels, no_results, *_ = CHAIN_CONFIGS["CARREFOUR"]
-    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
-    verdict = pages.page_verdict(pg, pages.page_evidence(pages.extract_elements(pg, product_sels)))
-    return verdict.join(pages.no_results_marker(pg, no_results), "page_id", "left")
+    """P2-P4 and the no-results marker (H6) over result pages of every part."""
+    pg = inputs.card_pages(spark, sf_dir)
+    marker = pages.no_results_marker(F.col("html"), ["titleNotFound", "not-found", "no-results", "empty"])
+    return pages.verdict(pg, CARD_SELECTORS).join(pg.select("page_id", marker.alias("marker")), "page_id")
 
 
-@register("branch_facts_pages", None)
+@register("branch_facts_pages", O.branch_facts_pages)
 def branch_facts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H5 -> raw branches -> M2: branch detail pages straight to the model."""
-    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
-    facts = pages.extract_branch_facts(pg)
-    raw = pg.select("page_id", "url").join(facts, "page_id").select(
-        F.col("page_id").cast("string").alias("sucursal_id"),
-        F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("nombre"),
-        F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1).alias("provincia"),
-        json_array_text(F.col("raw_data")).alias("raw_data"),
-        F.timestamp_micros(F.lit(inputs.BASE_MICROS) + F.col("page_id") * 1000).alias("fecha_extraccion"),
-        F.lit("pages").alias("fuente"))
+    raw = inputs.branch_pages(spark, sf_dir).select(
+        F.col("c_custkey").cast("string").alias("sucursal_id"), F.col("c_name").alias("nombre"), F.col("n_name").alias("provincia"),
+        json_array_text(pages.branch_facts_of(F.col("html"))).alias("raw_data"), "fecha_extraccion", F.lit("pages").alias("fuente"))
     return models.parse_branch_json(raw)
 
 
@@ -282,7 +318,7 @@ def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.replace_snapshot(snap, path, required=required)
     writers.replace_snapshot(snap, path, required=required)
     writers.replace_snapshot(snap.where(F.lit(False)), path)
-    back = spark.read.parquet(path)
+    back = writers.read_snapshot(spark, path)
     return back.withColumn("fecha_extraccion", F.col("fecha_extraccion").cast("timestamp_ntz"))
 
 
@@ -304,12 +340,12 @@ def json_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: page records archived as JSON by load run; on read the object key
     ``<yyyymmdd_hhmmss>_<last url segment>`` is rebuilt per record."""
     root = shared_dir(spark, "archive", "json_data")
-    pg = load(spark, sf_dir, "pages").select("page_id", "url")
-    # hourly load runs of 100 pages each
-    load_ts = F.timestamp_micros(F.lit(inputs.BASE_MICROS) + F.floor(F.col("page_id") / 100) * 3600000000)
+    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    # a day of hourly load runs
+    load_ts = F.timestamp_micros(F.lit(inputs.BASE_MICROS) + F.col("page_id") % 24 * 3600000000)
     writers.archive_timestamped(pg, root, load_ts, F.col("url"))
-    return writers.archived_objects(spark, root, "page_id bigint, url string").select(
-        "page_id", "url", "object_key")
+    return writers.archived_objects(spark, root, "page_id bigint, url string, html string").select(
+        "page_id", "url", "html", "object_key")
 
 
 @register("stream_ingest", O.stream_ingest)
@@ -321,35 +357,15 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     env = inputs.conversation_envelopes(spark, sf_dir)
     store = F.regexp_extract(F.col("source_file"), r"store=([^/]+)", 1)
     wave = inputs.envelope_wave(F.col("store"))
-    env.where(wave == 0).write.partitionBy("store").json(landing)
+    env.where(wave == 0).write.partitionBy("store").option("maxRecordsPerFile", 1).text(landing)
     ingest.ingest_new_envelopes(spark, landing, table, ckpt, store, max_files_per_trigger=1000)
-    env.where(wave == 1).write.mode("append").partitionBy("store").json(landing)
+    env.where(wave == 1).write.mode("append").partitionBy("store").option("maxRecordsPerFile", 1).text(landing)
     ingest.ingest_new_envelopes(spark, landing, table, ckpt, store, max_files_per_trigger=1000)
     ingest.ingest_new_envelopes(spark, landing, table, ckpt, store)  # nothing new
     back = spark.read.schema(RAW_PRICE_SCHEMA).parquet(table)
     return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
 
 
-@register("crawl_cutoff_ranged", O.crawl_cutoff)
-def crawl_cutoff_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same result as ``crawl_cutoff``, computed with the hot-run-safe
-    range-split scan."""
-    log = inputs.crawl_log(spark, sf_dir)
-    log = log.withColumn("empty", crawl.page_is_empty(F.col("status"), F.lit(False), F.lit(True), F.col("cards")))
-    ann = crawl.crawl_cutoff_ranged(log.select("run", "ts", "event_id", "cards", "empty"),
-                                    "run", ["ts", "event_id"], "empty", 2)
-    return ann.where("kept").select("run", "event_id", "page_num", F.col("cards").cast("bigint").alias("cards"))
-
-
-@register("crawl_summary_ranged", O.crawl_summary)
-def crawl_summary_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = inputs.crawl_log(spark, sf_dir)
-    log = log.withColumn("empty", crawl.page_is_empty(F.col("status"), F.lit(False), F.lit(True), F.col("cards")))
-    ann = crawl.crawl_cutoff_ranged(log.select("run", "ts", "event_id", "cards", "empty"),
-                                    "run", ["ts", "event_id"], "empty", 2)
-    return crawl.crawl_summary(ann, "run")
-
-
 @register("daily_archive", O.daily_archive)
 def daily_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: raw price rows archived by chain/category/day; a second same-day
@@ -378,17 +394,11 @@ def daily_last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
                        prices.price_change_pct(F.col("price"), F.col("prev_price")).alias("price_change_pct"))
 
 
-@register("store_list_pages", None)
+@register("store_list_pages", O.store_list_pages)
 def store_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H3 -> M5 -> M1 over stored pages: list items of every page, numbered
-    within their page, parsed as store texts (general extraction path)."""
-    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
-    items = pages.extract_store_list(pg, list_classes="", item_class="")
-    raw = items.select("page_id", (F.col("pos") + 1).cast("bigint").alias("id"),
-                       F.col("text").alias("ubicacion_texto"),
-                       F.timestamp_micros(F.lit(inputs.BASE_MICROS) + F.col("page_id")).alias("fecha_extraccion"),
-                       F.lit("pages").alias("fuente"))
-    return models.parse_store_text(raw, keep=["page_id", "id"])
+    """§3.2 text variant over store-list pages: H3 -> M5 -> K2 -> M1."""
+    return flows.store_text_flow(inputs.store_list_pages(spark, sf_dir), shared_dir(spark, "tables", "store_list"),
+                                 F.timestamp_micros(F.lit(inputs.BASE_MICROS)))
 
 
 @register("stores_per_province", O.stores_per_province)
@@ -400,44 +410,48 @@ def stores_per_province(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           F.sum("k").cast("bigint").alias("datos_crudos"))
 
 
-@register("price_change_pct_bucketed", O.price_change_pct)
-def price_change_pct_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same result as ``price_change_pct`` with the hot-key-safe W4
-    (monthly buckets of the ship date)."""
-    li = load(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice", "l_quantity")
-    obs = li.groupBy("l_partkey", "l_shipdate").agg(
-        F.min(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).alias("price"))
-    prev = prices.with_previous_price_bucketed(obs, ["l_partkey"], "l_shipdate",
-                                               F.date_trunc("month", F.col("l_shipdate")))
-    return prev.select("l_partkey", F.to_date("l_shipdate").alias("ship_date"), "price", "prev_price",
-                       prices.price_change_pct(F.col("price"), F.col("prev_price")).alias("price_change_pct"))
+@register("previous_event_value", O.previous_event_value)
+def previous_event_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 on unaggregated observations, whose keys may be hot: windows per
+    (user, thousand events)."""
+    ev = load(spark, sf_dir, "events").select("user_id", "event_id", "value")
+    return prices.with_previous_price_bucketed(ev, ["user_id"], "event_id", F.floor(F.col("event_id") / 1000), price="value")
 
 
 # ------------------------------------------------------------------ flows ----
-@register("product_flow_pages", None)
+def _product_flow(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    path = shared_dir(spark, "tables", "flow_prices")
+    _, summary = flows.product_price_flow(inputs.card_pages(spark, sf_dir), CARD_SELECTORS, F.col("max_empty"), F.col("chain"), path,
+                                          F.timestamp_micros(F.lit(inputs.BASE_MICROS)))
+    return path, summary
+
+
+@register("product_flow_pages", O.product_flow_pages)
 def product_flow_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """§3.1 over stored pages (one crawl run per site, pages in id order):
-    cards -> verdict -> cut-off -> raw rows -> required check -> append;
-    returns the per-run crawl summary."""
-    from . import flows
-    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
-    site = F.regexp_extract(F.col("url"), r"^https?://([^/?#]+)", 1)
-    # one site may hold a large share of all pages: range-split cut-off
-    _, summary = flows.product_price_flow(pg, "CARREFOUR", site, F.col("page_id"),
-                                          shared_dir(spark, "tables", "flow_prices"),
-                                          F.timestamp_micros(F.lit(inputs.BASE_MICROS)), hot_runs=True)
-    return summary
+    """§3.1 over result pages of every part: cards -> verdict -> cut-off -> raw
+    rows -> required check -> append; the appended rows with run, page and place."""
+    path, _ = _product_flow(spark, sf_dir)
+    back = spark.read.schema(RAW_PRICE_SCHEMA + ", run string, page_num bigint, pos bigint").parquet(path)
+    return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
+
+
+@register("product_flow_summary", O.product_flow_summary)
+def product_flow_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _product_flow(spark, sf_dir)[1]
+
+
+@register("cards_per_page", O.cards_per_page)
+def cards_per_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid cards per result page."""
+    return quality.counts_per(pages.extract_primary(inputs.card_pages(spark, sf_dir), CARD_SELECTORS[0]), ["page_id"])
 
 
 @register("branch_flow", O.branch_flow)
 def branch_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """§3.2 JSON variant: nested document -> flatten -> guarded replace ->
     branch model."""
-    from . import flows
     nested = inputs.nested_branches(spark, sf_dir)
-    model, _audit = flows.branch_flow(nested, "branches_by_province", shared_dir(spark, "tables", "flow_branches"),
-                                      F.col("fecha"))
-    return model
+    return flows.branch_flow(nested, "branches_by_province", shared_dir(spark, "tables", "flow_branches"), F.col("fecha"))
 
 
 @register("card_prices", O.card_prices)
@@ -456,24 +470,24 @@ def sample_prices_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     read back through the catalog."""
     name = f"scraped_prices_{uuid.uuid4().hex[:12]}"
     path = shared_dir(spark, "tables", name)
-    writers.create_or_replace(prices.sample_prices(spark), name, path)
+    at = F.timestamp_micros(F.lit(inputs.BASE_MICROS)).cast("timestamp_ntz")
+    writers.create_or_replace(prices.sample_prices(spark, at), name, path)
     writers.create_or_replace(union_prices(spark, sf_dir), name, path)
     return spark.table(name)
 
 
 @register("json_docs_roundtrip", O.json_docs_roundtrip)
 def json_docs_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: arbitrary JSON documents (one per file, like one API response per
-    run) read back as VARIANT and unpacked.  Documents group 50 page records
-    each (a bounded group), written one document per file."""
+    """S3: arbitrary JSON documents, one per line, read back as VARIANT and
+    unpacked.  A document holds 50 page records (a bounded group)."""
     from ..sources.envelopes import read_json_docs
     root = shared_dir(spark, "archive", "docs")
-    pg = load(spark, sf_dir, "pages").select("page_id", "url")
+    pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
     docs = pg.groupBy(F.floor(F.col("page_id") / inputs.DOC_CHUNK).alias("chunk")).agg(
-        F.sort_array(F.collect_list(F.struct("page_id", "url"))).alias("pages"))
-    docs.write.option("maxRecordsPerFile", 1).json(root)
-    back = read_json_docs(spark, root)
+        F.sort_array(F.collect_list(F.struct("page_id", "url", "html"))).alias("pages"))
+    docs.write.json(root)
+    back = read_json_docs(spark, root, one_per_line=True)
     typed = back.select(
         F.expr("variant_get(doc, '$.chunk', 'bigint')").alias("chunk"),
-        F.explode(F.expr("variant_get(doc, '$.pages', 'array<struct<page_id bigint, url string>>')")).alias("p"))
-    return typed.select("chunk", "p.page_id", "p.url")
+        F.explode(F.expr("variant_get(doc, '$.pages', 'array<struct<page_id bigint, url string, html string>>')")).alias("p"))
+    return typed.select("chunk", "p.page_id", "p.url", "p.html")

@@ -20,77 +20,52 @@ RAW_BRANCH_REQUIRED = ["sucursal_id", "nombre", "provincia", "raw_data", "fecha_
 MODEL_NOT_NULL = ["sucursal_id", "nombre_sucursal", "provincia"]
 
 
-def crawl_pages(result_pages: DataFrame, chain: str, run: Column, page_order: Column,
-                hot_runs: bool = False) -> tuple[DataFrame, DataFrame]:
-    """§3.1 stages 5-8 over stored result pages: primary-selector cards
-    (H2 + P1), page evidence over all selectors (P2), verdict (P3, P4),
-    empty-page rule (P5) and the chain's cut-off (W1).
+def crawl_pages(result_pages: DataFrame, selectors: list[tuple[str, str]], max_empty: int | Column) -> tuple[DataFrame, DataFrame]:
+    """§3.1 stages 5-8 over stored result pages (page_id, url, html, run,
+    page_order): primary-selector cards (H2 + P1), evidence over all selectors
+    (P2), verdict (P3, P4), empty-page rule (P5) and the cut-off (W1).
 
     Returns ``(walked, cards)``: one row per page with the walk columns, and
-    the valid cards in long form ``(page_id, pos, item)`` -- no per-page
-    arrays are collected; cards only meet the walk through a join.
-    ``hot_runs=True`` uses the range-split cut-off for logs where one run
-    (site) holds a large share of all pages."""
-    product_sels, _no_results, max_empty, *_ = P.CHAIN_CONFIGS[chain]
-    pg = result_pages.select("page_id", "url", "html", run.alias("run"), page_order.alias("page_order"))
-    # parse every page once: the elements feed both the page verdict and the
-    # cards, so they are written to the shared checkpoint folder (lineage cut)
-    elements = pages.extract_elements(pg, product_sels).checkpoint()
-    is_card = (F.col("selector_idx") == 0) & pages.valid_card(F.col("text"))
-    per_page = elements.groupBy("page_id").agg(      # one partial aggregation
-        F.count_if((F.col("pos") < P.EVIDENCE_FIRST_N) & pages.evidence_element(F.col("text")))
-         .cast("bigint").alias("evidence"),
-        F.count_if(is_card).alias("n_cards"))
-    verdict = pages.page_verdict(pg, per_page.select("page_id", "evidence"))
-    cards = elements.where(is_card).select("page_id", "pos", F.col("text").alias("item"))
-    log = (pg.select("page_id", "run", "page_order").join(verdict.select("page_id", "has_products"), "page_id")
-           .join(per_page.select("page_id", "n_cards"), "page_id", "left")
-           .withColumn("n_cards", F.coalesce(F.col("n_cards"), F.lit(0))))
-    log = log.withColumn("empty", crawl.page_is_empty(F.lit(200), F.lit(False), F.col("has_products"),
-                                                      F.col("n_cards")))
-    if hot_runs:
-        walked = crawl.crawl_cutoff_ranged(log.select("page_id", "run", "page_order", "n_cards", "empty"),
-                                           "run", ["page_order", "page_id"], "empty", max_empty)
-    else:
-        walked = crawl.crawl_cutoff(log, "run", ["page_order", "page_id"], "empty", max_empty)
-    return walked, cards
+    the valid cards in long form ``(page_id, pos, item)``."""
+    found = F.transform(pages.inner_html(F.col("html"), *selectors[0]), pages.line_text)
+    per_page = result_pages.withColumn("n_cards", F.size(F.filter(found, pages.valid_card)))
+    per_page = per_page.withColumn("has_products", (pages.evidence_count(F.col("html"), selectors) > 0)
+                                   & ~pages.url_is_invalid(F.col("url")))
+    log = per_page.withColumn("empty", crawl.page_is_empty(F.lit(200), F.lit(False), F.col("has_products"), F.col("n_cards")))
+    walked = crawl.crawl_cutoff(log.drop("html"), "run", ["page_order", "page_id"], "empty", max_empty)
+    return walked, pages.extract_primary(result_pages, selectors[0])
 
 
-def product_price_flow(result_pages: DataFrame, chain: str, run: Column, page_order: Column,
-                       table_path: str, load_ts: Column, category: str = P.PRICE_CATEGORY,
-                       hot_runs: bool = False) -> tuple[bool, DataFrame]:
-    """§3.1: stored result pages -> kept cards -> raw price rows
-    -> REQUIRED check (K3) -> append (K1).  Returns (written?, per-run
-    summary A3)."""
-    walked, cards = crawl_pages(result_pages, chain, run, page_order, hot_runs)
-    kept_pages = walked.where("kept").select("page_id", "run", "page_num")
-    items = cards.join(kept_pages, "page_id", "inner")
-    rows = models.raw_price_rows(items, chain, category, load_ts)
+def product_price_flow(result_pages: DataFrame, selectors: list[tuple[str, str]], max_empty: int | Column,
+                       store_name: Column, table_path: str, load_ts: Column,
+                       category: str = P.PRICE_CATEGORY) -> tuple[bool, DataFrame]:
+    """§3.1: stored result pages -> kept cards -> raw price rows (M3, P16) with
+    their place (U2: run, page_num, pos) -> REQUIRED check (K3) -> append (K1).
+    Returns (written?, per-run summary A3)."""
+    walked, cards = crawl_pages(result_pages, selectors, max_empty)
+    kept = crawl.kept_cards(walked).select("page_id", "run", "page_num", store_name.alias("_store"))
+    rows = models.raw_price_rows(cards.join(kept, "page_id"), F.col("_store"), category, load_ts, keep=["run", "page_num", "pos"])
     written = writers.append_prices(rows, table_path, required=RAW_PRICE_REQUIRED)
     return written, crawl.crawl_summary(walked, "run", cards="n_cards")
 
 
-def store_text_flow(list_pages: DataFrame, table_path: str, load_ts: Column,
-                    list_classes: str = P.STORE_LIST_CLASSES,
-                    item_class: str = P.STORE_ITEM_CLASS) -> DataFrame:
+def store_text_flow(list_pages: DataFrame, table_path: str, load_ts: Column) -> DataFrame:
     """§3.2 text variant: store-list page -> texts (H3) -> numbered rows (M5)
     -> guarded full refresh (K2, K3) -> model view (M1, K8)."""
-    items = pages.extract_store_list(list_pages, list_classes, item_class)
-    raw = items.select((F.col("pos") + 1).cast("bigint").alias("id"), F.col("text").alias("ubicacion_texto"),
+    items = pages.extract_store_list(list_pages)
+    raw = items.select("page_id", (F.col("pos") + 1).cast("bigint").alias("id"), F.col("text").alias("ubicacion_texto"),
                        load_ts.alias("fecha_extraccion"), F.lit(P.SOURCE_STORE_TEXT).alias("fuente"))
     writers.replace_snapshot(raw, table_path, required=RAW_STORE_REQUIRED)
-    spark = list_pages.sparkSession
-    return writers.publish_view(models.parse_store_text(spark.read.parquet(table_path)),
-                                "int_store_text")
+    current = writers.read_snapshot(list_pages.sparkSession, table_path)
+    return writers.publish_view(models.parse_store_text(current, keep=["page_id", "id"]), "int_store_text")
 
 
-def branch_flow(nested: DataFrame, map_col: str, table_path: str, load_ts: Column) -> tuple[DataFrame, DataFrame]:
+def branch_flow(nested: DataFrame, map_col: str, table_path: str, load_ts: Column) -> DataFrame:
     """§3.2 JSON variant: nested province -> branches document -> raw rows
-    (M4) -> guarded full refresh (K2, K3) -> model (M2) + its declared
-    not-null audit (A9).  Returns (model, audit)."""
+    (M4) -> guarded full refresh (K2, K3) -> model (M2).  The model's declared
+    not-null tests (A9) are enforced: a NULL fails the flow."""
     raw = models.flatten_branches(nested, map_col, load_ts)
     writers.replace_snapshot(raw, table_path, required=RAW_BRANCH_REQUIRED)
-    spark = nested.sparkSession
-    model = models.parse_branch_json(spark.read.parquet(table_path))
-    writers.publish_view(model, "int_branches")
-    return model, quality.not_null_audit(model, MODEL_NOT_NULL)
+    model = models.parse_branch_json(writers.read_snapshot(nested.sparkSession, table_path))
+    quality.enforce_required(model, MODEL_NOT_NULL)
+    return writers.publish_view(model, "int_branches")

@@ -12,9 +12,11 @@ Every builder is a narrow projection over a scan (plus joins to the tiny
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.tables import load, spread_for_cpu
+from ..functions import patterns as P
+from ..sources.tables import load
 
 # microseconds since epoch of 2025-06-16 06:00:00 UTC (a Monday 06:00 run)
 BASE_MICROS = 1750053600000000
@@ -140,7 +142,7 @@ def doc_branch_exprs(engine: str) -> dict[str, str]:
 
 
 def raw_doc_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread_for_cpu(load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return docs.selectExpr(*[f"{v} AS {k}" for k, v in doc_branch_exprs("spark").items()])
 
 
@@ -151,14 +153,19 @@ def raw_doc_branches_sql() -> str:
 
 # ------------------------------------------------------------- crawl log ----
 def crawl_log_exprs() -> dict[str, str]:
-    """events as a crawl log: run = user, page order = (ts, event_id); an
-    error event is an HTTP 500 page, a low-value signup a page with no card."""
+    """events as a crawl log: run = user, page order = (ts, event_id); error
+    events are HTTP 500 pages or failed loads, some signups are pages without
+    evidence or without a card; users belong to the three chains in turn, whose
+    stop limits are 0, 2 and 0."""
     return {
         "run": "user_id",
         "ts": "ts",
         "event_id": "event_id",
-        "status": "CASE WHEN event_type = 'error' THEN 500 ELSE 200 END",
+        "status": "CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN 500 WHEN event_id % 7 = 0 THEN NULL ELSE 200 END",
+        "load_error": "event_type = 'error' AND event_id % 2 = 1",
+        "has_products": "NOT (event_type = 'signup' AND value < 2)",
         "cards": "CASE WHEN event_type = 'signup' AND value < 5 THEN 0 ELSE 1 END",
+        "max_empty": "CASE user_id % 3 WHEN 1 THEN 2 ELSE 0 END",
     }
 
 
@@ -176,6 +183,7 @@ def crawl_log_sql() -> str:
 ORDER_STATE_SQL = ("CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'P' THEN 'failed' "
                    "ELSE CASE o_orderkey % 4 WHEN 0 THEN 'up_for_retry' WHEN 1 THEN 'running' "
                    "WHEN 2 THEN 'queued' ELSE NULL END END")
+LOOKUP_FAILED_SQL = "o_orderkey % 29 = 0"
 RUN_DATE_SQL = "CAST(date_trunc('month', o_orderdate) AS DATE)"
 PRIORITY_LABELS = {"1-URGENT": "URGENTE", "2-HIGH": "ALTA"}
 
@@ -185,11 +193,12 @@ def conversation_price_exprs(engine: str) -> dict[str, str]:
     return {
         "item": "text",
         "store_name": "CASE conv_id % 3 WHEN 0 THEN 'CARREFOUR' WHEN 1 THEN 'JUMBO' ELSE 'VEA' END",
-        "scraped_at": ts_expr(engine, "conv_id * 3600000000 + turn * 1000001"),
+        # thirty daily runs, each with one load time
+        "scraped_at": ts_expr(engine, "conv_id % 30 * 86400000000"),
     }
 
 
-def part_slice_exprs(store: str) -> dict[str, str]:
+def part_slice_exprs(store: str, engine: str = "spark") -> dict[str, str]:
     return {
         "product_name": "p_name",
         "price": "p_retailprice",
@@ -197,6 +206,7 @@ def part_slice_exprs(store: str) -> dict[str, str]:
         "store_name": f"'{store}'",
         "category": "p_type",
         "url": "'https://example.com/p/' || CAST(p_partkey AS STRING)",
+        "scraped_at": f"CAST({ts_expr(engine, '0')} AS {'TIMESTAMP_NTZ' if engine == 'spark' else 'TIMESTAMP'})",
     }
 
 
@@ -235,73 +245,165 @@ def nested_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- options ----
-OPTION_SEGMENT = "AUTOMOBILE"
+SEGMENT_NO = ("CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2 "
+              "WHEN 'HOUSEHOLD' THEN 3 ELSE 4 END")
 
 
 def options_sql() -> str:
+    """Every customer is an option; a select is a nation's market segment, whose
+    sizes lie on both sides of the limit of A8."""
     return f"""
-SELECT n_regionkey AS page_id, n_nationkey AS select_idx, c_custkey AS pos,
+SELECT n_regionkey AS page_id, n_nationkey * 5 + {SEGMENT_NO} AS select_idx, c_custkey AS pos,
        CAST(c_custkey AS STRING) AS codigo, c_name AS nombre
-FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment = '{OPTION_SEGMENT}'
-UNION ALL SELECT n_regionkey, n_nationkey, CAST(-1 AS BIGINT), 'Provincia', 'Provincia' FROM nation
-UNION ALL SELECT n_regionkey, n_nationkey, CAST(-2 AS BIGINT), 'provincia', ' provincia ' FROM nation
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL SELECT n_regionkey, n_nationkey * 5, CAST(-1 AS BIGINT), 'Provincia', 'Provincia' FROM nation
+UNION ALL SELECT n_regionkey, n_nationkey * 5, CAST(-2 AS BIGINT), 'provincia', ' provincia ' FROM nation
           WHERE n_nationkey % 2 = 0"""
 
 
 def option_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nat = load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    opts = cust.where(F.col("c_mktsegment") == OPTION_SEGMENT).join(
-        nat, cust.c_nationkey == nat.n_nationkey).selectExpr(
-        "n_regionkey AS page_id", "n_nationkey AS select_idx", "c_custkey AS pos",
+    opts = cust.join(nat, cust.c_nationkey == nat.n_nationkey).selectExpr(
+        "n_regionkey AS page_id", f"n_nationkey * 5 + {SEGMENT_NO} AS select_idx", "c_custkey AS pos",
         "CAST(c_custkey AS STRING) AS codigo", "c_name AS nombre")
-    ph = nat.selectExpr("n_regionkey AS page_id", "n_nationkey AS select_idx", "CAST(-1 AS BIGINT) AS pos",
+    ph = nat.selectExpr("n_regionkey AS page_id", "n_nationkey * 5 AS select_idx", "CAST(-1 AS BIGINT) AS pos",
                         "'Provincia' AS codigo", "'Provincia' AS nombre")
     ph2 = nat.where(F.col("n_nationkey") % 2 == 0).selectExpr(
-        "n_regionkey AS page_id", "n_nationkey AS select_idx", "CAST(-2 AS BIGINT) AS pos",
+        "n_regionkey AS page_id", "n_nationkey * 5 AS select_idx", "CAST(-2 AS BIGINT) AS pos",
         "'provincia' AS codigo", "' provincia ' AS nombre")
     return opts.unionByName(ph).unionByName(ph2)
 
 
+# ------------------------------------------------------------ built pages ----
+# Pages in the markup that the collectors read, built from the tables: a page
+# holds a fixed number of keys, so no page grows with the data.
+def _page(rows: DataFrame, keys: list[str], order: str, part: str, before: str, after: str) -> DataFrame:
+    parts = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, part))).alias("_p"))
+    return parts.withColumn("html", F.concat(F.lit(f"<!DOCTYPE html><html><body>{before}"), F.array_join(f"_p.{part}", "\n"),
+                                             F.lit(f"{after}</body></html>"))).drop("_p")
+
+
+def _html(text: str) -> Column:
+    escaped = F.replace(F.replace(F.replace(F.col(text), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("ñ"), F.lit("&ntilde;"))
+    return F.replace(F.replace(escaped, F.lit("í"), F.lit("&#237;")), F.lit("\n"), F.lit("<br>"))
+
+
+OPTION_PAGE = 400
+
+
+def option_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for 400 customers; a ``<select>`` per nation."""
+    cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    opts = cust.select((F.floor(F.col("c_custkey") / OPTION_PAGE)).cast("bigint").alias("page_id"), "c_nationkey", "c_custkey",
+                       F.concat(F.lit('<option class="o" value="'), F.col("c_custkey").cast("string"), F.lit('">'), _html("c_name"),
+                                F.lit("</option>")).alias("o"))
+    selects = opts.groupBy("page_id", "c_nationkey").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "o"))).alias("_o")).select(
+        "page_id", "c_nationkey", F.concat(F.lit('<select name="s"><option value="Provincia">Provincia'), F.array_join("_o.o", ""),
+                                           F.lit("</select>")).alias("s"))
+    return _page(selects, ["page_id"], "c_nationkey", "s", "<form>", "</form>")
+
+
+CARD_PAGE = 20
+CARD_CHAIN = "CASE WHEN p_size <= 17 THEN 'CARREFOUR' WHEN p_size <= 34 THEN 'JUMBO' ELSE 'VEA' END"
+CARD_BLOCK = f"CAST(floor(p_partkey / {CARD_PAGE}) AS BIGINT)"
+CARD_EMPTY = "block % 16 IN (5, 9, 10)"   # pages without a result
+CARD_URL = ("'https://example.com/' || lower(chain) || CASE WHEN block % 23 = 3 THEN '/error?page=' ELSE '/dulce?page=' END "
+            "|| CAST(block AS STRING)")
+CARD_RUN = "chain || '-' || CAST(CAST(floor(block / 16) AS BIGINT) AS STRING)"
+CARD_LIMIT = "CASE chain WHEN 'JUMBO' THEN 2 ELSE 0 END"
+CARD_CLASS = "galleryItem"
+
+
+def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result pages of every part: ``(page_id, url, html, chain, run, page_order,
+    max_empty)``, a page per chain and 20 part keys."""
+    part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_size")
+    cards = part.selectExpr("p_partkey", f"{CARD_CHAIN} AS chain", f"{CARD_BLOCK} AS block", f"{card_text_sql('spark')} AS card")
+    primary = F.when(F.col("chain") == "CARREFOUR", P.CHAIN_CONFIGS["CARREFOUR"][0][0][1:]).when(
+        F.col("chain") == "JUMBO", P.CHAIN_CONFIGS["JUMBO"][0][0][1:]).otherwise(P.CHAIN_CONFIGS["VEA"][0][0][1:])
+    article = F.concat(F.lit('<article class="x '), primary, F.lit(' y"><b>'), _html("card"), F.lit("</b></article>"))
+    none = F.lit('<div class="shop titleNotFound"><p>Sin resultados</p></div>')
+    cards = cards.withColumn("part", F.when(F.expr(CARD_EMPTY), none).otherwise(article))
+    pg = _page(cards, ["chain", "block"], "p_partkey", "part", "<main>", "</main>")
+    return pg.selectExpr("block * 3 + CASE chain WHEN 'CARREFOUR' THEN 0 WHEN 'JUMBO' THEN 1 ELSE 2 END AS page_id",
+                         f"{CARD_URL} AS url", "html", "chain", f"{CARD_RUN} AS run", "block AS page_order", f"{CARD_LIMIT} AS max_empty")
+
+
+STORE_PAGE = 50
+
+
+def store_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store-list pages of 50 customers each."""
+    rows = raw_store_text(spark, sf_dir).select((F.floor(F.col("id") / STORE_PAGE)).cast("bigint").alias("page_id"), "id", F.concat(
+        F.lit(f'<li class="{P.STORE_ITEM_CLASS} z"><span>'), _html("ubicacion_texto"), F.lit("</span></li>")).alias("li"))
+    return _page(rows, ["page_id"], "id", "li", f'<ul class="nav"><li>inicio</li></ul><ul class="{P.STORE_LIST_CLASSES}">', "</ul>")
+
+
+def branch_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A detail page per customer: facts as ``ul li p``, the extra one as an info block."""
+    cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nat = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    addr, hours, phone, extra, blank = branch_item_exprs()
+    rows = cust.join(nat, cust.c_nationkey == nat.n_nationkey).selectExpr(
+        "c_custkey", "c_name", "n_name", f"{addr} AS i0", f"{hours} AS i1", f"{phone} AS i2", f"{blank} AS i3", f"{extra} AS extra",
+        f"{ts_expr('spark', 'c_custkey * 53000017')} AS fecha_extraccion")
+    facts = [F.when(F.col(c).isNotNull(), F.concat(F.lit("<li><p class='f'>"), _html(c), F.lit("</p></li>"))) for c in ("i0", "i1", "i2", "i3")]
+    info = F.when(F.col("extra").isNotNull(), F.concat(
+        F.lit('<div class="a store-info">'), F.regexp_replace("extra", f"^{P.EXTRA_PREFIX}", ""), F.lit("</div>")))
+    return rows.select("c_custkey", "c_name", "n_name", "fecha_extraccion", F.concat_ws(
+        "", F.lit("<html><body><p>intro</p><ul>"), *facts, F.lit("<li><p> </p></li></ul>"), info, F.lit("</body></html>")).alias("html"))
+
+
+def branch_page_items() -> str:
+    """The same facts as SQL: stripped items, the extra one last."""
+    addr, hours, phone, extra, blank = branch_item_exprs()
+    return ", ".join(f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')" for x in (addr, hours, phone, blank, extra))
+
+
 # ------------------------------------------------------------- envelopes ----
-ENVELOPE_CHUNK = 8  # items per envelope: a bounded group, never a whole conversation
+ENVELOPE_CHUNK = 8    # turns and
+ENVELOPE_BLOCK = 192  # conversations (a third of them per chain) of one envelope: a bounded group
 
 
 def envelope_ts_sql(engine: str) -> str:
-    return ts_expr(engine, f"conv_id * 3600000000 + CAST(floor(turn / {ENVELOPE_CHUNK}) AS BIGINT) * 1000001")
+    return ts_expr(engine, f"CAST(floor(conv_id / {ENVELOPE_BLOCK}) AS BIGINT) * 3600000000 + "
+                           f"CAST(floor(turn / {ENVELOPE_CHUNK}) AS BIGINT) * 1000001")
 
 
 def conversation_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conversations -> scrape envelopes of up to 8 consecutive turns;
+    """conversations -> one scrape envelope per chain, block of conversations
+    and eight turns, as the indented JSON document a run leaves (``value``);
     ``store`` is the landing partition."""
-    from pyspark.sql import functions as F
-    conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    chunked = conv.selectExpr("conv_id", "turn", "text", f"CAST(floor(turn / {ENVELOPE_CHUNK}) AS BIGINT) AS chunk",
-                              f"{envelope_ts_sql('spark')} AS ts")
-    env = chunked.groupBy("conv_id", "chunk").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("_s"), F.first("ts").alias("ts"))
-    items = F.transform(F.col("_s"), lambda x: x["text"])
-    return env.select(
-        items.alias("items"),
+    conv = load(spark, sf_dir, "conversations").selectExpr(
+        "conv_id", "turn", "text", "CASE conv_id % 3 WHEN 0 THEN 'CARREFOUR' WHEN 1 THEN 'JUMBO' ELSE 'VEA' END AS store",
+        f"CAST(floor(conv_id / {ENVELOPE_BLOCK}) AS BIGINT) AS block", f"CAST(floor(turn / {ENVELOPE_CHUNK}) AS BIGINT) AS chunk",
+        f"{envelope_ts_sql('spark')} AS ts")
+    env = conv.groupBy("store", "block", "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("conv_id", "turn", "text"))).alias("_s"), F.first("ts").alias("ts"))
+    document = F.struct(
+        F.col("_s.text").alias("items"),
         F.size("_s").cast("int").alias("pages_processed"),
         F.size("_s").cast("int").alias("total_items"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        F.expr("CASE conv_id % 3 WHEN 0 THEN 'CARREFOUR' WHEN 1 THEN 'JUMBO' ELSE 'VEA' END").alias("store"))
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"))
+    return env.select(F.to_json(document, {"pretty": "true"}).alias("value"), "store")
 
 
-def envelope_wave(store: "Column"):
+def envelope_wave(store: Column) -> Column:
     """Arrival wave of an envelope: two chains' runs land first, the third later."""
-    from pyspark.sql import functions as F
     return F.when(store == "VEA", F.lit(1)).otherwise(F.lit(0))
 
 
 # ------------------------------------------------------------ card texts ----
+CARD_PRICE = "p_retailprice + p_partkey % 7 * 1000"
+
+
 def card_text_sql(engine: str) -> str:
-    """A product card as collected: name, then the price in Argentine
-    format (``.`` thousands, ``,`` decimals), e.g. ``$ 1.234,50``."""
-    us = "format_number(p_retailprice, 2)" if engine == "spark" else "format('{:,.2f}', p_retailprice)"
-    ar = f"replace(replace(replace({us}, ',', '#'), '.', ','), '#', '.')"
+    """A product card as collected: name, then the price in Argentine format
+    (``.`` thousands, ``,`` decimals), e.g. ``$ 1.234,50``; every third card
+    leaves the thousands points out."""
+    us = f"format_number({CARD_PRICE}, 2)" if engine == "spark" else f"format('{{:,.2f}}', {CARD_PRICE})"
+    ar = f"replace(replace(replace({us}, ',', CASE WHEN p_partkey % 3 = 0 THEN '' ELSE '#' END), '.', ','), '#', '.')"
     return f"p_name || chr(10) || 'Precio final' || chr(10) || '$ ' || {ar}"
 
 

@@ -6,6 +6,8 @@ exactly as in the reference; the Spark side adds the Java flags.
 
 from __future__ import annotations
 
+import re
+
 from ..functions import patterns as P
 from . import inputs
 
@@ -18,7 +20,8 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_TOK = "[^\\s\\[\\](){}/|\\\\<>!?@\"^#$&~_,.:;*%+-]+|[\\s\\[\\](){}/|\\\\<>!?@\"^#$&~_,.:;*%+-]"
+_DELIMITERS = "\\s" + re.escape(P.INITCAP_DELIMITERS)
+_TOK = f"[^{_DELIMITERS}]+|[{_DELIMITERS}]"
 
 
 def title_case(x: str) -> str:
@@ -30,13 +33,12 @@ def time_of_day(x: str) -> str:
     return f"strftime({x}, '%H:%M:%S.%f')"
 
 
-def store_text_parse() -> str:
+def _store_model(raw_sql: str, keep: str = "") -> str:
     return f"""
-WITH raw AS ({inputs.raw_store_text_sql()}),
-l AS (SELECT string_split(ubicacion_texto, chr(10)) AS lines, fecha_extraccion FROM raw),
-p AS (SELECT lines[1] AS l0, lines[3] AS l2, string_split(lines[2], ',') AS parts,
-             fecha_extraccion FROM l)
-SELECT {title_case('l0')} AS tipo,
+WITH raw AS ({raw_sql}),
+l AS (SELECT *, string_split(ubicacion_texto, chr(10)) AS lines FROM raw),
+p AS (SELECT *, lines[1] AS l0, lines[3] AS l2, string_split(lines[2], ',') AS parts FROM l)
+SELECT {keep} {title_case('l0')} AS tipo,
        {trim_('parts[1]')} AS direccion,
        {trim_('parts[2]')} AS localidad,
        {trim_('parts[3]')} AS provincia,
@@ -47,6 +49,16 @@ SELECT {title_case('l0')} AS tipo,
 FROM p"""
 
 
+def store_text_parse() -> str:
+    return _store_model(inputs.raw_store_text_sql())
+
+
+def store_list_pages() -> str:
+    page = f"CAST(floor(id / {inputs.STORE_PAGE}) AS BIGINT)"
+    return _store_model(f"""SELECT {page} AS page_id, row_number() OVER (PARTITION BY {page} ORDER BY id) AS id,
+       ubicacion_texto, {inputs.ts_expr('duckdb', '0')} AS fecha_extraccion FROM ({inputs.raw_store_text_sql()})""", "page_id, id,")
+
+
 def _first(pattern: str, ci: bool) -> str:
     rx = ("(?i)" if ci else "") + pattern
     return f"{trim_(f'struct_extract(list_filter(it, lambda e: regexp_matches(e.j, {_q(rx)}))[1], ' + _q('v') + ')')}"
@@ -122,44 +134,52 @@ FROM m GROUP BY ROLLUP (provincia)"""
 
 
 # ------------------------------------------------------------------ crawl ----
-def _crawl_annotated(max_empty: int = 2) -> str:
-    m = max(max_empty, 1)
+def _walk(run: str, order: str) -> str:
+    """n(..., empty, max_empty) -> a(..., page_num, stop_page, kept)."""
+    w = f"PARTITION BY {run} ORDER BY {order}"
     return f"""
-log AS ({inputs.crawl_log_sql()}),
-e AS (SELECT *, (status IS NOT NULL AND status <> 200) OR cards = 0 AS empty FROM log),
-n AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY ts, event_id) AS page_num FROM e),
+n AS (SELECT *, row_number() OVER ({w}) AS page_num FROM e),
 s AS (SELECT *, CASE WHEN empty THEN page_num - coalesce(max(CASE WHEN NOT empty THEN page_num END)
-         OVER (PARTITION BY run ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)
-         ELSE 0 END AS streak FROM n),
-t AS (SELECT *, min(CASE WHEN empty AND streak >= {m} THEN page_num END) OVER (PARTITION BY run) AS stop_page
+         OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) ELSE 0 END AS streak FROM n),
+t AS (SELECT *, min(CASE WHEN empty AND streak >= greatest(max_empty, 1) THEN page_num END) OVER (PARTITION BY {run}) AS stop_page
       FROM s),
 a AS (SELECT *, NOT empty AND (stop_page IS NULL OR page_num < stop_page) AS kept FROM t)"""
 
 
+def _crawl_annotated() -> str:
+    return f"""
+log AS ({inputs.crawl_log_sql()}),
+e AS (SELECT *, coalesce(status, 200) <> 200 OR load_error OR NOT has_products OR cards = 0 AS empty FROM log),
+{_walk('run', 'ts, event_id')}"""
+
+
 def crawl_cutoff() -> str:
     return f"""WITH {_crawl_annotated()}
 SELECT run, event_id, CAST(page_num AS BIGINT) AS page_num, CAST(cards AS BIGINT) AS cards
 FROM a WHERE kept"""
 
 
-def crawl_summary() -> str:
-    return f"""WITH {_crawl_annotated()}
-SELECT run,
-       CAST(sum(CASE WHEN kept THEN cards ELSE 0 END) AS BIGINT) AS total_items,
+def _summary(cards: str, at: str = "") -> str:
+    return f"""SELECT run,
+       CAST(sum(CASE WHEN kept THEN {cards} ELSE 0 END) AS BIGINT) AS total_items,
        CAST(min(stop_page) - 1 AS BIGINT) AS pages_processed,
        CAST(max(page_num) AS BIGINT) AS last_page,
-       CAST(count_if(kept) AS BIGINT) AS pages_with_cards
+       CAST(count_if(kept) AS BIGINT) AS pages_with_cards {at}
 FROM a GROUP BY run"""
 
 
+def crawl_summary() -> str:
+    return f"WITH {_crawl_annotated()} {_summary('cards', ', CAST(max(ts) AS TIMESTAMP) AS timestamp')}"
+
+
 # ----------------------------------------------------------------- status ----
 def _status_rows() -> str:
     cases = " ".join(f"WHEN {_q(raw)} THEN {_q(cls)}" for raw, cls in P.STATE_CLASSES)
     return f"""
 exp AS (SELECT o_orderkey, {inputs.RUN_DATE_SQL} AS ds, o_orderpriority FROM orders),
-obs AS (SELECT o_orderkey, {inputs.ORDER_STATE_SQL} AS state FROM orders
+obs AS (SELECT o_orderkey, {inputs.ORDER_STATE_SQL} AS state, {inputs.LOOKUP_FAILED_SQL} AS lookup_failed FROM orders
         WHERE {inputs.ORDER_STATE_SQL} IS NOT NULL),
-j AS (SELECT exp.*, obs.state, CASE obs.state {cases} ELSE 'UNKNOWN' END AS status
+j AS (SELECT exp.*, obs.state, CASE WHEN lookup_failed THEN 'ERROR' ELSE CASE obs.state {cases} ELSE 'UNKNOWN' END END AS status
       FROM exp LEFT JOIN obs USING (o_orderkey))"""
 
 
@@ -170,6 +190,7 @@ g AS (SELECT ds, CAST(count(*) AS BIGINT) AS total,
              CAST(count_if(status = 'FAILED') AS BIGINT) AS failed,
              CAST(count_if(status = 'RETRYING') AS BIGINT) AS retrying,
              CAST(count_if(status = 'RUNNING') AS BIGINT) AS running,
+             CAST(count_if(status = 'ERROR') AS BIGINT) AS error,
              CAST(count_if(status = 'UNKNOWN') AS BIGINT) AS unknown
       FROM j GROUP BY ds)
 SELECT *, total - completed - failed AS other,
@@ -178,6 +199,11 @@ SELECT *, total - completed - failed AS other,
 FROM g"""
 
 
+def status_by_flow() -> str:
+    return f"""WITH {_status_rows()}
+SELECT ds, o_orderpriority AS flow, status, CAST(count(*) AS BIGINT) AS tasks FROM j GROUP BY ALL"""
+
+
 def status_detail() -> str:
     vals = ", ".join(f"({_q(k)}, {_q(v)})" for k, v in sorted(inputs.PRIORITY_LABELS.items()))
     return f"""WITH {_status_rows()},
@@ -194,7 +220,7 @@ WITH obs AS (SELECT l_partkey, l_shipdate, min(l_extendedprice / l_quantity) AS
 p AS (SELECT *, lag(price) OVER (PARTITION BY l_partkey ORDER BY l_shipdate) AS prev_price FROM obs)
 SELECT l_partkey, CAST(l_shipdate AS DATE) AS ship_date, price, prev_price,
        CASE WHEN prev_price IS NOT NULL AND prev_price > 0
-            THEN CAST(round(CAST((price - prev_price) / prev_price * 100 AS DECIMAL(24,6)), 2) AS DOUBLE)
+            THEN round((price - prev_price) / prev_price * 100, 2) + 0.0
        END AS price_change_pct
 FROM p"""
 
@@ -215,10 +241,10 @@ SELECT 'documents', CAST(doc_id AS BIGINT), {clean_name('text')} FROM documents"
 def union_prices() -> str:
     lit = " UNION ALL ".join(
         f"SELECT {_q(n)} AS product_name, CAST({p} AS DOUBLE) AS price, {_q(c)} AS currency, "
-        f"{_q(s)} AS store_name, {_q(cat)} AS category, {_q(u)} AS url"
+        f"{_q(s)} AS store_name, {_q(cat)} AS category, {_q(u)} AS url, {inputs.ts_expr('duckdb', '0')} AS scraped_at"
         for n, p, c, s, cat, u in P.SAMPLE_PRICES)
     slices = " UNION ALL ".join(
-        "SELECT " + ", ".join(f"{v} AS {k}" for k, v in inputs.part_slice_exprs(s).items())
+        "SELECT " + ", ".join(f"{v} AS {k}" for k, v in inputs.part_slice_exprs(s, 'duckdb').items())
         + f" FROM part WHERE {cond}" for s, cond in inputs.PART_SLICES)
     return f"{lit} UNION ALL {slices}"
 
@@ -277,21 +303,28 @@ FROM f"""
 
 
 def flat_text(x: str) -> str:
-    x = f"regexp_replace({x}, '(?is)<script\\b.*?</script\\s*>', ' ', 'g')"
-    x = f"regexp_replace({x}, '(?is)<style\\b.*?</style\\s*>', ' ', 'g')"
-    x = f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
-    x = f"regexp_replace({x}, '<[^>]*>', ' ', 'g')"
-    for ent, ch in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&amp;", "&")]:
+    for rx in ("(?is)<script\\b.*?</script\\s*>", "(?is)<style\\b.*?</style\\s*>", "(?s)<!--.*?-->", "<[^>]*>"):
+        x = f"regexp_replace({x}, '{rx}', ' ', 'g')"
+    for ent, ch in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
         x = f"replace({x}, {_q(ent)}, {_q(ch)})"
     x = f"regexp_replace({x}, '\\s+', ' ', 'g')"
     return f"regexp_replace({x}, '^ | $', '', 'g')"
 
 
-def _tag_elements(tag: str) -> str:
-    pat = f"(?is)<{tag}\\b[^>]*>(.*?)</{tag}\\s*>"
+def _inner(tag: str, attributes: str = "(?:\\s[^>]*)?") -> str:
+    """List of the inner HTML of every element of a tag, over column html."""
+    if tag == "p":  # up to the first tag that ends the paragraph
+        blocks = "address|article|aside|blockquote|div|dl|fieldset|footer|form|h[1-6]|header|hr|main|nav|ol|section|table|ul"
+        holders = "address|article|aside|blockquote|body|div|footer|form|header|html|li|main|nav|ol|section|td|ul"
+        ends = f"(?is)^(.*?)(?:</p\\b|<(?:{blocks})\\b|</(?:{holders})\\b|$)"
+        return (f"list_transform(string_split_regex(html, '(?i)<p(?:\\s[^>]*)?>')[2:], "
+                f"lambda x: regexp_extract(x, '{ends}', 1))")
+    return f"regexp_extract_all(html, '(?is)<{tag}{attributes}>(.*?)</{tag}\\s*>', 1)"
+
+
+def _tag_elements(tag: str, attributes: str = "(?:\\s[^>]*)?") -> str:
     return (f"SELECT page_id, CAST(generate_subscripts(arr, 1) - 1 AS BIGINT) AS pos, unnest(arr) AS inner_html "
-            f"FROM (SELECT page_id, regexp_extract_all(html, {_q(pat)}, 1) AS arr FROM pages)")
+            f"FROM (SELECT page_id, {_inner(tag, attributes)} AS arr FROM pages)")
 
 
 def article_cards() -> str:
@@ -303,6 +336,69 @@ def list_items() -> str:
     return f"SELECT page_id, pos, {flat_text('inner_html')} AS text FROM ({_tag_elements('li')})"
 
 
+def tag_elements() -> str:
+    every = [("article", None), ("li", None), ("a", None), ("div", '[^>]*class="[^"]*ad[^"]*"[^>]*'), ("p", None), ("h1", None), ("footer", None)]
+    return " UNION ALL ".join(
+        f"SELECT page_id, {i} AS selector_idx, pos, {flat_text('inner_html')} AS text FROM ("
+        + (_tag_elements(tag, attrs) if attrs else _tag_elements(tag)) + ")" for i, (tag, attrs) in enumerate(every))
+
+
+def option_pages() -> str:
+    page = f"CAST(floor(c_custkey / {inputs.OPTION_PAGE}) AS BIGINT)"
+    return f"""
+WITH o AS (SELECT {page} AS page_id, c_nationkey, c_custkey, c_name FROM customer),
+g AS (SELECT page_id, c_nationkey, row_number() OVER (PARTITION BY page_id ORDER BY c_nationkey) - 1 AS select_idx, count(*) AS n
+      FROM o GROUP BY page_id, c_nationkey),
+first AS (SELECT page_id, min(select_idx) AS select_idx FROM g WHERE n + 1 > {P.OPTION_GROUP_MIN} GROUP BY page_id)
+SELECT o.page_id, CAST(g.select_idx AS INTEGER) AS select_idx,
+       CAST(row_number() OVER (PARTITION BY o.page_id, o.c_nationkey ORDER BY c_custkey) AS INTEGER) AS pos,
+       CAST(c_custkey AS STRING) AS codigo, c_name AS nombre
+FROM o JOIN g USING (page_id, c_nationkey) JOIN first ON first.page_id = g.page_id AND first.select_idx = g.select_idx"""
+
+
+def branch_facts_pages() -> str:
+    items = f"list_filter([{inputs.branch_page_items()}], lambda x: x IS NOT NULL AND x <> '')"
+    return branch_model(f"""SELECT CAST(c_custkey AS STRING) AS sucursal_id, c_name AS nombre, n_name AS provincia,
+       CAST(to_json({items}) AS VARCHAR) AS raw_data, {inputs.ts_expr('duckdb', 'c_custkey * 53000017')} AS fecha_extraccion,
+       'pages' AS fuente FROM customer JOIN nation ON c_nationkey = n_nationkey""", order=False)
+
+
+# ------------------------------------------------------------ built cards ----
+def _card_log() -> str:
+    return f"""
+cards AS (SELECT {inputs.CARD_CHAIN} AS chain, {inputs.CARD_BLOCK} AS block, p_partkey, {inputs.card_text_sql('duckdb')} AS card FROM part),
+pg AS (SELECT chain, block, count(*) AS parts FROM cards GROUP BY chain, block),
+e AS (SELECT chain, block, {inputs.CARD_RUN} AS run, {inputs.CARD_LIMIT} AS max_empty, {inputs.CARD_EMPTY} AS nothing,
+             block % 23 = 3 OR contains(CAST(block AS STRING), '404') AS url_invalid, {inputs.CARD_EMPTY} OR url_invalid AS empty,
+             CASE WHEN {inputs.CARD_EMPTY} THEN 0 ELSE parts END AS n_cards, parts FROM pg)"""
+
+
+def card_page_verdict() -> str:
+    return f"""WITH {_card_log()}
+SELECT block * 3 + CASE chain WHEN 'CARREFOUR' THEN 0 WHEN 'JUMBO' THEN 1 ELSE 2 END AS page_id, {inputs.CARD_URL} AS url,
+       CAST(2 * least(n_cards, {P.EVIDENCE_FIRST_N}) AS BIGINT) AS evidence, url_invalid, n_cards > 0 AND NOT url_invalid AS has_products,
+       CASE WHEN nothing THEN 'titleNotFound' END AS marker
+FROM e"""
+
+
+def product_flow_pages() -> str:
+    return f"""WITH {_card_log()}, {_walk('run', 'block')},
+c AS (SELECT *, row_number() OVER (PARTITION BY chain, block ORDER BY p_partkey) - 1 AS pos FROM cards)
+SELECT CAST(to_json(card) AS VARCHAR) AS raw_data, CAST({inputs.ts_expr('duckdb', '0')} AS DATE) AS scraped_date,
+       {inputs.ts_expr('duckdb', '0')} AS scraped_datetime, a.chain AS store_name, '{P.PRICE_CATEGORY}' AS category,
+       a.run, CAST(a.page_num AS BIGINT) AS page_num, CAST(pos AS BIGINT) AS pos
+FROM a JOIN c ON a.chain = c.chain AND a.block = c.block WHERE a.kept"""
+
+
+def product_flow_summary() -> str:
+    return f"WITH {_card_log()}, {_walk('run', 'block')} {_summary('n_cards')}"
+
+
+def cards_per_page() -> str:
+    return f"""WITH {_card_log()}
+SELECT block * 3 + CASE chain WHEN 'CARREFOUR' THEN 0 WHEN 'JUMBO' THEN 1 ELSE 2 END AS page_id, CAST(n_cards AS BIGINT) AS n FROM e WHERE n_cards > 0"""
+
+
 # ---------------------------------------------------------------- options ----
 def option_group() -> str:
     return f"""
@@ -339,6 +435,24 @@ def branch_spine() -> str:
     return _spine()
 
 
+def branch_documents() -> str:
+    return """SELECT n_name AS provincia, CAST(c_custkey AS STRING) AS sucursal_id, c_name AS nombre,
+       '[' || coalesce(string_agg('"' || o_orderstatus || ' ' || o_orderpriority || '"', ', ' ORDER BY o_orderkey), '') || ']' AS raw_data
+FROM nation JOIN customer ON n_nationkey = c_nationkey LEFT JOIN orders ON c_custkey = o_custkey
+GROUP BY n_name, c_custkey, c_name"""
+
+
+def items_per_branch() -> str:
+    return "SELECT o_custkey, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY o_custkey"
+
+
+def model_audit() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_rows FROM m"
+        for c in ("sucursal_id", "nombre_sucursal", "provincia"))
+    return f"WITH m AS ({branch_facts_documents()}) {parts}"
+
+
 def not_null_audit() -> str:
     cols = ["provincia", "sucursal_id", "nombre", "o_orderkey", "raw_item"]
     parts = " UNION ALL ".join(
@@ -384,11 +498,15 @@ SELECT CAST(rn + n AS BIGINT), p_partkey, nombre, descripcion FROM b"""
 
 
 def json_archive() -> str:
-    ts = inputs.ts_expr("duckdb", "CAST(floor(page_id / 100) AS BIGINT) * 3600000000")
-    return f"""SELECT page_id, url, strftime({ts}, '%Y%m%d_%H%M%S') || '_' || string_split(url, '/')[-1] AS object_key
+    ts = inputs.ts_expr("duckdb", "page_id % 24 * 3600000000")
+    return f"""SELECT page_id, url, html, strftime({ts}, '%Y%m%d_%H%M%S') || '_' || string_split(url, '/')[-1] AS object_key
 FROM pages"""
 
 
+def previous_event_value() -> str:
+    return """SELECT user_id, event_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS prev_price FROM events"""
+
+
 def stream_ingest() -> str:
     return f"""
 WITH items AS (
@@ -412,7 +530,7 @@ WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, arg_max(value, ts) AS price
 p AS (SELECT *, lag(price) OVER (PARTITION BY user_id ORDER BY day) AS prev_price FROM d)
 SELECT user_id, day, price, prev_price,
        CASE WHEN prev_price IS NOT NULL AND prev_price > 0
-            THEN CAST(round(CAST((price - prev_price) / prev_price * 100 AS DECIMAL(24,6)), 2) AS DOUBLE)
+            THEN round((price - prev_price) / prev_price * 100, 2) + 0.0
        END AS price_change_pct
 FROM p"""
 
@@ -428,14 +546,8 @@ def branch_flow() -> str:
 
 
 def card_prices() -> str:
-    amount = r"\$\s*([0-9]{1,3}(?:\.[0-9]{3})*(?:,[0-9]+)?|[0-9]+(?:,[0-9]+)?)"
-    return f"""
-WITH c AS (SELECT p_partkey, {inputs.card_text_sql('duckdb')} AS card FROM part),
-n AS (SELECT p_partkey, card, replace(replace(regexp_extract(card, {_q(amount)}, 1), '.', ''), ',', '.') AS num FROM c)
-SELECT p_partkey, regexp_extract(card, '^\\s*([^\\n]*\\S)', 1) AS product_name,
-       CAST(TRY_CAST(num AS DECIMAL(12,2)) AS DOUBLE) AS price
-FROM n"""
+    return f"SELECT p_partkey, p_name AS product_name, round({inputs.CARD_PRICE}, 2) AS price FROM part"
 
 
 def json_docs_roundtrip() -> str:
-    return f"SELECT CAST(floor(page_id / {inputs.DOC_CHUNK}) AS BIGINT) AS chunk, page_id, url FROM pages"
+    return f"SELECT CAST(floor(page_id / {inputs.DOC_CHUNK}) AS BIGINT) AS chunk, page_id, url, html FROM pages"

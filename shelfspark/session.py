@@ -61,7 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (tests, local runs) do we create one.
+    as is; without it this raises.  Only with a local master (tests, local
+    runs) is one created.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -71,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="shelfspark-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", current)

@@ -7,13 +7,17 @@ Spark job; nothing is gathered on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import key_timestamp, last_path_segment
-from ..operators.joins import bounded_broadcast
-from ..operators.quality import enforce_required, required_inline
-from ..sources.tables import num_partitions
+from ..operators.quality import required_inline
 
 
 def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -21,58 +25,73 @@ def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
     write (``REBALANCE`` hint): without it every task writes a file into
     every partition value it holds (tasks x values small files).  AQE splits
     a skewed value (one store-day with a third of the rows) over several
-    tasks and coalesces small ones, so files stay near the advisory size.
-    A single-partition input already writes each value once: no shuffle."""
-    n = num_partitions(df)
-    if n is not None and n <= 1:
-        return df
+    tasks and coalesces small ones, so files stay near the advisory size."""
     return df.hint("rebalance", *cols)
 
 
-def is_empty(df: DataFrame) -> bool:
-    """One-row probe (``limit 1``), not a count."""
-    return df.isEmpty()
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of its row count, taken while it is written."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
+def _rows_seen(seen: Observation) -> int:
+    """The observed count, after the write.  An input that Catalyst proves empty is
+    not run at all, and then the observation holds no row."""
+    try:
+        return seen.get["n"]
+    except Py4JJavaError as error:
+        if "toPyRow" not in str(error):
+            raise
+        return 0
 
 
 def append_prices(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ("scraped_date", "store_name"),
                   run_id: str | None = None, required: list[str] | None = None) -> bool:
-    """K1: append only; empty input -> no write, returns False.  A second run
-    on one day doubles the rows, as in the reference; pass ``run_id`` to make
-    a re-run of the same run replace its own partition instead.  ``required``
-    columns are checked while writing (K3): a NULL fails the job, and a
-    failed append commits no file."""
-    if is_empty(df):
-        return False
+    """K1: append only, in one pass over the input; empty input appends no row
+    and returns False.  A second run on one day doubles the rows, as in the
+    reference; pass ``run_id`` to make a re-run of the same run replace its
+    own partition instead.  ``required`` columns are checked while writing
+    (K3): a NULL fails the job, and a failed append commits no file."""
     if required:
         df = required_inline(df, required)
     cols = list(partition_cols)
-    writer = df
     if run_id is not None:
-        writer = df.withColumn("run_id", F.lit(run_id))
+        df = df.withColumn("run_id", F.lit(run_id))
         cols = [*cols, "run_id"]
-        (clustered(writer, cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*cols).parquet(path))
-        return True
-    clustered(writer, cols).write.mode("append").partitionBy(*cols).parquet(path)
-    return True
+    rows, seen = _counted(df)
+    writer = clustered(rows, cols).write.partitionBy(*cols)
+    if run_id is not None:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        writer.mode("append").parquet(path)
+    return _rows_seen(seen) > 0
 
 
 def replace_snapshot(df: DataFrame, path: str, required: list[str] | None = None) -> bool:
-    """K2: full refresh guarded by *rows*: no input rows -> the previous
-    snapshot is kept (returns False).  One overwrite instead of the
-    reference's delete-then-insert with a swallowed delete error.
-    ``required`` columns are audited before writing (K3), because a failed
-    overwrite job has already cleared the folder.  Like any plain-file
-    overwrite it is not atomic: if the job dies mid-write, rerun it (the
-    input is unchanged) or use a transactional table format."""
-    if is_empty(df):
+    """K2: full refresh guarded by *rows*, in one pass over the input.  The rows
+    are written to a new version folder with ``required`` checked inline (K3);
+    only then is the version recorded (an append, so the previous record
+    stays).  No rows, a NULL in a required column or a lost job leave the
+    previous snapshot the current one.  ``read_snapshot`` reads it."""
+    rows, seen = _counted(required_inline(df, required) if required else df)
+    version = uuid.uuid4().hex
+    rows.write.parquet(f"{path}/version={version}")
+    if not _rows_seen(seen):
         return False
-    if required:
-        enforce_required(df, required)
-    df.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    record = spark.range(1).select(F.lit(version).alias("version"), F.unix_micros(F.current_timestamp()).alias("at"),
+                                   F.lit(df.schema.json()).alias("schema"))
+    record.write.mode("append").json(f"{path}/_versions")
     return True
 
 
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that ``replace_snapshot`` writes."""
+    now = spark.read.schema("version string, at long, schema string").json(f"{path}/_versions").orderBy(F.desc("at")).first()
+    return spark.read.schema(T.StructType.fromJson(json.loads(now["schema"]))).parquet(f"{path}/version={now['version']}")
+
+
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # keep microseconds in JSON text
 
 
@@ -124,9 +143,9 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def publish_table(df: DataFrame, name: str) -> None:
+def publish_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """K8: marts are tables."""
-    create_or_replace(df, name)
+    create_or_replace(df, name, path)
 
 
 def dense_index(df: DataFrame, order_cols: list[str], start: int | Column = 1, id_col: str = "id") -> DataFrame:
@@ -134,8 +153,7 @@ def dense_index(df: DataFrame, order_cols: list[str], start: int | Column = 1, i
     window: range-partition and sort, checkpoint once (fixes the partition
     contents so a retried task sees the same rows), take the in-partition
     position from ``monotonically_increasing_id`` and add per-partition
-    offsets from a table with one row per partition (broadcast: bounded by
-    the partition count).  ``order_cols`` must be unique."""
+    offsets from a table with one row per partition.  ``order_cols`` must be unique."""
     ranged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
     marked = ranged.withColumn("_mono", F.monotonically_increasing_id()).checkpoint(eager=True)
     pid = F.shiftright(F.col("_mono"), 33)
@@ -144,9 +162,8 @@ def dense_index(df: DataFrame, order_cols: list[str], start: int | Column = 1, i
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     first = start if isinstance(start, Column) else F.lit(start)
-    # one row per partition of the checkpointed data: a proven bound
-    n_parts = num_partitions(marked) or int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (marked.join(bounded_broadcast(offsets, max_rows=max(n_parts, 1), known_rows=n_parts), "_pid")
+    # one row per partition; the planner broadcasts it by its size
+    return (marked.join(offsets, "_pid")
             .withColumn(id_col, (first + F.col("_off") + F.col("_local")).cast("bigint"))
             .drop("_mono", "_pid", "_local", "_off"))
 
@@ -156,14 +173,17 @@ def append_with_surrogate_id(df: DataFrame, path: str, order_cols: list[str], id
     """K7: append rows with the next serial ids (max existing id + 1 ...) and
     a default load time.  Each run appends the batch again, as the
     reference's seed insert does."""
-    if is_empty(df):
-        return False
     spark = df.sparkSession
     try:
-        existing = spark.read.parquet(path).agg(F.max(id_col)).first()[0] or 0
-    except Exception:  # noqa: BLE001 - first write: no table yet
+        table = spark.read.parquet(path)
+    except AnalysisException as error:  # the first write only; a failed read of a table is an error
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         existing = 0
+    else:
+        existing = table.agg(F.max(id_col)).first()[0] or 0
     ided = dense_index(df, order_cols, start=int(existing) + 1, id_col=id_col)
     ided = ided.withColumn("fecha_creacion", load_ts if load_ts is not None else F.current_timestamp())
-    ided.write.mode("append").parquet(path)
-    return True
+    rows, seen = _counted(ided)
+    rows.write.mode("append").parquet(path)
+    return _rows_seen(seen) > 0

@@ -19,33 +19,3 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def raw_table(spark: SparkSession, name: str) -> DataFrame:
-    """A catalog table or view by name (the warehouse's ``SELECT *``)."""
-    return spark.table(name)
-
-
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work (HTML parsing, long-text regexes) at least
-    one partition per core.  Only fires when the scan yields fewer splits
-    than the default parallelism (small inputs: one parquet row group); on a
-    large table the scan already has thousands of splits and nothing is
-    shuffled."""
-    n = num_partitions(df)
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session)
-        return df
-    if n is not None and n < target:
-        return df.repartition(target)
-    return df
-
-
-def num_partitions(df: DataFrame) -> int | None:
-    """Partition count of ``df``'s plan, or None where the RDD view is not
-    available (e.g. a Connect session)."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        return None

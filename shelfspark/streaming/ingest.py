@@ -17,9 +17,11 @@ from ..operators.models import envelope_items, raw_price_rows
 from ..sources.envelopes import ENVELOPE_SCHEMA
 
 
-def envelope_stream(spark: SparkSession, landing: str, multiline: bool = False,
+def envelope_stream(spark: SparkSession, landing: str, multiline: bool = True,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(ENVELOPE_SCHEMA).option("multiLine", multiline)
+    """Landed envelopes: whole (indented) documents, or JSON lines with
+    ``multiline=False``.  A malformed file fails the run and is not committed."""
+    reader = spark.readStream.schema(ENVELOPE_SCHEMA).option("multiLine", multiline).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(landing).withColumn("source_file", F.col("_metadata.file_path"))
@@ -34,7 +36,7 @@ def envelope_rows(envelopes: DataFrame, store_name: str | Column, category: str
 
 
 def ingest_new_envelopes(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-                         store_name: str | Column, multiline: bool = False,
+                         store_name: str | Column, multiline: bool = True,
                          max_files_per_trigger: int | None = None) -> None:
     """Run one ``availableNow`` pass: every file not yet seen by this
     checkpoint is appended to ``table_path``; blocks until done.  With

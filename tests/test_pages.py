@@ -39,18 +39,28 @@ def test_page_frontier(spark):
     assert got == {"https://x/a?page=2", "https://x/a?b=1&page=2"}
 
 
-def test_extract_elements_and_verdict(spark):
-    sels, no_results, *_ = P.CHAIN_CONFIGS["CARREFOUR"]
-    el = pages.extract_elements(pages_df(spark), sels)
-    rows = el.orderBy("selector_idx", "pos").collect()
-    assert [(r.selector_idx, r.text) for r in rows] == [
-        (1, "Dulce de leche La Serenísima 400 g $ 1.234,50"), (2, "short $1")]
-    v = pages.page_verdict(pages_df(spark), pages.page_evidence(el)).first()
+def test_elements_and_verdict(spark):
+    sels = [("div", pages.class_test("galleryItem")), ("article", "")]
+    got = [(i, r.text) for i, (tag, attrs) in enumerate(sels) for r in pages.extract_tag(pages_df(spark), tag, i, attrs).collect()]
+    assert got == [(0, "Dulce de leche La Serenísima 400 g $ 1.234,50"), (1, "short $1")]
+    v = pages.verdict(pages_df(spark), sels).first()
     assert (v.evidence, v.has_products) == (1, True)
-    v = pages.page_verdict(pages_df(spark, "https://x/404"), pages.page_evidence(el)).first()
+    v = pages.verdict(pages_df(spark, "https://x/404"), sels).first()
     assert v.has_products is False
-    m = pages.no_results_marker(pages_df(spark), no_results).first()
-    assert m.marker == 'text="Sin resultados"'
+    m = pages_df(spark).select(pages.no_results_marker(F.col("html"), ["titleNotFound", "empty"]).alias("m")).first()
+    assert m.m == "empty"
+
+
+def test_unclosed_paragraphs_end_where_the_next_starts(spark):
+    html = "<body><article><p>a<b>1</b><p class='x'>b</p> tail<p>c</article><p>d<div>e</div>f<pre>g</pre></body>"
+    df = spark.createDataFrame([(1, html)], "page_id bigint, html string")
+    assert [r.text for r in pages.extract_tag(df, "p").orderBy("pos").collect()] == ["a 1", "b", "c", "d"]
+
+
+def test_entities(spark):
+    html = "<h1>Pa&#241;al &ntilde;and&uacute; &#8364;5 &amp;#65; &#x; &lt;b&gt; &amp;&amp; 1&nbsp;kg &eacute;</h1>"
+    df = spark.createDataFrame([(1, html)], "page_id bigint, html string")
+    assert pages.extract_tag(df, "h1").first().text == "Pañal ñandú €5 &#65; &#x; <b> && 1 kg é"
 
 
 def test_store_list_guard_and_text(spark):
@@ -61,7 +71,7 @@ def test_store_list_guard_and_text(spark):
 
 
 def test_branch_facts_from_page(spark):
-    r = pages.extract_branch_facts(pages_df(spark)).first()
+    r = pages_df(spark).select(pages.branch_facts_of(F.col("html")).alias("raw_data")).first()
     assert r.raw_data == ["Av. San Martín 55", "Tel: 4444-5555", "EXTRA: Estacionamiento"]
 
 
@@ -79,23 +89,6 @@ def test_options_and_groups(spark):
     assert ci.count() == 12
 
 
-def test_native_tag_path(spark):
-    r = pages.extract_tag_native(pages_df(spark), "article").first()
-    assert r.text == "short $1"
-
-
-def test_general_path_agrees_with_native_path_on_real_pages(spark):
-    import re
-
-    from .conftest import SF
-    pg = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
-    norm = lambda t: re.sub(r"\s+", " ", t or "").strip()
-    for tag in ("li", "article"):
-        a = {(r.page_id, r.pos): norm(r.text) for r in pages.extract_elements(pg, [tag]).collect()}
-        b = {(r.page_id, r.pos): norm(r.text) for r in pages.extract_tag_native(pg, tag).collect()}
-        assert a == b and len(a) > 0, tag
-
-
 def test_province_and_store_selects_from_a_page(spark):
     provs = ["Buenos Aires", "Córdoba", "Santa Fe", "Mendoza", "Tucumán", "Salta", "Chaco", "Neuquén",
              "Misiones", "San Juan", "Jujuy", "Río Negro"]

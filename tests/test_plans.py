@@ -22,8 +22,7 @@ def physical(df) -> str:
 
 def test_branch_model_is_narrow(spark):
     q = E.queries()
-    # no key-based shuffle in the model (a round-robin spread may appear for
-    # inputs with fewer splits than cores; see sources.tables.spread_for_cpu)
+    # no shuffle in the model
     txt = plan(q["branch_facts_documents"](spark, SF)).lower()
     assert "hashpartitioning" not in txt and "rangepartitioning" not in txt
     # the flagship adds exactly one key-based exchange: the presentation sort
@@ -31,9 +30,9 @@ def test_branch_model_is_narrow(spark):
     assert "hashpartitioning" not in txt and txt.count("rangepartitioning(") >= 1
 
 
-def test_crawl_windows_share_one_exchange(spark):
-    txt = physical(E.queries()["crawl_cutoff"](spark, SF))
-    assert txt.count("Exchange") == 1 and txt.count("Window") == 3
+def test_page_verdict_is_narrow(spark):
+    txt = physical(E.queries()["page_verdict"](spark, SF))
+    assert "Exchange" not in txt and "Generate" not in txt
 
 
 def test_scan_reads_only_used_columns(spark):

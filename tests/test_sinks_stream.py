@@ -36,7 +36,68 @@ def test_replace_snapshot_guard(spark, tmp_dir):
     assert writers.replace_snapshot(raw_rows(spark, 3), p)
     assert writers.replace_snapshot(raw_rows(spark, 2), p)
     assert writers.replace_snapshot(raw_rows(spark).where("false"), p) is False
-    assert spark.read.parquet(p).count() == 2
+    assert writers.read_snapshot(spark, p).count() == 2
+    bad = raw_rows(spark, 3).withColumn("store_name", F.lit(None).cast("string"))
+    with pytest.raises(Exception):  # the failed refresh leaves the snapshot
+        writers.replace_snapshot(bad, p, required=["store_name"])
+    assert writers.read_snapshot(spark, p).count() == 2
+
+
+def test_surrogate_ids_raise_on_a_failed_read(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "seed")
+    batch = spark.range(0, 5).withColumnRenamed("id", "k")
+    writers.append_with_surrogate_id(batch, p, ["k"])
+    with open(os.path.join(p, "part-broken.parquet"), "wb") as fh:
+        fh.write(b"not parquet")
+    with pytest.raises(Exception):
+        writers.append_with_surrogate_id(batch, p, ["k"])
+
+
+def test_malformed_envelopes_fail(spark, tmp_dir):
+    landing, table, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "table", "ckpt"))
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.json"), "w") as fh:
+        fh.write('{"items": ["x $ 1"')
+    with pytest.raises(Exception):
+        read_envelopes(spark, landing).collect()
+    with pytest.raises(Exception):
+        ingest.ingest_new_envelopes(spark, landing, table, ckpt, "VEA")
+
+
+def test_indented_envelopes_are_ingested(spark, tmp_dir):
+    landing, table, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "table", "ckpt"))
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.json"), "w") as fh:
+        json.dump({"items": ["x $ 1", "y $ 2"], "pages_processed": 1, "total_items": 2, "timestamp": "2025-06-16T06:00:00"}, fh, indent=2)
+    ingest.ingest_new_envelopes(spark, landing, table, ckpt, "VEA")
+    assert spark.read.parquet(table).count() == 2
+
+
+def test_checkpoint_folder_is_required_off_local_mode():
+    from shelfspark import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_branch_documents_keep_branches_without_facts(spark):
+    branches = spark.createDataFrame([(1, "a"), (2, "b")], "k int, n string")
+    facts = spark.createDataFrame([(1, 2, "y"), (1, 1, 'x "q"')], "fk int, o int, item string")
+    got = {r.k: r.raw_data for r in joins.branch_documents(branches, facts, "k", "fk", "o", "item").collect()}
+    assert got == {1: '["x \\"q\\"", "y"]', 2: "[]"}
 
 
 def test_surrogate_ids_consecutive_across_partitions(spark, tmp_dir):
