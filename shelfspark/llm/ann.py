@@ -82,36 +82,50 @@ def build(rows: DataFrame, projections: int) -> DataFrame:
 _CELLS = ("ids", "vectors", "order", "places")
 
 
-def _search(ids: np.ndarray, v: np.ndarray, order: np.ndarray, places: np.ndarray, query_id: int, q: np.ndarray,
-            at: np.ndarray, k: int, least: int, enough: int, start: float) -> tuple[np.ndarray, np.ndarray]:
-    """Best ``k`` of one block: candidates by collision counts, then exact products."""
-    n = len(ids)
-    if n <= enough:
-        found = np.arange(n)
-    else:
-        m = len(at)
-        hits = np.zeros(n, np.int64)
-        lo = np.array([np.searchsorted(places[j], at[j]) for j in range(m)])
-        hi, width = lo.copy(), start
-        while True:
-            new = []
-            for j in range(m):
-                a, b = np.searchsorted(places[j], (at[j] - width, at[j] + width))
-                new += (order[j, a:lo[j]], order[j, hi[j]:b])
-                lo[j], hi[j] = min(a, lo[j]), max(b, hi[j])
-            hits += np.bincount(np.concatenate(new), minlength=n)
-            found = np.flatnonzero(hits >= least)
-            if len(found) >= enough:
-                break
-            width *= GROWTH
-    found = found[ids[found] != query_id]
-    score = v[found] @ q
-    best = np.lexsort((ids[found], -score))[:k]
-    return ids[found][best], score[best]
-
-
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: int = 64, share: float = 0.7,
-            probe: float = 0.04) -> DataFrame:
+class _Block:
+    """A block of the index: its vectors, and the sorted arrays laid end to end so
+    that one binary search finds a query's place in all of them."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, order: np.ndarray, places: np.ndarray):
+        self.ids, self.vectors, self.order = ids, vectors, order
+        m, self.n = places.shape
+        self.limit = float(np.abs(places).max()) + 1.0
+        self.shift = np.arange(m) * (4 * self.limit)
+        self.base = np.arange(m) * self.n
+        self.flat = (places + self.shift[:, None]).ravel()
+        self.width = float(np.median(places[:, -1] - places[:, 0])) / 20 or 1e-6
+
+    def _ranks(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.flat, np.clip(at, -self.limit, self.limit) + self.shift)
+
+    def search(self, query_id: int, q: np.ndarray, at: np.ndarray, k: int, least: int, enough: int) -> tuple[np.ndarray, np.ndarray]:
+        """The best ``k``: candidates by collision counts, then exact products."""
+        if self.n <= enough:
+            found = np.arange(self.n)
+        else:
+            hits = np.zeros(self.n, np.int64)
+            order = self.order.ravel()
+            lo = hi = self._ranks(at)
+            width = self.width / GROWTH  # about what the queries before needed
+            while True:
+                a, b = self._ranks(at - width), self._ranks(at + width)
+                new = [order[x:y] for x, y in zip(np.concatenate((a, hi)).tolist(), np.concatenate((lo, b)).tolist()) if x < y]
+                lo, hi = a, b
+                if new:
+                    hits += np.bincount(np.concatenate(new), minlength=self.n)
+                found = np.flatnonzero(hits >= least)
+                if len(found) >= enough:
+                    break
+                width *= GROWTH
+            self.width += 0.2 * (width - self.width)
+        found = found[self.ids[found] != query_id]
+        score = self.vectors[found] @ q
+        best = np.lexsort((self.ids[found], -score))[:k]
+        return self.ids[found][best], score[best]
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: int = 56, share: float = 0.8,
+            probe: float = 0.05) -> DataFrame:
     """(query_id, rank, vec_id, score): of every row of ``queries`` (vec_id,
     embedding) the ``k`` nearest of ``vectors`` found, its own vec_id left out."""
     rows = cut(clean(vectors), "vectors")
@@ -133,16 +147,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, places = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["places"]).reshape(projections, -1)
-                v, order = np.frombuffer(row["vectors"]).reshape(len(ids), -1), np.frombuffer(row["order"], "<i4").reshape(projections, -1)
+                ids = np.frombuffer(row["ids"], np.int64)
+                v = np.frombuffer(row["vectors"]).reshape(len(ids), -1)
+                block = _Block(ids, v, np.frombuffer(row["order"], "<i4").reshape(projections, -1),
+                               np.frombuffer(row["places"]).reshape(projections, -1))
                 query_ids, queries = np.frombuffer(row["query_ids"], np.int64), np.frombuffer(row["queries"]).reshape(-1, v.shape[1])
                 enough = max(10 * k, int(probe * len(ids)))
                 plain = directions(v.shape[1], projections)[:, :-1]
-                spread = float(np.median(places[:, -1] - places[:, 0])) / 20 or 1e-6
                 out_q, out_v, out_s = [], [], []
                 for query_id, q in zip(query_ids.tolist(), queries):
                     at = plain @ (q / np.sqrt(q @ q))
-                    found, score = _search(ids, v, order, places, query_id, q, at, k, least, enough, spread)
+                    found, score = block.search(query_id, q, at, k, least, enough)
                     out_q.append(np.full(len(found), query_id))
                     out_v.append(found)
                     out_s.append(score)
