@@ -137,7 +137,9 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
             for x in set(used):
                 have.take(x, times * used.count(x))
             patterns.append((used, times))
-    return patterns + best_fit(rest, capacity)
+    patterns += best_fit(rest, capacity)
+    plain = best_fit(histogram, capacity)  # few lengths may leave no exact complements
+    return min(patterns, plain, key=lambda p: sum(times for _, times in p))
 
 
 def _checked(have: _Lengths, found: tuple[int, ...] | None) -> tuple[int, ...] | None:
