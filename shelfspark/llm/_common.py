@@ -64,3 +64,4 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             to = max(at + 1, int(np.searchsorted(size, base + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()  # Python workers live on after their task

@@ -3,7 +3,8 @@
 The normaliser and pre-tokeniser of ``word_bpe_49k.json`` never join characters
 across white space and drop it, so a text's ids are the ids of its words one
 after the other.  Words repeat; each is given to the ``tokenizers`` library
-once per Python worker (up to ``CACHE_WORDS``, then the cache starts anew).
+once per Python worker.  The cache holds two generations of ``CACHE_WORDS``:
+when the younger is full it becomes the older, and words met again move up.
 
 A word of plain Latin letters (below U+0250), is one pre-token and a run of
 ``MARKS`` behind it another, so the library's BPE model gets them without the
@@ -17,7 +18,7 @@ from array import array
 
 import numpy as np
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 LONG_WORD = 40
 MARKS = ".,!?;:%$#&*|"
 
@@ -48,6 +49,7 @@ class WordEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        self.older: dict[bytes, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -70,9 +72,12 @@ class WordEncoder(dict):
         return self.whole(word)
 
     def __missing__(self, raw: bytes) -> bytes:
+        ids = self.older.get(raw)
+        if ids is None:
+            ids = self._ids(raw)
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
-        ids = self._ids(raw)
         if len(raw) <= LONG_WORD:
             self[raw] = ids
         return ids
