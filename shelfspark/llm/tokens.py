@@ -93,12 +93,14 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, raw.split()))
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker and tokeniser file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-        gc.freeze()  # the collector need not walk the cache each time
-    return _ENCODERS[path]
+    """One encoder per Python worker and tokeniser file.  The package travels to the
+    workers by value, anew for each task, so what outlives a task is kept on a
+    module that the worker imports itself."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("word_encoders_by_file", {})
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+        gc.freeze()  # once: the collector need not walk the cache each time
+    return kept[path]
