@@ -101,21 +101,12 @@ DEFAULT_MAX_EMPTY_PAGES = 2
 # --- fixed values: store-list page and branch detail page --------------------
 STORE_LIST_CLASSES = "list ph3 mt0 valtech-carrefourar-store-locator-0-x-addressList"
 STORE_ITEM_CLASS = "valtech-carrefourar-store-locator-0-x-addressListItem"
-BRANCH_FACT_SELECTOR = "ul li p"
-BRANCH_EXTRA_SELECTOR = "div.store-info, .branch-details, .sucursal-info"
-
 # --- fixed values: run status -------------------------------------------------
 STATE_CLASSES = [("success", "COMPLETED"), ("failed", "FAILED"),
                  ("up_for_retry", "RETRYING"), ("running", "RUNNING")]
 STATE_UNKNOWN = "UNKNOWN"
 STATE_ERROR = "ERROR"
 VERDICT_ALL, VERDICT_PARTIAL, VERDICT_NONE = "ALL", "PARTIAL", "NONE"
-CHAIN_DISPLAY_NAMES = {
-    "vea_dulce_de_leche_prices": "VEA",
-    "jumbo_dulce_de_leche_prices": "JUMBO",
-    "carrefour_dulce_de_leche_prices": "CARREFOUR",
-}
-
 # --- fixed values: source labels ----------------------------------------------
 SOURCE_STORE_TEXT = "carrefour.com.ar/sucursales"
 SOURCE_BRANCHES = "vea.com.ar/sucursales"
@@ -129,10 +120,3 @@ SAMPLE_PRICES = [
     ("Carne de Res 1kg", 16.20, "ARS", "Coto", "Carnes", "https://example.com/carne-res-coto"),
     ("Pollo Entero 1kg", 7.90, "ARS", "Coto", "Carnes", "https://example.com/pollo-entero-coto"),
 ]
-
-# --- fixed values: seed rows (name, description) ------------------------------
-SEED_ROWS = [
-    ("Producto A", "Descripción del Producto A"),
-    ("Producto B", "Descripción del Producto B"),
-    ("Producto C", "Descripción del Producto C"),
-]

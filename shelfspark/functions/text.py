@@ -111,15 +111,6 @@ def key_timestamp(c: ColumnOrName) -> Column:
     return F.date_format(_c(c), "yyyyMMdd_HHmmss")
 
 
-def has_card_marker(c: ColumnOrName) -> Column:
-    return _c(c).contains(P.CARD_MARKER)
-
-
-def ucount(c: ColumnOrName) -> Column:
-    """length in characters (code points)."""
-    return F.length(_c(c))
-
-
 def current_datetime() -> Column:
     """F17 ``CURRENT_DATETIME()``: a zone-less 'now'.  Load times are job
     parameters in this library; this is only the default."""
@@ -130,8 +121,3 @@ def parse_iso_timestamp(c: ColumnOrName) -> Column:
     """ISO-8601 text (``datetime.isoformat()``, up to 6 fractional
     digits) -> TIMESTAMP."""
     return F.to_timestamp(_c(c))
-
-
-def parse_iso_date(c: ColumnOrName) -> Column:
-    """``YYYY-MM-DD`` text -> DATE."""
-    return F.to_date(_c(c))

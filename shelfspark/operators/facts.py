@@ -45,31 +45,6 @@ def flagged(tagged: Column, flag: str) -> Column:
     return F.filter(tagged, lambda e: e[flag])
 
 
-def matching(items: Column, pattern: str, ignore_case: bool = False) -> Column:
-    rx = java_flags(pattern, ignore_case)
-    return F.filter(items, lambda e: e["j"].rlike(rx))
-
-
-def is_address(items: Column) -> Column:   # P8
-    return matching(items, P.ADDRESS_RE, True)
-
-
-def is_schedule(items: Column) -> Column:  # P9
-    return matching(items, P.SCHEDULE_RE, True)
-
-
-def is_phone(items: Column) -> Column:     # P10
-    return matching(items, P.PHONE_RE, True)
-
-
-def has_time(items: Column) -> Column:     # P11
-    return matching(items, P.TIME_RE)
-
-
-def has_time_range(items: Column) -> Column:  # P11
-    return matching(items, P.TIME_RANGE_RE)
-
-
 def joined_matches(matched: Column, sep: str = P.FACT_JOIN_SEP) -> Column:
     """A1 STRING_AGG of trimmed matches, array order; NULL when none."""
     return nullif_empty(F.array_join(F.transform(matched, lambda e: ustrip(e["v"])), sep))
@@ -85,14 +60,6 @@ def item_count(arr: Column) -> Column:
     return F.when(arr.isNull(), F.lit(None)).otherwise(F.size(arr)).cast("bigint")
 
 
-def opening_hour(items: Column) -> Column:
-    return regexp_extract_or_null(first_match(has_time(items)), P.OPEN_EXTRACT_RE)
-
-
-def closing_hour(items: Column) -> Column:
-    return regexp_extract_or_null(first_match(has_time_range(items)), P.CLOSE_EXTRACT_RE)
-
-
 def non_blank(arr: Column) -> Column:
     """Drop NULL and blank texts; strip the rest (order kept)."""
     return F.transform(F.filter(arr, lambda x: x.isNotNull() & (ustrip(x) != "")), lambda x: ustrip(x))

@@ -2,8 +2,8 @@
 
 Every function here is narrow (a projection per row), so they fuse into
 the scan's whole-stage-codegen stage; the only exchange is the optional
-presentation sort (O1: ``order_branches`` on a model, or
-``parse_branch_json_ordered``, which sorts the raw rows before the model).
+presentation sort (O1: ``parse_branch_json_ordered``, which sorts the raw rows
+before the model).
 """
 
 from __future__ import annotations
@@ -128,13 +128,6 @@ def with_branch_derived(ex: DataFrame) -> DataFrame:
     )
 
 
-def order_branches(df: DataFrame) -> DataFrame:
-    """O1: ``ORDER BY provincia, nombre_sucursal`` (nulls first, as the
-    warehouse and Spark do).  A range-partitioned sort: keep it at the output
-    edge only."""
-    return df.orderBy(F.col("provincia").asc_nulls_first(), F.col("nombre_sucursal").asc_nulls_first())
-
-
 def parse_branch_json_ordered(raw: DataFrame) -> DataFrame:
     """M2 + O1 with the sort placed *before* the model.  The sort keys are
     the trimmed province and name, which are cheap and known on the raw rows;
@@ -147,18 +140,6 @@ def parse_branch_json_ordered(raw: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- P16 -----
-def label_rows(df: DataFrame, labels: dict[str, str], load_ts: Column,
-               date_col: str | None = None, ts_col: str | None = None) -> DataFrame:
-    """Constant label columns plus the load date/time of the run (one
-    value per run, a job parameter)."""
-    out = df.withColumns({k: F.lit(v) for k, v in labels.items()})
-    if date_col:
-        out = out.withColumn(date_col, F.to_date(load_ts))
-    if ts_col:
-        out = out.withColumn(ts_col, load_ts)
-    return out
-
-
 # ---------------------------------------------------------------- M3 ------
 def raw_price_rows(items: DataFrame, store_name: str | Column, category: str | Column,
                    scraped_at: Column, item_col: str = "item", keep: list[str] | None = None) -> DataFrame:

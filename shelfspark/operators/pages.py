@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import ustrip
+from .facts import non_blank
 
 
 def page_frontier(bases: DataFrame, url_col: str, n_pages: int, keep: list[str] | None = None) -> DataFrame:
@@ -166,11 +167,10 @@ def branch_facts_of(html: Column) -> Column:
     """H5 + P7: the non-blank stripped texts of ``ul li p``, then ``EXTRA: `` and the
     texts of the extra-info blocks, order kept; an array, no shuffle."""
     lists = F.array_join(inner_html(html, "li"), "")
-    facts = F.transform(inner_html(lists, "p"), lambda x: ustrip(line_text(x)))
+    items = non_blank(F.transform(inner_html(lists, "p"), line_text))
     extra = rf"(?:{class_test('store-info')}|{class_test('branch-details')}|{class_test('sucursal-info')})"
-    more = F.transform(inner_html(html, "div", extra), lambda x: ustrip(line_text(x)))
-    keep = lambda xs: F.filter(xs, lambda x: x != "")
-    return F.concat(keep(facts), F.transform(keep(more), lambda x: F.concat(F.lit(P.EXTRA_PREFIX), x)))
+    more = non_blank(F.transform(inner_html(html, "div", extra), line_text))
+    return F.concat(items, F.transform(more, lambda x: F.concat(F.lit(P.EXTRA_PREFIX), x)))
 
 
 def no_results_marker(html: Column, classes: list[str]) -> Column:

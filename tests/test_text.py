@@ -37,15 +37,10 @@ def test_regexp_extract_or_null(spark):
     assert one(spark, f, "Cerrado") is None
 
 
-def test_non_blank_and_label_rows(spark):
-    from shelfspark.operators import facts, models
+def test_non_blank(spark):
+    from shelfspark.operators import facts
     df = spark.createDataFrame([([" a ", None, "  ", "\tb"],)], "arr array<string>")
     assert df.select(facts.non_blank(F.col("arr")).alias("o")).first()["o"] == ["a", "b"]
-    out = models.label_rows(spark.range(1), {"store_name": "VEA", "category": "dl"},
-                            T.parse_iso_timestamp(F.lit("2025-06-16T06:00:00.123456")),
-                            date_col="scraped_date", ts_col="scraped_datetime").first()
-    assert out.store_name == "VEA" and str(out.scraped_date) == "2025-06-16"
-    assert out.scraped_datetime.microsecond == 123456
 
 
 def test_python_json_quote_keeps_line_separators(spark):
