@@ -9,7 +9,7 @@ about ``BLOCK`` vectors, so every row is indexed and a block fits into a task.
 A query looks at a window around its own projection in each sorted array.  A
 vector inside enough windows (``share`` of them) is a candidate, and candidates
 are verified by their exact inner product.  While a block has not verified
-``probe`` of its vectors (at least ten times ``k``), the windows are widened by
+``probe`` of its vectors (at least twenty times ``k``), the windows are widened by
 the factor ``GROWTH`` (virtual rehashing: only the new margins are counted).  A
 block with fewer vectors than that is verified whole, so small inputs are exact.
 
@@ -152,7 +152,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: in
                 block = _Block(ids, v, np.frombuffer(row["order"], "<i4").reshape(projections, -1),
                                np.frombuffer(row["places"]).reshape(projections, -1))
                 query_ids, queries = np.frombuffer(row["query_ids"], np.int64), np.frombuffer(row["queries"]).reshape(-1, v.shape[1])
-                enough = max(10 * k, int(probe * len(ids)))
+                enough = max(20 * k, int(probe * len(ids)))
                 plain = directions(v.shape[1], projections)[:, :-1]
                 out_q, out_v, out_s = [], [], []
                 for query_id, q in zip(query_ids.tolist(), queries):
