@@ -6,12 +6,13 @@ within the radius (radius + 1 blocks: one at least is untouched), and the
 exact similarity of the weighted shingles (weight: how often a shingle occurs;
 sum of minima over sum of maxima) decides.
 
-Which windows are fingerprinted: a window of similarity ``t`` shares at least
-2t/(1+t) of an item's shingles with it, so only windows holding that many
-positions whose shingle is in the item can pass, and a best one starts at such
-a position (moving a window right over a position without loses nothing).
-This cut is exact; without it every position of the corpus would be
-fingerprinted once per item length.
+Which windows are fingerprinted: a window of ``s`` shingles (as many as the
+item's ``m``, fewer at the end of a text) has similarity ``t`` only if it shares
+t(s+m)/(1+t) shingles with the item, so only windows holding that many positions
+whose shingle is in the item can pass, and a best one starts at such a position
+(moving a window right over a position without loses nothing).  This cut is
+exact; without it every position of the corpus would be fingerprinted once per
+item length.
 
 The benchmark's shingles are broadcast only below ``BROADCAST_BYTES``; beyond,
 the join shuffles.  Verdicts belong to texts, so copies are judged once.
@@ -85,17 +86,23 @@ def matches(docs: DataFrame, items: DataFrame, width: int = SHINGLE, similarity:
     bench = items.select("item_id", words(F.col("text")).alias("w")).select("item_id", shingles("w", width).alias("s"))
     bench = bench.select("item_id", F.size("s").alias("m"), F.explode_outer("s").alias("h"))
     bench = cut(bench.where("h is not null"), "benchmark-shingles")
-    need = F.ceil(F.col("m") * (2 * similarity / (1 + similarity)) - 1e-9).cast("int")
+
+    def need(start: Column) -> Column:
+        """Positions that the window at ``start`` has to hold, by the size it has there."""
+        size = F.least(F.col("m"), F.col("total") - start)
+        return F.ceil((size + F.col("m")) * (similarity / (1 + similarity)) - 1e-9).cast("int")
 
     # positions whose shingle is in an item (outer: the plain form makes Catalyst
     # add a filter that computes the words once more for every shingle)
-    rows = docs.select(*text_key(), words(F.col("text")).alias("w")).select("k1", "k2", shingles("w", width).alias("s"))
-    at = rows.select("k1", "k2", F.posexplode_outer("s").alias("pos", "h"))
+    total = F.greatest(F.size("w") - width + 1, F.lit(1)).alias("total")
+    rows = docs.select(*text_key(), words(F.col("text")).alias("w")).select("k1", "k2", total, shingles("w", width).alias("s"))
+    at = rows.select("k1", "k2", "total", F.posexplode_outer("s").alias("pos", "h"))
     wanted = bench.select("h", "item_id", "m").distinct()
-    anchors = at.join(_bounded(wanted, 24), "h").select("k1", "k2", "item_id", "m", "pos")
-    groups = (anchors.groupBy("k1", "k2", "item_id", "m").agg(F.sort_array(F.collect_set("pos")).alias("p"))
-              .withColumn("need", need).where(F.size("p") >= F.col("need")))
-    enough = F.filter("p", lambda x, i: F.get("p", i + F.col("need") - 1) <= x + F.col("m") - 1)
+    anchors = at.join(_bounded(wanted, 24), "h").select("k1", "k2", "total", "item_id", "m", "pos")
+    # a window of similarity t has t * m shingles at least, all of them shared
+    groups = (anchors.groupBy("k1", "k2", "total", "item_id", "m").agg(F.sort_array(F.collect_set("pos")).alias("p"))
+              .where(F.size("p") >= F.ceil(F.col("m") * similarity - 1e-9)))
+    enough = F.filter("p", lambda x, i: F.get("p", i + need(x) - 1) <= x + F.col("m") - 1)
     starts = groups.select("k1", "k2", "item_id", "m", enough.alias("starts")).where(F.size("starts") > 0)
     starts = cut(starts, "window-starts")
 

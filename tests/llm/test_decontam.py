@@ -55,6 +55,27 @@ def test_against_all_windows(spark, docs):
     assert many[0].n_items == 2 and many[0]["items"] == [0, 1]
 
 
+def test_items_cut_short_at_the_end_of_a_text(spark):
+    """Windows at the end of a text are shorter than the item and need fewer shingles."""
+    items = [prose(n, 170 + n) for n in (24, 37, 59, 120)]
+    texts = []
+    for item in items:
+        w = item.split()
+        for part in (0.1, 0.14, 0.16, 0.18, 0.25):
+            head = " ".join(w[:round((len(w) - 4) * (1 - part)) + 4])
+            texts += [head, prose(45, len(texts)) + " " + head]
+        gone = w[:9] + w[10:]
+        texts += [" ".join(gone), prose(30, 8) + " " + " ".join(gone)]
+    texts += [" ".join(items[1].split()[:31]), prose(20, 3) + " " + " ".join(items[1].split()[:31])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.doc_id: (r.contaminated, round(r.similarity or 0, 9)) for r in D.decontaminate(df, bench).collect()}
+    best = brute(texts, items)
+    assert got == {i: (b >= 0.8, round(b, 9) if b >= 0.8 else 0) for i, b in enumerate(best)}
+    assert got[len(texts) - 1][0] and got[len(texts) - 2] == (True, round(27 / 33, 9))
+    assert {r.doc_id for r in D.keep_clean(df, bench).collect()} == {i for i, b in enumerate(best) if b < 0.8}
+
+
 def test_edge_rows_and_kept_columns(spark, docs, empty):
     bench = spark.createDataFrame([(0, prose(30, 2)), (1, prose(300, 1)[:200])], "item_id long, text string")
     got = D.decontaminate(docs, bench)
