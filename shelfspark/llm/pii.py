@@ -6,12 +6,13 @@ term reveals of an entity: with document counts over the whole corpus,
 
     PMI(a; t) = log2( n(a, t) N / (n(a) n(t)) ),   IC(a) = log2( N / n(a) )
 
-where n(a, t) counts the documents in which ``t`` is within ``window`` words of
-``a``.  A term with PMI >= ``generalise`` x IC discloses the entity and is
-generalised to a category word, from ``remove`` x IC on it is removed, in every
-document that holds the entity.  A single meeting proves nothing (any rare word
-near a value has PMI = IC): a term needs ``support`` different contexts with
-the entity, so copies of a passage count once.
+where n(a, t) counts the documents that hold ``a`` and, anywhere outside of
+protected values, ``t``.  A term with PMI >= ``generalise`` x IC discloses the
+entity and is generalised to a category word, from ``remove`` x IC on it is
+removed, in every document that holds the entity.  A single meeting proves
+nothing (a word of one document has PMI = IC with all that the document holds):
+a term needs ``support`` different texts with the entity.  Texts are told apart
+by their smallest shingle hash, so copies count once, and so do most near copies.
 
 Defined results: null or empty text: no spans; empty table: empty result;
 repeated rows: one row each; a null doc_id gets pattern spans only; further
@@ -40,8 +41,7 @@ PATTERNS = {
 PLACEHOLDERS = {k: f"[{k.upper()}]" for k in KINDS} | {"general": "[TERM]", "remove": ""}
 _DIGITS = re.compile(r"[^0-9]")
 _WORD = re.compile(r"[^\W\d_]+")
-# only words with this many characters on each side are looked at for a window
-_REACH = 400
+_SHINGLE = 3
 
 Span = tuple[str, int, int]
 
@@ -93,65 +93,93 @@ def term_spans(text: str, terms: dict[str, str], base: list[Span]) -> list[Span]
     return sorted(found)
 
 
-def contexts(docs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, entity, context, terms): a row for each protected value in a text."""
+def words_outside(text: str, base: list[Span]) -> list[str]:
+    """The words of ``text`` outside the base spans, as written."""
+    out, at = [], 0
+    for start, end in sorted((a, b) for _, a, b in base):
+        out += _WORD.findall(text, at, max(at, start))
+        at = max(at, end)
+    return out + _WORD.findall(text, at)
+
+
+def context(words: list[str]) -> int:
+    """Smallest hash of the word shingles: equal for copies, mostly for near copies."""
+    low = " ".join(words).lower().encode().split(b" ")
+    grams = zip(*(low[i:] for i in range(min(_SHINGLE, len(low)))))
+    return min(map(xxhash.xxh64_intdigest, map(b" ".join, grams))) >> 1
+
+
+def terms(docs: DataFrame) -> DataFrame:
+    """(terms): the distinct words of each document, outside of protected values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_chunks(batches):
+            found = [list({w.lower() for w in set(words_outside(t, base_spans(t)))}) if t else []
+                     for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], names=["terms"])
+
+    return docs.select("text").mapInArrow(run, "terms array<string>")
+
+
+def contexts(docs: DataFrame) -> DataFrame:
+    """(doc_id, context, entities, terms): a row for each document with protected values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
             rows: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                for _, start, end in base_spans(text or ""):
-                    left = text[max(0, start - _REACH):start]
-                    right = text[end:end + _REACH]
-                    if start > _REACH:  # a word that the reach cuts is left out
-                        left = left.partition(" ")[2]
-                    if end + _REACH < len(text):
-                        right = right.rpartition(" ")[0]
-                    near = _WORD.findall(left.lower())[-window:] + _WORD.findall(right.lower())[:window]
-                    rows.append((doc, text[start:end], xxhash.xxh64_intdigest(" ".join(near)) >> 1, sorted(set(near))))
+                base = base_spans(text or "")
+                if base:
+                    words = words_outside(text, base)
+                    rows.append((doc, context(words), sorted({text[a:b] for _, a, b in base}), sorted({w.lower() for w in set(words)})))
             if rows:
                 cols = list(zip(*rows))
-                types = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.string())]
+                types = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                                 names=["doc_id", "entity", "context", "terms"])
+                                                 names=["doc_id", "context", "entities", "terms"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, entity string, context long, terms array<string>")
+        run, "doc_id long, context long, entities array<string>, terms array<string>")
 
 
-def disclosing_terms(docs: DataFrame, window: int = 8, support: int = 3, generalise: float = 0.9,
-                     remove: float = 0.97) -> DataFrame | None:
+def disclosing_terms(docs: DataFrame, support: int = 3, generalise: float = 0.9, remove: float = 0.97) -> DataFrame | None:
     """(doc_id, terms): for each document that holds an entity, the terms that
     disclose it, mapped to ``general`` or ``remove``.  None if there are none."""
-    seen = cut(contexts(docs, window).where("doc_id is not null"), "pii-contexts")
-    met = seen.select("entity", "context", "doc_id", F.explode("terms").alias("term"))
-    # different contexts first: copies of one passage collapse before the shuffle
-    backed = (met.groupBy("entity", "term", "context").agg(F.lit(1).alias("one"))
-              .groupBy("entity", "term").count().where(F.col("count") >= support).select("entity", "term"))
-    holding = seen.select("entity", "doc_id").distinct()
-    entities = holding.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = met.select("entity", "term", "doc_id").distinct()
-    together = pairs.join(backed, ["entity", "term"]).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    near = met.select("term", "doc_id").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    seen = cut(contexts(docs), "pii-contexts")
     total = F.lit(float(docs.count()))
     told = F.log2(total / F.col("n_entity"))
-
-    def pmi(n_term: str) -> Column:
-        return F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col(n_term)))
-
-    # a term is in at least as many documents as it is near any entity in, so this
-    # leaves out only terms that cannot pass (frequent words), before the corpus is counted
-    likely = (together.join(entities, "entity").join(near, "term")
-              .where((told > 0) & (pmi("n_near") >= generalise * told)).select("entity", "term", "n_both", "n_entity"))
+    holding = seen.select("doc_id", "context", F.explode("entities").alias("entity"))
+    # an entity of fewer texts than ``support`` has no term of so many
+    entities = (holding.groupBy("entity", "context").agg(F.count("*").alias("n"))
+                .groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("texts"))
+                .where((F.col("texts") >= support) & (told > 0)).select("entity", "n_entity"))
+    entities = cut(entities, "pii-entities")
+    near = (seen.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_near"))
+            .where(F.col("n_near") >= support))
+
+    def pmi(n_both: str, n_term: str) -> Column:
+        return F.log2(F.col(n_both) * total / (F.col("n_entity") * F.col(n_term)))
+
+    # a term is in at least as many documents as those with any entity, and meets an
+    # entity in at most the entity's, so both cuts leave out only terms that cannot
+    # pass (frequent words), before pairs and before the corpus are counted
+    met = (seen.select("context", F.explode("entities").alias("entity"), "terms").join(entities, "entity")
+           .select("entity", "n_entity", "context", F.explode("terms").alias("term")).join(near, "term")
+           .where(pmi("n_entity", "n_near") >= generalise * told - 1e-9))
+    likely = (met.groupBy("entity", "term", "context", "n_entity", "n_near").agg(F.count("*").alias("n"))
+              .groupBy("entity", "term", "n_entity", "n_near").agg(F.sum("n").alias("n_both"), F.count("*").alias("texts"))
+              .where((F.col("texts") >= support) & (pmi("n_both", "n_near") >= generalise * told))
+              .select("entity", "term", "n_both", "n_entity"))
     likely = cut(likely, "pii-candidates")
     if likely.isEmpty():
         return None
     wanted = cut(likely.select("term").distinct(), "pii-terms")
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0))).alias("term"))
-    terms = words.join(wanted, "term").groupBy("term").agg(F.count("*").alias("n_term"))
-    found = (likely.join(terms, "term").where(pmi("n_term") >= generalise * told)
-             .select("entity", "term", F.when(pmi("n_term") >= remove * told, "remove").otherwise("general").alias("action")))
-    by_doc = (holding.join(found, "entity").groupBy("doc_id", "term").agg(F.max("action").alias("action"))
+    counts = (terms(docs).select(F.explode("terms").alias("term")).join(wanted, "term")
+              .groupBy("term").agg(F.count("*").alias("n_term")))
+    found = (likely.join(counts, "term").where(pmi("n_both", "n_term") >= generalise * told)
+             .select("entity", "term", F.when(pmi("n_both", "n_term") >= remove * told, "remove").otherwise("general").alias("action")))
+    by_doc = (holding.where("doc_id is not null").select("entity", "doc_id").distinct().join(found, "entity")
+              .groupBy("doc_id", "term").agg(F.max("action").alias("action"))
               .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("terms")))
     by_doc = cut(by_doc, "pii-disclosed")
     return None if by_doc.isEmpty() else by_doc

@@ -76,6 +76,19 @@ def test_terms_that_disclose_an_entity(spark):
     assert all(out[i] == t for i, t in clean.items())
 
 
+def test_a_name_far_from_the_value_discloses_it(spark):
+    """'Zorblax' is greeted in the first line, the address stands in the signature."""
+    far = [f"zorblax {prose(400, i)} boss@corp.example.com" for i in range(4)]
+    copies = [f"mirvok {prose(150, 40)} chief@corp.example.com"] * 4
+    items = far + copies + [prose(60, 300 + i) + " boss" for i in range(80)]
+    df = spark.createDataFrame(list(enumerate(items)) + [(None, far[0])], "doc_id long, text string")
+    got = {r.doc_id: r.terms for r in pii.disclosing_terms(df).collect()}
+    assert set(got) == {0, 1, 2, 3} and all(t.get("zorblax") == "remove" for t in got.values())
+    assert all("corp" not in t and "boss" not in t for t in got.values())  # words of the value itself
+    out = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert all("zorblax" not in out[i] for i in range(4)) and "mirvok" in out[4]
+
+
 def test_pruned_candidates_equal_plain_pmi(spark):
     """The statistics against a plain computation."""
     import math
