@@ -78,6 +78,11 @@ class _Lengths:
             self.bits ^= 1 << n
             self.mirror ^= 1 << (self.capacity - n)
 
+    def put(self, n: int) -> None:
+        self.counts[n] += 1
+        self.bits |= 1 << n
+        self.mirror |= 1 << (self.capacity - n)
+
     def has(self, n: int) -> bool:
         return n > 0 and bool(self.bits >> n & 1)
 
@@ -114,20 +119,22 @@ class _Lengths:
         return None
 
 
-def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths of one sequence) and how many sequences have each."""
+def complements(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[tuple[int, ...], int]], dict[int, int]]:
+    """Patterns that fill a sequence exactly, how many sequences have each, and the
+    counts of lengths without a complement."""
     have, patterns, rest = _Lengths(histogram, capacity), [], {}
     for n in sorted(histogram, reverse=True):
         while have.counts[n]:
             gap = capacity - n
-            have.counts[n] -= 1  # the one at hand is not its own complement
+            have.take(n, 1)  # the one at hand is not its own complement
+            found: tuple[int, ...] | None
             if not gap:
-                found: tuple[int, ...] | None = ()
-            elif have.has(gap) and have.counts[gap]:
+                found = ()
+            elif have.has(gap):
                 found = (gap,)
             else:
-                found = _checked(have, have.pair(gap)) or _checked(have, have.triple(gap))
-            have.counts[n] += 1
+                found = have.pair(gap) or have.triple(gap)
+            have.put(n)
             if found is None:
                 rest[n] = have.counts[n]
                 have.take(n, have.counts[n])
@@ -137,13 +144,17 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
             for x in set(used):
                 have.take(x, times * used.count(x))
             patterns.append((used, times))
-    patterns += best_fit(rest, capacity)
-    plain = best_fit(histogram, capacity)  # few lengths may leave no exact complements
-    return min(patterns, plain, key=lambda p: sum(times for _, times in p))
+    return patterns, rest
 
 
-def _checked(have: _Lengths, found: tuple[int, ...] | None) -> tuple[int, ...] | None:
-    return found if found and all(have.counts[x] >= found.count(x) for x in set(found)) else None
+def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns (lengths of one sequence) and how many sequences have each: the
+    complements with best-fit for the rest, or best-fit for all if that is fewer
+    (few or skewed lengths: exact complements use up what others would need)."""
+    patterns, rest = complements(histogram, capacity)
+    patterns += best_fit(rest, capacity)
+    plain = best_fit(histogram, capacity)
+    return min(patterns, plain, key=lambda p: sum(times for _, times in p))
 
 
 def best_fit(rest: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:

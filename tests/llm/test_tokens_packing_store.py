@@ -1,6 +1,7 @@
 import random
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -52,6 +53,42 @@ def test_plans_use_every_piece_once(capacity):
         assert n <= first_fit(h, capacity) * 1.05 + 1
 
 
+def filled(h, capacity):
+    """Each length that a search of all combinations of up to three others can fill
+    up, longest first; is sent the others that were used."""
+    left = dict(h)
+    for n in sorted(h, reverse=True):
+        while left[n]:
+            left[n] -= 1
+            others = [x for x, c in left.items() for _ in range(min(c, 3))]
+            if n < capacity and not any(sum(c) == capacity - n for k in (1, 2, 3) for c in combinations(others, k)):
+                left[n] = 0
+                break
+            for x in (yield n):
+                left[x] -= 1
+
+
+def test_no_exact_complement_is_missed():
+    """The longest available length is filled up whenever one to three others can."""
+    # the 5 at hand is the last of its kind: 5 + 2 is no pair for the gap of 7, 3 + 4 is
+    assert packing.complements({5: 1, 4: 1, 3: 1, 2: 1}, 12) == ([((5, 3, 4), 1)], {2: 1})
+    rnd = random.Random(5)
+    for _ in range(400):
+        capacity = rnd.choice((12, 20, 31))
+        h = {n: rnd.randrange(1, 4) for n in rnd.sample(range(1, capacity + 1), rnd.randrange(1, 9))}
+        steps = [p for p, times in packing.complements(h, capacity)[0] for _ in range(times)]
+        walk, at = filled(h, capacity), 0
+        found = next(walk, None)
+        while found:
+            used = steps[at]
+            assert used[0] == found and sum(used) == capacity, (h, capacity, steps)
+            at += 1
+            try:
+                found = walk.send(used[1:])
+            except StopIteration:
+                found = None
+
+
 def test_pack(spark, docs, empty):
     got = rows(packing.pack(docs, capacity=64).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
     want = Counter()
