@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from shelfspark.session import shared_dir
 
@@ -25,14 +25,6 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop(spark: SparkSession, df: DataFrame) -> None:
-    """Delete the files of a table that ``cut`` wrote, once nothing reads it."""
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have yet."""
     taken = {c.lower() for c in df.columns}
@@ -65,3 +57,49 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             yield batch.slice(at, to - at)
             at = to
     pa.default_memory_pool().release_unused()  # Python workers live on after their task
+
+
+class Best:
+    """The first ``k`` rows of each of ``groups`` groups by (value descending, id
+    ascending, null ids last), kept in bounded memory while rows stream by."""
+
+    LIMIT = 1 << 17
+
+    def __init__(self, groups: int, k: int):
+        self.k, self.limit = k, max(self.LIMIT, 2 * groups * k)
+        self.least = np.full(groups, np.iinfo(np.int64).min)  # a row below it cannot be among the first k
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.waiting = 0
+
+    def add(self, group: np.ndarray, value: np.ndarray, ids: np.ndarray | int | None, row: np.ndarray | int = 0) -> None:
+        """Rows of several groups; ``ids`` and ``row`` (a number carried along) may be one for all."""
+        none = np.full(len(group), ids is None)
+        self.parts.append((group, value, none, np.broadcast_to(np.int64(0) if ids is None else ids, len(group)),
+                           np.broadcast_to(np.int64(row), len(group)) if np.isscalar(row) else row))
+        self.waiting += len(group)
+        if self.waiting > self.limit:
+            self._compact()
+
+    def _compact(self) -> tuple[np.ndarray, ...]:
+        if not self.parts:
+            return (np.empty(0, np.int64),) * 2 + (np.empty(0, bool),) + (np.empty(0, np.int64),) * 2
+        group, value, none, ids, row = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.lexsort((ids, none, ~value, group))  # ~value = -value-1: descending, without overflow
+        group = group[order]
+        place = np.arange(len(group)) - np.searchsorted(group, group)
+        order, group, place = order[place < self.k], group[place < self.k], place[place < self.k]
+        kept = (group, value[order], none[order], ids[order], row[order])
+        last = place == self.k - 1
+        self.least[group[last]] = kept[1][last]
+        self.parts, self.waiting = [kept], len(group)
+        return kept
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """(group, value, id) of the rows kept."""
+        group, value, none, ids, _ = self._compact()
+        return group, value, pa.array(ids, pa.int64(), mask=none)
+
+    def numbered(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(group, value, id, row) of the rows kept, for ids without nulls."""
+        group, value, _, ids, row = self._compact()
+        return group, value, ids, row

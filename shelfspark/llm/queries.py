@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfspark.session import shared_dir
 from shelfspark.sources.tables import load
 
-from . import ann, chat, decontam, lm_pst, packing, pii, simhash_dedup, suffix_dedup, token_store, toxicity
+from . import ann, chat, decontam, hard_negatives, lexical, lm_pst, mixing, packing, pii, simhash_dedup, suffix_dedup, token_store, toxicity
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,20 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, path)
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(load(spark, sf_dir, "documents"), weights=(5, 2, 1), percent=150, epochs=2)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, rows.where("vec_id % 50 = 0"), positives=5, negatives=3, low=50, high=95)
+
+
 REGISTRY = {
     "op1_pii": (op1_pii, None),
     "op2_simhash": (op2_simhash, None),
@@ -68,4 +83,7 @@ REGISTRY = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_packing": (op9_packing, None),
     "op10_token_store": (op10_token_store, None),
+    "op11_lexical": (op11_lexical, lexical.oracle),
+    "op12_mixing": (op12_mixing, mixing.oracle),
+    "op13_hard_negatives": (op13_hard_negatives, hard_negatives.oracle),
 }
