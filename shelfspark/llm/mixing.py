@@ -85,8 +85,8 @@ def queues(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def finish(epoch: Column | int) -> Column:
-    """Virtual finish time of a document in an epoch (0 is the first)."""
-    return (F.lit(epoch) * F.col("source_size") + F.col("upto")).cast("double") / F.col("target")
+    """Virtual finish time of a document in an epoch (0 is the first); null without a target."""
+    return F.try_divide((F.lit(epoch) * F.col("source_size") + F.col("upto")).cast("double"), F.col("target"))
 
 
 class Cut(NamedTuple):
