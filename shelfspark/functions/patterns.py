@@ -101,6 +101,7 @@ DEFAULT_MAX_EMPTY_PAGES = 2
 # --- fixed values: store-list page and branch detail page --------------------
 STORE_LIST_CLASSES = "list ph3 mt0 valtech-carrefourar-store-locator-0-x-addressList"
 STORE_ITEM_CLASS = "valtech-carrefourar-store-locator-0-x-addressListItem"
+BRANCH_SELECTORS = ["ul li p", "div.store-info, .branch-details, .sucursal-info"]
 # --- fixed values: run status -------------------------------------------------
 STATE_CLASSES = [("success", "COMPLETED"), ("failed", "FAILED"),
                  ("up_for_retry", "RETRYING"), ("running", "RUNNING")]

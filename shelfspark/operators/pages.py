@@ -1,20 +1,27 @@
 """Page-level operators over a ``pages(page_id, url, html)`` table
 (S5, P1-P4, W5, H1-H6).
 
-Elements are cut out of the page text by SQL functions, for the tags the
-jobs look at (which do not nest, paragraphs included); the work stays in
-Catalyst and is narrow.
+Elements come from ``markup`` by CSS selector; the work stays in Catalyst and is
+narrow.  A selector is CSS text; a pair (tag, attribute selectors) is taken too.
+Texts follow the browser: H1-H3 read rendered text (lines end at block elements
+and ``br``), H4-H5 the text content as it stands.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import ustrip
+from . import markup
 from .facts import non_blank
 
+Selector = str | tuple[str, str]
+
 
 def page_frontier(bases: DataFrame, url_col: str, n_pages: int, keep: list[str] | None = None) -> DataFrame:
     """Base URL -> page URLs ``base&page=k`` (base holds ``?``) or
@@ -49,81 +56,47 @@ def url_is_invalid(url: Column) -> Column:
 
 
 # ------------------------------------------------------------- extraction ----
-# start of a block element, or end of an element that holds a paragraph: both end an open <p>
-P_ENDS = (r"</p\b|<(?:address|article|aside|blockquote|div|dl|fieldset|footer|form|h[1-6]|header|hr|main|nav|ol|"
-          r"section|table|ul)\b|</(?:address|article|aside|blockquote|body|div|footer|form|header|html|li|main|nav|"
-          r"ol|section|td|ul)\b")
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&copy;", "©"),
-            ("&middot;", "·"), ("&aacute;", "á"), ("&eacute;", "é"), ("&iacute;", "í"), ("&oacute;", "ó"),
-            ("&uacute;", "ú"), ("&ntilde;", "ñ"), ("&uuml;", "ü"), ("&Aacute;", "Á"), ("&Eacute;", "É"),
-            ("&Iacute;", "Í"), ("&Oacute;", "Ó"), ("&Uacute;", "Ú"), ("&Ntilde;", "Ñ"), ("&Uuml;", "Ü"),
-            ("&deg;", "°"), ("&ordm;", "º"), ("&euro;", "€")]
+def class_test(classes: str) -> str:
+    """Selector part: the class attribute holds every one of ``classes`` as a part of it."""
+    return "".join(f'[class*="{c}"]' for c in classes.split())
 
 
-def class_test(classes: str) -> str:
-    """Attribute pattern: the class attribute holds every one of ``classes``, in this order."""
-    return r"[^>]*class=\"[^\"]*" + r"[^\"]*".join(c.replace("-", r"\-") for c in classes.split()) + r"[^\"]*\"[^>]*"
-
-
-def inner_html(html: Column, tag: str, attributes: str = "") -> Column:
-    """H1: inner HTML of every ``tag`` element in document order, for tags that do
-    not nest (article, li, option, select, h1, ...); ``attributes`` is a pattern
-    the rest of the opening tag has to match.  A paragraph also ends where
-    another starts or its surroundings do."""
-    rest = attributes or r"(?:\s[^>]*)?"
-    if tag == "p":
-        parts = F.split(html, rf"(?i)<p{rest}>", -1)
-        return F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))),
-                           lambda x: F.regexp_replace(x, rf"(?is)(?:{P_ENDS}).*", ""))
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}{rest}>(.*?)</{tag}\s*>"), 1)
-
-
-def decode_entities(text: Column) -> Column:
-    """Decimal character references and the named ones of ``ENTITIES``; ``&amp;`` last."""
-    def decoded(part: Column) -> Column:
-        digits = F.regexp_extract(part, r"^([0-9]{1,6});", 1)
-        char = F.decode(F.unhex(F.lpad(F.hex(digits.try_cast("bigint")), 8, "0")), "UTF-32")
-        return F.when(digits != "", F.concat(char, F.substring(part, F.length(digits) + 2, F.length(part)))).otherwise(
-            F.concat(F.lit("&#"), part))
-    parts = F.split(text, "&#", -1)
-    numeric = F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded), ""))
-    x = F.when(text.contains("&#"), numeric).otherwise(text)
-    for ent, ch in [*ENTITIES, ("&amp;", "&")]:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
-
-
-def flat_text(inner: Column) -> Column:
-    """Text of a fragment: drop script/style and comments, tags -> space, decode
-    entities, collapse whitespace, strip."""
-    x = F.regexp_replace(inner, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>", " ")
-    x = F.regexp_replace(decode_entities(x), r"\s+", " ")
-    return F.regexp_replace(x, r"\A | \z", "")
-
-
-def line_text(inner: Column) -> Column:
-    """Text of a fragment whose line breaks are ``<br>``: one line each."""
-    lines = F.split(inner, r"(?i)<br\s*/?>", -1)
-    return F.array_join(F.transform(lines, flat_text), "\n")
+def css(selector: Selector) -> str:
+    return selector if isinstance(selector, str) else "".join(selector)
+
+
+def by_chain(chain: Column, configs: dict, build: Callable[[tuple], Column]) -> Column:
+    """``build`` of the chain's configuration; only that one is evaluated for a row."""
+    out = None
+    for name, config in configs.items():
+        out = F.when(chain == name, build(config)) if out is None else out.when(chain == name, build(config))
+    return out
+
+
+def extract_elements(pages: DataFrame, selectors: list[Selector],
+                     text: Callable[[Column, Column], Column] = markup.rendered_text) -> DataFrame:
+    """H1: ``(page_id, selector_idx, pos, text)`` of every element that a selector
+    matches, in document order; all selectors in one pass over the page."""
+    found = markup.elements(F.col("html"), [css(x) for x in selectors], text)
+    each = pages.select("page_id", F.posexplode_outer(found).alias("selector_idx", "_texts"))
+    return each.select("page_id", "selector_idx", F.posexplode_outer("_texts").alias("pos", "text")).where("pos is not null").select(
+        "page_id", "selector_idx", F.col("pos").cast("bigint").alias("pos"), "text")
 
 
 def extract_tag(pages: DataFrame, tag: str, selector_idx: int = 0, attributes: str = "") -> DataFrame:
-    """Elements as rows: ``(page_id, selector_idx, pos, text)`` in document order."""
-    found = inner_html(F.col("html"), tag, attributes)
-    return pages.select("page_id", F.posexplode_outer(found).alias("pos", "_inner")).where("pos is not null").select(
-        "page_id", F.lit(selector_idx).alias("selector_idx"), F.col("pos").cast("bigint").alias("pos"),
-        flat_text(F.col("_inner")).alias("text"))
+    """H1 for one selector, each text in one line: ``(page_id, selector_idx, pos, text)``."""
+    found = extract_elements(pages, [(tag, attributes)], markup.flat_text)
+    return found.withColumn("selector_idx", F.lit(selector_idx))
 
 
-def evidence_count(html: Column, selectors: list[tuple[str, str]]) -> Column:
-    """P2 without rows: over all (tag, attributes) selectors the number of elements
-    with evidence among the first five of each."""
-    counts = [F.size(F.filter(F.transform(F.slice(inner_html(html, tag, attributes), 1, P.EVIDENCE_FIRST_N), flat_text),
-                              evidence_element)) for tag, attributes in selectors]
-    return sum(counts[1:], counts[0]).cast("bigint")
+def evidence_count(html: Column, selectors: list[Selector]) -> Column:
+    """P2 without rows: over all selectors the number of elements with evidence
+    among the first five of each (an element that two selectors match counts twice)."""
+    found = markup.elements(html, [css(x) for x in selectors], markup.rendered_text, first=P.EVIDENCE_FIRST_N)
+    return F.coalesce(F.size(F.filter(F.flatten(found), evidence_element)), F.lit(0)).cast("bigint")
 
 
-def verdict(pages: DataFrame, selectors: list[tuple[str, str]]) -> DataFrame:
+def verdict(pages: DataFrame, selectors: list[Selector]) -> DataFrame:
     """P2 to P4 in one narrow pass over the pages: ``(page_id, url, evidence,
     url_invalid, has_products)``."""
     rows = pages.select("page_id", "url", evidence_count(F.col("html"), selectors).alias("evidence"))
@@ -132,51 +105,89 @@ def verdict(pages: DataFrame, selectors: list[tuple[str, str]]) -> DataFrame:
                        ((F.col("evidence") > 0) & ~invalid).alias("has_products"))
 
 
-def extract_primary(pages: DataFrame, selector: tuple[str, str]) -> DataFrame:
+def valid_cards(html: Column, primary: Selector) -> Column:
+    """H2 + P1: ``(pos, item)`` of the valid cards of the primary selector, as an array."""
+    found = F.element_at(markup.elements(html, [css(primary)], markup.rendered_text), 1)
+    placed = F.transform(found, lambda x, i: F.struct(i.cast("bigint").alias("pos"), x.alias("item")))
+    return F.filter(placed, lambda c: valid_card(c["item"]))
+
+
+def extract_primary(pages: DataFrame, selector: Selector) -> DataFrame:
     """H2 + P1: valid cards ``(page_id, pos, item)`` of the first selector only; a
     card's lines are kept."""
-    found = F.transform(inner_html(F.col("html"), *selector), line_text)
-    rows = pages.select("page_id", F.posexplode_outer(found).alias("pos", "item"))
-    return rows.where(F.col("pos").isNotNull() & valid_card(F.col("item"))).select(
-        "page_id", F.col("pos").cast("bigint").alias("pos"), "item")
+    return pages.select("page_id", F.explode(valid_cards(F.col("html"), selector)).alias("_c")).select("page_id", "_c.pos", "_c.item")
 
 
 def extract_store_list(pages: DataFrame, list_classes: str = P.STORE_LIST_CLASSES,
                        item_class: str = P.STORE_ITEM_CLASS) -> DataFrame:
     """H3: if the container class string occurs in the page, the stripped texts of
-    ``li.<item>`` inside ``ul.<classes>``, in order; else nothing."""
-    lists = F.array_join(inner_html(F.col("html"), "ul", class_test(list_classes)), "")
-    found = F.transform(inner_html(lists, "li", class_test(item_class)), line_text)
-    rows = pages.where(F.col("html").contains(list_classes)).select("page_id", F.posexplode_outer(found).alias("pos", "text"))
-    return rows.where("pos is not null").select("page_id", F.col("pos").cast("bigint").alias("pos"), ustrip(F.col("text")).alias("text"))
+    ``ul.<classes> li.<item>``, in order; else nothing."""
+    selector = f"ul.{'.'.join(list_classes.split())} li.{item_class}"
+    held = pages.where(F.col("html").contains(list_classes))
+    return extract_elements(held, [selector]).select("page_id", "pos", ustrip(F.col("text")).alias("text"))
 
 
 def extract_options(pages: DataFrame) -> DataFrame:
-    """H4: every ``<option>`` of every ``<select>`` (neither nests): value attribute
+    """H4: every ``<option>`` of every ``<select>``: value attribute (null without one)
     and text, ``(page_id, select_idx, pos, codigo, nombre)``."""
-    selects = pages.select("page_id", F.posexplode_outer(inner_html(F.col("html"), "select")).alias("select_idx", "_inner"))
-    opts = selects.select("page_id", "select_idx", F.posexplode_outer(
-        F.regexp_extract_all(F.col("_inner"), F.lit(r"(?is)<option[^>]*>[^<]*"), 0)).alias("pos", "_o")).where("_o is not null")
-    value = F.regexp_extract(F.col("_o"), r'(?is)^<option[^>]*?\svalue="([^"]*)"', 1)
-    return opts.select("page_id", "select_idx", "pos",
-                       F.when(F.col("_o").rlike(r'(?is)^<option[^>]*?\svalue="'), decode_entities(value)).alias("codigo"),
-                       decode_entities(F.regexp_replace(F.col("_o"), r"(?is)^<option[^>]*>", "")).alias("nombre"))
+    def options(toks: Column) -> Column:
+        def of_selects(found: Column) -> Column:
+            selects = F.filter(found, lambda s: s["hits"].bitwiseAND(F.lit(1).cast("long")) != 0)
+            return F.transform(selects, lambda s: F.transform(
+                F.filter(found, lambda o: (o["hits"].bitwiseAND(F.lit(2).cast("long")) != 0) & (o["at"] > s["at"]) & (o["at"] < s["end"])),
+                lambda o: F.struct(markup.attribute(F.get(toks, o["at"]), "value").alias("codigo"),
+                                   markup.content_text(toks, o).alias("nombre"))))
+        return markup.let(markup.spans(toks, ["select", "select option"]), of_selects)
+
+    selects = pages.select("page_id", F.posexplode_outer(markup.let(markup.tokens(F.col("html")), options)).alias("select_idx", "_o"))
+    rows = selects.select("page_id", "select_idx", F.posexplode_outer("_o").alias("pos", "_o")).where("pos is not null")
+    return rows.select("page_id", "select_idx", "pos", "_o.codigo", "_o.nombre")
 
 
 def branch_facts_of(html: Column) -> Column:
     """H5 + P7: the non-blank stripped texts of ``ul li p``, then ``EXTRA: `` and the
     texts of the extra-info blocks, order kept; an array, no shuffle."""
-    lists = F.array_join(inner_html(html, "li"), "")
-    items = non_blank(F.transform(inner_html(lists, "p"), line_text))
-    extra = rf"(?:{class_test('store-info')}|{class_test('branch-details')}|{class_test('sucursal-info')})"
-    more = non_blank(F.transform(inner_html(html, "div", extra), line_text))
-    return F.concat(items, F.transform(more, lambda x: F.concat(F.lit(P.EXTRA_PREFIX), x)))
-
-
-def no_results_marker(html: Column, classes: list[str]) -> Column:
-    """H6 (diagnostic only): the first of ``classes`` that a class attribute of the page holds."""
-    found = None
-    for c in classes:
-        hit = html.rlike(rf"(?is)<[a-z0-9]+{class_test(c)}>")
-        found = F.when(hit, F.lit(c)) if found is None else found.when(hit, F.lit(c))
-    return found
+    def facts(found: Column) -> Column:
+        more = F.transform(non_blank(F.get(found, 1)), lambda x: F.concat(F.lit(P.EXTRA_PREFIX), x))
+        return F.concat(non_blank(F.get(found, 0)), more)
+    return markup.let(markup.elements(html, P.BRANCH_SELECTORS, markup.content_text), facts)
+
+
+TEXT_MARKER = re.compile(r'text="(.*)"')
+
+
+def no_results_marker(html: Column, markers: list[str]) -> Column:
+    """H6 (diagnostic only): the first of ``markers`` present on the page.  A marker is
+    a selector, ``text="..."`` (an element whose whole text is that, white space
+    aside) or a bare word (a part of a class attribute)."""
+    texts = [m[1] for m in map(TEXT_MARKER.fullmatch, markers) if m]
+    selectors = [m if re.search(r"[.\[#*]", m) else f'[class*="{m}"]' for m in markers if not TEXT_MARKER.fullmatch(m)]
+
+    def squeezed(text: Column) -> Column:
+        return ustrip(F.regexp_replace(text, r"\s+", " "))
+
+    def on_page(toks: Column) -> Column:
+        def first_of(seen: Column) -> Column:
+            out, bit = None, 0
+            for marker in markers:
+                text = TEXT_MARKER.fullmatch(marker)
+                if text:
+                    hit = F.array_contains(seen["texts"], text[1])
+                else:
+                    hit = seen["bits"].bitwiseAND(F.lit(1 << bit).cast("long")) != 0
+                    bit += 1
+                out = F.when(hit, F.lit(marker)) if out is None else out.when(hit, F.lit(marker))
+            return out
+
+        bits = F.aggregate(markup.spans(toks, selectors), F.lit(0).cast("long"), lambda a, s: a.bitwiseOR(s["hits"])) if selectors else F.lit(
+            0).cast("long")
+        whole = squeezed(markup.content_text(toks, F.struct(F.lit(-1).alias("at"), F.size(toks).alias("end"))))
+        mentioned = F.lit(False)
+        for text in texts:
+            mentioned = mentioned | whole.contains(text)
+        # elements are looked at one by one only where their page says such a text at all
+        every = F.transform(markup.spans(toks, ["*"]), lambda s: squeezed(markup.content_text(toks, s)))
+        found = F.when(mentioned, every).otherwise(F.array().cast("array<string>"))
+        return markup.let(F.struct(bits.alias("bits"), found.alias("texts")), first_of)
+
+    return markup.let(markup.tokens(html), on_page)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_product_name as clean
 from ..functions.text import json_array_text
-from ..operators import crawl, facts, joins, models, options, pages, prices, quality, status
+from ..operators import crawl, facts, joins, markup, models, options, pages, prices, quality, status
 from ..session import shared_dir
 from ..sinks import writers
 from ..sources.tables import load
@@ -185,12 +185,8 @@ SELECTORS = [("article", ""), ("li", ""), ("a", ""), ("div", pages.class_test("a
 
 @register("css_elements", O.tag_elements)
 def css_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H1 for several selectors in one scan."""
-    found = F.array(*[F.struct(F.lit(i).alias("selector_idx"), F.transform(pages.inner_html(F.col("html"), tag, attrs), pages.flat_text)
-                               .alias("texts")) for i, (tag, attrs) in enumerate(SELECTORS)])
-    each = load(spark, sf_dir, "pages").select("page_id", F.explode_outer(found).alias("f"))
-    return each.select("page_id", "f.selector_idx", F.posexplode_outer("f.texts").alias("pos", "text")).where("pos is not null").select(
-        "page_id", "selector_idx", F.col("pos").cast("bigint").alias("pos"), "text")
+    """H1 for several selectors in one pass, each text in one line."""
+    return pages.extract_elements(load(spark, sf_dir, "pages").select("page_id", "html"), SELECTORS, markup.flat_text)
 
 
 # ---------------------------------------------------------------- options ----

@@ -27,8 +27,7 @@ def crawl_pages(result_pages: DataFrame, selectors: list[tuple[str, str]], max_e
 
     Returns ``(walked, cards)``: one row per page with the walk columns, and
     the valid cards in long form ``(page_id, pos, item)``."""
-    found = F.transform(pages.inner_html(F.col("html"), *selectors[0]), pages.line_text)
-    per_page = result_pages.withColumn("n_cards", F.size(F.filter(found, pages.valid_card)))
+    per_page = result_pages.withColumn("n_cards", F.coalesce(F.size(pages.valid_cards(F.col("html"), selectors[0])), F.lit(0)))
     per_page = per_page.withColumn("has_products", (pages.evidence_count(F.col("html"), selectors) > 0)
                                    & ~pages.url_is_invalid(F.col("url")))
     log = per_page.withColumn("empty", crawl.page_is_empty(F.lit(200), F.lit(False), F.col("has_products"), F.col("n_cards")))

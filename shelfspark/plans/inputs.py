@@ -284,9 +284,10 @@ def _page(rows: DataFrame, keys: list[str], order: str, part: str, before: str,
                                              F.lit(f"{after}</body></html>"))).drop("_p")
 
 
-def _html(text: str) -> Column:
+def _html(text: str, line_end: str = "<br>") -> Column:
+    """A text as markup; its line ends as ``line_end`` (text content keeps only a plain one)."""
     escaped = F.replace(F.replace(F.replace(F.col(text), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("ñ"), F.lit("&ntilde;"))
-    return F.replace(F.replace(escaped, F.lit("í"), F.lit("&#237;")), F.lit("\n"), F.lit("<br>"))
+    return F.replace(F.replace(escaped, F.lit("í"), F.lit("&#237;")), F.lit("\n"), F.lit(line_end))
 
 
 OPTION_PAGE = 400
@@ -348,7 +349,7 @@ def branch_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cust.join(nat, cust.c_nationkey == nat.n_nationkey).selectExpr(
         "c_custkey", "c_name", "n_name", f"{addr} AS i0", f"{hours} AS i1", f"{phone} AS i2", f"{blank} AS i3", f"{extra} AS extra",
         f"{ts_expr('spark', 'c_custkey * 53000017')} AS fecha_extraccion")
-    facts = [F.when(F.col(c).isNotNull(), F.concat(F.lit("<li><p class='f'>"), _html(c), F.lit("</p></li>"))) for c in ("i0", "i1", "i2", "i3")]
+    facts = [F.when(F.col(c).isNotNull(), F.concat(F.lit("<li><p class='f'>"), _html(c, "\n"), F.lit("</p></li>"))) for c in ("i0", "i1", "i2", "i3")]
     info = F.when(F.col("extra").isNotNull(), F.concat(
         F.lit('<div class="a store-info">'), F.regexp_replace("extra", f"^{P.EXTRA_PREFIX}", ""), F.lit("</div>")))
     return rows.select("c_custkey", "c_name", "n_name", "fecha_extraccion", F.concat_ws(
