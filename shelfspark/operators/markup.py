@@ -42,11 +42,10 @@ ENDED_BY_START = {"li": (["li", "p"], ["menu", "ol", "ul", *SCOPE]), "dt": (["dt
                       name: (["p"], ["button", *SCOPE]) for name in ENDS_P}
 HIDDEN_FROM_END = {"li": ["menu", "ol", "ul", *SCOPE], "p": ["button", *SCOPE], "td": ["table"], "th": ["table"], "tr": ["table"],
                    "tbody": ["table"], "thead": ["table"], "tfoot": ["table"], "table": ["template"], "body": ["template"], "html": ["template"]}
-NAMED_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&copy;", "©"),
-                  ("&middot;", "·"), ("&aacute;", "á"), ("&eacute;", "é"), ("&iacute;", "í"), ("&oacute;", "ó"),
-                  ("&uacute;", "ú"), ("&ntilde;", "ñ"), ("&uuml;", "ü"), ("&Aacute;", "Á"), ("&Eacute;", "É"),
-                  ("&Iacute;", "Í"), ("&Oacute;", "Ó"), ("&Uacute;", "Ú"), ("&Ntilde;", "Ñ"), ("&Uuml;", "Ü"),
-                  ("&deg;", "°"), ("&ordm;", "º"), ("&euro;", "€")]
+NAMED_ENTITIES = {"amp": "&", "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy": "©", "middot": "·",
+                  "aacute": "á", "eacute": "é", "iacute": "í", "oacute": "ó", "uacute": "ú", "ntilde": "ñ", "uuml": "ü",
+                  "Aacute": "Á", "Eacute": "É", "Iacute": "Í", "Oacute": "Ó", "Uacute": "Ú", "Ntilde": "Ñ", "Uuml": "Ü",
+                  "deg": "°", "ordm": "º", "euro": "€"}
 
 # comment | script, style | declaration | tag | text | a lone <
 TOKEN = (r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)|<[!?][^>]*>|"
@@ -60,6 +59,25 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _sql(value: str | list[str]) -> str:
+    """SQL literal of a text or of an array of texts (one expression, built at once)."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"array({', '.join(map(_sql, value))})" if value else "cast(array() as array<string>)"
+
+
+def _names(names: list[str]) -> Column:
+    return F.expr(_sql(names))
+
+
+def _map(table: dict) -> Column:
+    return F.expr(f"map({', '.join(_sql(x) for item in table.items() for x in item)})")
+
+
+def _among(name: Column, names: list[str]) -> Column:
+    return F.array_contains(_names(names), name)
+
+
 # -------------------------------------------------------------- selectors ----
 class Compound(NamedTuple):
     """Simple selectors that one element has to meet."""
@@ -126,20 +144,19 @@ def attribute(tag: Column, name: str) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Decimal and hexadecimal character references and the named ones of
-    ``NAMED_ENTITIES``; ``&amp;`` last."""
+    ``NAMED_ENTITIES``; anything else stays as it is."""
     def decoded(part: Column) -> Column:
-        digits = F.regexp_extract(part, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
-        code = F.when(digits.rlike("^[xX]"), F.conv(F.substring(digits, 2, 6), 16, 10)).otherwise(digits).try_cast("int")
-        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(known, F.concat(char, F.substring(part, F.length(digits) + 2, F.length(part)))).otherwise(
-            F.concat(F.lit("&#"), part))
-    parts = F.split(text, "&#", -1)
-    numeric = F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded), ""))
-    x = F.when(text.contains("&#"), numeric).otherwise(text)
-    for entity, char in [*NAMED_ENTITIES, ("&amp;", "&")]:
-        x = F.replace(x, F.lit(entity), F.lit(char))
-    return F.when(text.contains("&"), x).otherwise(text)
+        """A piece of text that stood after an ampersand."""
+        def char(ref: Column) -> Column:
+            hexadecimal = F.conv(F.substring(ref, 3, 6), 16, 10)
+            code = F.when(ref.rlike("^#[xX]"), hexadecimal).when(ref.startswith("#"), F.substring(ref, 2, 7)).try_cast("int")
+            known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+            numeric = F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+            found = F.coalesce(numeric, F.try_element_at(_map(NAMED_ENTITIES), ref))
+            return F.coalesce(F.concat(found, F.substring(part, F.length(ref) + 2, F.length(part))), F.concat(F.lit("&"), part))
+        return let(F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]+);", 1), char)
+    parts = F.split(text, "&", -1)
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(decoded(x))), "")).otherwise(text)
 
 
 # ------------------------------------------------------------------ spans ----
@@ -176,39 +193,20 @@ def _tags(toks: Column, chains: list[list[Compound]]) -> Column:
     return F.transform(named, marked)
 
 
-def _among(name: Column, names: list[str]) -> Column:
-    return name.isin(*names)
-
-
-def _lookup(name: Column, table: dict[str, list[str]], default: list[str]) -> Column:
-    """Array of names for ``name``; keys with the same array share a branch."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for key, value in table.items():
-        groups.setdefault(tuple(value), []).append(key)
-    def literal(v):
-        return F.array(*map(F.lit, v)) if v else F.array().cast("array<string>")
-    out = None
-    for value, keys in groups.items():
-        hit = _among(name, keys)
-        out = F.when(hit, literal(value)) if out is None else out.when(hit, literal(value))
-    return literal(default) if out is None else out.otherwise(literal(default))
-
-
 def _kept(stack: Column, tag: Column) -> Column:
     """How many open elements stay open when ``tag`` comes: those below the
     nearest element that it ends, all of them if there is none in reach."""
-    names = stack["name"]
     size = F.size(stack)
 
-    def below(name: Column) -> Column:
-        """Elements below the topmost ``name``, null if there is none or it is hidden."""
-        def where(from_top: Column) -> Column:
-            over = F.slice(names, size - from_top + 2, from_top - 1)  # what lies above it
-            return F.when((from_top > 0) & ~F.arrays_overlap(over, tag["hides"]), size - from_top)
-        return let(F.array_position(F.reverse(names), name).cast("int"), where)
+    def from_top(names: Column) -> Column:
+        def below(i: int) -> Column:
+            """Elements below the topmost one of that name, null if there is none or it is hidden."""
+            place = F.array_position(names, F.get(tag["ends"], i)).cast("int")
+            over = F.slice(names, F.lit(1), place - 1)  # what lies above it
+            return F.when((place == 1) | (place > 1) & ~F.arrays_overlap(over, tag["hides"]), size - place)
+        return F.coalesce(below(0), below(1), below(2), size)
 
-    found = F.coalesce(below(F.get(tag["ends"], 0)), below(F.get(tag["ends"], 1)), below(F.get(tag["ends"], 2)), size)
-    return F.when((size == 0) | (F.size(tag["ends"]) == 0), size).otherwise(found)
+    return F.when((size == 0) | tag["ends"].isNull(), size).otherwise(let(F.reverse(stack["name"]), from_top))
 
 
 def spans(toks: Column, selectors: list[str]) -> Column:
@@ -228,8 +226,9 @@ def spans(toks: Column, selectors: list[str]) -> Column:
             last |= 1 << (bit - 1)
             owner.append((1 << (bit - 1), 1 << i))
     long = "bigint"
-    stack_type = "array<struct<at:int,name:string,reach:bigint,hits:bigint>>"
-    out_type = "array<struct<at:int,end:int,hits:bigint>>"
+
+    ends, hides = (_map({name: rule[i] for name, rule in ENDED_BY_START.items()}) for i in (0, 1))
+    hidden = _map({name: SCOPE for name in SPECIAL} | HIDDEN_FROM_END)
 
     def prepared(tags: Column) -> Column:
         """Tags that matter to the spans, with what they end."""
@@ -239,10 +238,9 @@ def spans(toks: Column, selectors: list[str]) -> Column:
             kept = F.filter(tags, lambda x: (F.size(names) > 0) & (_among(x["name"], SPECIAL) | F.array_contains(names, x["name"])))
             return F.transform(kept, lambda x: F.struct(
                 x["at"], x["name"], x["closing"], x["mask"],
-                F.when(x["closing"], F.array(x["name"])).otherwise(_lookup(x["name"], {k: v for k, (v, _) in ENDED_BY_START.items()}, [])).alias("ends"),
-                F.when(x["closing"], F.when(_among(x["name"], SPECIAL), _lookup(x["name"], HIDDEN_FROM_END, SCOPE)).otherwise(
-                    F.array(*map(F.lit, SPECIAL)))).otherwise(
-                        _lookup(x["name"], {k: v for k, (_, v) in ENDED_BY_START.items()}, [])).alias("hides")))
+                F.when(x["closing"], F.array(x["name"])).otherwise(F.try_element_at(ends, x["name"])).alias("ends"),
+                F.when(x["closing"], F.coalesce(F.try_element_at(hidden, x["name"]), _names(SPECIAL))).otherwise(
+                    F.try_element_at(hides, x["name"])).alias("hides")))
         return let(wanted, matter)
 
     def closed(some: Column, end: Column) -> Column:
@@ -271,18 +269,19 @@ def spans(toks: Column, selectors: list[str]) -> Column:
                                      F.when(now.bitwiseAND(F.lit(last).cast(long)) != 0, hits).otherwise(F.lit(0).cast(long)).alias("hits"))
                     void = _among(tag["name"], VOID)
                     return F.struct(
-                        F.when(void, left).otherwise(F.concat(left, F.array(entry))).cast(stack_type).alias("stack"),
+                        F.when(void, left).otherwise(F.concat(left, F.array(entry))).alias("stack"),
                         F.when(void & (entry["hits"] != 0), F.concat(more, F.array(F.struct(
-                            tag["at"].alias("at"), tag["at"].alias("end"), entry["hits"].alias("hits"))))).otherwise(more).cast(out_type).alias("out"))
+                            tag["at"].alias("at"), tag["at"].alias("end"), entry["hits"].alias("hits"))))).otherwise(more).alias("out"))
                 return let(reached, pushed)
 
-            ended = F.struct(stay.cast(stack_type).alias("stack"), more.cast(out_type).alias("out"))
+            ended = F.struct(stay.alias("stack"), more.alias("out"))
             return F.when(tag["closing"], ended).otherwise(let(stay, opened))
         return let(_kept(stack, tag), after)
 
-    start = F.struct(F.array().cast(stack_type).alias("stack"), F.array().cast(out_type).alias("out"))
+    start = F.expr("""named_struct('stack', cast(array() as array<struct<at:int,name:string,reach:bigint,hits:bigint>>),
+                                   'out', cast(array() as array<struct<at:int,end:int,hits:bigint>>))""")
     folded = F.aggregate(let(_tags(toks, chains), prepared), start, step,
-                         lambda acc: F.concat(acc["out"], closed(acc["stack"], F.size(toks)).cast(out_type)))
+                         lambda acc: F.concat(acc["out"], closed(acc["stack"], F.size(toks))))
     return F.array_sort(folded)
 
 
@@ -324,11 +323,16 @@ def elements(html: Column, selectors: list[str], text: Callable[[Column, Column]
     """For every selector the texts of its elements in document order (at most the
     ``first`` ones): array of arrays, from one pass over the page."""
     def texts(toks: Column) -> Column:
-        def per_selector(found: Column) -> Column:
+        def picked(found: Column) -> Column:
             def one(i: int) -> Column:
                 hit = F.filter(found, lambda s: s["hits"].bitwiseAND(F.lit(1 << i).cast("long")) != 0)
                 hit = hit if first is None else F.slice(hit, 1, first)
-                return F.transform(hit, lambda s: text(toks, s))
-            return F.array(*[one(i) for i in range(len(selectors))])
-        return let(spans(toks, selectors), per_selector)
+                return F.transform(hit, lambda s: F.struct(F.lit(i).alias("of"), s["at"], s["end"]))
+            return F.flatten(F.array(*[one(i) for i in range(len(selectors))]))
+
+        def dealt(read: Column) -> Column:
+            return F.array(*[F.transform(F.filter(read, lambda r: r["of"] == i), lambda r: r["text"]) for i in range(len(selectors))])
+
+        chosen = let(spans(toks, selectors), picked)
+        return let(F.transform(chosen, lambda s: F.struct(s["of"], text(toks, s).alias("text"))), dealt)
     return F.when(html.isNotNull(), let(tokens(html), texts))

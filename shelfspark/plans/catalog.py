@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import patterns as P
 from ..functions.text import clean_product_name as clean
 from ..functions.text import json_array_text
 from ..operators import crawl, facts, joins, markup, models, options, pages, prices, quality, status
@@ -282,6 +283,40 @@ def branch_facts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.parse_branch_json(raw)
 
 
+@register("branch_facts_nested", O.branch_facts_pages)
+def branch_facts_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H5 -> M2 over pages with lists in lists, ``ol`` lists, comments and info blocks of any element."""
+    raw = inputs.nested_branch_pages(spark, sf_dir).select(
+        F.col("c_custkey").cast("string").alias("sucursal_id"), F.col("c_name").alias("nombre"), F.col("n_name").alias("provincia"),
+        json_array_text(pages.branch_facts_of(F.col("html"))).alias("raw_data"), "fecha_extraccion", F.lit("pages").alias("fuente"))
+    return models.parse_branch_json(raw)
+
+
+@register("chain_cards", O.chain_cards)
+def chain_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1, H2, P1 with each chain's own primary selector over cards of nested blocks."""
+    cards = pages.by_chain(F.col("chain"), P.CHAIN_CONFIGS, lambda config: pages.valid_cards(F.col("html"), config[0][0]))
+    return inputs.chain_pages(spark, sf_dir).select("page_id", "chain", F.explode(cards).alias("c")).select("page_id", "chain", "c.pos", "c.item")
+
+
+@register("chain_verdict", O.chain_verdict)
+def chain_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H6 and P2-P4 with each chain's own selectors and no-results markers, quoted texts included."""
+    evidence = pages.by_chain(F.col("chain"), P.CHAIN_CONFIGS, lambda config: pages.evidence_count(F.col("html"), config[0]))
+    marker = pages.by_chain(F.col("chain"), P.CHAIN_CONFIGS, lambda config: pages.no_results_marker(F.col("html"), config[1]))
+    seen = inputs.chain_pages(spark, sf_dir).select("page_id", "url", evidence.alias("evidence"), marker.alias("marker"))
+    return seen.select("page_id", "evidence", "marker", ((F.col("evidence") > 0) & ~pages.url_is_invalid(F.col("url"))).alias("has_products"))
+
+
+RENDERED = ["article", "nav li", "div.ad", "nav", "footer", "body"]
+
+
+@register("rendered_elements", O.rendered_elements)
+def rendered_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1 with rendered text: lines end at block elements."""
+    return pages.extract_elements(load(spark, sf_dir, "pages").select("page_id", "html"), RENDERED)
+
+
 # ------------------------------------------------------------------ sinks ----
 RAW_PRICE_SCHEMA = ("raw_data string, scraped_date date, scraped_datetime timestamp, store_name string, "
                     "category string")
@@ -397,6 +432,13 @@ def store_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.timestamp_micros(F.lit(inputs.BASE_MICROS)))
 
 
+@register("store_list_blocks", O.store_list_pages)
+def store_list_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from pages whose lines are block elements, without ``<br>``."""
+    return flows.store_text_flow(inputs.store_block_pages(spark, sf_dir), shared_dir(spark, "tables", "store_blocks"),
+                                 F.timestamp_micros(F.lit(inputs.BASE_MICROS)))
+
+
 @register("stores_per_province", O.stores_per_province)
 def stores_per_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Branches and raw items per province of the raw branch table."""

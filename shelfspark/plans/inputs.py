@@ -331,6 +331,37 @@ def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                          f"{CARD_URL} AS url", "html", "chain", f"{CARD_RUN} AS run", "block AS page_order", f"{CARD_LIMIT} AS max_empty")
 
 
+def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result pages of every part in each chain's own markup: cards of nested blocks
+    without ``<br>``, unclosed paragraphs and items, single and no quotes; fake cards
+    in comments and under look-alike classes; pages without a result say so by
+    text or by class, or only seem to.  ``(page_id, url, html, chain)``."""
+    part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_size")
+    cards = part.selectExpr("p_partkey", f"{CARD_CHAIN} AS chain", f"{CARD_BLOCK} AS block", f"split({card_text_sql('spark')}, '\n') AS line")
+    for i in range(3):
+        cards = cards.withColumn(f"l{i}", F.get("line", i))
+    l0, l1, l2 = _html("l0"), _html("l1"), _html("l2")
+    primary = {c: config[0][0][1:] for c, config in P.CHAIN_CONFIGS.items()}
+    name = F.col("chain")
+    card = F.when(name == "CARREFOUR", F.concat(
+        F.lit(f'<div data-x="class=\'no\'" class="w {primary["CARREFOUR"]} z"><section><a href="/p"><div><h3><b>'), l0, F.lit("</b></h3><div>"),
+        l1, F.lit("</div></div></a><div class=price><!-- $ 1 -->"), l2, F.lit("</div></section></div>"))).when(name == "JUMBO", F.concat(
+            F.lit("<section aria-label='Producto "), F.col("p_partkey").cast("string"),
+            F.lit(f"' class='vtex-product-summary-2-x-container'><div class={primary['JUMBO']}><p>"), l0, F.lit("<p>"), l1, F.lit("<p>"), l2,
+            F.lit("</div></section>"))).otherwise(F.concat(
+                F.lit(f'<article class="x\tvtex-product-summary-2-x-element"><div class="{primary["VEA"]}"><ul><li>'), l0, F.lit("<li>"), l1,
+                F.lit("<li><span>"), l2, F.lit("</span></ul></div></article>")))
+    even = F.col("block") % 2 == 0
+    none = F.when(name == "CARREFOUR", F.when(even, F.lit("<div><span>Sin\n resultados</span></div>")).otherwise(
+        F.lit("<div class='shop titleNotFound'>x</div>"))).when(name == "JUMBO", F.when(even, F.lit("<h2> Error <b>404</b></h2>")).otherwise(
+            F.lit("<p class=search-not-found-term>x"))).otherwise(F.when(even, F.lit('<div class="a gallery--empty">x</div>')).otherwise(
+                F.lit('<div class="x-gallery--empty-y">Error 404, dice</div>')))
+    cards = cards.withColumn("part", F.when(F.expr(CARD_EMPTY), none).otherwise(card))
+    fake = "".join(f'<!-- <div class="{c}">$ comentario, no es una tarjeta</div> --><i class="x{c}y">$ tampoco</i>' for c in primary.values())
+    pg = _page(cards, ["chain", "block"], "p_partkey", "part", f"<main><div>{fake}", "</div></main>")
+    return pg.selectExpr("block * 3 + CASE chain WHEN 'CARREFOUR' THEN 0 WHEN 'JUMBO' THEN 1 ELSE 2 END AS page_id", f"{CARD_URL} AS url", "html", "chain")
+
+
 STORE_PAGE = 50
 
 
@@ -341,14 +372,30 @@ def store_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page(rows, ["page_id"], "id", "li", f'<ul class="nav"><li>inicio</li></ul><ul class="{P.STORE_LIST_CLASSES}">', "</ul>")
 
 
-def branch_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A detail page per customer: facts as ``ul li p``, the extra one as an info block."""
+def store_block_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same store lists with a block element for every line, in nested lists."""
+    rows = raw_store_text(spark, sf_dir).withColumn("text", _html("ubicacion_texto", "\n")).select(
+        (F.floor(F.col("id") / STORE_PAGE)).cast("bigint").alias("page_id"), "id", F.concat(
+            F.lit(f"<li class='{P.STORE_ITEM_CLASS}'><div><p>"), F.array_join(F.split("text", "\n", -1), "</p></div><div><p>"),
+            F.lit("</p></div>")).alias("li"))
+    classes = " ".join(reversed(P.STORE_LIST_CLASSES.split()))
+    return _page(rows, ["page_id"], "id", "li", f'<ul><li class="{P.STORE_ITEM_CLASS}">otra lista</ul><!-- {P.STORE_LIST_CLASSES} --><ul class="{classes} q">',
+                 f'</ul><div class="{P.STORE_ITEM_CLASS}">no</div>')
+
+
+def _branch_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts of every customer's branch, a column each."""
     cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nat = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     addr, hours, phone, extra, blank = branch_item_exprs()
-    rows = cust.join(nat, cust.c_nationkey == nat.n_nationkey).selectExpr(
+    return cust.join(nat, cust.c_nationkey == nat.n_nationkey).selectExpr(
         "c_custkey", "c_name", "n_name", f"{addr} AS i0", f"{hours} AS i1", f"{phone} AS i2", f"{blank} AS i3", f"{extra} AS extra",
         f"{ts_expr('spark', 'c_custkey * 53000017')} AS fecha_extraccion")
+
+
+def branch_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A detail page per customer: facts as ``ul li p``, the extra one as an info block."""
+    rows = _branch_items(spark, sf_dir)
     facts = [F.when(F.col(c).isNotNull(), F.concat(F.lit("<li><p class='f'>"), _html(c, "\n"), F.lit("</p></li>"))) for c in ("i0", "i1", "i2", "i3")]
     info = F.when(F.col("extra").isNotNull(), F.concat(
         F.lit('<div class="a store-info">'), F.regexp_replace("extra", f"^{P.EXTRA_PREFIX}", ""), F.lit("</div>")))
@@ -356,6 +403,22 @@ def branch_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "", F.lit("<html><body><p>intro</p><ul>"), *facts, F.lit("<li><p> </p></li></ul>"), info, F.lit("</body></html>")).alias("html"))
 
 
+def nested_branch_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same facts on pages with lists in lists, unclosed items, ``ol`` lists and
+    comments that hold no fact, and info blocks of other elements."""
+    def fact(name: str, before: str, after: str) -> Column:
+        return F.when(F.col(name).isNotNull(), F.concat(F.lit(before), _html(name, "\n"), F.lit(after)))
+
+    info = F.when(F.col("extra").isNotNull(), F.concat(
+        F.lit("<section class='z\tbranch-details'>"), F.regexp_replace(F.regexp_replace("extra", f"^{P.EXTRA_PREFIX}", ""), " ", " <i>"),
+        F.lit("</i></section>")))
+    return _branch_items(spark, sf_dir).select("c_custkey", "c_name", "n_name", "fecha_extraccion", F.concat_ws(
+        "", F.lit("<html><body><p>intro</p><!-- <ul><li><p>comentario</p></li></ul> --><ol><li><p>Calle 1</p></ol><ul class='o'><li>"),
+        fact("i0", "<p>", "</p>"), F.lit("<ul><li>"), fact("i1", "<div><p class=f>", "</div>"), F.lit("<li>"), fact("i2", "<p title='</p>'>", ""),
+        F.lit("</ul>Ruta 2"), fact("i3", "<p>", "</p>"), F.lit("</li><li><p> <br></p></ul><div class='my-store-info-icon'>Ruta 3</div>"), info,
+        F.lit("<div class='otra sucursal-info'> </div></body></html>")).alias("html"))
+
+
 def branch_page_items() -> str:
     """The same facts as SQL: stripped items, the extra one last."""
     addr, hours, phone, extra, blank = branch_item_exprs()

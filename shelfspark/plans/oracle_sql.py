@@ -399,6 +399,53 @@ def cards_per_page() -> str:
 SELECT block * 3 + CASE chain WHEN 'CARREFOUR' THEN 0 WHEN 'JUMBO' THEN 1 ELSE 2 END AS page_id, CAST(n_cards AS BIGINT) AS n FROM e WHERE n_cards > 0"""
 
 
+def chain_cards() -> str:
+    return f"""WITH {_card_log()}
+SELECT block * 3 + CASE chain WHEN 'CARREFOUR' THEN 0 WHEN 'JUMBO' THEN 1 ELSE 2 END AS page_id, chain,
+       row_number() OVER (PARTITION BY chain, block ORDER BY p_partkey) - 1 AS pos, card AS item
+FROM cards WHERE NOT ({inputs.CARD_EMPTY})"""
+
+
+def chain_verdict() -> str:
+    """An element that two selectors match is evidence twice; a card is matched by 2, 3 and 2 of its chain's."""
+    return f"""WITH {_card_log()}
+SELECT block * 3 + CASE chain WHEN 'CARREFOUR' THEN 0 WHEN 'JUMBO' THEN 1 ELSE 2 END AS page_id,
+       CAST(CASE chain WHEN 'JUMBO' THEN 3 ELSE 2 END * least(n_cards, {P.EVIDENCE_FIRST_N}) AS BIGINT) AS evidence,
+       CASE WHEN NOT nothing THEN NULL
+            WHEN chain = 'CARREFOUR' THEN CASE WHEN block % 2 = 0 THEN 'text="Sin resultados"' ELSE '[class*="titleNotFound"]' END
+            WHEN chain = 'JUMBO' THEN CASE WHEN block % 2 = 0 THEN 'text="Error 404"' ELSE '.search-not-found-term' END
+            WHEN block % 2 = 0 THEN '.gallery--empty' END AS marker,
+       n_cards > 0 AND NOT url_invalid AS has_products
+FROM e"""
+
+
+_BLOCK_TAGS = ("address|article|aside|blockquote|details|div|dl|fieldset|figcaption|figure|footer|form|h[1-6]|header|hgroup|hr|main|menu|nav|ol|p|pre|"
+               "section|table|ul|body|caption|center|dd|dt|html|li|optgroup|option|summary|tbody|tfoot|thead|tr")
+
+
+def rendered_text(x: str) -> str:
+    """Lines end at ``br`` (chr 3) and at the edges of blocks (chr 2)."""
+    for rx, to in [("(?is)<script\\b.*?</script\\s*>", ""), ("(?is)<style\\b.*?</style\\s*>", ""), ("(?s)<!--.*?-->", ""),
+                   ("(?i)<br\\s*/?>", "\x03"), (f"(?i)</?(?:{_BLOCK_TAGS})(?:\\s[^>]*)?>", "\x02"), ("<[^>]*>", "")]:
+        x = f"regexp_replace({x}, '{rx}', '{to}', 'g')"
+    for ent, ch in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
+        x = f"replace({x}, {_q(ent)}, {_q(ch)})"
+    for rx, to in [("\\s+", " "), (" ?([\x02\x03]) ?", "\\1"), ("^\x02+", ""), ("([\x02\x03])\x02+", "\\1"), ("\x02$", "")]:
+        x = f"regexp_replace({x}, '{rx}', '{to}', 'g')"
+    return f"trim(translate({x}, '\x02\x03', chr(10) || chr(10)), ' ')"
+
+
+def rendered_elements() -> str:
+    def numbered(i: int, arr: str) -> str:
+        return (f"SELECT page_id, {i} AS selector_idx, CAST(generate_subscripts(arr, 1) - 1 AS BIGINT) AS pos, unnest(arr) AS inner_html "
+                f"FROM (SELECT page_id, {arr} AS arr FROM pages)")
+    nav = "regexp_extract(html, '(?is)<nav>(.*?)</nav>', 1)"
+    every = [_inner("article"), f"regexp_extract_all({nav}, '(?is)<li>(.*?)</li>', 1)", _inner("div", '[^>]*class="ad"[^>]*'), _inner("nav"),
+             _inner("footer"), "regexp_extract_all(html, '(?is)<body>(.*?)(?:</body\\s*>|$)', 1)"]
+    rows = " UNION ALL ".join(numbered(i, arr) for i, arr in enumerate(every))
+    return f"SELECT page_id, selector_idx, pos, {rendered_text('inner_html')} AS text FROM ({rows})"
+
+
 # ---------------------------------------------------------------- options ----
 def option_group() -> str:
     return f"""
