@@ -51,11 +51,13 @@ NAMED_ENTITIES = {"amp": "&", "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "a
 TOKEN = (r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)|<[!?][^>]*>|"
          r"""</?[a-z][^\s/>]*+(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+'|)|["'])*+>|[^<]++|<""")
 ATTRIBUTE = r"""[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
+BLOCK_TAGS = 128  # tags that are folded before their spans join the others
 INLINE, BLOCK, BREAK = "\x01", "\x02", "\x03"  # places of tags in a text that is being put together
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, also where a lambda uses it."""
+    """``body(value)`` with ``value`` computed once, also where a lambda uses it.  The
+    result is copied, so it suits small ones and what is made once a page."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
@@ -93,7 +95,7 @@ SIMPLE = re.compile(r"""\*|[.#]?-?[A-Za-z_][\w-]*|\[\s*([\w-]+)\s*(?:(\*?=)\s*(?
 def parse_selector(selector: str) -> list[list[Compound]]:
     """Alternatives of a selector, each the compounds of a descendant chain."""
     chains: list[list[Compound]] = [[]]
-    for piece in re.findall(r"""\[[^\]]*\]|[^\s,\[]+|\s*,\s*|\s+""", selector.strip()):
+    for piece in re.findall(r"""\[[^\]]*\]|[^\s,\[]+|\s*,\s*|\s+|\[""", selector.strip()):
         if piece.strip() == ",":
             chains.append([])
         if piece.strip() in ("", ","):
@@ -217,13 +219,12 @@ def spans(toks: Column, selectors: list[str]) -> Column:
     chains = [chain for alternatives in parsed for chain in alternatives]
     if sum(map(len, chains)) > 62 or len(selectors) > 62:
         raise ValueError("more compound selectors than bits")
-    first = last = bit = 0
+    first = bit = 0
     owner = []  # (bit of a chain's last compound, bit of its selector)
     for i, alternatives in enumerate(parsed):
         for chain in alternatives:
             first |= 1 << bit
             bit += len(chain)
-            last |= 1 << (bit - 1)
             owner.append((1 << (bit - 1), 1 << i))
     long = "bigint"
 
@@ -248,40 +249,49 @@ def spans(toks: Column, selectors: list[str]) -> Column:
         hit = F.filter(some, lambda s: s["hits"] != 0)
         return F.transform(hit, lambda s: F.struct(s["at"].alias("at"), end.alias("end"), s["hits"].alias("hits")))
 
-    def step(acc: Column, tag: Column) -> Column:
-        stack, out = acc["stack"], acc["out"]
+    def entry(stack: Column, tag: Column, kept: Column) -> Column:
+        """What a start tag puts on top of the elements that stay open."""
+        reached = F.when(kept > 0, F.get(stack, kept - 1)["reach"]).otherwise(F.lit(0).cast(long))
+
+        def numbered(now: Column) -> Column:
+            hits = F.lit(0).cast(long)
+            for compound, selector in owner:
+                hits = hits.bitwiseOR(F.when(now["own"].bitwiseAND(F.lit(compound).cast(long)) != 0, F.lit(selector).cast(long)).otherwise(
+                    F.lit(0).cast(long)))
+            return F.struct(kept.alias("kept"), F.struct(
+                tag["at"].alias("at"), tag["name"].alias("name"), now["reach"].bitwiseOR(now["own"]).alias("reach"),
+                F.when(now["own"] == 0, F.lit(0).cast(long)).otherwise(hits).alias("hits")).alias("entry"))
 
-        def after(kept: Column) -> Column:
+        def matched(reach: Column) -> Column:
+            own = tag["mask"].bitwiseAND(F.lit(first).cast(long).bitwiseOR(F.shiftleft(reach, 1)))
+            return let(F.struct(reach.alias("reach"), own.alias("own")), numbered)
+        return let(reached, matched)
+
+    def step(acc: Column, tag: Column) -> Column:
+        def moved(acc: Column, plan: Column) -> Column:
+            stack, out, kept, new = acc["stack"], acc["out"], plan["kept"], plan["entry"]
             gone = F.slice(stack, kept + 1, F.size(stack) - kept)
-            stay = F.when(kept == F.size(stack), stack).otherwise(F.slice(stack, F.lit(1), kept))
-            more = F.when(F.exists(gone, lambda s: s["hits"] != 0), F.concat(out, closed(gone, tag["at"]))).otherwise(out)
-
-            def opened(left: Column) -> Column:
-                reached = F.when(F.size(left) > 0, F.element_at(left, -1)["reach"]).otherwise(F.lit(0).cast(long))
-
-                def pushed(reach: Column) -> Column:
-                    now = tag["mask"].bitwiseAND(F.lit(first).cast(long).bitwiseOR(F.shiftleft(reach, 1)))
-                    hits = F.lit(0).cast(long)
-                    for compound, selector in owner:
-                        hits = hits.bitwiseOR(F.when(now.bitwiseAND(F.lit(compound).cast(long)) != 0, F.lit(selector).cast(long)).otherwise(
-                            F.lit(0).cast(long)))
-                    entry = F.struct(tag["at"].alias("at"), tag["name"].alias("name"), reach.bitwiseOR(now).alias("reach"),
-                                     F.when(now.bitwiseAND(F.lit(last).cast(long)) != 0, hits).otherwise(F.lit(0).cast(long)).alias("hits"))
-                    void = _among(tag["name"], VOID)
-                    return F.struct(
-                        F.when(void, left).otherwise(F.concat(left, F.array(entry))).alias("stack"),
-                        F.when(void & (entry["hits"] != 0), F.concat(more, F.array(F.struct(
-                            tag["at"].alias("at"), tag["at"].alias("end"), entry["hits"].alias("hits"))))).otherwise(more).alias("out"))
-                return let(reached, pushed)
-
-            ended = F.struct(stay.alias("stack"), more.alias("out"))
-            return F.when(tag["closing"], ended).otherwise(let(stay, opened))
-        return let(_kept(stack, tag), after)
-
-    start = F.expr("""named_struct('stack', cast(array() as array<struct<at:int,name:string,reach:bigint,hits:bigint>>),
-                                   'out', cast(array() as array<struct<at:int,end:int,hits:bigint>>))""")
-    folded = F.aggregate(let(_tags(toks, chains), prepared), start, step,
-                         lambda acc: F.concat(acc["out"], closed(acc["stack"], F.size(toks))))
+            left = F.when(kept == F.size(stack), stack).otherwise(F.slice(stack, F.lit(1), kept))
+            opens = ~tag["closing"] & ~_among(tag["name"], VOID)
+            leaf = ~tag["closing"] & (new["hits"] != 0) & _among(tag["name"], VOID)
+            ended = F.when(leaf, F.concat(gone, F.array(new))).otherwise(gone)  # a void element ends at once
+            return F.struct(F.when(opens, F.concat(left, F.array(new))).otherwise(left).alias("stack"),
+                            F.when(leaf | F.exists(gone, lambda s: s["hits"] != 0), F.concat(out, closed(ended, tag["at"]))).otherwise(out).alias("out"))
+        plan = let(_kept(acc["stack"], tag), lambda kept: entry(acc["stack"], tag, kept))
+        return F.aggregate(F.array(plan), acc, moved)
+
+    def over_block(acc: Column, block: Column) -> Column:
+        """A run of tags: what it ends is gathered apart, for a step copies what it carries."""
+        inner = F.aggregate(block, F.struct(acc["stack"].alias("stack"), nothing.alias("out")), step)
+        return let(inner, lambda done: F.struct(done["stack"].alias("stack"), F.concat(acc["out"], F.array(done["out"])).alias("out")))
+
+    span = "array<struct<at:int,end:int,hits:bigint>>"
+    nothing = F.expr(f"cast(array() as {span})")
+    start = F.expr(f"""named_struct('stack', cast(array() as array<struct<at:int,name:string,reach:bigint,hits:bigint>>),
+                                    'out', cast(array() as array<{span}>))""")
+    blocks = let(let(_tags(toks, chains), prepared), lambda tags: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(tags), F.lit(1)), F.lit(BLOCK_TAGS)), lambda i: F.slice(tags, i, F.lit(BLOCK_TAGS))))
+    folded = F.aggregate(blocks, start, over_block, lambda acc: F.concat(F.flatten(acc["out"]), closed(acc["stack"], F.size(toks))))
     return F.array_sort(folded)
 
 
