@@ -44,8 +44,7 @@ STORE_PLACEHOLDER = "tienda"         # compared case-insensitively
 EXTRA_PREFIX = "EXTRA: "
 
 # --- fixed values: per-chain crawl settings ----------------------------------
-# chain: (product selectors, no-results selectors, max_empty_pages,
-#         max_scroll_attempts, target_elements)
+# chain: (product selectors, no-results selectors, max_empty_pages)
 CHAIN_CONFIGS = {
     "CARREFOUR": (
         [".valtech-carrefourar-search-result-3-x-galleryItem",
@@ -60,7 +59,7 @@ CHAIN_CONFIGS = {
          '[class*="not-found"]',
          '[class*="no-results"]',
          '[class*="empty"]'],
-        0, 3, 16),
+        0),
     "JUMBO": (
         [".jumboargentinaio-cmedia-integration-cencosud-1-x-galleryItem",
          ".vtex-product-summary-2-x-container",
@@ -77,7 +76,7 @@ CHAIN_CONFIGS = {
          ".search-not-found-term",
          ".gallery--empty",
          ".search-result--empty"],
-        2, 5, 20),
+        2),
     "VEA": (
         [".veaargentina-cmedia-integration-cencosud-1-x-galleryItem",
          ".vtex-product-summary-2-x-container",
@@ -94,7 +93,7 @@ CHAIN_CONFIGS = {
          ".search-not-found-term",
          ".gallery--empty",
          ".search-result--empty"],
-        0, 2, 20),
+        0),
 }
 DEFAULT_MAX_EMPTY_PAGES = 2
 

@@ -1,9 +1,9 @@
 """Join helpers with explicit size and skew handling.
 
-* ``bounded_broadcast`` broadcasts a side only after proving its row count is
-  under a bound -- by a ``limit(bound+1).count()`` that stops early, or by a
-  count known by construction; otherwise the side is returned as is and the
-  planner/AQE choose the strategy.
+* ``bounded_broadcast`` broadcasts a side only after proving that its rows and
+  bytes are under a bound -- by an aggregate over ``limit(bound+1)``, which stops
+  early, or by a count known by construction; otherwise the side is returned as
+  is and the planner/AQE choose the strategy.
 * ``skew_safe_left_join`` computes ``left LEFT JOIN right`` as
   ``(left INNER JOIN right) UNION ALL (left ANTI JOIN distinct(right.keys))``.
   AQE can split a skewed partition on either side of an inner join, but on a
@@ -18,18 +18,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import json_array_text
+from ..functions.text import python_json_quote
+from .facts import ordered_listagg
 
 
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    return df.limit(bound + 1).count() <= bound
+MAX_BROADCAST_BYTES = 32 << 20
+
+
+def fits(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most so many rows and bytes (of its rows as JSON text)."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    n, held = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return n <= max_rows and held <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.  A caller
-    that built ``df`` from a driver-side literal passes ``known_rows`` (the
-    bound is then proven without running a job)."""
-    small = known_rows <= max_rows if known_rows is not None else row_count_at_most(df, max_rows)
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows and
+    ``MAX_BROADCAST_BYTES``.  A caller that built ``df`` from a driver-side literal
+    passes ``known_rows`` (the bound is then proven without running a job)."""
+    small = known_rows <= max_rows if known_rows is not None else fits(df, max_rows)
     return F.broadcast(df) if small else df
 
 
@@ -61,11 +68,12 @@ def branch_spine(branches: DataFrame, facts: DataFrame, branch_key: str, fact_ke
 
 def branch_documents(branches: DataFrame, facts: DataFrame, branch_key: str, fact_key: str, order: str, item: str) -> DataFrame:
     """One row per listed branch with ``raw_data``, the JSON array of its
-    facts in order, ``[]`` when the details failed.  A row holds one branch's
-    facts: like the reference's document it is bounded by what a branch page
-    lists, so use it for facts per branch, not for logs."""
-    items = facts.groupBy(fact_key).agg(F.array_sort(F.collect_list(F.struct(order, item))).alias("_items"))
-    joined = branches.join(items, branches[branch_key] == items[fact_key], "left")
-    empty = F.array().cast("array<string>")
-    return joined.select(*[branches[c] for c in branches.columns], json_array_text(
-        F.coalesce(F.col(f"_items.{item}"), empty)).alias("raw_data"))
+    facts in order, ``[]`` when the details failed.  The facts of a branch are put
+    together in blocks of the order (a number), so a branch with a large share of
+    all facts is many tasks; only its row itself holds them all."""
+    listed = facts.select(F.col(fact_key).alias("_key"), order, python_json_quote(F.col(item)).alias("_item"))
+    listed = listed.withColumn("_item", F.coalesce("_item", F.lit("null")))
+    joined = branches.join(ordered_listagg(listed, ["_key"], order, {"_items": "_item"}, ", "),
+                           branches[branch_key] == F.col("_key"), "left")
+    return joined.select(*[branches[c] for c in branches.columns],
+                         F.concat(F.lit("["), F.coalesce("_items", F.lit("")), F.lit("]")).alias("raw_data"))

@@ -128,6 +128,19 @@ def with_branch_derived(ex: DataFrame) -> DataFrame:
     )
 
 
+def parse_branch_long(branches: DataFrame, items: DataFrame, key: str, pos: str, item: str) -> DataFrame:
+    """M2 from branches (sucursal_id, nombre, provincia, fecha_extraccion, fuente) and
+    their facts in long form, a row for each (``key``, ``pos``, ``item``): the facts are
+    grouped by position blocks first, so a branch with many facts is many tasks.
+    A branch without facts has none found and a count of 0 (J2)."""
+    found = facts.grouped_facts(items, [key], pos, item).withColumnRenamed(key, "_key")
+    joined = branches.join(found, branches["sucursal_id"] == F.col("_key"), "left")
+    return with_branch_derived(joined.select(
+        "sucursal_id", ustrip(F.col("nombre")).alias("nombre_sucursal"), ustrip(F.col("provincia")).alias("provincia"),
+        "direcciones_encontradas", "horarios_encontrados", "telefonos_encontrados", "direccion_principal", "hora_apertura", "hora_cierre",
+        F.coalesce("cantidad_datos_crudos", F.lit(0)).cast("bigint").alias("cantidad_datos_crudos"), "fecha_extraccion", "fuente"))
+
+
 def parse_branch_json_ordered(raw: DataFrame) -> DataFrame:
     """M2 + O1 with the sort placed *before* the model.  The sort keys are
     the trimmed province and name, which are cheap and known on the raw rows;

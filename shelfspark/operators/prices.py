@@ -84,7 +84,10 @@ def with_previous_price_bucketed(prices: DataFrame, keys: list[str], order: str,
     inner = (prices.withColumn("_bucket", bucket).withColumn("prev_price", F.lag(price).over(w))
              .withColumn("_first", F.row_number().over(w) == 1).withColumn("_final", F.lead(order).over(w).isNull()))
     last = inner.where("_final").select(*keys, "_bucket", F.col(price).alias("_last"))
-    carry = last.select(*keys, "_bucket", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carry"))
-    return (inner.join(carry, [*keys, "_bucket"], "left")
+    names = {k: f"_carry_{k}" for k in [*keys, "_bucket"]}  # NULL keys are keys too
+    carry = last.select(*[F.col(k).alias(v) for k, v in names.items()], F.lag("_last").over(
+        Window.partitionBy(*keys).orderBy("_bucket")).alias("_carry"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(v)) for k, v in names.items()])
+    return (inner.join(carry, same, "left")
             .withColumn("prev_price", F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("prev_price")))
-            .drop("_bucket", "_first", "_final", "_carry"))
+            .drop("_bucket", "_first", "_final", "_carry", *names.values()))

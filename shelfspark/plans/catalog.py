@@ -18,6 +18,7 @@ from ..functions.text import json_array_text
 from ..operators import crawl, facts, joins, markup, models, options, pages, prices, quality, status
 from ..session import shared_dir
 from ..sinks import writers
+from ..sources.envelopes import read_envelopes, read_json_docs
 from ..sources.tables import load
 from ..streaming import ingest
 from . import flows, inputs
@@ -44,6 +45,19 @@ def branch_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.parse_branch_json_ordered(inputs.raw_branches(spark, sf_dir))
 
 
+@register("branch_facts_long", O.branch_facts_long)
+def branch_facts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, A2, W2, J4 in grouped form: M2 over facts in long form."""
+    return models.parse_branch_long(inputs.raw_branches(spark, sf_dir), inputs.branch_items(spark, sf_dir), "sucursal_id", "pos", "item")
+
+
+@register("store_text_strict", O.store_text_strict)
+def store_text_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the model with ``[OFFSET(i)]``, over texts of three lines and more."""
+    raw = inputs.raw_store_text(spark, sf_dir)
+    return models.parse_store_text(raw.where(F.size(F.split("ubicacion_texto", "\n", -1)) >= 3), strict=True, keep=["id"])
+
+
 @register("branch_facts_documents", O.branch_facts_documents)
 def branch_facts_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.parse_branch_json(inputs.raw_doc_branches(spark, sf_dir))
@@ -397,6 +411,50 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Good and broken envelopes through the checked ingest: the table and the rejects."""
+    base = shared_dir(spark, "stream")
+    landing, table, rejects, ckpt = f"{base}/landing", f"{base}/raw_prices", f"{base}/rejects", f"{base}/_checkpoint"
+    store = F.regexp_extract(F.col("source_file"), r"store=([^/]+)", 1)
+    every = inputs.conversation_envelopes(spark, sf_dir).unionByName(inputs.broken_envelopes(spark, sf_dir))
+    every.write.partitionBy("store").option("maxRecordsPerFile", 1).text(landing)
+    ingest.ingest_checked(spark, landing, table, rejects, ckpt, store, max_files_per_trigger=1000)
+    ingest.ingest_checked(spark, landing, table, rejects, ckpt, store)  # nothing new
+    return table, rejects
+
+
+@register("stream_checked", O.stream_ingest)
+def stream_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 into K1 with K3: what arrives although broken documents land beside."""
+    back = spark.read.schema(RAW_PRICE_SCHEMA).parquet(_landed(spark, sf_dir)[0]).drop("run_id")
+    return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
+
+
+@register("stream_rejects", O.stream_rejects)
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents set aside, by chain and reason."""
+    back = spark.read.schema(ingest.REJECT_SCHEMA).parquet(_landed(spark, sf_dir)[1])
+    return quality.counts_per(back.withColumn("store", F.regexp_extract("source_file", r"store=([^/]+)", 1)), ["store", "reason"])
+
+
+@register("envelope_items", O.envelope_items)
+def envelope_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + U2: envelopes as documents, read back; every item with its place."""
+    path = shared_dir(spark, "envelopes")
+    inputs.conversation_envelopes(spark, sf_dir).write.partitionBy("store").option("maxRecordsPerFile", 1).text(path)
+    items = models.envelope_items(read_envelopes(spark, path), keep=["store", "pages_processed", "total_items"])
+    return items.select("store", "timestamp", "pages_processed", "total_items", F.col("item_pos").cast("bigint").alias("item_pos"), "item")
+
+
+@register("chain_feed", O.chain_feed)
+def chain_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed partitioned by chain; the view of one chain."""
+    path = shared_dir(spark, "tables", "feed")
+    writers.append_prices(_raw_price_rows_ltz(spark, sf_dir), path, partition_cols=("store_name", "scraped_date"))
+    views = writers.partitioned_feed(spark, path, RAW_PRICE_SCHEMA, list(P.CHAIN_CONFIGS), f"raw_prices_{uuid.uuid4().hex[:12]}")
+    return views["JUMBO"].withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
+
+
 @register("daily_archive", O.daily_archive)
 def daily_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: raw price rows archived by chain/category/day; a second same-day
@@ -456,6 +514,13 @@ def previous_event_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prices.with_previous_price_bucketed(ev, ["user_id"], "event_id", F.floor(F.col("event_id") / 1000), price="value")
 
 
+@register("previous_value_null_keys", O.previous_value_null_keys)
+def previous_value_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where a fifth of all rows have a NULL key, in one of two key columns."""
+    ev = load(spark, sf_dir, "events").selectExpr("CASE WHEN user_id % 5 > 0 THEN user_id END AS user_id", "event_type", "event_id", "value")
+    return prices.with_previous_price_bucketed(ev, ["user_id", "event_type"], "event_id", F.floor(F.col("event_id") / 1000), price="value")
+
+
 # ------------------------------------------------------------------ flows ----
 def _product_flow(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     path = shared_dir(spark, "tables", "flow_prices")
@@ -473,6 +538,16 @@ def product_flow_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
 
 
+@register("chain_flow", O.product_flow_pages)
+def chain_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§3.1 over every chain's own markup with its own selectors and stop limit."""
+    path = shared_dir(spark, "tables", "chain_prices")
+    flows.product_price_flow(inputs.chain_pages(spark, sf_dir), {c: config[0] for c, config in P.CHAIN_CONFIGS.items()}, F.col("max_empty"),
+                             F.col("chain"), path, F.timestamp_micros(F.lit(inputs.BASE_MICROS)))
+    back = spark.read.schema(RAW_PRICE_SCHEMA + ", run string, page_num bigint, pos bigint").parquet(path)
+    return back.withColumn("scraped_datetime", F.col("scraped_datetime").cast("timestamp_ntz"))
+
+
 @register("product_flow_summary", O.product_flow_summary)
 def product_flow_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _product_flow(spark, sf_dir)[1]
@@ -518,7 +593,6 @@ def sample_prices_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_docs_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: arbitrary JSON documents, one per line, read back as VARIANT and
     unpacked.  A document holds 50 page records (a bounded group)."""
-    from ..sources.envelopes import read_json_docs
     root = shared_dir(spark, "archive", "docs")
     pg = load(spark, sf_dir, "pages").select("page_id", "url", "html")
     docs = pg.groupBy(F.floor(F.col("page_id") / inputs.DOC_CHUNK).alias("chunk")).agg(

@@ -7,11 +7,13 @@ nothing gathered on the driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..operators import crawl, models, pages, quality
+from ..operators import crawl, models, pages
 from ..sinks import writers
 
 RAW_PRICE_REQUIRED = ["raw_data", "scraped_date", "scraped_datetime", "store_name", "category"]
@@ -20,22 +22,32 @@ RAW_BRANCH_REQUIRED = ["sucursal_id", "nombre", "provincia", "raw_data", "fecha_
 MODEL_NOT_NULL = ["sucursal_id", "nombre_sucursal", "provincia"]
 
 
-def crawl_pages(result_pages: DataFrame, selectors: list[tuple[str, str]], max_empty: int | Column) -> tuple[DataFrame, DataFrame]:
+Selectors = list[pages.Selector] | dict[str, list[pages.Selector]]
+
+
+def _of(selectors: Selectors, build: Callable[[list], Column]) -> Column:
+    """``build`` of the selectors; with a list per chain, of those of the row's ``chain``."""
+    return pages.by_chain(F.col("chain"), selectors, build) if isinstance(selectors, dict) else build(selectors)
+
+
+def crawl_pages(result_pages: DataFrame, selectors: Selectors, max_empty: int | Column) -> tuple[DataFrame, DataFrame]:
     """§3.1 stages 5-8 over stored result pages (page_id, url, html, run,
-    page_order): primary-selector cards (H2 + P1), evidence over all selectors
-    (P2), verdict (P3, P4), empty-page rule (P5) and the cut-off (W1).
+    page_order; chain, if ``selectors`` has a list for each): primary-selector cards
+    (H2 + P1), evidence over all selectors (P2), verdict (P3, P4), empty-page rule
+    (P5) and the cut-off (W1).
 
     Returns ``(walked, cards)``: one row per page with the walk columns, and
     the valid cards in long form ``(page_id, pos, item)``."""
-    per_page = result_pages.withColumn("n_cards", F.coalesce(F.size(pages.valid_cards(F.col("html"), selectors[0])), F.lit(0)))
-    per_page = per_page.withColumn("has_products", (pages.evidence_count(F.col("html"), selectors) > 0)
-                                   & ~pages.url_is_invalid(F.col("url")))
+    cards = _of(selectors, lambda some: pages.valid_cards(F.col("html"), some[0]))
+    evidence = _of(selectors, lambda some: pages.evidence_count(F.col("html"), some))
+    per_page = result_pages.withColumn("n_cards", F.coalesce(F.size(cards), F.lit(0)))
+    per_page = per_page.withColumn("has_products", (evidence > 0) & ~pages.url_is_invalid(F.col("url")))
     log = per_page.withColumn("empty", crawl.page_is_empty(F.lit(200), F.lit(False), F.col("has_products"), F.col("n_cards")))
     walked = crawl.crawl_cutoff(log.drop("html"), "run", ["page_order", "page_id"], "empty", max_empty)
-    return walked, pages.extract_primary(result_pages, selectors[0])
+    return walked, result_pages.select("page_id", F.explode(cards).alias("_c")).select("page_id", "_c.pos", "_c.item")
 
 
-def product_price_flow(result_pages: DataFrame, selectors: list[tuple[str, str]], max_empty: int | Column,
+def product_price_flow(result_pages: DataFrame, selectors: Selectors, max_empty: int | Column,
                        store_name: Column, table_path: str, load_ts: Column,
                        category: str = P.PRICE_CATEGORY) -> tuple[bool, DataFrame]:
     """§3.1: stored result pages -> kept cards -> raw price rows (M3, P16) with
@@ -61,10 +73,13 @@ def store_text_flow(list_pages: DataFrame, table_path: str, load_ts: Column) ->
 
 def branch_flow(nested: DataFrame, map_col: str, table_path: str, load_ts: Column) -> DataFrame:
     """§3.2 JSON variant: nested province -> branches document -> raw rows
-    (M4) -> guarded full refresh (K2, K3) -> model (M2).  The model's declared
-    not-null tests (A9) are enforced: a NULL fails the flow."""
+    (M4) -> guarded full refresh (K2, K3) -> model (M2), published as a snapshot
+    beside the raw table (``<table>_model``).  The model's declared not-null tests
+    (A9) are counted while it is written, so it is evaluated once; a NULL fails the
+    flow and leaves the model published before."""
+    spark = nested.sparkSession
     raw = models.flatten_branches(nested, map_col, load_ts)
     writers.replace_snapshot(raw, table_path, required=RAW_BRANCH_REQUIRED)
-    model = models.parse_branch_json(writers.read_snapshot(nested.sparkSession, table_path))
-    quality.enforce_required(model, MODEL_NOT_NULL)
-    return writers.publish_view(model, "int_branches")
+    published = f"{table_path.rstrip('/')}_model"
+    writers.replace_snapshot(models.parse_branch_json(writers.read_snapshot(spark, table_path)), published, not_null=MODEL_NOT_NULL)
+    return writers.publish_view(writers.read_snapshot(spark, published), "int_branches")

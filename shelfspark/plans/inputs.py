@@ -146,6 +146,11 @@ def raw_doc_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.selectExpr(*[f"{v} AS {k}" for k, v in doc_branch_exprs("spark").items()])
 
 
+def branch_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw branches' items in long form: (sucursal_id, pos, item)."""
+    return raw_branches(spark, sf_dir).select("sucursal_id", F.posexplode(F.from_json("raw_data", "array<string>")).alias("pos", "item"))
+
+
 def raw_doc_branches_sql() -> str:
     cols = ", ".join(f"{v} AS {k}" for k, v in doc_branch_exprs("duckdb").items())
     return f"SELECT {cols} FROM documents"
@@ -312,7 +317,7 @@ CARD_EMPTY = "block % 16 IN (5, 9, 10)"   # pages without a result
 CARD_URL = ("'https://example.com/' || lower(chain) || CASE WHEN block % 23 = 3 THEN '/error?page=' ELSE '/dulce?page=' END "
             "|| CAST(block AS STRING)")
 CARD_RUN = "chain || '-' || CAST(CAST(floor(block / 16) AS BIGINT) AS STRING)"
-CARD_LIMIT = "CASE chain WHEN 'JUMBO' THEN 2 ELSE 0 END"
+CARD_LIMIT = "CASE chain " + " ".join(f"WHEN '{c}' THEN {limit}" for c, (_, _, limit) in P.CHAIN_CONFIGS.items()) + " END"
 CARD_CLASS = "galleryItem"
 
 
@@ -327,6 +332,10 @@ def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit('<div class="shop titleNotFound"><p>Sin resultados</p></div>')
     cards = cards.withColumn("part", F.when(F.expr(CARD_EMPTY), none).otherwise(article))
     pg = _page(cards, ["chain", "block"], "p_partkey", "part", "<main>", "</main>")
+    return _as_crawled(pg)
+
+
+def _as_crawled(pg: DataFrame) -> DataFrame:
     return pg.selectExpr("block * 3 + CASE chain WHEN 'CARREFOUR' THEN 0 WHEN 'JUMBO' THEN 1 ELSE 2 END AS page_id",
                          f"{CARD_URL} AS url", "html", "chain", f"{CARD_RUN} AS run", "block AS page_order", f"{CARD_LIMIT} AS max_empty")
 
@@ -335,7 +344,7 @@ def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result pages of every part in each chain's own markup: cards of nested blocks
     without ``<br>``, unclosed paragraphs and items, single and no quotes; fake cards
     in comments and under look-alike classes; pages without a result say so by
-    text or by class, or only seem to.  ``(page_id, url, html, chain)``."""
+    text or by class, or only seem to.  Columns as in ``card_pages``."""
     part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_size")
     cards = part.selectExpr("p_partkey", f"{CARD_CHAIN} AS chain", f"{CARD_BLOCK} AS block", f"split({card_text_sql('spark')}, '\n') AS line")
     for i in range(3):
@@ -359,7 +368,7 @@ def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards = cards.withColumn("part", F.when(F.expr(CARD_EMPTY), none).otherwise(card))
     fake = "".join(f'<!-- <div class="{c}">$ comentario, no es una tarjeta</div> --><i class="x{c}y">$ tampoco</i>' for c in primary.values())
     pg = _page(cards, ["chain", "block"], "p_partkey", "part", f"<main><div>{fake}", "</div></main>")
-    return pg.selectExpr("block * 3 + CASE chain WHEN 'CARREFOUR' THEN 0 WHEN 'JUMBO' THEN 1 ELSE 2 END AS page_id", f"{CARD_URL} AS url", "html", "chain")
+    return _as_crawled(pg)
 
 
 STORE_PAGE = 50
@@ -453,6 +462,21 @@ def conversation_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return env.select(F.to_json(document, {"pretty": "true"}).alias("value"), "store")
 
 
+# what is wrong with the broken ones that are made of every envelope
+BROKEN = ["malformed", "no items", "null item", "no timestamp"]
+
+
+def broken_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that cannot become rows (``value``, ``store``): every envelope in four broken ways."""
+    env = conversation_envelopes(spark, sf_dir).withColumn("kind", F.explode(F.array(*map(F.lit, BROKEN))))
+    kind, value = F.col("kind"), F.col("value")
+    broken = F.when(kind == "malformed", F.substring(value, F.lit(1), F.length(value) - 5)).when(
+        kind == "no items", F.replace(value, F.lit('"items" :'), F.lit('"otros" :'))).when(
+            kind == "null item", F.regexp_replace(value, r'"items" : \[', '"items" : [ null,')).otherwise(
+                F.regexp_replace(value, r'"timestamp" : "[^"]*"', '"timestamp" : "ayer"'))
+    return env.select(broken.alias("value"), "store")
+
+
 def envelope_wave(store: Column) -> Column:
     """Arrival wave of an envelope: two chains' runs land first, the third later."""
     return F.when(store == "VEA", F.lit(1)).otherwise(F.lit(0))

@@ -118,6 +118,16 @@ def branch_facts() -> str:
     return branch_model(inputs.raw_branches_sql())
 
 
+def branch_facts_long() -> str:
+    """In long form a branch whose document is no JSON is one without facts."""
+    raw = inputs.raw_branches_sql()
+    return branch_model(f"SELECT * REPLACE (CASE WHEN raw_data = 'not json' THEN '[]' ELSE raw_data END AS raw_data) FROM ({raw})", order=False)
+
+
+def store_text_strict() -> str:
+    return _store_model(f"SELECT * FROM ({inputs.raw_store_text_sql()}) WHERE len(string_split(ubicacion_texto, chr(10))) >= 3", "id,")
+
+
 def branch_facts_documents() -> str:
     return branch_model(inputs.raw_doc_branches_sql(), order=False)
 
@@ -566,6 +576,34 @@ SELECT CAST(to_json(item) AS VARCHAR) AS raw_data, CAST(scraped_at AS DATE) AS s
 FROM items"""
 
 
+def _envelopes() -> str:
+    return f"""c AS (SELECT conv_id, turn, text, CASE conv_id % 3 WHEN 0 THEN 'CARREFOUR' WHEN 1 THEN 'JUMBO' ELSE 'VEA' END AS store,
+             CAST(floor(conv_id / {inputs.ENVELOPE_BLOCK}) AS BIGINT) AS block, CAST(floor(turn / {inputs.ENVELOPE_CHUNK}) AS BIGINT) AS chunk,
+             {inputs.envelope_ts_sql('duckdb')} AS ts FROM conversations)"""
+
+
+def envelope_items() -> str:
+    return f"""WITH {_envelopes()}
+SELECT store, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, CAST(count(*) OVER e AS INTEGER) AS pages_processed,
+       CAST(count(*) OVER e AS INTEGER) AS total_items, row_number() OVER (e ORDER BY conv_id, turn, text) - 1 AS item_pos, text AS item
+FROM c WINDOW e AS (PARTITION BY store, block, chunk)"""
+
+
+def stream_rejects() -> str:
+    return f"""WITH {_envelopes()}
+SELECT store, reason, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT DISTINCT store, block, chunk FROM c), (SELECT unnest([{', '.join(map(_q, inputs.BROKEN))}]) AS reason) GROUP BY store, reason"""
+
+
+def chain_feed() -> str:
+    return f"SELECT * FROM ({raw_price_rows()}) WHERE store_name = 'JUMBO'"
+
+
+def previous_value_null_keys() -> str:
+    return """SELECT user_id, event_type, event_id, value, lag(value) OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS prev_price
+FROM (SELECT CASE WHEN user_id % 5 > 0 THEN user_id END AS user_id, event_type, event_id, value FROM events)"""
+
+
 def daily_archive() -> str:
     return f"""SELECT raw_data, scraped_datetime, store_name AS chain, category,
        strftime(scraped_date, '%Y-%m-%d') AS dt FROM ({raw_price_rows()})"""

@@ -9,15 +9,16 @@ from __future__ import annotations
 
 import json
 import uuid
+from contextlib import suppress
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import key_timestamp, last_path_segment
-from ..operators.quality import required_inline
+from ..operators.quality import RequiredColumnViolation, required_inline
+from .ledger import Ledger
 
 
 def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -35,15 +36,15 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
-def _rows_seen(seen: Observation) -> int:
-    """The observed count, after the write.  An input that Catalyst proves empty is
+def _seen(seen: Observation) -> dict:
+    """The observed values, after the write.  An input that Catalyst proves empty is
     not run at all, and then the observation holds no row."""
     try:
-        return seen.get["n"]
+        return seen.get
     except Py4JJavaError as error:
         if "toPyRow" not in str(error):
             raise
-        return 0
+        return {"n": 0}
 
 
 def append_prices(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ("scraped_date", "store_name"),
@@ -65,31 +66,50 @@ def append_prices(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ("
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
         writer.mode("append").parquet(path)
-    return _rows_seen(seen) > 0
-
-
-def replace_snapshot(df: DataFrame, path: str, required: list[str] | None = None) -> bool:
-    """K2: full refresh guarded by *rows*, in one pass over the input.  The rows
-    are written to a new version folder with ``required`` checked inline (K3);
-    only then is the version recorded (an append, so the previous record
-    stays).  No rows, a NULL in a required column or a lost job leave the
-    previous snapshot the current one.  ``read_snapshot`` reads it."""
-    rows, seen = _counted(required_inline(df, required) if required else df)
-    version = uuid.uuid4().hex
-    rows.write.parquet(f"{path}/version={version}")
-    if not _rows_seen(seen):
+    return _seen(seen)["n"] > 0
+
+
+def replace_snapshot(df: DataFrame, path: str, required: list[str] | None = None, not_null: list[str] | None = None,
+                     keep: int = 2) -> bool:
+    """K2: full refresh guarded by *rows*, in one pass over the input.
+
+    The rows go to a folder of their own, with ``required`` checked inline (K3) and
+    NULLs of ``not_null`` columns counted (A9) in the same pass; only a complete,
+    non-empty result without violations is recorded, under the next version number,
+    which one writer gets.  So no rows, a violation, a lost job or another writer
+    leave whole snapshots: the highest version is the current one.  The newest
+    ``keep`` versions stay, so readers of the one before are not cut off."""
+    ledger = Ledger(df.sparkSession, f"{path}/_versions")
+    checked = not_null or []
+    aggregates = [F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in checked]]
+    seen = Observation()
+    folder = f"data-{uuid.uuid4().hex}"
+    try:
+        (required_inline(df, required) if required else df).observe(seen, *aggregates).write.parquet(f"{path}/{folder}")
+        counts = _seen(seen)
+        nulls = {c: counts[f"null_{c}"] for c in checked if counts.get(f"null_{c}")}
+        if nulls:
+            raise RequiredColumnViolation("NULL in required columns: " + ", ".join(f"{c}={n}" for c, n in nulls.items()))
+    except BaseException:
+        ledger.delete(f"{path}/{folder}")
+        raise
+    if not counts["n"]:
+        ledger.delete(f"{path}/{folder}")
         return False
-    spark = df.sparkSession
-    record = spark.range(1).select(F.lit(version).alias("version"), F.unix_micros(F.current_timestamp()).alias("at"),
-                                   F.lit(df.schema.json()).alias("schema"))
-    record.write.mode("append").json(f"{path}/_versions")
+    ledger.claim(lambda _: {"folder": folder, "schema": df.schema.json()})
+    for number in ledger.numbers()[:-keep]:
+        with suppress(Py4JJavaError):  # another writer may be clearing up too
+            ledger.delete(f"{path}/{ledger.read(number)['folder']}")
+            ledger.delete(ledger.name(number))
     return True
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The current version of a table that ``replace_snapshot`` writes."""
-    now = spark.read.schema("version string, at long, schema string").json(f"{path}/_versions").orderBy(F.desc("at")).first()
-    return spark.read.schema(T.StructType.fromJson(json.loads(now["schema"]))).parquet(f"{path}/version={now['version']}")
+    now = Ledger(spark, f"{path}/_versions").last()
+    if now is None:
+        raise FileNotFoundError(f"no snapshot in {path}")
+    return spark.read.schema(T.StructType.fromJson(json.loads(now["schema"]))).parquet(f"{path}/{now['folder']}")
 
 
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # keep microseconds in JSON text
@@ -128,6 +148,14 @@ def archived_objects(spark, root: str, schema: str) -> DataFrame:
     return back.withColumn("object_key", F.concat(F.col("load_key"), F.lit("_"), F.col("source_name")))
 
 
+def partitioned_feed(spark: SparkSession, path: str, schema: str, chains: list[str], name: str,
+                     by: str = "store_name") -> dict[str, DataFrame]:
+    """One feed partitioned by chain, and a view of it for each chain
+    (``<name>_<chain>``), which reads that chain's folders only."""
+    feed = spark.read.schema(schema).parquet(path)
+    return {chain: publish_view(feed.where(F.col(by) == chain), f"{name}_{chain.lower()}") for chain in chains}
+
+
 def create_or_replace(df: DataFrame, table: str, path: str | None = None) -> None:
     """K6: CTAS replace of a catalog table (external at ``path`` when given,
     e.g. under the shared folder; else in the session's warehouse)."""
@@ -168,22 +196,40 @@ def dense_index(df: DataFrame, order_cols: list[str], start: int | Column = 1, i
             .drop("_mono", "_pid", "_local", "_off"))
 
 
+def highest_id(spark: SparkSession, path: str, id_col: str) -> int:
+    """The largest id of a table, from the footers of its files (aggregate push-down)."""
+    wanted = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        return spark.read.schema(f"`{id_col}` bigint").parquet(path).agg(F.max(id_col)).first()[0] or 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def append_with_surrogate_id(df: DataFrame, path: str, order_cols: list[str], id_col: str = "id",
                              load_ts: Column | None = None) -> bool:
-    """K7: append rows with the next serial ids (max existing id + 1 ...) and
-    a default load time.  Each run appends the batch again, as the
-    reference's seed insert does."""
+    """K7: append rows with the next serial ids and a default load time.  Each run
+    appends the batch again, as the reference's seed insert does.
+
+    A run reserves its range of ids in a ledger beside the table before it writes, so
+    two appenders never share an id; a run that fails then leaves a gap, as a
+    sequence does.  Ids also stay above those of rows that came another way.  A run's
+    files are written aside and then moved into the table, as two jobs that write into
+    one folder at a time would clear each other's temporary files."""
     spark = df.sparkSession
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException as error:  # the first write only; a failed read of a table is an error
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        existing = 0
-    else:
-        existing = table.agg(F.max(id_col)).first()[0] or 0
-    ided = dense_index(df, order_cols, start=int(existing) + 1, id_col=id_col)
-    ided = ided.withColumn("fecha_creacion", load_ts if load_ts is not None else F.current_timestamp())
-    rows, seen = _counted(ided)
-    rows.write.mode("append").parquet(path)
-    return _rows_seen(seen) > 0
+    ledger = Ledger(spark, f"{path.rstrip('/')}_ids")
+    held = highest_id(spark, path, id_col) if ledger.exists(path) else 0
+    placed = dense_index(df, order_cols, start=0, id_col="_place")
+    n = placed.count()
+    if not n:
+        return False
+    _, reserved = ledger.claim(lambda last: {"first": max(held, last["last"] if last else 0) + 1,
+                                             "last": max(held, last["last"] if last else 0) + n})
+    rows = placed.withColumn(id_col, F.col("_place") + reserved["first"]).drop("_place")
+    aside = f"{path.rstrip('/')}/_batch-{reserved['token']}"
+    rows.withColumn("fecha_creacion", load_ts if load_ts is not None else F.current_timestamp()).write.parquet(aside)
+    ledger.move_files(aside, path)
+    return True
