@@ -9,18 +9,20 @@ about ``BLOCK`` vectors, so every row is indexed and a block fits into a task.
 A query looks at a window around its own projection in each sorted array.  A
 vector inside enough windows (``share`` of them) is a candidate, and candidates
 are verified by their exact inner product.  While a block has not verified
-``probe`` of its vectors (at least twenty times ``k``), the windows are widened by
-the factor ``GROWTH`` (virtual rehashing: only the new margins are counted).  A
-block with fewer vectors than that is verified whole, so small inputs are exact.
+``probe`` of its vectors and twenty times ``k`` more, the windows are widened by the
+factor ``GROWTH`` (virtual rehashing: only the new margins are counted), until
+they cover the block at the latest.
 
-Queries and blocks meet by chunk: every query against every block, a bounded
-piece of both at a time.
+Queries travel to the tasks in chunks of at most about ``CHUNK_BYTES`` (measured),
+one scan of the index for each; the index is not shuffled.  A task merges the
+blocks that it reads before it passes a query's best rows on.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null vec_id, take no part; vectors of another
-length are not compared; of rows with one vec_id the smallest vector counts;
-ties go to the smaller vec_id; fewer than ``k`` others: all of them; empty
-table: empty result; further columns are ignored."""
+length are not compared; rows with the query's vec_id are its own; equal rows
+are one; rows of one vec_id that differ all count, and are queries of their own; ties go to the smaller vec_id; fewer
+than ``k`` others: all of them; empty table: empty result; further columns are
+ignored."""
 
 from __future__ import annotations
 
@@ -32,10 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shelfspark.session import shared_dir
+
 from ._common import cut
 
 BLOCK = 16_384
-QUERIES = 1_024
+CHUNK_BYTES = 8 << 20
 GROWTH = 1.4
 SEED = 20_240_229
 
@@ -45,16 +49,16 @@ def directions(dim: int, projections: int) -> np.ndarray:
 
 
 def clean(vectors: DataFrame) -> DataFrame:
-    """(vec_id, dim, v): usable vectors in double precision, one per vec_id."""
+    """(vec_id, dim, v): usable vectors in double precision, equal rows once."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(finite & F.exists("v", lambda x: x != 0))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v")).select("vec_id", F.size("v").alias("dim"), "v")
+    return rows.distinct().select("vec_id", F.size("v").alias("dim"), "v")
 
 
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     ids = table.column("vec_id").to_numpy()
-    order = np.argsort(ids)
+    order = np.argsort(ids, kind="stable")
     column = table.column("v").combine_chunks()
     flat = column.flatten().to_numpy()
     return ids[order], flat.reshape(len(ids), -1)[order]
@@ -62,19 +66,22 @@ def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def build(rows: DataFrame, projections: int) -> DataFrame:
     """Index: (dim, ids, vectors, order, places), a row for each block."""
-    sizes = rows.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).first()
-    blocks, largest = max(1, -(-sizes["n"] // BLOCK)), float(np.sqrt(sizes["m"] or 1.0))
+    sizes = rows.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x)))).alias("peak")).first()
+    blocks, peak = max(1, -(-sizes["n"] // BLOCK)), sizes["peak"] or 1.0
+    # norms of vectors scaled by the largest component neither overflow nor vanish
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / peak) * (x / peak))
+    largest = float(np.sqrt(rows.agg(F.max(norm)).first()[0] or 1.0))
 
     def block(table: pa.Table) -> pa.Table:
         ids, v = _matrix(table)
-        unit = v / largest
+        unit = v / peak / largest
         last = np.sqrt(np.maximum(0.0, 1.0 - (unit * unit).sum(1)))
         values = directions(v.shape[1], projections) @ np.column_stack([unit, last]).T
         order = np.argsort(values, axis=1, kind="stable")
         cells = [ids.tobytes(), v.tobytes(), order.astype("<i4").tobytes(), np.take_along_axis(values, order, 1).tobytes()]
         return pa.table({"dim": pa.array([v.shape[1]], pa.int32()), **{n: pa.array([c], pa.binary()) for n, c in zip(_CELLS, cells)}})
 
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"))
     schema = "dim int, " + ", ".join(f"{c} binary" for c in _CELLS)
     return dealt.groupBy("dim", "block").applyInArrow(block, schema)
 
@@ -100,70 +107,77 @@ class _Block:
 
     def search(self, query_id: int, q: np.ndarray, at: np.ndarray, k: int, least: int, enough: int) -> tuple[np.ndarray, np.ndarray]:
         """The best ``k``: candidates by collision counts, then exact products."""
-        if self.n <= enough:
-            found = np.arange(self.n)
-        else:
-            hits = np.zeros(self.n, np.int64)
-            order = self.order.ravel()
-            lo = hi = self._ranks(at)
-            width = self.width / GROWTH  # about what the queries before needed
-            while True:
-                a, b = self._ranks(at - width), self._ranks(at + width)
-                new = [order[x:y] for x, y in zip(np.concatenate((a, hi)).tolist(), np.concatenate((lo, b)).tolist()) if x < y]
-                lo, hi = a, b
-                if new:
-                    hits += np.bincount(np.concatenate(new), minlength=self.n)
-                found = np.flatnonzero(hits >= least)
-                if len(found) >= enough:
-                    break
-                width *= GROWTH
-            self.width += 0.2 * (width - self.width)
+        hits = np.zeros(self.n, np.int64)
+        order = self.order.ravel()
+        lo = hi = self._ranks(at)
+        width = self.width / GROWTH  # about what the queries before needed
+        while True:
+            a, b = self._ranks(at - width), self._ranks(at + width)
+            new = [order[x:y] for x, y in zip(np.concatenate((a, hi)).tolist(), np.concatenate((lo, b)).tolist()) if x < y]
+            lo, hi = a, b
+            if new:
+                hits += np.bincount(np.concatenate(new), minlength=self.n)
+            found = np.flatnonzero(hits >= least)
+            if len(found) >= enough or (hi - lo).sum() == len(order):
+                break
+            width *= GROWTH
+        self.width += 0.2 * (width - self.width)
         found = found[self.ids[found] != query_id]
         score = self.vectors[found] @ q
         best = np.lexsort((self.ids[found], -score))[:k]
         return self.ids[found][best], score[best]
 
 
+def _merge(parts: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    ids, score = (np.concatenate(x) for x in zip(*parts))
+    best = np.lexsort((ids, -score))[:k]
+    return ids[best], score[best]
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: int = 56, share: float = 0.8,
-            probe: float = 0.05) -> DataFrame:
+            probe: float = 0.125) -> DataFrame:
     """(query_id, rank, vec_id, score): of every row of ``queries`` (vec_id,
     embedding) the ``k`` nearest of ``vectors`` found, its own vec_id left out."""
+    spark = vectors.sparkSession
     rows = cut(clean(vectors), "vectors")
     index = cut(build(rows, projections), "ann-index")
     asked = clean(queries)
-    n_queries = asked.count()
-    chunks = max(1, -(-n_queries // QUERIES))
-    asked = asked.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int"))
+    weight = asked.agg(F.sum(F.col("dim") * 8 + 16)).first()[0] or 0
+    chunks = max(1, -(-weight // CHUNK_BYTES))
+    asked = asked.withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), F.lit(chunks)))
     least = max(1, int(np.ceil(share * projections)))
-
-    def gather(table: pa.Table) -> pa.Table:
-        ids, q = _matrix(table)
-        return pa.table({"dim": pa.array([q.shape[1]], pa.int32()), "chunk": pa.array([table.column("chunk")[0].as_py()], pa.int32()),
-                         "query_ids": pa.array([ids.tobytes()], pa.binary()), "queries": pa.array([q.tobytes()], pa.binary())})
-
-    packed = asked.groupBy("dim", "chunk").applyInArrow(gather, "dim int, chunk int, query_ids binary, queries binary")
-    units = index.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).join(cut(packed, "queries"), ["dim", "chunk"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], np.int64)
-                v = np.frombuffer(row["vectors"]).reshape(len(ids), -1)
-                block = _Block(ids, v, np.frombuffer(row["order"], "<i4").reshape(projections, -1),
-                               np.frombuffer(row["places"]).reshape(projections, -1))
-                query_ids, queries = np.frombuffer(row["query_ids"], np.int64), np.frombuffer(row["queries"]).reshape(-1, v.shape[1])
-                enough = max(20 * k, int(probe * len(ids)))
-                plain = directions(v.shape[1], projections)[:, :-1]
-                out_q, out_v, out_s = [], [], []
-                for query_id, q in zip(query_ids.tolist(), queries):
-                    at = plain @ (q / np.sqrt(q @ q))
-                    found, score = block.search(query_id, q, at, k, least, enough)
-                    out_q.append(np.full(len(found), query_id))
-                    out_v.append(found)
-                    out_s.append(score)
-                cols = [pa.array(np.concatenate(x)) for x in (out_q, out_v, out_s)]
-                yield pa.RecordBatch.from_arrays(cols, names=["query_id", "vec_id", "score"])
-
-    best = units.repartition("chunk", "ids").mapInArrow(run, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    path = shared_dir(spark, "llm", "ann-found")
+    schema = "query_id long, query int, vec_id long, score double"
+    for chunk in range(chunks):
+        some = asked.where(F.col("chunk") == chunk).select("vec_id", "v").toArrow().to_pylist()  # about CHUNK_BYTES
+        by_dim: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+        for number, row in enumerate(some):
+            by_dim.setdefault(len(row["v"]), []).append((number, row["vec_id"], np.array(row["v"])))
+        shared = spark.sparkContext.broadcast(by_dim)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            names: dict[int, int] = {}
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    row = batch.slice(at, 1).to_pylist()[0]
+                    ids = np.frombuffer(row["ids"], np.int64)
+                    v = np.frombuffer(row["vectors"]).reshape(len(ids), -1)
+                    block = _Block(ids, v, np.frombuffer(row["order"], "<i4").reshape(projections, -1),
+                                   np.frombuffer(row["places"]).reshape(projections, -1))
+                    enough = 20 * k + int(probe * len(ids))
+                    plain = directions(v.shape[1], projections)[:, :-1]
+                    for number, query_id, q in shared.value.get(v.shape[1], []):
+                        scaled = q / np.abs(q).max()
+                        found = block.search(query_id, q, plain @ (scaled / np.sqrt(scaled @ scaled)), k, least, enough)
+                        best[number] = _merge([best[number], found], k) if number in best else found
+                        names[number] = query_id
+            for number, (found, score) in best.items():
+                n = len(found)
+                cells = [np.full(n, names[number]), np.full(n, number, np.int32), found, score]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=["query_id", "query", "vec_id", "score"])
+
+        found = index.mapInArrow(run, schema)
+        rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+        found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
+    return spark.read.schema("query_id long, rank int, vec_id long, score double").parquet(path)

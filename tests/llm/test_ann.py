@@ -59,3 +59,37 @@ def test_a_third_of_all_vectors_alike(spark):
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
     got = result(ann.nearest(df, df.where("vec_id in (0, 1)"), k=20))
     assert [i for i, _ in got[0]] == list(range(3, 63, 3))  # equal scores: by vec_id
+
+
+def test_tiny_and_huge_components_end(spark):
+    """Squares of these vanish or overflow; enough vectors that no block is small."""
+    rnd = np.random.default_rng(4)
+    for scale in (1e-170, 1e-310, 1e153):
+        v = rnd.standard_normal((700, 6)) * scale
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+        got = result(ann.nearest(df, df.where("vec_id % 100 = 0"), k=3))
+        assert len(got) == 7 and all(len(x) == 3 for x in got.values())
+        if scale > 1:
+            want = brute(dict(enumerate(v)), {i: v[i] for i in range(0, 700, 100)}, 3)
+            assert all({i for i, _ in got[q]} & {i for i, _ in want[q]} for q in want)
+    mixed = [(i, [float(x) for x in row]) for i, row in enumerate(np.vstack([rnd.standard_normal((500, 4)), np.full((5, 4), 1e-200)]))]
+    df = spark.createDataFrame(mixed, "vec_id long, embedding array<double>")
+    assert len(result(ann.nearest(df, df.where("vec_id >= 500"), k=4))) == 5
+
+
+def test_rows_of_one_id_that_differ_all_count(spark):
+    given = [(1, [1.0, 0.0]), (1, [3.0, 0.0]), (1, [3.0, 0.0]), (2, [2.0, 0.0]), (20, [1.0, 1.0]), (20, [1.0, -1.0]), (3, [0.0, 5.0])]
+    df = spark.createDataFrame(given, "vec_id long, embedding array<double>")
+    got = sorted(rows(ann.nearest(df, df.where("vec_id % 20 = 0"), k=3)))
+    assert got == sorted([(20, 1, 3, 5.0), (20, 2, 1, 3.0), (20, 3, 2, 2.0), (20, 1, 1, 3.0), (20, 2, 2, 2.0), (20, 3, 1, 1.0)])
+
+
+def test_query_chunks_and_blocks_change_nothing_where_all_is_verified(spark, monkeypatch):
+    rnd = np.random.default_rng(6)
+    v = rnd.standard_normal((300, 5))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    got = result(ann.nearest(df, df.where("vec_id % 20 = 0"), k=20))
+    want = brute(dict(enumerate(v)), {i: v[i] for i in range(0, 300, 20)}, 20)
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
