@@ -94,7 +94,7 @@ class _Block:
     that one binary search finds a query's place in all of them."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, order: np.ndarray, places: np.ndarray):
-        self.ids, self.vectors, self.order = ids, vectors, order
+        self.ids, self.vectors, self.order = ids, vectors, order.astype(np.intp).ravel()
         m, self.n = places.shape
         self.limit = float(np.abs(places).max()) + 1.0
         self.shift = np.arange(m) * (4 * self.limit)
@@ -108,7 +108,7 @@ class _Block:
     def search(self, query_id: int, q: np.ndarray, at: np.ndarray, k: int, least: int, enough: int) -> tuple[np.ndarray, np.ndarray]:
         """The best ``k``: candidates by collision counts, then exact products."""
         hits = np.zeros(self.n, np.int64)
-        order = self.order.ravel()
+        order = self.order
         lo = hi = self._ranks(at)
         width = self.width / GROWTH  # about what the queries before needed
         while True:
@@ -123,19 +123,24 @@ class _Block:
             width *= GROWTH
         self.width += 0.2 * (width - self.width)
         found = found[self.ids[found] != query_id]
-        score = self.vectors[found] @ q
-        best = np.lexsort((self.ids[found], -score))[:k]
-        return self.ids[found][best], score[best]
+        return _first(self.ids[found], self.vectors[found] @ q, k)
 
 
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
-    ids, score = (np.concatenate(x) for x in zip(*parts))
+def _first(ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` highest scores, equal ones by id."""
+    if len(ids) > k:
+        level = score >= np.partition(score, len(score) - k)[len(score) - k]
+        ids, score = ids[level], score[level]
     best = np.lexsort((ids, -score))[:k]
     return ids[best], score[best]
 
 
+def _merge(parts: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    return _first(*(np.concatenate(x) for x in zip(*parts)), k)
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: int = 56, share: float = 0.8,
-            probe: float = 0.125) -> DataFrame:
+            probe: float = 0.1) -> DataFrame:
     """(query_id, rank, vec_id, score): of every row of ``queries`` (vec_id,
     embedding) the ``k`` nearest of ``vectors`` found, its own vec_id left out."""
     spark = vectors.sparkSession
