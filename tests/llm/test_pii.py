@@ -92,18 +92,22 @@ def test_a_name_far_from_the_value_discloses_it(spark):
 def test_pruned_candidates_equal_plain_pmi(spark):
     """The statistics against a plain computation."""
     import math
-    df = planted(spark)
+    far = [(500 + i, f"quorble {prose(90, 600 + i)} deep@corp.example.com {prose(9, 700 + i)} tindle") for i in range(5)]
+    df = planted(spark).union(spark.createDataFrame(far + [(600 + i, "quorble " + prose(30, i)) for i in range(8)], "doc_id long, text string"))
     docs_of, near, ctx = {}, {}, {}
     texts = rows(df)
     for doc, text in texts:
         for w in set(re.findall(r"[^\W\d_]+", text.lower())):
             docs_of.setdefault(w, set()).add(doc)
-        for _, a, b in pii.base_spans(text):
-            left = re.findall(r"[^\W\d_]+", text[:a].lower())[-8:]
-            right = re.findall(r"[^\W\d_]+", text[b:].lower())[:8]
-            for w in set(left + right):
+        spans = pii.base_spans(text)
+        outside = list(text)
+        for _, a, b in spans:
+            outside[a:b] = " " * (b - a)
+        words = re.findall(r"[^\W\d_]+", "".join(outside).lower())
+        for _, a, b in spans:
+            for w in set(words):
                 near.setdefault((text[a:b], w), set()).add(doc)
-                ctx.setdefault((text[a:b], w), set()).add(tuple(left + right))
+                ctx.setdefault((text[a:b], w), set()).add(tuple(words))
             near.setdefault((text[a:b], None), set()).add(doc)
     want = set()
     for (e, w), d in near.items():
@@ -113,7 +117,26 @@ def test_pruned_candidates_equal_plain_pmi(spark):
         if math.log2(len(d) * len(texts) / (len(near[e, None]) * len(docs_of[w]))) >= 0.9 * ic:
             want |= {(x, w) for x in near[e, None]}
     got = {(r.doc_id, t) for r in pii.disclosing_terms(df).collect() for t in r.terms}
-    assert got == want
+    assert got == want and (500, "tindle") in got and (500, "quorble") not in got and (0, "zorblax") in got
+
+
+def test_patterns_equal_brute_force_on_random_runs():
+    import random
+    rnd = random.Random(8)
+    pieces = ["a", "9", "99", ".", "@", "-", "+", "_", " ", "b.c", "1.2", "@x.y", "ñ", "%", "(", "4111 1111 1111 1111", "1.2.3.4", "@.", "..", "x@y.z"]
+    for _ in range(4000):
+        text = "".join(rnd.choice(pieces) for _ in range(rnd.randrange(1, 25)))
+        assert pii.base_spans(text) == brute(text), text
+
+
+def test_long_runs_cost_their_length():
+    import time
+    n = 1 << 20
+    for text in ("9" * n, "a" * n + " x@y.z", "a" * n, ("a" * 999 + "@") * (n // 1000), "1." * (n // 2), "@" * n, "+" * n, "+1" * (n // 2), "+1" + "(" * n,
+                 "a@" + "b" * n, "a@b" + ".c" * (n // 2), "9." * 2 + "9" * n + " " + "9" * n, "1 " * (n // 2), "x@" * (n // 2)):
+        began = time.process_time()
+        pii.base_spans(text)
+        assert time.process_time() - began < 3, text[:20]
 
 
 def test_overlapping_spans_are_replaced_once():
