@@ -91,3 +91,44 @@ def test_keep_one(docs):
     assert kept.columns == docs.columns
     ids = sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x))
     assert 2 in ids and 3 not in ids and 4 not in ids and 1 in ids and 10 in ids and None in ids
+
+
+def test_keep_one_decides_by_row(spark):
+    """Repeated ids, null ids and one id with two texts: one row of each component."""
+    from .conftest import prose
+    a, b, c, d = (prose(60, 900 + i) for i in range(4))
+    given = [(1, a), (1, a), (1, b), (None, c), (None, c), (2, c), (None, d), (None, d), (3, None), (4, ""), (None, None), (5, b), (5, b)]
+    df = spark.createDataFrame([(*g, i, "x") for i, g in enumerate(given)], "doc_id long, text string, digest int, number string").repartition(4)
+    kept = S.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (1, b), (2, c), (None, d), (3, None)], key=str)
+
+
+def test_key_masks_reach_every_pair_at_every_level():
+    rnd = np.random.default_rng(9)
+    for k in (1, 2, 3, 4):
+        levels = S.key_masks(k)
+        for _ in range(300):
+            apart = sum(1 << int(b) for b in rnd.choice(64, rnd.integers(1, k + 1), replace=False))
+            met = [m for m in levels[0] if not m & apart]
+            assert met
+            for masks in levels[:2]:  # whichever list met it is keyed anew
+                assert all(any(not x & apart for x in masks[m]) for m in met)
+                met = [x for m in met for x in masks[m] if not x & apart]
+
+
+def test_large_lists_keyed_anew_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(S, "CHUNK", 8)
+    monkeypatch.setattr(S, "LARGE", 32)
+    rnd = np.random.default_rng(10)
+    fps = {0x0123456789ABCDEF ^ (int(x) << 37) for x in rnd.integers(0, 1 << 12, 700)}  # seven alike bytes and fewer
+    fps |= {int(x) for x in rnd.integers(0, 1 << 62, 100)}
+    fps |= {f ^ (1 << int(b)) for f in list(fps)[:200] for b in rnd.choice(64, 2)}
+    df = spark.createDataFrame([(S._signed(f),) for f in fps], "fp long").repartition(3)
+    assert S.units_of(df, 3).select("s").distinct().count() > 8  # lists of finer keys took part
+    roots = {r.node: r.root for r in components(S.links(df, 3)).collect()}
+    want = brute_components(dict(enumerate(sorted(fps))), 3)
+    groups = {}
+    for i, f in enumerate(sorted(fps)):
+        groups.setdefault(want[i], set()).add(roots.get(S._signed(f), S._signed(f)))
+    assert all(len(g) == 1 for g in groups.values()) and len(set().union(*groups.values())) == len(groups)
