@@ -14,6 +14,11 @@ whose shingle is in the item can pass, and a best one starts at such a position
 exact; without it every position of the corpus would be fingerprinted once per
 item length.
 
+Which texts are looked at: a match holds ``similarity`` of an item's ``m`` shingles, so
+of any m - ceil(similarity m) + 1 of them one at least.  The ones that the fewest
+items have nominate texts for their item; a shingle that many items share fans out
+over items in nominated texts only.
+
 The benchmark's shingles are broadcast only below ``BROADCAST_BYTES``; beyond,
 the join shuffles.  Verdicts belong to texts, so copies are judged once.
 
@@ -25,6 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ._common import cut, fresh
 
@@ -75,9 +81,20 @@ def blocks(fp: str, radius: int) -> Column:
                      for i, (a, b) in enumerate(zip(edges, edges[1:]))])
 
 
-def _bounded(df: DataFrame, bytes_per_row: int) -> DataFrame:
-    """Broadcast ``df`` if its checked size allows, else leave the join to shuffle."""
-    return F.broadcast(df) if df.count() * bytes_per_row <= BROADCAST_BYTES else df
+def _bounded(df: DataFrame, bytes_per_row: int, arrays: str | None = None) -> DataFrame:
+    """Broadcast ``df`` if its checked size allows (eight bytes for each element of the
+    column ``arrays``), else leave the join to shuffle."""
+    size = F.lit(bytes_per_row) + (F.lit(0) if arrays is None else 8 * F.size(arrays))
+    return F.broadcast(df) if (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES else df
+
+
+def nominators(bench: DataFrame, similarity: float) -> DataFrame:
+    """(h, item_id): of each item the shingles that the fewest items have, so many of
+    its occurrences that a match cannot miss them all."""
+    common = bench.select("item_id", "h").distinct().groupBy("h").agg(F.count("*").alias("items"))
+    place = F.row_number().over(Window.partitionBy("item_id").orderBy("items", "h"))
+    ranked = bench.join(common, "h").withColumn("place", place)
+    return ranked.where(F.col("place") <= F.col("m") - F.ceil(F.col("m") * similarity - 1e-9) + 1).select("h", "item_id").distinct()
 
 
 def matches(docs: DataFrame, items: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY,
@@ -92,13 +109,23 @@ def matches(docs: DataFrame, items: DataFrame, width: int = SHINGLE, similarity:
         size = F.least(F.col("m"), F.col("total") - start)
         return F.ceil((size + F.col("m")) * (similarity / (1 + similarity)) - 1e-9).cast("int")
 
-    # positions whose shingle is in an item (outer: the plain form makes Catalyst
-    # add a filter that computes the words once more for every shingle)
+    # texts that hold a nominating shingle of an item (outer: the plain form makes
+    # Catalyst add a filter that computes the words once more for every shingle)
     total = F.greatest(F.size("w") - width + 1, F.lit(1)).alias("total")
-    rows = docs.select(*text_key(), words(F.col("text")).alias("w")).select("k1", "k2", total, shingles("w", width).alias("s"))
-    at = rows.select("k1", "k2", "total", F.posexplode_outer("s").alias("pos", "h"))
+    rows = docs.select(*text_key(), words(F.col("text")).alias("w")).select("k1", "k2", shingles("w", width).alias("s"))
+    rare = cut(nominators(bench, similarity), "benchmark-nominators")
+    hits = rows.select("k1", "k2", F.explode_outer("s").alias("h")).join(_bounded(rare, 16), "h")
+    nominated = cut(hits.select("k1", "k2", "item_id").distinct(), "nominated")
+    texts = _bounded(nominated.select("k1", "k2").distinct(), 16)
+    rows = docs.select(*text_key(), "text").join(texts, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    rows = rows.select("k1", "k2", words(F.col("text")).alias("w")).select("k1", "k2", total, shingles("w", width).alias("s"))
+    rows = cut(rows, "nominated-texts")
+
+    # their positions whose shingle is in such an item
     wanted = bench.select("h", "item_id", "m").distinct()
-    anchors = at.join(_bounded(wanted, 24), "h").select("k1", "k2", "total", "item_id", "m", "pos")
+    at = rows.select("k1", "k2", "total", F.posexplode("s").alias("pos", "h"))
+    anchors = at.join(_bounded(wanted, 24), "h").join(nominated, ["k1", "k2", "item_id"], "left_semi").select(
+        "k1", "k2", "total", "item_id", "m", "pos")
     # a window of similarity t has t * m shingles at least, all of them shared
     groups = (anchors.groupBy("k1", "k2", "total", "item_id", "m").agg(F.sort_array(F.collect_set("pos")).alias("p"))
               .where(F.size("p") >= F.ceil(F.col("m") * similarity - 1e-9)))
@@ -107,9 +134,6 @@ def matches(docs: DataFrame, items: DataFrame, width: int = SHINGLE, similarity:
     starts = cut(starts, "window-starts")
 
     # the shingles of those windows
-    texts = _bounded(starts.select("k1", "k2").distinct(), 16)
-    rows = docs.select(*text_key(), "text").join(texts, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
-    rows = rows.select("k1", "k2", words(F.col("text")).alias("w")).select("k1", "k2", shingles("w", width).alias("s"))
     windows = (rows.join(starts, ["k1", "k2"]).select("k1", "k2", "item_id", "m", "s", F.explode("starts").alias("start"))
                .select("k1", "k2", "item_id", "start", F.slice("s", F.col("start") + 1, F.col("m")).alias("s")))
     windows = cut(windows, "windows")
@@ -139,7 +163,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
              .groupBy("k1", "k2").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.max("similarity").alias("similarity")))
     found = cut(found, "contaminated")
     rows = docs.select("doc_id", *text_key())
-    return rows.join(_bounded(found, 64), ["k1", "k2"], "left").select(
+    return rows.join(_bounded(found, 64, "items"), ["k1", "k2"], "left").select(
         "doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce(F.size("items"), F.lit(0)).alias("n_items"),
         F.coalesce("items", F.array().cast("array<bigint>")).alias("items"), "similarity")
 

@@ -192,12 +192,39 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(base, "part").select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")
 
 
+SPAN_BYTES = 64 << 20
+
+
+def _asked(spans: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, part, shard): the shards whose span of keys holds a wanted key, found by
+    binary search in the list of spans, which is as short as the number of shards."""
+    held = spans.orderBy("first_key", "last_key").toArrow()
+    first, last, part, shard = (held.column(c).to_numpy() for c in ("first_key", "last_key", "part", "shard"))
+    shared = spans.sparkSession.sparkContext.broadcast((first, np.maximum.accumulate(last) if len(last) else last, part, shard))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, last, part, shard = shared.value
+        for batch in batches:
+            keys = batch.column("doc_id").to_numpy()
+            lo, hi = np.searchsorted(last, keys, "left"), np.searchsorted(first, keys, "right")
+            n = np.maximum(hi - lo, 0)
+            at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys, n)), pa.array(part[at]), pa.array(shard[at])], names=["doc_id", "part", "shard"])
+
+    return wanted.mapInArrow(run, "doc_id long, part int, shard int")
+
+
 def get(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
-    """Keyed access: (doc_id, ids) of the documents whose doc_id is in ``keys``."""
+    """Keyed access: (doc_id, ids) of the documents whose doc_id is in ``keys``.  A key's
+    shard comes from the list of the shards' first and last keys, its place there
+    from the perfect hash index.  A list above ``SPAN_BYTES`` is joined instead."""
     spans = _shards(spark, path).where("first_key is not null").select("part", "shard", "first_key", "last_key")
     wanted = keys.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    asked = (wanted.join(spans, F.col("doc_id").between(F.col("first_key"), F.col("last_key")))
-             .groupBy("part", "shard").agg(F.collect_list("doc_id").alias("ask")))
+    if spans.count() * 24 <= SPAN_BYTES:
+        found = _asked(spans, wanted)
+    else:
+        found = wanted.join(spans, F.col("doc_id").between(F.col("first_key"), F.col("last_key")))
+    asked = found.groupBy("part", "shard").agg(F.collect_list("doc_id").alias("ask"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,11 +8,14 @@ when the younger is full it becomes the older, and words met again move up.
 
 A word of plain Latin letters (below U+0250), is one pre-token and a run of
 ``MARKS`` behind it another, so the library's BPE model gets them without the
-normaliser in front; every other word takes the library's whole way."""
+normaliser in front; every other word takes the library's whole way.  That holds
+for a file with this normaliser and pre-tokeniser only (compared when it is read);
+texts for any other file take the library's whole way."""
 
 from __future__ import annotations
 
 import gc
+import json
 import sys
 from array import array
 
@@ -21,6 +24,12 @@ import numpy as np
 CACHE_WORDS = 200_000
 LONG_WORD = 40
 MARKS = ".,!?;:%$#&*|"
+# --- fixed values: what the short cuts rely on in a tokeniser file -------------
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+                                                  {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 
 
 def default_tokenizer() -> str:
@@ -47,6 +56,8 @@ class WordEncoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        parts = json.loads(self.tokenizer.to_str())
+        self.by_word = parts["normalizer"] == NORMALIZER and parts["pre_tokenizer"] == PRE_TOKENIZER and parts["model"]["type"] == "BPE"
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.older: dict[bytes, bytes] = {}
@@ -85,6 +96,8 @@ class WordEncoder(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if not self.by_word:
+            return self.whole(text)
         raw = text.encode()
         # ASCII lower case shares cache entries; not where a combining mark may
         # follow the letter (U+0300 to U+037F) or a special token may be spelled

@@ -115,3 +115,22 @@ def test_no_python_in_the_plan(spark):
     bench = spark.createDataFrame([(0, prose(30, 2))], "item_id long, text string")
     for plan in (D.decontaminate(df, bench), D.keep_clean(df, bench)):
         assert "Python" not in plan._jdf.queryExecution().toString()
+
+
+def test_stock_shingles_do_not_hide_or_fan_out(spark):
+    """A sentence that all items share: matches are still found, and a text that only
+    quotes it is not nominated for any item."""
+    stock = "choose the one correct answer from the list given below here"
+    items = [f"{prose(14, 400 + i)} {stock} {prose(9, 500 + i)}" for i in range(40)]
+    texts = [f"{prose(20, i)} {items[i]} {prose(20, 60 + i)}" for i in range(5)] + [f"{prose(30, 90 + i)} {stock} {prose(30, 130 + i)}" for i in range(30)]
+    texts += [stock, items[7], edited(items[9], 16)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.doc_id: (r["items"], round(r.similarity or 0, 9)) for r in D.decontaminate(df, bench).collect()}
+    best = brute(texts, items)
+    assert {i: s for i, (_, s) in got.items()} == {i: round(b, 9) if b >= 0.8 else 0 for i, b in enumerate(best)}
+    assert all(got[i][0] == [i] for i in range(5)) and got[36][0] == [7] and all(got[i][0] == [] for i in range(5, 36))
+    shared = bench.select("item_id", D.words(D.F.col("text")).alias("w")).select("item_id", D.shingles("w", 5).alias("s"))
+    shared = shared.select("item_id", D.F.size("s").alias("m"), D.F.explode("s").alias("h"))
+    rare = D.nominators(shared, 0.8)
+    assert rare.groupBy("h").count().agg({"count": "max"}).first()[0] == 1

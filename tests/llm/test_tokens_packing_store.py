@@ -22,6 +22,15 @@ def test_word_cache_equals_the_library():
     assert e.encode("<|ENDOFTEXT|> <|endoftext|>") == e.whole("<|ENDOFTEXT|> <|endoftext|>")
 
 
+def test_other_tokeniser_files_take_the_whole_way():
+    import public_tokenizers
+
+    e = encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not e.by_word and encoder(default_tokenizer()).by_word
+    for s in ("Hello  World ñandú\n x", " a", "", None, "don't STOP", "  \t 漢字 "):
+        assert e.encode(s) == (e.whole(s) if s else b"")
+
+
 def ids_of(text, end):
     return np.frombuffer(encoder(default_tokenizer()).whole(text or ""), "<u4").tolist() + [end]
 
@@ -135,6 +144,23 @@ def test_token_store_round_trip(spark, docs, empty, tmp_path, monkeypatch):
     assert token_store.read(spark, str(tmp_path / "none")).collect() == []
 
 
+def test_get_over_many_shards(spark, tmp_path, monkeypatch):
+    """Keys that span shards, keys between shards, repeated and missing keys; both ways to find a shard."""
+    monkeypatch.setattr(token_store, "SHARD_TOKENS", 40)
+    given = [(i // 3 * 7, f"uno {i} dos " * (1 + i % 5)) for i in range(200)] + [(70, "x " * 60)] * 12 + [(None, "nulo")]
+    path = str(tmp_path / "store")
+    token_store.write(spark.createDataFrame(given, "doc_id long, text string").repartition(5), path)
+    assert token_store._shards(spark, path).count() > 10
+    asked = [0, 70, 7, 8, 461, 462, -5, 10**12, None, 70]
+    keys = spark.createDataFrame([(k,) for k in asked], "doc_id long")
+    want = Counter((i, tuple(ids_of(t, 2))) for i, t in given if i is not None and i in asked)
+    for limit in (64 << 20, 0):
+        monkeypatch.setattr(token_store, "SPAN_BYTES", limit)
+        found = token_store.get(spark, path, keys)
+        assert Counter((r.doc_id, tuple(r.ids)) for r in found.collect()) == want
+        assert ("NestedLoop" in found._jdf.queryExecution().executedPlan().toString()) == (limit == 0)
+
+
 def test_index_is_minimal_perfect_and_refuses_foreign_keys():
     rnd = np.random.default_rng(2)
     keys = np.unique(rnd.integers(-2**62, 2**62, 20000))
