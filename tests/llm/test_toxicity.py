@@ -1,5 +1,9 @@
+import math
 import zlib
 
+import xxhash
+from pyspark.sql import functions as F
+
 from shelfspark.llm import toxicity as T
 
 from .conftest import prose
@@ -63,3 +67,49 @@ def test_l1_leaves_a_short_list(spark):
     docs, labels, _ = corpus(spark)
     at, weight = T.fit(docs, labels.selectExpr("doc_id", "toxic as label"))
     assert 0 < len(at) < 2000 and (weight != 0).all()
+
+
+def plain_features(text):
+    """Hashed words, pairs and skip-grams, one at a time, on whole numbers."""
+    low = 2**64 - 1
+    h = [xxhash.xxh64_intdigest(w.decode().lower().encode().strip(T._EDGE)) for w in (text or "").encode().split()]
+    out = {(x * 0xD6E8FEB86659FD93 & low) >> 44 for x in h}
+    for gap, mult in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F), (3, 0x165667B19E3779F9)):
+        out |= {((h[i] * mult + h[i + gap] & low) * 0xD6E8FEB86659FD93 & low) >> 44 for i in range(len(h) - gap)}
+    return sorted(out) + ["bias"]
+
+
+def plain_ftrl(examples, alpha=2.0, beta=1.0, l1=8.0, l2=0.05, epochs=8, positive_weight=3.0):
+    z, n = {}, {}
+
+    def weight(f):
+        cut = 0.0 if f == "bias" else l1
+        v = z.get(f, 0.0)
+        return 0.0 if abs(v) <= cut else -(v - math.copysign(cut, v)) / ((beta + math.sqrt(n.get(f, 0.0))) / alpha + l2)
+
+    def probability(features):
+        return 1 / (1 + math.exp(-sum(map(weight, features))))
+
+    for _ in range(epochs):
+        for features, label in examples:
+            w = {f: weight(f) for f in features}
+            g = (positive_weight if label else 1.0) * (1 / (1 + math.exp(-sum(w.values()))) - label)
+            for f in features:
+                sigma = (math.sqrt(n.get(f, 0.0) + g * g) - math.sqrt(n.get(f, 0.0))) / alpha
+                z[f] = z.get(f, 0.0) + g - sigma * w[f]
+                n[f] = n.get(f, 0.0) + g * g
+    return probability
+
+
+def test_scores_equal_plain_ftrl(spark, docs):
+    some, labels, truth = corpus(spark, 160)
+    more = docs.select(F.col("doc_id") + 10000, "text").where("doc_id is not null").dropDuplicates()
+    every = some.union(more)
+    told = {r.doc_id: r.toxic for r in labels.collect()}
+    texts = [(r.doc_id, r.text, r.o) for r in every.select("doc_id", "text", F.xxhash64(F.lit("toxicity"), "doc_id").alias("o")).collect()]
+    learnt = sorted((o, i, t) for i, t, o in texts if i in told and zlib.crc32(str(i).encode()) % 3 != 1)
+    probability = plain_ftrl([(plain_features(t), told[i]) for _, i, t in learnt])
+    got = {r.doc_id: r.score for r in T.classify(every, labels).collect()}
+    assert len(got) == len(texts) and {round(s, 2) for s in got.values()} != {0.5}
+    for i, t, _ in texts:
+        assert abs(got[i] - probability(plain_features(t))) < 1e-9, i
