@@ -41,6 +41,7 @@ PATTERNS = {
 PLACEHOLDERS = {k: f"[{k.upper()}]" for k in KINDS} | {"general": "[TERM]", "remove": ""}
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"  # of an address, before the @
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_DOTTED = re.compile(r"[0-9]\.[0-9]++\.[0-9]")  # cheap to look for; without one there is no ip
 _DIGITS = re.compile(r"[^0-9]")
 _WORD = re.compile(r"[^\W\d_]+")
 _SHINGLE = 3
@@ -87,7 +88,7 @@ def base_spans(text: str) -> list[Span]:
     the text."""
     out: list[Span] = [("email", *span) for span in emails(text)]
     for kind in KINDS[1:]:
-        if kind == "phone" and "+" not in text:
+        if kind == "phone" and "+" not in text or kind == "ip" and not _DOTTED.search(text):
             continue
         out += [(kind, m.start(), m.end()) for m in PATTERNS[kind].finditer(text) if _holds(kind, m.group())]
     return out
