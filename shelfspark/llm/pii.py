@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -126,16 +127,39 @@ def context(words: list[str]) -> int:
     return min(map(xxhash.xxh64_intdigest, map(b" ".join, grams))) >> 1
 
 
-def terms(docs: DataFrame) -> DataFrame:
-    """(terms): the distinct words of each document, outside of protected values."""
+WANTED_BYTES = 16 << 20
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _own_terms(text: str) -> set[str]:
+    """The distinct words of a text, outside of protected values."""
+    return {w.lower() for w in set(words_outside(text, base_spans(text)))}
+
+
+def term_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(term, n_term): how many documents hold each term of ``wanted`` outside of
+    protected values.  A list of terms below ``WANTED_BYTES`` travels to the texts,
+    each task hands on one row for a term; a longer one meets all words of all texts."""
+    small = (wanted.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0) <= WANTED_BYTES
+    names = docs.sparkSession.sparkContext.broadcast(frozenset(r["term"] for r in wanted.collect()) if small else None)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[str] = Counter()
+        for batch in text_chunks(batches):
+            for text in batch.column("text").to_pylist():
+                if text and not names.value.isdisjoint({w.lower() for w in set(_WORD.findall(text))}):
+                    found.update(_own_terms(text) & names.value)
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["term", "n"])
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
-            found = [list({w.lower() for w in set(words_outside(t, base_spans(t)))}) if t else []
-                     for t in batch.column("text").to_pylist()]
+            found = [list(_own_terms(t)) if t else [] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], names=["terms"])
 
-    return docs.select("text").mapInArrow(run, "terms array<string>")
+    texts = docs.select("text")
+    if small:
+        return texts.mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+    return (texts.mapInArrow(every, "terms array<string>").select(F.explode("terms").alias("term")).join(wanted, "term")
+            .groupBy("term").agg(F.count("*").alias("n_term")))
 
 
 def contexts(docs: DataFrame) -> DataFrame:
@@ -191,9 +215,7 @@ def disclosing_terms(docs: DataFrame, support: int = 3, generalise: float = 0.9,
     if likely.isEmpty():
         return None
     wanted = cut(likely.select("term").distinct(), "pii-terms")
-    counts = (terms(docs).select(F.explode("terms").alias("term")).join(wanted, "term")
-              .groupBy("term").agg(F.count("*").alias("n_term")))
-    found = (likely.join(counts, "term").where(pmi("n_both", "n_term") >= generalise * told)
+    found = (likely.join(term_counts(docs, wanted), "term").where(pmi("n_both", "n_term") >= generalise * told)
              .select("entity", "term", F.when(pmi("n_both", "n_term") >= remove * told, "remove").otherwise("general").alias("action")))
     by_doc = (holding.where("doc_id is not null").select("entity", "doc_id").distinct().join(found, "entity")
               .groupBy("doc_id", "term").agg(F.max("action").alias("action"))

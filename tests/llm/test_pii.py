@@ -120,6 +120,15 @@ def test_pruned_candidates_equal_plain_pmi(spark):
     assert got == want and (500, "tindle") in got and (500, "quorble") not in got and (0, "zorblax") in got
 
 
+def test_both_ways_to_count_terms(spark, monkeypatch):
+    df = planted(spark).union(spark.createDataFrame([(900, None), (901, ""), (902, "Luna luna@corp.example.com zorblax@corp.example.com")],
+                                                    "doc_id long, text string"))
+    wanted = spark.createDataFrame([("luna",), ("zorblax",), ("corp",), ("nowhere",)], "term string")
+    few = sorted(rows(pii.term_counts(df, wanted)))
+    monkeypatch.setattr(pii, "WANTED_BYTES", 0)
+    assert few == sorted(rows(pii.term_counts(df, wanted))) == [("luna", 85), ("zorblax", 4)]
+
+
 def test_patterns_equal_brute_force_on_random_runs():
     import random
     rnd = random.Random(8)
