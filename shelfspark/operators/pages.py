@@ -112,6 +112,17 @@ def valid_cards(html: Column, primary: Selector) -> Column:
     return F.filter(placed, lambda c: valid_card(c["item"]))
 
 
+def cards_and_evidence(html: Column, selectors: list[Selector]) -> Column:
+    """``(n_cards, evidence)`` of a page from one pass: valid cards of the primary
+    selector (H2, P1) and evidence over all of them (P2)."""
+    def counted(found: Column) -> Column:
+        firsts = F.flatten(F.transform(found, lambda texts: F.slice(texts, 1, P.EVIDENCE_FIRST_N)))
+        return F.struct(F.size(F.filter(F.get(found, 0), valid_card)).alias("n_cards"),
+                        F.size(F.filter(firsts, evidence_element)).cast("bigint").alias("evidence"))
+    found = markup.elements(F.coalesce(html, F.lit("")), [css(x) for x in selectors], markup.rendered_text)
+    return markup.let(found, counted)
+
+
 def extract_primary(pages: DataFrame, selector: Selector) -> DataFrame:
     """H2 + P1: valid cards ``(page_id, pos, item)`` of the first selector only; a
     card's lines are kept."""

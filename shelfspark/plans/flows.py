@@ -39,11 +39,12 @@ def crawl_pages(result_pages: DataFrame, selectors: Selectors, max_empty: int |
     Returns ``(walked, cards)``: one row per page with the walk columns, and
     the valid cards in long form ``(page_id, pos, item)``."""
     cards = _of(selectors, lambda some: pages.valid_cards(F.col("html"), some[0]))
-    evidence = _of(selectors, lambda some: pages.evidence_count(F.col("html"), some))
-    per_page = result_pages.withColumn("n_cards", F.coalesce(F.size(cards), F.lit(0)))
-    per_page = per_page.withColumn("has_products", (evidence > 0) & ~pages.url_is_invalid(F.col("url")))
+    seen = _of(selectors, lambda some: pages.cards_and_evidence(F.col("html"), some))
+    per_page = result_pages.withColumn("_seen", seen).drop("html").withColumn("n_cards", F.coalesce("_seen.n_cards", F.lit(0)))
+    has = F.coalesce("_seen.evidence", F.lit(0)) > 0
+    per_page = per_page.withColumn("has_products", has & ~pages.url_is_invalid(F.col("url"))).drop("_seen")
     log = per_page.withColumn("empty", crawl.page_is_empty(F.lit(200), F.lit(False), F.col("has_products"), F.col("n_cards")))
-    walked = crawl.crawl_cutoff(log.drop("html"), "run", ["page_order", "page_id"], "empty", max_empty)
+    walked = crawl.crawl_cutoff(log, "run", ["page_order", "page_id"], "empty", max_empty)
     return walked, result_pages.select("page_id", F.explode(cards).alias("_c")).select("page_id", "_c.pos", "_c.item")
 
 
