@@ -7,7 +7,8 @@ parse identical raw text.  Only two spellings differ per engine and are
 templated: timestamps from microseconds and NULL-free array literals.
 
 Every builder is a narrow projection over a scan (plus joins to the tiny
-``nation``/``region`` dimensions, which the planner broadcasts by size).
+``nation``/``region`` dimensions, which the planner broadcasts by size); branch
+pages are dealt over more tasks than the scan has (``spread``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..sources.tables import load
+from ..sources.tables import load, spread
 
 # microseconds since epoch of 2025-06-16 06:00:00 UTC (a Monday 06:00 run)
 BASE_MICROS = 1750053600000000
@@ -392,9 +393,12 @@ def store_block_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                  f'</ul><div class="{P.STORE_ITEM_CLASS}">no</div>')
 
 
+PAGES_PER_TASK = 4000  # a detail page takes a millisecond or more to read, its customer a few bytes
+
+
 def _branch_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The facts of every customer's branch, a column each."""
-    cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    """The facts of every customer's branch, a column each; dealt out, as a page of each is read."""
+    cust = spread(load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey"), PAGES_PER_TASK)
     nat = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     addr, hours, phone, extra, blank = branch_item_exprs()
     return cust.join(nat, cust.c_nationkey == nat.n_nationkey).selectExpr(

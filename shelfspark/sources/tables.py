@@ -19,3 +19,11 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(rows: DataFrame, per_task: int) -> DataFrame:
+    """``rows`` dealt evenly over one partition per ``per_task`` of them, where a step
+    costs far more per row than the scan: a small file is one split or few however
+    much work its rows make.  Rows that fit one task stay as they are scanned."""
+    tasks = -(-rows.count() // per_task)
+    return rows.repartition(tasks) if tasks > 1 else rows
