@@ -29,6 +29,11 @@ grams that are at least 1/``head`` of the training tokens (so at most ``head`` o
 length) are broadcast; all other keys, none of them frequent, meet the table in hash
 buckets that grow in number with text and tree.  A gram travels with 40 bits of its key beside its bucket.
 
+What cannot matter does not travel.  A gram seen twice has a context and a suffix seen
+twice, and only grams that the tree holds have a value; both are tested against a bit
+map of leading bits of the keys (``marks``, at most 16 MB).  A false hit costs a row
+and changes no result, as counts and values are joined by the keys themselves.
+
 Defined results: null or empty text: one token, the end; rows with a null doc_id
 are learnt from; nothing to learn from: base and score 0; repeated rows: one row
 each; empty table: empty result; further columns are ignored."""
@@ -43,13 +48,15 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ._common import cut, text_chunks
 
-DEPTH = 1
+DEPTH = 3
 GAIN = 8.0
 DISCOUNT = 0.75
 HEAD = 50_000
+MARK_BITS = 27
 _LOW = np.int64((1 << 40) - 1)
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 END_TOKEN = xxhash.xxh64_intdigest(b"\n")  # no word holds a line feed
@@ -170,9 +177,27 @@ def held_out(doc_id: Column | str = "doc_id", modulus: int = 7, rest: int = 2) -
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulus == rest, F.lit(False))
 
 
-def statistics(train: DataFrame, order: int) -> DataFrame:
+def marks(keys: DataFrame) -> np.ndarray:
+    """Bit map of the leading bits of a table's keys (key long): eight bits or more a key
+    where that is within 2 ** MARK_BITS, whatever comes beyond makes more false hits."""
+    bits = min(MARK_BITS, max(12, (8 * keys.count()).bit_length()))
+    words = keys.groupBy(F.shiftrightunsigned("key", 70 - bits).alias("word")).agg(
+        F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(key, {64 - bits}) & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(1 << bits - 6, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys.view(np.uint64) >> np.uint64(65 - (64 * len(marks)).bit_length())
+    return (marks[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def statistics(train: DataFrame, order: int, known: np.ndarray | None = None) -> DataFrame:
     """Counts of the training texts' tokens (order 1: key, n) or of their grams of
-    ``order`` tokens (context, suffix, n)."""
+    ``order`` tokens (context, suffix, n), but for some that occur once: those whose context
+    or suffix is not in ``known``, the marks of what occurs twice one token shorter."""
+    shared = train.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter()
@@ -190,8 +215,9 @@ def statistics(train: DataFrame, order: int) -> DataFrame:
             if order == 1:
                 yield from rows(counter.add(keys, keys, keys))
             else:
-                for _, *gram in list(_grams(keys, np.array([len(w) + 1 for w in words]), order - 1))[-1:]:
-                    yield from rows(counter.add(*gram))
+                for _, gram, context, suffix in list(_grams(keys, np.array([len(w) + 1 for w in words]), order - 1))[-1:]:
+                    good = _marked(shared.value, context) & _marked(shared.value, suffix)
+                    yield from rows(counter.add(gram[good], context[good], suffix[good]))
         yield from rows(counter.rest())
 
     found = train.select("text").mapInArrow(run, "context long, suffix long, n long")
@@ -199,31 +225,31 @@ def statistics(train: DataFrame, order: int) -> DataFrame:
     return found.groupBy(*by).agg(F.sum("n").alias("n"))
 
 
+def _keys(grams: DataFrame) -> DataFrame:
+    return grams.select(F.xxhash64("context", "suffix").alias("key"), "n")
+
+
 def grow(tokens: DataFrame, grams: list[DataFrame], total: int, root: float, gain: float, discount: float) -> DataFrame:
     """The tree as a table (key, value): log10 values of tokens and grams.  ``tokens``
     (key, n); ``grams`` by order (context, suffix, n), those seen twice or more."""
     counts = tokens
     probs = tokens.select("key", ((F.col("n") - root) / total).alias("p"))
     values = probs.select("key", F.log10("p").alias("value"))
+    state = Window.partitionBy("context")  # as the join before it deals the rows
     for order, seen in enumerate(grams, 2):
-        listed = (seen.join(counts.select(F.col("key").alias("context"), F.col("n").alias("of")), "context")
-                  .join(probs.select(F.col("key").alias("suffix"), "p"), "suffix"))
         # a gram seen twice whose suffix has no state lists nothing: states are closed under suffixes
-        listed = cut(listed, f"lm-grams{order}")
-        states = (listed.groupBy("context").agg(F.first("of").alias("of"), F.sum(F.col("n") - discount).alias("mass"), F.sum(F.col("n") - 1).alias("again"))
-                  .withColumn("escape", 1 - F.col("mass") / F.col("of")).select("context", "again", "escape"))
-        own = (F.col("n") - discount) / F.col("of") + F.col("escape") * F.col("p")
-        both = listed.join(states, "context").withColumn("own", own)
-        kept = (both.groupBy("context").agg(F.sum((F.col("n") - 1) * F.log2(F.col("own") / F.col("p"))).alias("bits"),
-                                            F.first("of").alias("of"), F.first("again").alias("again"), F.first("escape").alias("escape"))
-                .where(F.col("bits") + (F.col("of") - F.col("again")) * F.log2("escape") >= gain).select("context", "escape"))
-        kept = cut(kept, f"lm-states{order}")
-        leaves = (listed.join(kept, "context").withColumn("own", own)
-                  .select(F.xxhash64("context", "suffix").alias("key"), "p", "own", "escape"))
-        values = values.union(kept.select(F.col("context").alias("key"), F.log10("escape").alias("value"))).union(
+        listed = (seen.join(probs.select(F.col("key").alias("suffix"), "p"), "suffix")
+                  .join(counts.select(F.col("key").alias("context"), F.col("n").alias("of")), "context"))
+        listed = (listed.withColumn("escape", 1 - F.sum(F.col("n") - discount).over(state) / F.col("of"))
+                  .withColumn("again", F.sum(F.col("n") - 1).over(state))
+                  .withColumn("own", (F.col("n") - discount) / F.col("of") + F.col("escape") * F.col("p"))
+                  .withColumn("bits", F.sum((F.col("n") - 1) * F.log2(F.col("own") / F.col("p"))).over(state)))
+        leaves = cut(listed.where(F.col("bits") + (F.col("of") - F.col("again")) * F.log2("escape") >= gain)
+                     .select("context", F.xxhash64("context", "suffix").alias("key"), "p", "own", "escape"), f"lm-leaves{order}")
+        values = values.union(leaves.groupBy(F.col("context").alias("key")).agg(F.log10(F.first("escape")).alias("value"))).union(
             leaves.select("key", F.log10(F.col("own") / F.col("p") / F.col("escape")).alias("value")))
         probs = leaves.select("key", F.col("own").alias("p"))
-        counts = seen.select(F.xxhash64("context", "suffix").alias("key"), "n")
+        counts = _keys(seen)
     return values.groupBy("key").agg(F.sum("value").alias("value"))
 
 
@@ -254,15 +280,19 @@ def score(docs: DataFrame, depth: int = DEPTH, gain: float = GAIN, discount: flo
     total, distinct = size["n"] or 0, size["v"]
     root = min(max(size["once"] / max(1, distinct), 0.05), 0.95)
     other = float(np.log10(root * distinct / total)) if total else 0.0
-    grams = [cut(statistics(train, order).where("n > 1"), f"lm-seen{order}") for order in range(2, depth + 2)]
+    grams, seen = [], tokens.where("n > 1")
+    for order in range(2, depth + 2):
+        grams.append(cut(statistics(train, order, marks(seen)).where("n > 1"), f"lm-seen{order}"))
+        seen = _keys(grams[-1])
     tree = cut(grow(tokens, grams, max(1, total), root, gain, discount).join(tokens, "key", "left").select("key", F.coalesce("n", F.lit(0)).alias("n"), F.col("value").cast("float").alias("value")), "lm-tree")
     least = max(1, -(-total // head))
     top = sorted((r["key"], r["n"], r["value"]) for r in tree.where(F.col("n") >= least).collect())  # at most ``head`` rows
     head_keys = np.array([r[0] for r in top], np.int64)
     head_counts, head_values = (np.array([r[i] for r in top], float) for i in (1, 2))
-    keyed = [g.where(F.col("n") >= least).select(F.xxhash64("context", "suffix").alias("key")) for g in grams]
-    often = sorted((r["key"], r["value"] or 0.0) for g in keyed for r in g.join(tree, "key", "left").collect())  # at most ``head`` rows each
+    keyed = [_keys(g).where(F.col("n") >= least) for g in grams]
+    often = sorted((r["key"], r["value"] or 0.0) for g in keyed for r in g.select("key").join(tree, "key", "left").collect())  # at most ``head`` rows each
     often_keys, often_values = np.array([k for k, _ in often], np.int64), np.array([v for _, v in often], float)
+    listed = rows.sparkSession.sparkContext.broadcast(marks(tree.where("n = 0")))
     # a bucket for about a million keys of the tree or 32 MB of text
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, tree.count() >> 20, size >> 25)
@@ -291,7 +321,8 @@ def score(docs: DataFrame, depth: int = DEPTH, gain: float = GAIN, discount: flo
                     hit = often_keys[at] == gram
                     value += np.bincount(of[hit], often_values[at[hit]], n_docs)
                     gram, of = gram[~hit], of[~hit]
-                sent.append(("gram", gram, of))
+                hit = _marked(listed.value, gram)
+                sent.append(("gram", gram[hit], of[hit]))
             used, kinds = [int(chunk % buckets)], ["whole"]
             blobs = [_pack(np.array([i or 0 for i in ids], np.int64), np.array([i is not None for i in ids]), sizes, known, base, value)]
             for kind, mine_keys, of in sent:

@@ -171,3 +171,29 @@ def test_nothing_to_learn_from(spark):
     only = [i for i in range(200) if held(i)][:3]
     out, _ = check(spark.createDataFrame([(i, "a b") for i in only], "doc_id long, text string"))
     assert all(r.base_score == 0 == r.score for r in out)
+
+
+def test_default_depth_sees_three_tokens_back(spark):
+    """What follows is set by the three tokens before it; of the false texts only the third is at odds."""
+    assert L.DEPTH >= 3
+    rnd = random.Random(9)
+
+    def text(turned=False):
+        runs = [rnd.choices("xy", k=3) for _ in range(60)]
+        return " ".join(f"{a} {b} {c} {'pqrs'[((a == 'x') != turned) if b == c else 2 + (b == 'x')]}" for a, b, c in runs)
+
+    train = [i for i in range(120) if not held(i)]
+    tests = [i for i in range(400) if held(i)][:20]
+    items = [(i, text()) for i in train] + [(i, text(turned=k % 2 == 1)) for k, i in enumerate(tests)]
+    out = {r.doc_id: r.score / r.n_tokens for r in L.score(spark.createDataFrame(items, "doc_id long, text string")).collect()}
+    assert min(out[i] for i in tests[::2]) > max(out[i] for i in tests[1::2]) + 0.1
+
+
+def test_marks_hold_every_key(spark):
+    rnd = np.random.default_rng(4)
+    keys = np.append(rnd.integers(-2**63, 2**63 - 1, 5000), [-1, 0, 2**63 - 1, -2**63])
+    other = rnd.integers(-2**63, 2**63 - 1, 20000)
+    df = spark.createDataFrame([(int(k),) for k in keys], "key long")
+    found = L.marks(df)
+    assert L._marked(found, keys).all() and L._marked(found, other).mean() < 0.15
+    assert not L._marked(L.marks(df.limit(0)), other).any()
