@@ -210,23 +210,30 @@ def shared_triggers(chunks: DataFrame, buckets: int, width: int) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(meet, "chunk long, triggers binary")
 
 
-def rank_prefixes(data: np.ndarray, width: int) -> np.ndarray:
+def rank_prefixes(data: np.ndarray, width: int, room: np.ndarray | None = None) -> np.ndarray:
     """Rank of the ``width`` bytes from each position on among all of them, that
-    is the suffix order of ``data`` cut at ``width`` bytes (``width`` > 16)."""
+    is the suffix order of ``data`` cut at ``width`` bytes (``width`` > 16).  With
+    ``room``, the bytes from each position to its unit's end, prefixes that reach
+    beyond it are not ordered: no string needs them (their rank is 0)."""
 
-    def dense(key: np.ndarray) -> np.ndarray:
+    def dense(key: np.ndarray, at: np.ndarray | slice) -> np.ndarray:
         order = np.argsort(key)
         ordered = key[order]
-        rank = np.empty(len(key), np.uint64)
-        rank[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1])).astype(np.uint64)
+        rank = np.zeros(len(data), np.uint64)
+        rank[order if isinstance(at, slice) else at[order]] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1])).astype(np.uint64)
         return rank
 
-    rank, span = dense(_words64(data)), 8
+    def held(span: int) -> np.ndarray | slice:
+        return slice(None) if room is None else np.flatnonzero(room >= span)
+
+    at = held(8)
+    rank, span = dense(_words64(data)[at], at), 8
     while span < width:
         step = min(span, width - span)
-        later = np.concatenate([rank[step:], np.zeros(min(step, len(rank)), np.uint64)])
-        rank = dense((rank << np.uint64(32)) | later)
         span += step
+        at = held(span)
+        later = np.concatenate([rank[step:], np.zeros(min(step, len(rank)), np.uint64)])
+        rank = dense((rank[at] << np.uint64(32)) | later[at], at)
     return rank
 
 
@@ -234,14 +241,15 @@ def smallest_owners(contents: list[bytes], owner: np.ndarray, width: int) -> lis
     """For each distinct unit: per string the smallest document among all units."""
     sizes = np.array([len(c) for c in contents], np.int64)
     data = np.frombuffer(b"".join(contents), np.uint8)
-    rank = rank_prefixes(data, width)
-    starts = np.cumsum(sizes) - sizes
+    ends = np.cumsum(sizes)
+    rank = rank_prefixes(data, width, np.repeat(ends, sizes) - np.arange(len(data)))
+    starts = ends - sizes
     count = sizes - width + 1
     total = np.cumsum(count)
     strings = np.arange(int(total[-1])) + np.repeat(starts - (total - count), count)
     of = np.repeat(owner, count)
     group = rank[strings]
-    order = np.argsort(group, kind="stable")
+    order = np.argsort(group)
     first = _first(group[order])
     least = np.minimum.reduceat(of[order], first)
     out = np.empty(len(strings), np.int64)

@@ -73,3 +73,19 @@ def test_kept_bytes(spark):
     p = prose(30, 5)
     df = spark.createDataFrame([(1, p), (2, "ä" + p + "z")], "doc_id long, text string")
     assert {r.doc_id: bytes(r.kept).decode() for r in S.deduplicated(df).collect()} == {1: p, 2: "äz"}
+
+
+def test_ranks_within_units_order_their_strings_alike():
+    rnd = np.random.default_rng(6)
+    sizes = rnd.integers(50, 90, 60)
+    data = rnd.integers(97, 99, int(sizes.sum())).astype(np.uint8)
+    data[700:900] = data[100:300]
+    ends = np.cumsum(sizes)
+    room = np.repeat(ends, sizes) - np.arange(len(data))
+    strings = np.flatnonzero(room >= 50)
+    ranks = S.rank_prefixes(data, 50, room)
+    texts = [data[p:p + 50].tobytes() for p in strings]
+    assert len(set(texts)) < len(texts)
+    place = {t: i for i, t in enumerate(sorted(set(texts)))}
+    assert ranks[strings].tolist() == [place[t] for t in texts]
+    assert not ranks[room < 50].any(), "prefixes that leave their unit are not ordered"
