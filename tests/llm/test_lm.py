@@ -1,5 +1,7 @@
 import math
+import os
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -197,3 +199,40 @@ def test_marks_hold_every_key(spark):
     found = L.marks(df)
     assert L._marked(found, keys).all() and L._marked(found, other).mean() < 0.15
     assert not L._marked(L.marks(df.limit(0)), other).any()
+
+
+def test_tokens_are_words_of_the_text():
+    rnd = random.Random(6)
+    words = ["a", "A", "ab", "ba", "é", "É", "x" * 70, "x" * 69 + "X", "x" * 71, "y" * 63 + "z", "y" * 64 + "z", "漢字", "\x00", "a\x00"]
+    texts = [None, "", " \t\n\x0b\x0c\r ", "a", " a", "a ", " a b"]
+    texts += ["".join(rnd.choice(words) + rnd.choice(" \t\n\r\x0b\x0c") * rnd.randrange(3) for _ in range(rnd.randrange(40))) for _ in range(60)]
+    plain = [words_of(t) + [END] for t in texts]
+    for step in (1, 50, 1 << 18):
+        for column in (L.pa.array(texts), L.pa.array(["q"] + texts).slice(1), L.pa.array(texts, L.pa.large_string())):
+            keys, sizes = L._tokens(column, step)
+            assert sizes.tolist() == [len(t) for t in plain]
+            pairs = set(zip(keys.tolist(), sum(plain, [])))
+            assert len(pairs) == len({k for k, _ in pairs}) == len({w for _, w in pairs})
+            assert all((k % 2**64 == L.END_TOKEN) == (w == END) for k, w in pairs)
+
+
+def shuffled(spark):
+    """Bytes of the shuffle files that lie on this process's disks."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return sum(os.path.getsize(f) for f in files if "/shuffle_" in f and os.path.exists(f))
+
+
+def test_shuffle_files_do_not_pile_up(spark):
+    rnd = random.Random(8)
+    pool = [" ".join(f"w{rnd.randrange(3000)}" for _ in range(200)) for _ in range(600)]
+    items = list(enumerate(pool + pool))
+    spark._jvm.System.gc()
+    time.sleep(3)
+    before = shuffled(spark)
+    L.score(spark.createDataFrame(items, "doc_id long, text string").repartition(4).select("doc_id", "text"))
+    for _ in range(20):  # they are taken away beside the work
+        left = shuffled(spark) - before
+        if left < sum(len(t) for _, t in items) / 2:
+            break
+        time.sleep(0.5)
+    assert left < sum(len(t) for _, t in items) / 2
