@@ -288,9 +288,9 @@ def _dealt(by: np.ndarray, buckets: int, kind: str, *columns: np.ndarray) -> Ite
 
 PACKED = "bucket int, kind string, size long, found binary"
 _COLUMNS = {"token": (np.int64, np.int64),  # key, count
-            "gram": (np.int64, np.int64, float, np.float32),  # key, count, probability in a retained state, value
-            "first": (np.int64, np.int64, np.float32),  # a state of one token: key, count, value
-            "state": (np.int64, np.int64, np.float32)}  # a state of more
+            "gram": (np.int64, np.int64, float, float),  # key, count, probability in a retained state, value
+            "first": (np.int64, np.int64, float),  # a state of one token: key, count, value
+            "state": (np.int64, np.int64, float)}  # a state of more
 _LISTED = np.int64, np.int64, np.int64, float  # context, key, count, probability behind the suffix
 
 
@@ -389,7 +389,7 @@ def _frequent(counts: DataFrame, least: int) -> pa.Table:
                 keys, n, *more = _unpack(blob, *_COLUMNS[kind])
                 hit = n >= least
                 p = more[0] if kind == "gram" else np.full(len(keys), np.nan)
-                value = more[-1].astype(float) if more else np.zeros(len(keys))
+                value = more[-1] if more else np.zeros(len(keys))
                 yield pa.RecordBatch.from_arrays([pa.array([kind] * int(hit.sum()), pa.string()), *(pa.array(x[hit]) for x in (keys, n, p, value))],
                                                  names=["kind", "key", "n", "p", "value"])
 
@@ -477,9 +477,9 @@ def grow(train: DataFrame, counts: DataFrame, order: int, often: tuple[np.ndarra
         own[~mine] = np.nan
         if last:
             keys, n, own, value = keys[mine], n[mine], np.full(int(mine.sum()), np.nan), value[mine]
-        out = list(_dealt(keys, buckets, "gram", keys, n, own, value.astype(np.float32)))
+        out = list(_dealt(keys, buckets, "gram", keys, n, own, value))
         heads, escape = context[first][kept], np.log10(escape[kept])
-        return _table(out + list(_dealt(heads, buckets, "first" if order == 2 else "state", heads, of[kept].astype(np.int64), escape.astype(np.float32))))
+        return _table(out + list(_dealt(heads, buckets, "first" if order == 2 else "state", heads, of[kept].astype(np.int64), escape)))
 
     def slim(rows_of):
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -550,6 +550,7 @@ def score(docs: DataFrame, depth: int = DEPTH, gain: float = GAIN, discount: flo
         often_keys.append(longer.column("key").to_numpy())
         often_values.append(longer.column("value").to_numpy())
     often_keys, often_values = _counted(np.concatenate(often_keys), np.concatenate(often_values))
+    head_values, often_values = (x.astype(np.float32) for x in (head_values, often_values))  # a key's value, all terms summed
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """What is not broadcast: tokens with counts, grams and states with values."""
@@ -559,7 +560,7 @@ def score(docs: DataFrame, depth: int = DEPTH, gain: float = GAIN, discount: flo
                 keys, n, *more = _unpack(blob, *_COLUMNS[kind])
                 good = n < least if kind == "token" else (n < least) & (more[-1] != 0)
                 if good.any():
-                    out.append((b, "gram" if kind == "state" else kind, int(good.sum()), _pack(keys[good], (more[-1] if more else n)[good])))
+                    out.append((b, "gram" if kind == "state" else kind, int(good.sum()), _pack(keys[good], *((more[-1][good],) if more else _small(n[good])))))
             yield from _table(out).to_batches()
 
     tree = levels[0]
@@ -611,14 +612,19 @@ def score(docs: DataFrame, depth: int = DEPTH, gain: float = GAIN, discount: flo
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         """Keys meet their values: per chunk known tokens, base and score by document."""
-        counted = _gathered(right, *_COLUMNS["token"], kind="token")
-        by = np.argsort(counted[0])
-        keys, counts = (x[by] for x in counted)
+        counted = [_unpack(blob, np.int64, np.uint8, np.int64) for kind, blob in zip(right.column("kind").to_pylist(), right.column("found").to_pylist())
+                   if kind == "token"]
+        keys = np.concatenate([np.empty(0, np.int64), *(k for k, *_ in counted)])
+        counts = np.concatenate([np.empty(0, np.int64), *(_full(*n) for _, *n in counted)])
+        by = np.argsort(keys)
+        keys, counts = keys[by], counts[by]
         logs = np.log10((counts - root) / max(1, total))
-        firsts, values = _gathered(right, np.int64, np.float32, kind="first")
+        firsts, values = _gathered(right, np.int64, float, kind="first")
         logs[np.searchsorted(keys, firsts)] += values
-        grams, values = _gathered(right, np.int64, np.float32, kind="gram")
-        low, values = _counted(grams & _LOW, values.astype(float))
+        logs = logs.astype(np.float32)
+        grams, values = _gathered(right, np.int64, float, kind="gram")
+        low, values = _counted(grams & _LOW, values)
+        values = values.astype(np.float32)
         out = []
         for kind, blob in zip(left.column("kind").to_pylist(), left.column("found").to_pylist()):
             if kind == "whole":
